@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -42,9 +43,12 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the driver notice that finished steps are no longer referred to, so that Spark deletes their shuffle files now, not at some time."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the driver notice that finished steps are no longer referred to, so that Spark deletes their shuffle files now, not at some time.
+    The first round drops Python's handles, the second finds what they held."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import WordHash, arrow_map, cut, shingle_hashes
+from corvane.llm.common import WordHash, arrow_map, cut, release, shingle_hashes
 from corvane.llm.graph import components
 
 #: Shift of the registers, so that all sets from 1 to 2**60 shingles have registers in 16 bits.
@@ -136,7 +136,9 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     keys = classes.select("node", F.explode(bands).alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("size")).where("size > 1")
     members = cut(keys.join(buckets, "key"))
+    release(docs.sparkSession)
     texts_of = _Texts(docs, members.select("node").distinct())
+    release(docs.sparkSession)
     first = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     links = cut(_verified(_estimated(first, classes, p), texts_of, p))
     comps = cut(components(links))

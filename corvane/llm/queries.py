@@ -12,7 +12,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("n_links")
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
