@@ -122,13 +122,48 @@ def digest(items) -> str:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """A row for each row of docs(doc_id, text): n_words, n_hit (words in any occurrence of a window of benchmark(item_id, text)),
     n_items, items_sha256 (of the sorted ids, comma-joined), contaminated (n_hit > 0 and 100 * n_hit >= pct * n_words)."""
+    items, few = _items(benchmark, p)
+    if not few:
+        return _joined(docs, items, p).drop("row")
+    search = _search(docs, items, p)
+
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        n, hit, m, sha, bad = [], [], [], [], []
+        for text in batch.column(1).to_pylist():
+            words, x, found, verdict = search(text)
+            n.append(words), hit.append(x), m.append(len(found)), sha.append(digest(found)), bad.append(verdict)
+        yield {"doc_id": batch.column(0), "n_words": pa.array(n, pa.int64()), "n_hit": pa.array(hit, pa.int64()), "n_items": pa.array(m, pa.int64()), "items_sha256": pa.array(sha, pa.string()), "contaminated": pa.array(bad, pa.bool_())}
+
+    return arrow_map(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")), run, SCHEMA)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
+    """The rows of docs that aren't contaminated, with all their columns."""
+    items, few = _items(benchmark, p)
+    if not few:
+        rows = cut(docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row_")))
+        bad = _joined(rows, items, p, "_row_").where("contaminated").select(F.col("row").alias("_row_"))
+        return rows.join(bad, "_row_", "left_anti").select(*docs.columns)
+    search, at = _search(docs, items, p), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array([not search(t)[3] for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _items(benchmark: DataFrame, p: Params) -> tuple[DataFrame, bool]:
+    """The items, and if they are few enough to be held in each task."""
     items = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("binary"))
     # words are at most half the bytes and one; so this bounds the words without counting them
     bound = items.agg(F.sum(F.length("text") / 2 + 1)).first()[0] or 0
-    return _held(docs, items, p) if bound <= p.held_words else _joined(docs, items, p)
+    return items, bound <= p.held_words
 
 
-def _held(docs: DataFrame, items: DataFrame, p: Params) -> DataFrame:
+def _search(docs: DataFrame, items: DataFrame, p: Params):
+    """A function of a text: its words, words hit, items found, verdict. One pass over docs counts the benchmark's shingles first."""
     index = Index([(r[0], None if r[1] is None else bytes(r[1])) for r in items.collect()], p)
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
     spark = docs.sparkSession
@@ -153,26 +188,22 @@ def _held(docs: DataFrame, items: DataFrame, p: Params) -> DataFrame:
     index.prefixes({int(index.tokens[r["i"]]): r["n"] for r in counts})
     held = spark.sparkContext.broadcast(index)
 
-    def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        ix = held.value
-        n, hit, m, sha = [], [], [], []
-        for text in batch.column(1).to_pylist():
-            words = words_of(text)
-            x, found = ix.search(words, hashes.of(words)) if words else (0, ())
-            n.append(len(words)), hit.append(x), m.append(len(found)), sha.append(digest(found))
-        yield {"doc_id": batch.column(0), "n_words": pa.array(n, pa.int64()), "n_hit": pa.array(hit, pa.int64()), "n_items": pa.array(m, pa.int64()), "items_sha256": pa.array(sha, pa.string()), "contaminated": pa.array([h > 0 and 100 * h >= p.pct * x for h, x in zip(hit, n)], pa.bool_())}
+    def search(text: bytes | None) -> tuple[int, int, set, bool]:
+        words = words_of(text)
+        hit, found = held.value.search(words, hashes.of(words)) if words else (0, set())
+        return len(words), hit, found, hit > 0 and 100 * hit >= p.pct * len(words)
 
-    return arrow_map(texts, run, SCHEMA)
+    return search
 
 
-def _joined(docs: DataFrame, items: DataFrame, p: Params) -> DataFrame:
-    """The same by shuffles: both sides as rows of shingles; the benchmark's side can have any size."""
+def _joined(docs: DataFrame, items: DataFrame, p: Params, row: str | None = None) -> DataFrame:
+    """The same by shuffles, with each row's number: both sides as rows of shingles; the benchmark's side can have any size."""
     spark = docs.sparkSession
     windows = cut(arrow_map(items, lambda b: _window_rows(b, p), "item_id bigint, win string, n int").groupBy("win", "n").agg(F.collect_set("item_id").alias("items")))
     tokens = arrow_map(windows.select("win"), lambda b: _token_rows(b, p), "win string, token bigint, at int, k int")
     tokens = cut(tokens)
     kinds = [r[0] for r in tokens.select("k").distinct().collect()]
-    texts = cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint"), F.col("text").cast("binary")))
+    texts = cut(docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("bigint"), F.col("text").cast("binary")))
     places = arrow_map(texts, lambda b: _place_rows(b, kinds), "row bigint, n_words int, k int, tokens array<bigint>").select("row", "n_words", "k", F.posexplode("tokens").alias("i", "token"))
     wanted = tokens.select("token", "k").distinct()
     # one scan of the texts: the places of benchmark tokens are kept, then both counted and joined
@@ -181,8 +212,8 @@ def _joined(docs: DataFrame, items: DataFrame, p: Params) -> DataFrame:
     prefix = tokens.join(counts, ["token", "k"], "left").groupBy("win").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "token", "k")).alias("p")).where("p.n > 0").select("win", "p.at", "p.token", "p.k")
     starts = seen.join(prefix, ["token", "k"]).join(windows, "win").withColumn("a", F.col("i") - F.col("at")).where("a >= 0 and a + n <= n_words")
     found = starts.groupBy("row").agg(F.collect_set(F.struct("a", "win", F.to_json("items").alias("items"))).alias("starts"))
-    both = texts.join(found.select("row", F.to_json("starts").alias("starts")), "row", "left").select("doc_id", "text", "starts")
-    return arrow_map(both, lambda b: _verified(b, p), SCHEMA)
+    both = texts.join(found.select("row", F.to_json("starts").alias("starts")), "row", "left").select("row", "doc_id", "text", "starts")
+    return arrow_map(both, lambda b: _verified(b, p), f"row bigint, {SCHEMA}")
 
 
 def _window_rows(batch: pa.RecordBatch, p: Params) -> Iterator[dict]:
@@ -217,7 +248,7 @@ def _place_rows(batch: pa.RecordBatch, kinds: list[int]) -> Iterator[dict]:
 
 def _verified(batch: pa.RecordBatch, p: Params) -> Iterator[dict]:
     out: dict[str, list] = {x.split(" ")[0]: [] for x in SCHEMA.split(", ")[1:]}
-    for text, starts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+    for text, starts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
         words = words_of(text)
         step, items = np.zeros(len(words) + 1, np.int64), set()
         for s in json.loads(starts) if starts else []:
@@ -230,4 +261,4 @@ def _verified(batch: pa.RecordBatch, p: Params) -> Iterator[dict]:
         for name, v in zip(out, (len(words), hit, len(items), digest(items), hit > 0 and 100 * hit >= p.pct * len(words))):
             out[name].append(v)
     kinds = {"items_sha256": pa.string(), "contaminated": pa.bool_()}
-    yield {"doc_id": batch.column(0)} | {k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()}
+    yield {"row": batch.column(0), "doc_id": batch.column(1)} | {k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()}

@@ -88,7 +88,8 @@ FROM r
 
 OP7 = """
 WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM b)),
+c AS (SELECT doc_id, c, substr(h, 1000 * c + 1, 1098) AS h FROM (SELECT doc_id, h, unnest(range(0, (len(h) // 2 - 49 + 499) // 500)) AS c FROM b WHERE len(h) >= 100)),
+w AS (SELECT doc_id, 500 * c + i AS i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, c, h, unnest(range(0, least(500, len(h) // 2 - 49))) AS i FROM c)),
 m AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s HAVING min(doc_id) <> max(doc_id)),
 g AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM w JOIN m USING (s) WHERE doc_id > m),
 n AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
