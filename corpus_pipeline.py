@@ -1,8 +1,58 @@
-"""A training-data pipeline over `documents`, in stages."""
+"""A training-data pipeline over `documents`: what each stage keeps is written as Parquet and is the next stage's input.
 
-STAGES: list = []
+All stages but the last return the columns of documents. Stages handle nulls, ties and empty tables as their operators do.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from corvane.llm import bwt_dedup, decontam, mixing, near_dedup, quality_rules
+from corvane.llm.common import new_folder
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality_rules.passing(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the document with the least id."""
+    return near_dedup.representatives(docs, near_dedup.Params(shingle=5, pct=80))
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-byte strings that documents of smaller id have; documents of which nothing is left go."""
+    return bwt_dedup.without_repeats(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't contaminated by the benchmark."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that sources, languages and topics meet their target weights; 80 % of the tokens, in expectation."""
+    return mixing.mixed(docs, mixing.Params(share=0.8))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("near duplicates", near_duplicates),
+    ("repeated substrings", substrings),
+    ("decontamination", decontaminated),
+    ("mixture", mixture),
+]
+
+#: SQL can't express the verdict of the suffix arrays; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; the last one's rows."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        out = new_folder(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(out)
+        docs = spark.read.parquet(out)
+    return docs
