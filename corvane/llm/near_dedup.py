@@ -29,11 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import WordHash, arrow_map, cut, release, shingle_hashes
+from corvane.llm.common import WordHash, arrow_map, cut, partitions, release, shingle_hashes
 from corvane.llm.graph import components
 
 #: Shift of the registers, so that all sets from 1 to 2**60 shingles have registers in 16 bits.
@@ -229,22 +230,42 @@ def _blocks(many: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     n = F.ceil(F.col("size") / p.block).cast("int")
     dealt = many.join(classes.select("node", "n", "reg"), "node").withColumn("blocks", n).withColumn("mine", F.pmod(F.xxhash64("node"), n).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    one = F.struct("node", "component", "n", "reg", "mine")
-    met = dealt.groupBy("key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi")).agg(F.collect_list(one).alias("m"))
+    met = dealt.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
+    # the work is by pairs, not by bytes, so the number of tasks is given
+    met = met.repartition(4 * partitions(many.sparkSession), "key", "lo", "hi").groupBy("key", "lo", "hi").agg(F.collect_list(F.struct("node", "component", "n", "reg", "mine")).alias("m"))
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        for m in batch.column(0):
-            rows = m.as_py()
-            node, comp, n, mine = (np.array([r[x] for r in rows]) for x in ("node", "component", "n", "mine"))
-            k = np.frombuffer(b"".join(r["reg"] for r in rows), np.uint16).reshape(len(rows), -1)
-            alone = len(set(mine.tolist())) == 1
-            a, b = [], []
-            for i in range(len(rows)):
-                j = np.flatnonzero((comp != comp[i]) & (node > node[i]) & ((mine != mine[i]) | alone))
-                if len(j):
-                    j = j[plausible(np.broadcast_to(k[i], (len(j), k.shape[1])), k[j], np.full(len(j), n[i]), n[j], p)]
-                    a += [int(node[i])] * len(j)
-                    b += node[j].tolist()
-            yield {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+        ends = np.cumsum(np.array(pc.list_value_length(batch.column(0))))
+        node, comp, n, reg, mine = batch.column(0).flatten().flatten()
+        node, comp, n, mine = (np.array(x) for x in (node, comp, n, mine))
+        k = np.frombuffer(b"".join(reg.to_pylist()), np.uint16).reshape(len(node), -1)
+        a, b = [], []
+        for lo, hi in zip(np.append(0, ends[:-1]), ends):
+            i, j = _differing(node[lo:hi], comp[lo:hi], n[lo:hi].astype(float), mine[lo:hi], k[lo:hi], p)
+            a.append(i), b.append(j)
+        yield {"a": pa.array(np.concatenate([*a, np.zeros(0, np.int64)]), pa.int64()), "b": pa.array(np.concatenate([*b, np.zeros(0, np.int64)]), pa.int64())}
 
     return arrow_map(met.select("m"), run, "a bigint, b bigint").distinct()
+
+
+def _differing(node: np.ndarray, comp: np.ndarray, n: np.ndarray, mine: np.ndarray, k: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Plausible pairs of different components, between two blocks or within one. One of each pair lies outside the largest component, so only
+    those members are compared with the rest."""
+    alone = (mine == mine[0]).all()
+    names, which, sizes = np.unique(comp, return_inverse=True, return_counts=True)
+    main = which == np.argmax(sizes)
+    least = (p.pct / 100 - p.slack - 0.15) * k.shape[1]
+    a, b = [], []
+    for i in np.flatnonzero(~main).tolist():
+        ok = (comp != comp[i]) & (main | (node > node[i])) & (100 * np.minimum(n, n[i]) >= p.pct * np.maximum(n, n[i]))
+        if not alone:
+            ok &= mine != mine[i]
+        j = np.flatnonzero(ok)
+        if len(j):
+            j = j[np.count_nonzero(k[j] == k[i], axis=1) >= least]
+            a.append(np.full(len(j), i)), b.append(j)
+    if not a:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    i, j = np.concatenate(a), np.concatenate(b)
+    ok = np.concatenate([plausible(k[i[c : c + 20_000]], k[j[c : c + 20_000]], n[i[c : c + 20_000]], n[j[c : c + 20_000]], p) for c in range(0, len(i), 20_000)] or [np.zeros(0, bool)])
+    return np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])
