@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import C1, C2, arrow_map, cut, partitions, release
+from corvane.llm.common import C1, C2, arrow_map, bucketed, cut, partitions, release
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 #: UTF-8 has no such byte; it ends a context.
@@ -44,12 +44,13 @@ END = 0xFF
 @dataclass(frozen=True)
 class Params:
     """width: bytes of a string, even. gram: bytes of a piece, a multiple of 8. hot: documents of a fingerprint beyond which its windows are
-    grouped one by one. shard_bytes: of contexts. bucket_bytes: of text for each bucket, so that a bucket fits a task. piece: windows
+    grouped one by one; held_windows: most of these that are broadcast. shard_bytes: of contexts. bucket_bytes: of text for each bucket, so that a bucket fits a task. piece: windows
     of a text at once. longest: windows of a run."""
 
     width: int = 50
     gram: int = 24
-    hot: int = 20_000
+    hot: int = 50_000
+    held_windows: int = 100_000
     shard_bytes: int = 1 << 20
     bucket_bytes: int = 16 << 20
     piece: int = 1 << 20
@@ -382,40 +383,35 @@ def removals(docs: DataFrame, p: Params = Params(), others: list[str] = []) -> D
     """The columns `others`, after these doc_id (without others), _text (binary, null: empty), spans (array of packed (first window,
     number)), copy (if a smaller id has the whole text), for each row of docs(doc_id, text)."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    ids = cut(texts.select("doc_id", F.unhex(F.sha2("text", 256)).alias("sha"), F.octet_length("text").alias("n")))
+    ids = cut(docs.select(F.col("doc_id").cast("bigint"), F.unhex(F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)).alias("sha"), F.octet_length("text").alias("n")))
     total = ids.agg(F.sum("n")).first()[0] or 0
     buckets = max(partitions(spark), -(-total // p.bucket_bytes))
     groups = ids.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
-    copies = cut(ids.join(groups, "sha").where("doc_id > first").select("doc_id", "sha").distinct()).withColumnRenamed("sha", "_sha")
-    dealt = texts.repartition(buckets, "doc_id")
-    some = bool(copies.take(1))
-    live = dealt.join(copies.hint("shuffle_hash"), (dealt["doc_id"] == copies["doc_id"]) & (F.unhex(F.sha2("text", 256)) == F.col("_sha")), "left_anti").where("doc_id is not null") if some else dealt.where("doc_id is not null")
+    copies = ids.join(groups, "sha").where("doc_id > first").select("doc_id", F.col("sha").alias("_sha")).distinct()
+    # the one shuffle of the texts; the table it fills is bucketed, so what follows joins it where it is
+    wide = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("_text"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(others)])
+    flags = copies.repartition(buckets, "doc_id").hint("shuffle_hash")
+    dealt = wide.repartition(buckets, "_id").join(flags, (F.col("_id") == F.col("doc_id")) & (F.unhex(F.sha2("_text", 256)) == F.col("_sha")), "left").withColumn("copy", F.col("doc_id").isNotNull()).drop("doc_id", "_sha")
+    texts = bucketed(dealt, buckets, "_id", "texts")
+    release(spark)
+    live = texts.where("_id is not null and not copy").select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"))
     prints = arrow_map(live, lambda b: _print_rows(b, buckets, p), "bucket int, prints binary, docs binary")
-    told = prints.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _repeated(t, p), "doc_id bigint, n_hot bigint, prints binary")
-    told = cut(told)
+    told = cut(prints.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _repeated(t, p), "doc_id bigint, n_hot bigint, prints binary"))
+    release(spark)
+    asked = lambda t: live.join(t.repartition(buckets, "doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("n_hot", "prints")).alias("told")).hint("shuffle_hash"), "doc_id").select("doc_id", "text", "told")
+    found = arrow_map(asked(told), lambda b: _run_rows(b, buckets, p), "bucket int, runs binary")
+    spans = cut(found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _decided(t, p), "doc_id bigint, spans binary"))
     release(spark)
-    by_doc = told.groupBy("doc_id").agg(F.collect_list(F.struct("n_hot", "prints")).alias("told"), F.sum("n_hot").alias("n_hot"))
-    asked = live.join(by_doc.hint("shuffle_hash"), "doc_id")
-    found = arrow_map(asked.select("doc_id", "text", "told"), lambda b: _run_rows(b, buckets, p), "bucket int, runs binary")
-    spans = found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _decided(t, p), "doc_id bigint, spans binary")
     if told.where("n_hot > 0").take(1):
-        windows = cut(arrow_map(asked.where("n_hot > 0").select("doc_id", "text", "told"), lambda b: _hot_rows(b, p), "doc_id bigint, win binary, start bigint"))
-        least = windows.groupBy("win").agg(F.min("doc_id").alias("least"))
-        gone = windows.join(least, "win").where("doc_id > least").select("doc_id", "start")
+        windows = arrow_map(asked(told.where("n_hot > 0")), lambda b: _hot_rows(b, p), "doc_id bigint, win binary, start bigint")
+        least = cut(windows.groupBy("win").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("win", "least"))
+        gone = windows.join(F.broadcast(least) if least.count() <= p.held_windows else least, "win").where("doc_id > least").select("doc_id", "start")
         one = lambda b: iter([{"doc_id": b.column(0), "spans": pa.array([struct.pack("<qq", x, 1) for x in b.column(1).to_pylist()], pa.binary())}])
-        spans = spans.union(arrow_map(gone, one, "doc_id bigint, spans binary"))
-    spans = cut(spans)
-    release(spark)
-    spans = spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
-    wide = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("_text"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(others)])
-    out = wide.join(spans.select(F.col("doc_id").alias("_sid"), "spans").hint("shuffle_hash"), F.col("_id") == F.col("_sid"), "left")
-    if some:
-        own = F.unhex(F.sha2("_text", 256)) == F.col("_sha")
-        out = out.join(copies.select(F.col("doc_id").alias("_cid"), "_sha").hint("shuffle_hash"), (F.col("_id") == F.col("_cid")) & own, "left")
-    else:
-        out = out.withColumn("_cid", F.lit(None))
-    return out.select(*([F.col(f"_o{i}").alias(c) for i, c in enumerate(others)] or [F.col("_id").alias("doc_id")]), "_text", "spans", F.col("_cid").isNotNull().alias("copy"))
+        spans = cut(spans.union(arrow_map(gone, one, "doc_id bigint, spans binary")))
+        release(spark)
+    by_doc = spans.select(F.col("doc_id").alias("_sid"), "spans").repartition(buckets, "_sid").groupBy("_sid").agg(F.collect_list("spans").alias("spans"))
+    out = texts.join(by_doc.hint("shuffle_hash"), F.col("_id") == F.col("_sid"), "left")
+    return out.select(*([F.col(f"_o{i}").alias(c) for i, c in enumerate(others)] or [F.col("_id").alias("doc_id")]), "_text", "spans", "copy")
 
 
 def substring_dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:

@@ -55,6 +55,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bucketed(df: DataFrame, n: int, key: str, kind: str) -> DataFrame:
+    """df, already dealt by key into n partitions, as a table in the shared folder that is bucketed by key: joins and groupings on key find it
+    dealt and don't shuffle it again."""
+    name = f"corvane_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("compression", "zstd").option("path", new_folder(df.sparkSession, kind)).bucketBy(n, key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 class WordHash(dict):
     """word (bytes) -> 64-bit hash; look-ups of words already seen stay in C."""
 
