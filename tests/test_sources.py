@@ -1,0 +1,290 @@
+"""Sources, sinks and whole runs on small files."""
+
+import csv
+import io
+import json
+import tarfile
+import wave
+import zipfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from corvane import cli
+from corvane.config import CorpusConfig, ReaderSettings
+from corvane.errors import ArchiveError, DatasetReadError, DownloadError, ManifestError, PersistenceError
+from corvane.operators import integrity, samples
+from corvane.plans import corpus
+from corvane.schemas import DURATION, EVENT, MANIFEST_COLUMNS, SUMMARY_COLUMNS
+from corvane.sinks import files, shards
+from corvane.sources import archive, download, manifest, metadata
+from corvane.streaming import state as stream
+
+
+def sample(u, valid=True, n=75, sec=3.0, indices=None, sp="s1"):
+    return {"utterance_id": u, "valid": valid, "invalid_reason": None if valid else "NO_FRAMES", "source_fps": 25.0, "source_frame_count": n, "cropped_frame_count": n, "face_detection_ratio": 1.0, "max_consecutive_face_frames": n, "detected_frame_indices": list(range(n)) if indices is None else indices, "audio_duration_sec": sec if valid else None, "audio_sample_rate": 16000 if valid else None, "audio_channels": 1, "shard_member_prefix": f"{sp}/{u}/"}
+
+
+def corpus_at(root, skip=(), status=None):
+    (root / "silver/metadata").mkdir(parents=True)
+    c = CorpusConfig(root=str(root))
+    for s in c.usable():
+        if s not in skip:
+            doc = {"schema_version": "1.0.0", "speaker_id": s, "status": (status or {}).get(s, "DONE"), "samples": [sample("utt001", sp=s), sample("utt002", n=50, sec=2.0, sp=s), sample("utt003", False, 0, sp=s)], "shard": {"path": f"/old/{s}.tar" if s != "s2" else ""}}
+            (root / f"silver/metadata/{s}.json").write_text(json.dumps(doc))
+    return c
+
+
+def test_gold_and_report(spark, tmp_path):
+    c = corpus_at(tmp_path)
+    assert corpus.build_gold(spark, c, clock=lambda: "now")
+    meta = json.loads((tmp_path / "gold/split_metadata.json").read_text())
+    assert meta["utterance_counts"] == {"train": 54, "val": 6, "test": 6} and meta["partial"] is False and meta["missing_speakers"] == [] and len(meta) == 14
+    raw = (tmp_path / "gold/train_manifest.csv").read_bytes()
+    assert raw.startswith(",".join(MANIFEST_COLUMNS).encode() + b"\r\n") and b",True\r\n" in raw
+    rows = list(csv.DictReader(io.StringIO(raw.decode())))
+    assert [r["utterance_id"] for r in rows[:2]] == ["utt001", "utt002"] and all(r["utterance_id"] != "utt003" for r in rows)
+    order = [int(r["speaker_id"][1:]) for r in rows]
+    assert order == sorted(order)
+    loaded = manifest.load(spark, str(tmp_path), "train")
+    assert loaded.count() == 54 and loaded.where("manifest_index = 0").first().utterance_id == "utt001"
+    out = corpus.report(spark, ReaderSettings(data_root=str(tmp_path)), str(tmp_path / "out"))
+    read = lambda k: list(csv.reader(io.StringIO(open(out[k], encoding="utf-8-sig", newline="").read())))
+    assert open(out["split_summary"], "rb").read(3) == b"\xef\xbb\xbf"
+    assert tuple(read("utterance_gaps")[0]) == tuple(DURATION.fieldNames()) and len(read("utterance_gaps")) == 67
+    assert tuple(read("split_summary")[0]) == SUMMARY_COLUMNS and [r[0] for r in read("split_summary")[1:]] == ["train", "val", "test", "ALL"]
+    assert len(read("speaker_summary")) == 34
+    for s in ("train", "val", "test"):
+        (tmp_path / f"gold/{s}_manifest.csv").write_text(",".join(MANIFEST_COLUMNS) + "\r\n")
+    with pytest.raises(ValueError):
+        corpus.report(spark, ReaderSettings(data_root=str(tmp_path)), str(tmp_path / "out2"))
+
+
+def test_partial_gold(spark, tmp_path):
+    c = corpus_at(tmp_path, skip=("s3",), status={"s4": "QC"})
+    (tmp_path / "silver/metadata/s5.json").write_text("{broken")
+    assert corpus.build_gold(spark, c) is False and not (tmp_path / "gold").exists()
+    assert corpus.build_gold(spark, c, allow_partial=True)
+    meta = json.loads((tmp_path / "gold/split_metadata.json").read_text())
+    # s4 isn't done, and its rows are there all the same
+    assert meta["missing_speakers"] == ["s3", "s4", "s5"] and meta["partial"] and sum(meta["utterance_counts"].values()) == 62
+    assert (tmp_path / "gold/train_manifest_partial.csv").exists() and not (tmp_path / "gold/train_manifest.csv").exists()
+    with pytest.raises(ManifestError):
+        manifest.load(spark, str(tmp_path), "train")
+    assert manifest.load(spark, str(tmp_path), "train", partial="partial").count() > 40
+
+
+def test_manifest_files(spark, tmp_path):
+    (tmp_path / "gold").mkdir()
+    good = "train,s1,u1,s1.tar,s1/u1/,75,0,74,1.0,1.19,16000,True"
+    put = lambda text, enc="utf-8": (tmp_path / "gold/train_manifest.csv").write_bytes(text.encode(enc))
+    head = ",".join(MANIFEST_COLUMNS)
+    put(f"{head},extra\r\n{good},x\r\n", "utf-8-sig")
+    assert manifest.load(spark, str(tmp_path), "train").first().frame_count == 75
+    put(f"{head}\r\n{good}\r\ntrain,s1,u2\r\n")
+    with pytest.raises(ManifestError, match="row 3"):
+        manifest.load(spark, str(tmp_path), "train")
+    assert [r.error is None for r in manifest.load(spark, str(tmp_path), "train", strict=False).orderBy("row_number").collect()] == [True, False]
+    put(head.replace("valid", "ok") + "\n")
+    with pytest.raises(ManifestError, match="valid"):
+        manifest.load(spark, str(tmp_path), "train")
+    put(head + "\n")
+    assert manifest.load(spark, str(tmp_path), "train").count() == 0
+    with pytest.raises(ValueError):
+        manifest.load(spark, str(tmp_path), "dev")
+    with pytest.raises(ManifestError):
+        manifest.load(spark, str(tmp_path), "val")
+
+
+def wav(n=1600):
+    b = io.BytesIO()
+    with wave.open(b, "wb") as w:
+        w.setnchannels(1), w.setsampwidth(2), w.setframerate(16000)
+        w.writeframes(b"\0\0" * n)
+    return b.getvalue()
+
+
+def tar(path, members):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with tarfile.open(path, "w:") as t:
+        for name, data in members:
+            i = tarfile.TarInfo(name)
+            i.size = len(data)
+            t.addfile(i, io.BytesIO(data))
+
+
+MEMBERS = [("s1/bbaf2n/0.jpg", b"a"), ("s1/bbaf2n/2.jpg", b"ccccc"), ("s1/bbaf2n/audio.wav", wav()), ("s1/bbaf2n/notes.txt", b"n"), ("root.txt", b"r"), ("s1/two/1.jpg", b"x"), ("s1/two/01.jpg", b"y")]
+
+
+def test_archive_source(spark, tmp_path):
+    tar(tmp_path / "s1.tar", MEMBERS)
+    tar(tmp_path / "s2.tar", [("s2/u/0.jpg", b"z")])
+    m = archive.members(spark, str(tmp_path))
+    assert m.count() == 7 and m.where("content is not null").count() == 0
+    one = archive.members(spark, str(tmp_path), content=True).where("speaker_id = 's1' and frame_index = 2 and prefix = 's1/bbaf2n/'")
+    assert [bytes(r.content) for r in one.collect()] == [b"ccccc"] and one.rdd.getNumPartitions() == 1
+    lists = {r.prefix: r for r in samples.frame_lists(m).collect()}
+    assert lists["s1/bbaf2n/"].frame_indices == [0, 2] and lists["s1/bbaf2n/"].has_audio and lists["s1/two/"].repeats
+    with pytest.raises(Exception, match="Oversized"):
+        archive.members(spark, str(tmp_path), content=True, max_member_bytes=4).collect()
+    cached = archive.members(spark, str(tmp_path), content=True, cache=str(tmp_path / "cache"))
+    assert cached.count() == 7 and (tmp_path / "cache/s1.tar").exists()
+    tar(tmp_path / "t/s3.tar", [("s3/u/0.jpg", b"z"), ("s3/u/0.jpg", b"z")])
+    with pytest.raises(Exception, match="two members"):
+        archive.members(spark, str(tmp_path / "t")).collect()
+    with zipfile.ZipFile(tmp_path / "s9.zip", "w") as z:
+        z.writestr("s9/a.wav", b"1"), z.writestr("other/b.wav", b"22")
+    zipped = archive.members(spark, str(tmp_path), content=True, suffix=".zip")
+    assert {(r.filename, r.size) for r in archive.of_speaker(zipped, "s9").collect()} == {("a.wav", 1)}
+    assert archive.of_speaker(zipped, "s8").count() == 2
+
+
+def test_samples(spark, tmp_path):
+    tar(tmp_path / "silver/shards/s1.tar", MEMBERS)
+    (tmp_path / "gold").mkdir()
+    rows = ["train,s1,bbaf2n,s1.tar,s1/bbaf2n/,2,0,2,1.0,0.1,16000,True", "train,s1,gone,s1.tar,s1/gone/,2,0,2,1.0,0.1,16000,True", "train,s1,two,s1.tar,s1/two/,1,1,1,1.0,0.1,16000,True"]
+    (tmp_path / "gold/train_manifest.csv").write_text("\n".join([",".join(MANIFEST_COLUMNS), *rows]) + "\n")
+    m = manifest.load(spark, str(tmp_path), "train")
+    errors = {r.utterance_id: r.error for r in samples.matched(m, archive.members(spark, str(tmp_path / "silver/shards"))).collect()}
+    assert errors == {"bbaf2n": None, "gone": "utterance is missing from its shard", "two": "audio is missing"}
+    got = {r.utterance_id: r for r in corpus.read_samples(spark, ReaderSettings(data_root=str(tmp_path)), "train", ["s1"]).collect()}
+    s = got["bbaf2n"]
+    assert list(s.frames) == [0, 2] and len(s.samples) == 1600 and s.video_duration_sec == 3 / 25 and s.decoded_audio_sec == 0.1 and s.error is None
+    assert got["two"].error == "audio is missing"
+    assert corpus.read_samples(spark, ReaderSettings(data_root=str(tmp_path), min_frame_count=3), "train").count() == 0
+
+
+def test_packing_and_state(spark, tmp_path):
+    rows = [("s1", "bbaf2n", f"{i}.jpg", bytes([i])) for i in (0, 1, 10, 2)] + [("s1", "abcd1e", "audio.wav", wav(3)), ("s1", "badf00d", "0.jpg", b"x"), ("s2", "u", "0.jpg", b"y")]
+    m = spark.createDataFrame(rows, "speaker_id string, utterance_id string, filename string, content binary")
+    valid = spark.createDataFrame([("s1", "bbaf2n"), ("s1", "abcd1e"), ("s2", "u")], "speaker_id string, utterance_id string")
+    c = CorpusConfig(root=str(tmp_path))
+    info = corpus.pack(spark, m, valid, c.shards)
+    with tarfile.open(f"{c.shards}/s1.tar") as t:
+        assert t.getnames() == ["s1/abcd1e/audio.wav", *(f"s1/bbaf2n/{i}.jpg" for i in (0, 1, 10, 2))]
+    again = shards.package(m.join(valid, ["speaker_id", "utterance_id"], "left_semi").repartition(3), str(tmp_path / "again"))
+    assert sorted(r.sha256 for r in again.collect()) == sorted(r.sha256 for r in info.collect())
+    with pytest.raises(Exception, match="not in its shard"):
+        corpus.pack(spark, m, valid.union(spark.createDataFrame([("s1", "nope")], "a string, b string")), c.shards)
+    copy = shards.upload(f"{c.shards}/s1.tar", str(tmp_path / "up/s1.tar"))
+    assert open(copy, "rb").read() == open(f"{c.shards}/s1.tar", "rb").read()
+    (tmp_path / "silver/metadata").mkdir()
+    for s in ("s1", "s2"):
+        (tmp_path / f"silver/metadata/{s}.json").write_text("{}")
+    ok = info.where("speaker_id = 's1'").first()
+    from corvane.operators.state import event
+
+    log = [event("s1", 1, "done", "t", shard_size_bytes=ok["size"], shard_sha256=ok["sha256"], shard_path="/stale/s1.tar"), event("s2", 1, "done", "t", shard_sha256="00")]
+    todo, new = corpus.resume(spark, c, spark.createDataFrame([tuple(x.values()) for x in log], EVENT))
+    assert "s1" not in {r.speaker_id for r in todo.collect()} and "s2" in {r.speaker_id for r in todo.collect()} and todo.count() == 32
+    assert [(r.speaker_id, r.shard_path) for r in new.collect()] == [("s1", f"{c.shards}/s1.tar")]
+    docs = corpus.speaker_documents(spark.createDataFrame([("s1", "u", True, None, 25.0, 3, 3, 1 / 3, 3, [0, 1, 2], 1.0, 16000, 1, "s1/u/")], "speaker_id string, utterance_id string, valid boolean, invalid_reason string, source_fps double, source_frame_count int, cropped_frame_count int, face_detection_ratio double, max_consecutive_face_frames int, detected_frame_indices array<int>, audio_duration_sec double, audio_sample_rate int, audio_channels int, shard_member_prefix string"), info, spark.createDataFrame([("s1", "primary", "primary")], "speaker_id string, video_source_used string, audio_source_used string"), c, clock=lambda: "now")
+    doc = json.loads(docs.first().json)
+    assert doc["samples"][0]["face_detection_ratio"] == 0.3333 and doc["summary"] == {"total_candidates": 1, "valid_samples": 1, "invalid_samples": 0} and doc["shard"]["sha256"] == ok["sha256"]
+
+
+def test_state_files_and_listings(spark, tmp_path):
+    cat = spark.createDataFrame([("s1",), ("s2",)], "speaker_id string")
+    p = tmp_path / "state.json"
+    p.write_text(json.dumps({"speakers": {"s1": {"status": "DONE", "attempt_count": 2, "shard_size_bytes": 5}}}))
+    assert {r.speaker_id: (r.status, r.attempt_count) for r in metadata.state_file(spark, str(p), cat).collect()} == {"s1": ("DONE", 2), "s2": ("PENDING", 0)}
+    p.write_text("{oops")
+    assert {r.status for r in metadata.state_file(spark, str(p), cat).collect()} == {"PENDING"}
+    assert {r.status for r in metadata.state_file(spark, str(tmp_path / "none"), cat).collect()} == {"PENDING"}
+    (tmp_path / "raw/s1/x").mkdir(parents=True)
+    (tmp_path / "raw/s1/x/A.mpg").write_bytes(b"1"), (tmp_path / "raw/s1/b.wav").write_bytes(b"22")
+    assert [(r.speaker_id, r.size) for r in metadata.files(spark, str(tmp_path / "raw"), "*.mpg").collect()] == [("s1", 1)]
+    listing = spark.createDataFrame([(json.dumps({"files": [{"key": "a.zip", "links": {"self": "u1"}}, {"filename": "b.zip", "links": {"download": "u2"}}, {"key": "", "links": {}}]}),)], "json string")
+    assert {(r.filename, r.url) for r in metadata.file_urls(listing).collect()} == {("a.zip", "u1"), ("b.zip", "u2")}
+    avail = spark.createDataFrame([("s1", "video", "primary", "p", True), ("s1", "audio", "primary", "bad", False), ("s2", "video", "primary", "x", False), ("s2", "video", "fallback", "z", True), (None, "audio", "fallback", "all", True)], "speaker_id string, kind string, source string, url string, verified boolean")
+    got = {(r.speaker_id, r.kind): (r.source, r.url) for r in metadata.chosen_sources(cat, avail).collect()}
+    assert got == {("s1", "video"): ("primary", "p"), ("s1", "audio"): ("zenodo_fallback", "all"), ("s2", "video"): ("zenodo_fallback", "z"), ("s2", "audio"): ("zenodo_fallback", "all")}
+
+
+def test_downloads(tmp_path):
+    calls, slept = [], []
+
+    def server(url, headers):
+        calls.append(headers)
+        if len(calls) == 1:
+            return 200, {"content-length": "6"}, [b"abc"]
+        if len(calls) == 2:
+            raise OSError("reset")
+        return 206, {"content-length": "3"}, [b"def"]
+
+    dest = str(tmp_path / "d/x")
+    assert download.fetch("u", dest, server, sleep=slept.append) == dest and open(dest, "rb").read() == b"abcdef"
+    assert calls[2] == {"Range": "bytes=3-"} and slept == [2.0, 4.0]
+    download.fetch("u", dest, lambda *_: 1 / 0)
+    (tmp_path / "d/y.part").write_bytes(b"zz")
+    download.fetch("u", str(tmp_path / "d/y"), lambda *_: (200, {}, [b"new"]))
+    assert (tmp_path / "d/y").read_bytes() == b"new"
+    with pytest.raises(DownloadError):
+        download.fetch("u", str(tmp_path / "d/z"), lambda *_: (404, {}, []), sleep=slept.append)
+    z = io.BytesIO()
+    with zipfile.ZipFile(z, "w") as f:
+        f.writestr("a", b"1")
+    serve = lambda url, h: (200, {}, [b"junk" if url == "bad" else z.getvalue()])
+    got = download.first_good([("primary", "bad", str(tmp_path / "1.zip"), "zip"), ("fallback", "good", str(tmp_path / "2.zip"), "zip")], serve)
+    assert got == (str(tmp_path / "2.zip"), "fallback")
+    with pytest.raises(ArchiveError):
+        download.first_good([("primary", "bad", str(tmp_path / "3.zip"), "zip")], serve)
+
+
+def test_archive_faults(spark):
+    t = io.BytesIO()
+    with tarfile.open(fileobj=t, mode="w"):
+        pass
+    df = spark.createDataFrame([("zip", b"no"), ("tar", t.getvalue()), ("tar", b"no"), ("rar", b"")], "k string, c binary").select(integrity.archive_fault("k", "c").alias("f"))
+    assert all(r.f for r in df.collect())
+
+
+def test_atomic_files(tmp_path):
+    p = files.write_json(str(tmp_path / "a/b.json"), {"é": 1})
+    assert open(p, encoding="utf-8").read() == '{\n  "é": 1\n}\n'
+    with pytest.raises(PersistenceError):
+        files.write_atomically(str(tmp_path / "a/b.json/c"), b"")
+    with pytest.raises(TypeError):
+        files.report(type("D", (), {"columns": []})(), type("D", (), {"columns": []})(), "x")
+    assert [x.name for x in (tmp_path / "a").iterdir()] == ["b.json"]
+
+
+def test_stream_of_state(spark, tmp_path):
+    from corvane.operators.state import event
+
+    def put(name, *events):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text("\n".join(map(json.dumps, events)))
+
+    put("1.json", event("s1", 1, "start", "2024-01-01T00:00:00"), event("s1", 2, "failure", "2024-01-01T00:10:00"))
+    for i, (frame, mode) in enumerate(((stream.latest_status(stream.events(spark, str(tmp_path / "in"))), "complete"), (stream.failures_by_hour(stream.events(spark, str(tmp_path / "in"))), "complete"))):
+        q = frame.writeStream.format("memory").queryName(f"q{i}").outputMode(mode).option("checkpointLocation", str(tmp_path / f"c{i}")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+    assert [tuple(r) for r in spark.table("q0").collect()] == [("s1", "FAILED", 2, 1)] and spark.table("q1").first().failures == 1
+
+
+def test_cli(spark, tmp_path, capsys):
+    corpus_at(tmp_path / "d")
+    assert cli.main(["gold", "--root", str(tmp_path / "d")]) == 0
+    assert cli.main(["report", "--root", str(tmp_path / "d"), "--out", str(tmp_path / "r")]) == 0
+    assert cli.main(["inspect", "--root", str(tmp_path / "d")]) == 0
+    assert "split_metadata.json" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        cli.main(["inspect", "--root", str(tmp_path / "d"), "--out", str(tmp_path / "d/x.txt")])
+
+
+def test_queries_and_sql_agree_in_columns(spark):
+    import __spark_entry__ as entry
+
+    q = entry.queries()
+    assert set(entry.oracle_sql()) <= set(q) and "gap_summary" in q
+    assert entry.entry(spark).count() > 0
+
+
+def test_truncated_member(tmp_path):
+    tar(tmp_path / "s1.tar", [("s1/u/0.jpg", b"x" * 3000)])
+    data = (tmp_path / "s1.tar").read_bytes()
+    (tmp_path / "s1.tar").write_bytes(data[:1500])
+    r = archive.ArchiveReader({"path": str(tmp_path), "content": "true"})
+    with pytest.raises((DatasetReadError, tarfile.ReadError)):
+        list(r.read(r.partitions()[0]))
