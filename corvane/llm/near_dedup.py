@@ -12,10 +12,12 @@ similar two sets are.
    more than `slack` below it; the rest is verified on the full sets.
 4. Connected components of the links. Buckets that still hold several components can hide links between members that are
    not the least: their pairs across components are compared as well, in small buckets by rows, in large ones block by block
-   within a row, so that no bucket is gathered or written out in pairs. Verified links join components again.
+   within a row, so that no bucket is gathered or written out in pairs. A pair comes up in the first band it shares only. The
+   most similar partners in each other component are verified first, and verified links join components; the last round
+   takes all pairs that still lie across.
 
 So the links missed are those whose bands all differ: with 32 bands of 4 registers (0.85: 1 - 0.85**4 = 0.48 for a band)
-5 in 10**11, and those misjudged by 0.2 by the likelihood (standard error 0.03 at 128 registers).
+5 in 10**11, and those misjudged by 0.12 by the likelihood (over 5 standard errors of 0.022 at 256 registers).
 
 Null texts and texts without words have empty sets and are linked with nothing. Rows that repeat a doc_id are one node;
 each is returned. A row without doc_id takes no part: its component is null and it is kept. Other columns are ignored.
@@ -43,17 +45,20 @@ SHIFT = 6000
 
 @dataclass(frozen=True)
 class Params:
-    """shingle: words. pct: link with 100 * intersection >= pct * union. base: of the registers' logarithm. small: the largest bucket whose
-    pairs are made as rows; block: members compared at once in larger ones."""
+    """shingle: words. pct: link with 100 * intersection >= pct * union. registers: of a sketch; the first bands * rows of them make bands.
+    base: of the registers' logarithm. small: the largest bucket whose pairs are made as rows; block: members compared at once in
+    larger ones; partners: in each other component that a member is verified with, by rounds before the last."""
 
     shingle: int = 3
     pct: int = 85
-    registers: int = 128
+    registers: int = 256
+    bands: int = 32
     rows: int = 4
     base: float = 1.001
-    slack: float = 0.2
+    slack: float = 0.12
     small: int = 12
     block: int = 256
+    partners: tuple[int, ...] = (1, 4)
 
 
 def shingle_set(text: bytes | None, hashes: WordHash, p: Params) -> np.ndarray:
@@ -102,7 +107,7 @@ def plausible(k1: np.ndarray, k2: np.ndarray, n1: np.ndarray, n2: np.ndarray, p:
     sizes = 100 * np.minimum(n1, n2) >= p.pct * np.maximum(n1, n2)
     out = np.zeros(len(n1), bool)
     i = np.flatnonzero(sizes)
-    # about J of the registers are equal, so far fewer equal ones need no likelihood (another 3 standard errors at 128)
+    # about J of the registers are equal, so far fewer equal ones need no likelihood (another 6 standard errors)
     i = i[(k1[i] == k2[i]).sum(1) >= (p.pct / 100 - p.slack - 0.15) * k1.shape[1]]
     if len(i):
         more, less = (k1[i] > k2[i]).sum(1), (k1[i] < k2[i]).sum(1)
@@ -133,8 +138,8 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     feats = cut(features(docs, p))
     classes = cut(feats.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("reg").alias("reg")))
     width = 2 * p.rows
-    bands = F.transform(F.sequence(F.lit(0), F.lit(p.registers // p.rows - 1)), lambda i: F.xxhash64(i, F.substring(F.col("reg"), i * width + 1, F.lit(width))))
-    keys = classes.select("node", F.explode(bands).alias("key"))
+    bands = F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("reg"), i * width + 1, F.lit(width))))
+    keys = classes.select("node", F.posexplode(bands).alias("band", "key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("size")).where("size > 1")
     members = cut(keys.join(buckets, "key"))
     release(docs.sparkSession)
@@ -143,13 +148,17 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     first = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     links = cut(_verified(_estimated(first, classes, p), texts_of, p))
     comps = cut(components(links))
-    second = cut(_across(members.where("size > 2"), comps, classes, p))
-    more = _verified(second, texts_of, p)
-    if second.take(1):
-        links = cut(links.union(more))
-        comps = cut(components(links))
+    members = members.where("size > 2").drop("least")
+    for i, partners in enumerate((*p.partners, None)):
+        pairs = cut(_across(members, comps, classes, p, partners, small=i == 0))
+        if not pairs.take(1):
+            break
+        more = cut(_verified(pairs, texts_of, p))
+        if more.take(1):
+            links = links.union(more)
+            comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
     labels = classes.select("digest", F.col("node").alias("_node")).join(comps.withColumnRenamed("node", "_node"), "_node", "left")
-    degree = links.select(F.explode(F.array("a", "b")).alias("_node")).groupBy("_node").agg(F.count("*").alias("n_links"))
+    degree = links.distinct().select(F.explode(F.array("a", "b")).alias("_node")).groupBy("_node").agg(F.count("*").alias("n_links"))
     labels = labels.join(degree, "_node", "left").select("digest", F.coalesce("component", "_node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = feats.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(labels, "digest", "left")
     comp = F.coalesce("component", "doc_id")
@@ -210,62 +219,74 @@ def _verified(pairs: DataFrame, texts: _Texts, p: Params) -> DataFrame:
     return wide.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _across(members: DataFrame, comps: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    """Pairs of members of a bucket that lie in different components and that sizes and sketches don't rule out."""
-    named = members.select("key", "node", "size").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _across(members: DataFrame, comps: DataFrame, classes: DataFrame, p: Params, partners: int | None, small: bool) -> DataFrame:
+    """Pairs of members of a bucket that lie in different components and that sizes and sketches don't rule out: of large buckets the most
+    similar `partners` in each component (None: all), and, with small, all of small ones."""
+    named = members.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     open_ = cut(named.join(mixed, "key"))
-    few = open_.where(F.col("size") <= p.small).groupBy("key").agg(F.collect_list(F.struct("node", "component")).alias("m"))
-    few = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
-    few = few.where("x.node < y.node and x.component <> y.component").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    pairs = _estimated(few, classes, p)
-    many = open_.where(F.col("size") > p.small)
-    if many.take(1):
-        pairs = pairs.union(_blocks(many, classes, p)).distinct()
+    pairs = _blocks(open_.where(F.col("size") > p.small), classes, p, partners)
+    if small:
+        few = open_.where(F.col("size") <= p.small).groupBy("key").agg(F.collect_list(F.struct("node", "component")).alias("m"))
+        few = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
+        few = few.where("x.node < y.node and x.component <> y.component").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+        pairs = _estimated(few, classes, p).union(pairs).distinct()
     return pairs
 
 
-def _blocks(many: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    """The same for large buckets: members are dealt into blocks, and each two blocks of a bucket are compared within one row."""
+def _blocks(many: DataFrame, classes: DataFrame, p: Params, partners: int | None) -> DataFrame:
+    """Such pairs of large buckets: members are dealt into blocks, and each two blocks of a bucket are compared within one row."""
     n = F.ceil(F.col("size") / p.block).cast("int")
     dealt = many.join(classes.select("node", "n", "reg"), "node").withColumn("blocks", n).withColumn("mine", F.pmod(F.xxhash64("node"), n).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = dealt.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
     # the work is by pairs, not by bytes, so the number of tasks is given
-    met = met.repartition(4 * partitions(many.sparkSession), "key", "lo", "hi").groupBy("key", "lo", "hi").agg(F.collect_list(F.struct("node", "component", "n", "reg", "mine")).alias("m"))
+    met = met.repartition(4 * partitions(many.sparkSession), "key", "lo", "hi").groupBy("key", "band", "lo", "hi").agg(F.collect_list(F.struct("node", "component", "n", "reg", "mine")).alias("m"))
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        ends = np.cumsum(np.array(pc.list_value_length(batch.column(0))))
-        node, comp, n, reg, mine = batch.column(0).flatten().flatten()
+        ends = np.cumsum(np.array(pc.list_value_length(batch.column(1))))
+        node, comp, n, reg, mine = batch.column(1).flatten().flatten()
         node, comp, n, mine = (np.array(x) for x in (node, comp, n, mine))
         k = np.frombuffer(b"".join(reg.to_pylist()), np.uint16).reshape(len(node), -1)
         a, b = [], []
-        for lo, hi in zip(np.append(0, ends[:-1]), ends):
-            i, j = _differing(node[lo:hi], comp[lo:hi], n[lo:hi].astype(float), mine[lo:hi], k[lo:hi], p)
+        for band, lo, hi in zip(batch.column(0).to_pylist(), np.append(0, ends[:-1]), ends):
+            i, j = _differing(node[lo:hi], comp[lo:hi], n[lo:hi].astype(float), mine[lo:hi], k[lo:hi], band, p, partners)
             a.append(i), b.append(j)
         yield {"a": pa.array(np.concatenate([*a, np.zeros(0, np.int64)]), pa.int64()), "b": pa.array(np.concatenate([*b, np.zeros(0, np.int64)]), pa.int64())}
 
-    return arrow_map(met.select("m"), run, "a bigint, b bigint").distinct()
+    return arrow_map(met.select("band", "m"), run, "a bigint, b bigint").distinct()
 
 
-def _differing(node: np.ndarray, comp: np.ndarray, n: np.ndarray, mine: np.ndarray, k: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """Plausible pairs of different components, between two blocks or within one. One of each pair lies outside the largest component, so only
-    those members are compared with the rest."""
+def _differing(node: np.ndarray, comp: np.ndarray, n: np.ndarray, mine: np.ndarray, k: np.ndarray, band: int, p: Params, partners: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Plausible pairs of different components, between two blocks or within one, that share no band before this one. One of each pair lies
+    outside the largest component, so only those members are compared with the rest."""
     alone = (mine == mine[0]).all()
-    names, which, sizes = np.unique(comp, return_inverse=True, return_counts=True)
+    _, which, sizes = np.unique(comp, return_inverse=True, return_counts=True)
     main = which == np.argmax(sizes)
     least = (p.pct / 100 - p.slack - 0.15) * k.shape[1]
+    earlier = k[:, : band * p.rows].reshape(len(k), band, p.rows)
     a, b = [], []
     for i in np.flatnonzero(~main).tolist():
         ok = (comp != comp[i]) & (main | (node > node[i])) & (100 * np.minimum(n, n[i]) >= p.pct * np.maximum(n, n[i]))
         if not alone:
             ok &= mine != mine[i]
         j = np.flatnonzero(ok)
-        if len(j):
-            j = j[np.count_nonzero(k[j] == k[i], axis=1) >= least]
-            a.append(np.full(len(j), i)), b.append(j)
+        if not len(j):
+            continue
+        same = np.count_nonzero(k[j] == k[i], axis=1)
+        j, same = j[same >= least], same[same >= least]
+        if partners is None and band:
+            new = ~(earlier[j] == earlier[i]).all(2).any(1)
+            j, same = j[new], same[new]
+        if partners is not None and len(j):
+            o = np.lexsort((-same, comp[j]))
+            j = j[o]
+            start = np.flatnonzero(np.append(True, comp[j][1:] != comp[j][:-1]))
+            j = j[np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j)))) < partners]
+        a.append(np.full(len(j), i)), b.append(j)
     if not a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     i, j = np.concatenate(a), np.concatenate(b)
     ok = np.concatenate([plausible(k[i[c : c + 20_000]], k[j[c : c + 20_000]], n[i[c : c + 20_000]], n[j[c : c + 20_000]], p) for c in range(0, len(i), 20_000)] or [np.zeros(0, bool)])
-    return np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])
+    i, j = i[ok], j[ok]
+    return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
