@@ -44,15 +44,17 @@ END = 0xFF
 @dataclass(frozen=True)
 class Params:
     """width: bytes of a string, even. gram: bytes of a piece, a multiple of 8. hot: documents of a fingerprint beyond which its windows are
-    grouped one by one; held_windows: most of these that are broadcast. shard_bytes: of contexts. bucket_bytes: of text for each bucket, so that a bucket fits a task. piece: windows
+    grouped one by one; held_windows: most of these that are broadcast. shard_bytes: of contexts. bucket_bytes: of text for each bucket, so that a bucket fits a task; groups: of
+    documents for each bucket. piece: windows
     of a text at once. longest: windows of a run."""
 
     width: int = 50
     gram: int = 24
     hot: int = 50_000
     held_windows: int = 100_000
-    shard_bytes: int = 1 << 20
+    shard_bytes: int = 1 << 19
     bucket_bytes: int = 16 << 20
+    groups: int = 4
     piece: int = 1 << 20
     longest: int = 64
 
@@ -204,119 +206,153 @@ def window_minima(contexts: list[bytes], windows: np.ndarray, docs: np.ndarray,
     return out
 
 
-# ---- the three stages on executors ----
+# ---- the stages on executors ----
+# Documents are dealt into groups by a hash of doc_id. What is sent to or from a group is packed, a row for each bucket and group.
+
+
+def _cuts(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin in sorted arrays, and the end."""
+    n = len(keys[0])
+    new = np.ones(n, bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.append(np.flatnonzero(new), n)
+
+
+def _longs(values: np.ndarray) -> bytes:
+    return values.astype(np.int64).tobytes()
+
+
+def _joined(table: pa.Table, column: str, read) -> np.ndarray:
+    """The unpacked values of all rows of a column."""
+    parts = [read(x.as_py()) for x in table.column(column)]
+    return np.concatenate(parts) if parts else read(b"")
+
+
+def _slices(keys: np.ndarray, wanted: list) -> Iterator[slice | None]:
+    """For each wanted key where it lies in sorted keys; None for a null."""
+    at = np.array([0 if x is None else x for x in wanted], np.int64)
+    for x, i, j in zip(wanted, np.searchsorted(keys, at), np.searchsorted(keys, at, side="right")):
+        yield None if x is None else slice(i, j)
 
 
 def _print_rows(batch: pa.RecordBatch, buckets: int, p: Params) -> Iterator[dict]:
-    """Of a batch of documents: for each bucket the different (fingerprint, document) pairs, packed."""
-    prints, docs, held = [], [], 0
+    """Of a batch of documents(doc_id, text, g): for each group and bucket the (fingerprint, document) pairs, packed."""
+    prints, docs, groups, held = [], [], [], 0
 
     def rows() -> Iterator[dict]:
-        f, d = np.concatenate(prints), np.concatenate(docs)
-        b = (f % np.uint64(buckets)).astype(np.int64)
-        o = np.lexsort((f, b))
-        f, d, b = f[o], d[o], b[o]
-        cuts = np.append(np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])), len(b))
-        spans = list(zip(cuts[:-1], cuts[1:]))
-        yield {"bucket": pa.array(b[cuts[:-1]], pa.int32()), "prints": pa.array([packed(f[i:j]) for i, j in spans], pa.binary()), "docs": pa.array([ids_packed(d[i:j]) for i, j in spans], pa.binary())}
-
-    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        f, d, g = np.concatenate(prints), np.concatenate(docs), np.concatenate(groups)
+        b = (f % np.uint64(buckets)).astype(np.int32)
+        o = np.lexsort((f, g, b))
+        f, d, g, b = f[o], d[o], g[o], b[o]
+        c = _cuts(b, g)
+        spans = list(zip(c[:-1], c[1:]))
+        yield {"bucket": pa.array(b[c[:-1]], pa.int32()), "g": pa.array(g[c[:-1]], pa.int32()), "prints": pa.array([packed(f[i:j]) for i, j in spans], pa.binary()), "docs": pa.array([ids_packed(d[i:j]) for i, j in spans], pa.binary())}
+
+    for doc, text, g in zip(*(batch.column(i).to_pylist() for i in range(3))):
         for f, _, _ in runs(text, p):
             f = np.unique(f)
-            prints.append(f), docs.append(np.full(len(f), doc))
+            prints.append(f), docs.append(np.full(len(f), doc)), groups.append(np.full(len(f), g, np.int32))
             held += len(f)
-        if held > 2_000_000:
+        if held > 1_000_000:
             yield from rows()
-            prints, docs, held = [], [], 0
+            prints, docs, groups, held = [], [], [], 0
     if held:
         yield from rows()
 
 
-def _repeated(tables: Iterator[pa.RecordBatch] | pa.Table, p: Params) -> pa.Table:
-    """Of a bucket: for each document its fingerprints that other documents have too; hot ones first."""
-    f = np.concatenate([unpacked(x.as_py()) for x in tables.column("prints")])
-    d = np.concatenate([ids_unpacked(x.as_py()) for x in tables.column("docs")])
+def _repeated(table: pa.Table, p: Params) -> pa.Table:
+    """Of a bucket: for each group its documents' fingerprints that other documents have too, and which are hot."""
+    f = _joined(table, "prints", unpacked)
+    d = _joined(table, "docs", ids_unpacked)
+    g = np.repeat(np.array(table.column("g")), [len(x.as_py()) // 6 for x in table.column("prints")]).astype(np.int32)
     o = np.lexsort((d, f))
-    f, d = f[o], d[o]
+    f, d, g = f[o], d[o], g[o]
     first = np.concatenate([[True], f[1:] != f[:-1]])
     keep = first | np.concatenate([[True], d[1:] != d[:-1]])
-    f, d, first = f[keep], d[keep], first[keep]
+    f, d, g, first = f[keep], d[keep], g[keep], first[keep]
     count = np.diff(np.append(np.flatnonzero(first), len(f)))
     count = np.repeat(count, count)
-    f, d, hot = f[count > 1], d[count > 1], (count > p.hot)[count > 1]
-    o = np.lexsort((f, ~hot, d))
-    f, d, hot = f[o], d[o], hot[o]
-    cuts = np.append(np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])), len(d)) if len(d) else np.zeros(1, np.int64)
-    hots = np.concatenate([[0], np.cumsum(hot)])
-    return pa.table({"doc_id": pa.array(d[cuts[:-1]], pa.int64()), "n_hot": pa.array(hots[cuts[1:]] - hots[cuts[:-1]], pa.int64()), "prints": pa.array([packed(f[i:j]) for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())})
-
-
-def _asked(told: list[dict], hot: bool) -> np.ndarray:
-    """The fingerprints told to a document, hot or not."""
-    parts = [u[: x["n_hot"]] if hot else u[x["n_hot"] :] for x in told for u in [unpacked(x["prints"])]]
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-
-
-def _wanted(text: bytes, told: np.ndarray, p: Params) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    for f, start, n in runs(text, p) if len(told) else ():
-        ok = told[np.minimum(np.searchsorted(told, f), len(told) - 1)] == f
-        yield f[ok], start[ok], n[ok]
-
-
-def _run_rows(batch: pa.RecordBatch, buckets: int, p: Params) -> Iterator[dict]:
-    """Of a batch of documents: for each bucket the runs whose fingerprints repeat, with their bytes, packed and compressed."""
-    fs, ds, starts, ns, bytes_, held = [], [], [], [], [], 0
-
-    def rows() -> Iterator[dict]:
-        f, d, s, n = (np.concatenate(x) for x in (fs, ds, starts, ns))
-        b = (f % np.uint64(buckets)).astype(np.int64)
-        o = np.lexsort((f, b))
-        cuts = np.append(np.flatnonzero(np.concatenate([[True], b[o][1:] != b[o][:-1]])), len(b))
-        out: dict[str, list] = {"bucket": [], "runs": []}
-        for i, j in zip(cuts[:-1], cuts[1:]):
-            k = o[i:j]
-            raw = b"".join([struct.pack("<I", len(k)), packed(f[k]), s[k].astype(np.uint32).tobytes(), n[k].astype(np.uint8).tobytes(), b"".join([bytes_[x] for x in k.tolist()]), ids_packed(d[k])])
-            out["bucket"].append(int(b[k[0]]))
-            out["runs"].append(struct.pack("<I", len(raw)) + pa.compress(raw, "zstd", asbytes=True))
-        yield {"bucket": pa.array(out["bucket"], pa.int32()), "runs": pa.array(out["runs"], pa.binary())}
-
-    for doc, text, told in zip(*(batch.column(i).to_pylist() for i in range(3))):
-        for f, s, n in _wanted(text, _asked(told, False), p):
-            fs.append(f), ds.append(np.full(len(f), doc)), starts.append(s), ns.append(n)
-            bytes_ += [text[a : a + k] for a, k in zip(s.tolist(), (n + p.width - 1).tolist())]
-            held += len(f)
-        if held > 200_000:
-            yield from rows()
-            fs, ds, starts, ns, bytes_, held = [], [], [], [], [], 0
-    if held:
-        yield from rows()
+    many = count > 1
+    f, d, g, hot = f[many], d[many], g[many], count[many] > p.hot
+    o = np.argsort(g, kind="stable")
+    f, d, g, hot = f[o], d[o], g[o], hot[o]
+    c = _cuts(g) if len(g) else np.zeros(1, np.int64)
+    spans = list(zip(c[:-1], c[1:]))
+    return pa.table({"g": pa.array(g[c[:-1]], pa.int32()), "n_hot": pa.array([int(hot[i:j].sum()) for i, j in spans], pa.int64()), "docs": pa.array([ids_packed(d[i:j]) for i, j in spans], pa.binary()), "prints": pa.array([packed(f[i:j]) for i, j in spans], pa.binary()), "hot": pa.array([hot[i:j].tobytes() for i, j in spans], pa.binary())})
+
+
+def _wanted(texts: pa.Table, told: pa.Table, hot: bool, p: Params) -> Iterator[tuple]:
+    """Of a group: document, text, and the runs (fingerprint, first window, number) that were told to it, hot or not."""
+    if not told.num_rows or not texts.num_rows:
+        return
+    d, f = _joined(told, "docs", ids_unpacked), _joined(told, "prints", unpacked)
+    ok = _joined(told, "hot", lambda x: np.frombuffer(x, bool)) == hot
+    o = np.lexsort((f[ok], d[ok]))
+    d, f = d[ok][o], f[ok][o]
+    ids = texts.column("doc_id").to_pylist()
+    for doc, text, at in zip(ids, texts.column("text"), _slices(d, ids)):
+        mine = f[at]
+        if len(mine):
+            text = text.as_py()
+            for x, start, n in runs(text, p):
+                has = mine[np.minimum(np.searchsorted(mine, x), len(mine) - 1)] == x
+                yield doc, text, x[has], start[has], n[has]
+
+
+RUNS = "bucket int, g int, runs binary"
+
+
+def _run_rows(texts: pa.Table, told: pa.Table, buckets: int, p: Params) -> pa.Table:
+    """Of a group: for each bucket the runs whose fingerprints repeat, with their bytes, packed and compressed."""
+    fs, ds, starts, ns, bytes_ = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+    for doc, text, f, s, n in _wanted(texts, told, False, p):
+        fs.append(f), ds.append(np.full(len(f), doc)), starts.append(s), ns.append(n)
+        bytes_ += [text[a : a + k] for a, k in zip(s.tolist(), (n + p.width - 1).tolist())]
+    f, d, s, n = (np.concatenate(x) for x in (fs, ds, starts, ns))
+    b = (f % np.uint64(buckets)).astype(np.int32)
+    o = np.lexsort((f, b))
+    out: dict[str, list] = {"bucket": [], "runs": []}
+    c = _cuts(b[o]) if len(o) else np.zeros(1, np.int64)
+    for i, j in zip(c[:-1], c[1:]):
+        k = o[i:j]
+        raw = b"".join([struct.pack("<I", len(k)), packed(f[k]), s[k].astype(np.uint32).tobytes(), n[k].astype(np.uint8).tobytes(), b"".join([bytes_[x] for x in k.tolist()]), ids_packed(d[k])])
+        out["bucket"].append(int(b[k[0]]))
+        out["runs"].append(struct.pack("<I", len(raw)) + pa.compress(raw, "zstd", asbytes=True))
+    g = texts.column("g")[0].as_py() if texts.num_rows else 0
+    return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "g": pa.array([g] * len(out["bucket"]), pa.int32()), "runs": pa.array(out["runs"], pa.binary())})
+
+
+SPANS = "g int, docs binary, firsts binary, ns binary"
 
 
 def _decided(table: pa.Table, p: Params) -> pa.Table:
-    """Of a bucket: for each document the windows that go, as (first, number)."""
-    fs, ds, ss, ns, cids = [], [], [], [], []
+    """Of a bucket: for each group the windows of its documents that go, as (document, first, number)."""
+    fs, ds, ss, ns, gs, cids = [], [], [], [], [], []
     number: dict[bytes, int] = {}
     contexts: list[bytes] = []
-    for x in table.column("runs"):
+    for g, x in zip(table.column("g").to_pylist(), table.column("runs")):
         data = x.as_py()
         raw = pa.decompress(data[4:], struct.unpack_from("<I", data)[0], "zstd", asbytes=True)
         m = struct.unpack_from("<I", raw)[0]
         fs.append(unpacked(raw[4 : 4 + 6 * m]))
-        ss.append(np.frombuffer(raw, np.uint32, m, 4 + 6 * m).astype(np.int64))
-        n = np.frombuffer(raw, np.uint8, m, 4 + 10 * m).astype(np.int64)
+        ss.append(np.frombuffer(raw, np.uint32, m, 4 + 6 * m))
+        n = np.frombuffer(raw, np.uint8, m, 4 + 10 * m)
         ns.append(n)
+        gs.append(np.full(m, g, np.int32))
         at = 4 + 11 * m
-        ends = at + np.cumsum(n + p.width - 1)
+        ends = at + np.cumsum(n.astype(np.int64) + p.width - 1)
         ds.append(ids_unpacked(raw[int(ends[-1]) :]))
-        for z in ends.tolist():
+        mine = np.empty(m, np.int32)
+        for k, z in enumerate(ends.tolist()):
             c = raw[at:z]
             i = number.setdefault(c, len(number))
             if i == len(contexts):
                 contexts.append(c)
-            cids.append(i)
+            mine[k] = i
             at = z
-    f, d, s, n = (np.concatenate(x) for x in (fs, ds, ss, ns))
-    cid = np.array(cids)
+        cids.append(mine)
+    f, d, s, n, g, cid = (np.concatenate(x) for x in (fs, ds, ss, ns, gs, cids))
+    del fs, ds, ss, ns, gs, cids, number
     least = np.full(len(contexts), np.iinfo(np.int64).max)
     np.minimum.at(least, cid, d)
     cf, cn = np.empty(len(contexts), np.uint64), np.empty(len(contexts), np.int64)
@@ -328,105 +364,122 @@ def _decided(table: pa.Table, p: Params) -> pa.Table:
     minima = np.repeat(least, cn)
     which = np.flatnonzero(hard)
     if len(which):
-        part = window_minima([contexts[i] for i in which], cn[which], least[which], p)
-        minima[np.repeat(hard, cn)] = part
-    occ = np.repeat(np.arange(len(d)), n)
-    j = np.arange(len(occ)) - np.repeat(np.cumsum(n) - n, n)
-    go = d[occ] > minima[base[cid[occ]] + j]
-    doc, w = d[occ][go], s[occ][go] + j[go]
-    return _spans(doc, w)
-
-
-def _spans(doc: np.ndarray, w: np.ndarray) -> pa.Table:
-    """Windows that go, as runs by document."""
-    o = np.lexsort((w, doc))
-    doc, w = doc[o], w[o]
+        minima[np.repeat(hard, cn)] = window_minima([contexts[i] for i in which], cn[which], least[which], p)
+    del contexts
+    docs, groups, windows = [], [], []
+    for i in range(0, len(d), 50_000):
+        part = slice(i, i + 50_000)
+        k = n[part].astype(np.int64)
+        occ = np.repeat(np.arange(len(k)), k)
+        j = np.arange(len(occ)) - np.repeat(np.cumsum(k) - k, k)
+        go = d[part][occ] > minima[base[cid[part][occ]] + j]
+        docs.append(d[part][occ[go]]), groups.append(g[part][occ[go]]), windows.append((s[part][occ[go]] + j[go]).astype(np.int64))
+    return _span_rows(np.concatenate(groups), np.concatenate(docs), np.concatenate(windows))
+
+
+def _span_rows(g: np.ndarray, doc: np.ndarray, w: np.ndarray) -> pa.Table:
+    """Windows that go, as runs, a row for each group."""
+    o = np.lexsort((w, doc, g))
+    g, doc, w = g[o], doc[o], w[o]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (w[1:] > w[:-1] + 1)
     a = np.flatnonzero(new)
     last = np.append(a[1:], len(doc)) - 1
-    first, n, owner = w[a], w[last] - w[a] + 1, doc[a]
-    cuts = np.append(np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])), len(owner)) if len(owner) else np.zeros(1, np.int64)
-    pairs = np.stack([first, n], 1).astype(np.int64)
-    return pa.table({"doc_id": pa.array(owner[cuts[:-1]], pa.int64()), "spans": pa.array([pairs[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())})
+    g, doc, first, n = g[a], doc[a], w[a], w[last] - w[a] + 1
+    c = _cuts(g) if len(g) else np.zeros(1, np.int64)
+    spans = list(zip(c[:-1], c[1:]))
+    return pa.table({"g": pa.array(g[c[:-1]], pa.int32())} | {k: pa.array([_longs(v[i:j]) for i, j in spans], pa.binary()) for k, v in (("docs", doc), ("firsts", first), ("ns", n))})
 
 
-def _hot_rows(batch: pa.RecordBatch, p: Params) -> Iterator[dict]:
-    """The windows of hot fingerprints, one by one."""
+def _hot_rows(texts: pa.Table, told: pa.Table, p: Params) -> pa.Table:
+    """Of a group: the windows of hot fingerprints, one by one."""
     doc_, win, start = [], [], []
-    for doc, text, told in zip(*(batch.column(i).to_pylist() for i in range(3))):
-        for _, s, n in _wanted(text, _asked(told, True), p):
-            w = [x for a, k in zip(s.tolist(), n.tolist()) for x in range(a, a + k)]
-            doc_ += [doc] * len(w)
-            win += [text[x : x + p.width] for x in w]
-            start += w
-    yield {"doc_id": pa.array(doc_, pa.int64()), "win": pa.array(win, pa.binary()), "start": pa.array(start, pa.int64())}
-
-
-def covered(n: int, spans: list[bytes] | None, copy: bool, p: Params) -> np.ndarray:
-    """Which of n bytes go."""
-    if copy and n >= p.width:
-        return np.ones(n, bool)
-    step = np.zeros(n + 1, np.int32)
-    for s in spans or []:
-        pairs = np.frombuffer(s, np.int64).reshape(-1, 2)
-        pairs = pairs[pairs[:, 0] + pairs[:, 1] + p.width - 1 <= n]
-        np.add.at(step, pairs[:, 0], 1)
-        np.add.at(step, pairs[:, 0] + pairs[:, 1] + p.width - 1, -1)
-    return np.cumsum(step[:-1]) > 0
+    for doc, text, _, s, n in _wanted(texts, told, True, p):
+        w = [x for a, k in zip(s.tolist(), n.tolist()) for x in range(a, a + k)]
+        doc_ += [doc] * len(w)
+        win += [text[x : x + p.width] for x in w]
+        start += w
+    g = texts.column("g")[0].as_py() if texts.num_rows else 0
+    return pa.table({"g": pa.array([g] * len(win), pa.int32()), "doc_id": pa.array(doc_, pa.int64()), "win": pa.array(win, pa.binary()), "start": pa.array(start, pa.int64())})
+
+
+def _going(texts: pa.Table, spans: pa.Table, p: Params) -> Iterator[np.ndarray]:
+    """Of a group: for each text which of its bytes go."""
+    read = lambda x: np.frombuffer(x, np.int64)
+    d, first, n = (_joined(spans, k, read) for k in ("docs", "firsts", "ns"))
+    o = np.argsort(d, kind="stable")
+    d, first, end = d[o], first[o], first[o] + n[o] + p.width - 1
+    ids = texts.column("_id").to_pylist()
+    for text, copy, at in zip(texts.column("_text"), texts.column("copy").to_pylist(), _slices(d, ids)):
+        size = len(text.as_py())
+        if copy and size >= p.width:
+            yield np.ones(size, bool)
+            continue
+        step = np.zeros(size + 1, np.int32)
+        if at is not None and at.stop > at.start:
+            a, z = first[at], end[at]
+            fits = z <= size  # another row of this id may be longer
+            np.add.at(step, a[fits], 1)
+            np.add.at(step, z[fits], -1)
+        yield np.cumsum(step[:-1]) > 0
 
 
 # ---- the operator ----
 
 
-def removals(docs: DataFrame, p: Params = Params(), others: list[str] = []) -> DataFrame:
-    """The columns `others`, after these doc_id (without others), _text (binary, null: empty), spans (array of packed (first window,
-    number)), copy (if a smaller id has the whole text), for each row of docs(doc_id, text)."""
+def removals(docs: DataFrame, p: Params, others: list[str]) -> tuple[DataFrame, DataFrame]:
+    """A table of texts, bucketed by group: _g, _id, _text (binary, null: empty), copy (if a smaller id has the whole text), and the columns
+    `others` as _o0, _o1, ...; and the spans that go, packed by bucket and group. Both are dealt alike."""
     spark = docs.sparkSession
     ids = cut(docs.select(F.col("doc_id").cast("bigint"), F.unhex(F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)).alias("sha"), F.octet_length("text").alias("n")))
     total = ids.agg(F.sum("n")).first()[0] or 0
     buckets = max(partitions(spark), -(-total // p.bucket_bytes))
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(p.groups * buckets)).cast("int")
     groups = ids.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
     copies = ids.join(groups, "sha").where("doc_id > first").select("doc_id", F.col("sha").alias("_sha")).distinct()
-    # the one shuffle of the texts; the table it fills is bucketed, so what follows joins it where it is
-    wide = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("_text"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(others)])
-    flags = copies.repartition(buckets, "doc_id").hint("shuffle_hash")
-    dealt = wide.repartition(buckets, "_id").join(flags, (F.col("_id") == F.col("doc_id")) & (F.unhex(F.sha2("_text", 256)) == F.col("_sha")), "left").withColumn("copy", F.col("doc_id").isNotNull()).drop("doc_id", "_sha")
-    texts = bucketed(dealt, buckets, "_id", "texts")
+    # the one shuffle of the texts; the table it fills is bucketed, so what follows meets it where it is
+    wide = docs.select(group(F.col("doc_id").cast("bigint")).alias("_g"), F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("_text"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(others)])
+    flags = copies.withColumn("_cg", group(F.col("doc_id"))).repartition(buckets, "_cg").hint("shuffle_hash")
+    same = (F.col("_g") == F.col("_cg")) & (F.col("_id") == F.col("doc_id")) & (F.unhex(F.sha2("_text", 256)) == F.col("_sha"))
+    dealt = wide.repartition(buckets, "_g").join(flags, same, "left").withColumn("copy", F.col("doc_id").isNotNull()).drop("doc_id", "_sha", "_cg")
+    texts = bucketed(dealt, buckets, "_g", "texts")
     release(spark)
-    live = texts.where("_id is not null and not copy").select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"))
-    prints = arrow_map(live, lambda b: _print_rows(b, buckets, p), "bucket int, prints binary, docs binary")
-    told = cut(prints.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _repeated(t, p), "doc_id bigint, n_hot bigint, prints binary"))
+    live = texts.where("_id is not null and not copy").select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_g").alias("g"))
+    prints = arrow_map(live, lambda b: _print_rows(b, buckets, p), "bucket int, g int, prints binary, docs binary")
+    told = cut(prints.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _repeated(t, p), "g int, n_hot bigint, docs binary, prints binary, hot binary"))
     release(spark)
-    asked = lambda t: live.join(t.repartition(buckets, "doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("n_hot", "prints")).alias("told")).hint("shuffle_hash"), "doc_id").select("doc_id", "text", "told")
-    found = arrow_map(asked(told), lambda b: _run_rows(b, buckets, p), "bucket int, runs binary")
-    spans = cut(found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _decided(t, p), "doc_id bigint, spans binary"))
+    asked = lambda f, schema: live.groupBy("g").cogroup(told.repartition(buckets, "g").groupBy("g")).applyInArrow(f, schema)
+    found = asked(lambda x, y: _run_rows(x, y, buckets, p), RUNS)
+    spans = cut(found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _decided(t, p), SPANS))
     release(spark)
     if told.where("n_hot > 0").take(1):
-        windows = arrow_map(asked(told.where("n_hot > 0")), lambda b: _hot_rows(b, p), "doc_id bigint, win binary, start bigint")
+        windows = asked(lambda x, y: _hot_rows(x, y, p), "g int, doc_id bigint, win binary, start bigint")
         least = cut(windows.groupBy("win").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("win", "least"))
-        gone = windows.join(F.broadcast(least) if least.count() <= p.held_windows else least, "win").where("doc_id > least").select("doc_id", "start")
-        one = lambda b: iter([{"doc_id": b.column(0), "spans": pa.array([struct.pack("<qq", x, 1) for x in b.column(1).to_pylist()], pa.binary())}])
-        spans = cut(spans.union(arrow_map(gone, one, "doc_id bigint, spans binary")))
+        gone = windows.join(F.broadcast(least) if least.count() <= p.held_windows else least, "win").where("doc_id > least").select("g", "doc_id", "start")
+        pack = lambda b: iter(_span_rows(*(np.array(b.column(i)) for i in range(3))).to_batches())
+        spans = cut(spans.union(gone.mapInArrow(lambda batches: (y for b in batches for y in pack(b)), SPANS)))
         release(spark)
-    by_doc = spans.select(F.col("doc_id").alias("_sid"), "spans").repartition(buckets, "_sid").groupBy("_sid").agg(F.collect_list("spans").alias("spans"))
-    out = texts.join(by_doc.hint("shuffle_hash"), F.col("_id") == F.col("_sid"), "left")
-    return out.select(*([F.col(f"_o{i}").alias(c) for i, c in enumerate(others)] or [F.col("_id").alias("doc_id")]), "_text", "spans", "copy")
+    return texts, spans.repartition(buckets, "g")
+
+
+def _applied(docs: DataFrame, p: Params, others: list[str], f, schema) -> DataFrame:
+    """f(texts, which of each one's bytes go) of each group."""
+    texts, spans = removals(docs, p, others)
+    return texts.groupBy("_g").cogroup(spans.groupBy("g")).applyInArrow(lambda x, y: f(x, _going(x, y, p)), schema)
 
 
 def substring_dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """A row for each row of docs(doc_id, text): n_bytes, n_removed, n_spans (maximal runs that go), kept_sha256 (of what stays)."""
 
-    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+    def run(texts: pa.Table, going: Iterator[np.ndarray]) -> pa.Table:
         out: list[tuple] = []
-        for text, spans, copy in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-            go = covered(len(text), spans, copy, p)
-            kept = np.frombuffer(text, np.uint8)[~go].tobytes()
-            out.append((len(text), int(go.sum()), int((go & ~np.concatenate([[False], go[:-1]])).sum()) if len(go) else 0, hashlib.sha256(kept).hexdigest()))
+        for text, go in zip(texts.column("_text"), going):
+            kept = np.frombuffer(text.as_py(), np.uint8)[~go].tobytes()
+            out.append((len(go), int(go.sum()), int((go & ~np.concatenate([[False], go[:-1]])).sum()) if len(go) else 0, hashlib.sha256(kept).hexdigest()))
         c = list(zip(*out)) or [()] * 4
-        yield {"doc_id": batch.column(0)} | {k: pa.array(v, t) for k, v, t in zip(("n_bytes", "n_removed", "n_spans", "kept_sha256"), c, (pa.int64(), pa.int64(), pa.int64(), pa.string()))}
+        return pa.table({"doc_id": texts.column("_id")} | {k: pa.array(v, t) for k, v, t in zip(("n_bytes", "n_removed", "n_spans", "kept_sha256"), c, (pa.int64(), pa.int64(), pa.int64(), pa.string()))})
 
-    return arrow_map(removals(docs, p), run, SCHEMA)
+    return _applied(docs, p, [], run, SCHEMA)
 
 
 def without_repeats(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -435,17 +488,16 @@ def without_repeats(docs: DataFrame, p: Params = Params()) -> DataFrame:
     names, schema = docs.columns, docs.schema
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, sizes, stays = [], [], []
-            for old, t, spans, copy in zip(*(batch.column(i).to_pylist() for i in (at, len(names), len(names) + 1, len(names) + 2))):
-                go = covered(len(t), spans, copy, p) if spans or copy else np.zeros(0, bool)
-                new = np.frombuffer(t, np.uint8)[~go].tobytes().decode("utf-8", "ignore") if go.any() else old
-                texts.append(new), sizes.append(len(new) if go.any() else None), stays.append(not go.any() or new != "")
-            cols = [batch.column(i) for i in range(len(names))]
-            cols[at] = pa.array(texts, cols[at].type)
-            if chars is not None:
-                cols[chars] = pa.array([o if n is None else n for n, o in zip(sizes, cols[chars].to_pylist())], cols[chars].type)
-            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(stays, pa.bool_()))
-
-    return removals(docs, p, names).mapInArrow(run, schema)
+    def run(table: pa.Table, going: Iterator[np.ndarray]) -> pa.Table:
+        texts, sizes, stays = [], [], []
+        for old, go in zip(table.column(f"_o{at}").to_pylist(), going):
+            cuts = bool(go.any())
+            new = np.frombuffer(old.encode(), np.uint8)[~go].tobytes().decode("utf-8", "ignore") if cuts else old
+            texts.append(new), sizes.append(len(new) if cuts else None), stays.append(not cuts or new != "")
+        cols = [table.column(f"_o{i}") for i in range(len(names))]
+        cols[at] = pa.array(texts, cols[at].type)
+        if chars is not None:
+            cols[chars] = pa.array([o if n is None else n for n, o in zip(sizes, cols[chars].to_pylist())], cols[chars].type)
+        return pa.table(dict(zip(names, cols))).filter(pa.array(stays, pa.bool_()))
+
+    return _applied(docs, p, names, run, schema)
