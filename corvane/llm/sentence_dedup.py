@@ -1,7 +1,8 @@
 """Substring dedup by sliding sentence spans.
 
-A sentence ends after a run of `.`, `!` or `?`, or at a line feed. Its key is its lower-cased words (A-Z; white space apart). Every
-run of `sentences` consecutive sentences with `least_words` words or more is hashed; the first place of each hash, by doc_id
+A sentence ends after a run of `.`, `!` or `?`, or at a line feed; one of more than `longest` words is cut into pieces of so many,
+each a sentence from here on (else passages without many full stops would have no run). Its key is its lower-cased words
+(A-Z; white space apart). Every run of `sentences` consecutive sentences with `least_words` words or more is hashed; the first place of each hash, by doc_id
 and position, is found across all documents, and sentences covered by a run at any other place go.
 
 Texts go through Python once, as arrays of hashes; all else is grouping and joining of narrow rows. Grouping takes partial
@@ -19,6 +20,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +36,24 @@ SCHEMA = "doc_id bigint, n_sentences bigint, n_removed bigint, n_words bigint, n
 
 @dataclass(frozen=True)
 class Params:
-    """sentences: in a span. least_words: that a span must have."""
+    """sentences: in a span. least_words: that a span must have. longest: words of a sentence."""
 
     sentences: int = 3
     least_words: int = 12
+    longest: int = 8
 
 
-def sentences(text: bytes | None) -> list[bytes]:
+@lru_cache(8)
+def pieces(longest: int) -> re.Pattern:
+    return re.compile(rb"\s*\S+(?:\s+\S+){0,%d}\s*" % (longest - 1))
+
+
+def sentences(text: bytes | None, p: Params) -> list[bytes]:
     """The sentences that have a word, with what follows them up to the next; joined they are the text."""
     out: list[bytes] = []
     for x in SENTENCE.findall(text or b""):
-        if x.strip() and x.strip(b".!? \t\n\v\f\r"):
-            out.append(x)
+        if x.strip(b".!? \t\n\v\f\r"):
+            out += pieces(p.longest).findall(x)
         elif out:
             out[-1] += x
         elif x:
@@ -55,7 +63,7 @@ def sentences(text: bytes | None) -> list[bytes]:
 
 def spans(text: bytes | None, p: Params, hashes: WordHash) -> tuple[np.ndarray, np.ndarray]:
     """Position and hash of each span."""
-    words = [x.lower().split() for x in sentences(text)]
+    words = [x.lower().split() for x in sentences(text, p)]
     n = np.array([len(w) for w in words], np.int64)
     m = len(words) - p.sentences + 1
     if m < 1:
@@ -95,7 +103,7 @@ def sentence_dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         rows = []
         for text, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            ss = sentences(text)
+            ss = sentences(text, p)
             words = [len(x.split()) for x in ss]
             go = removed(len(ss), at, p)
             kept = b"".join(x for x, g in zip(ss, go) if not g)

@@ -50,8 +50,10 @@ FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(least
 
 OP3 = rf"""
 WITH p AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*(?:[.!?]+|\n|\z)') AS l FROM documents)),
-g AS (SELECT *, sum(CASE WHEN regexp_matches(x, '[^.!?\x20\x09-\x0D]') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM p WHERE x <> ''),
-t AS (SELECT doc_id, g, string_agg(x, '' ORDER BY i) AS raw FROM g GROUP BY ALL),
+c AS (SELECT doc_id, i, v, unnest(l) AS x, generate_subscripts(l, 1) AS j FROM (SELECT doc_id, i, v, CASE WHEN v THEN regexp_extract_all(x, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+(?:[\x20\x09-\x0D]+[^\x20\x09-\x0D]+){{0,7}}[\x20\x09-\x0D]*') ELSE [x] END AS l
+  FROM (SELECT *, regexp_matches(x, '[^.!?\x20\x09-\x0D]') AS v FROM p WHERE x <> ''))),
+g AS (SELECT *, sum(CASE WHEN v THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i, j) AS g FROM c),
+t AS (SELECT doc_id, g, string_agg(x, '' ORDER BY i, j) AS raw FROM g GROUP BY ALL),
 s AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1 AS i, raw, regexp_extract_all({LOWER.replace("text", "raw")}, '{WORD}') AS w FROM t),
 k AS (SELECT doc_id, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM s WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 h AS (SELECT doc_id, i, array_to_string(w, ' ') || chr(10) || array_to_string(w1, ' ') || chr(10) || array_to_string(w2, ' ') AS h FROM k WHERE w2 IS NOT NULL AND len(w) + len(w1) + len(w2) >= 12),

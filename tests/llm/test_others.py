@@ -50,6 +50,8 @@ def test_sentence_spans_of_odd_tables(spark):
     df = spark.createDataFrame([(None, t), (None, t), (4, t), (4, t), (2, t.upper()), (9, t + t)], "doc_id long, text string")
     got = {(r.doc_id, r.n_sentences, r.n_removed) for r in sentence_dedup.sentence_dedup(df).collect()}
     assert got == {(None, 3, 0), (4, 3, 3), (2, 3, 0), (9, 6, 6)}
+    assert b"".join(sentence_dedup.sentences(b"a b\v c d e f g h i j. !\n k", sentence_dedup.Params())) == b"a b\v c d e f g h i j. !\n k"
+    assert len(sentence_dedup.sentences(b" a b c d e f g h i j. !\n k", sentence_dedup.Params())) == 3
     assert sentence_dedup.sentence_dedup(df.limit(0)).count() == 0
 
 
