@@ -68,11 +68,11 @@ def format_chats(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bo
     m = messages.select("conv_id", "turn", "role", "text", F.when(F.col("call_id").isNotNull() & F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), F.col("kind")).alias("kind"), "call_id", "tool", "arguments", "after")
     m = m.withColumn("kind", F.when(F.col("kind").isin("call", "result"), F.col("kind")).otherwise("plain"))
     m = m.withColumn("node", F.when(F.col("kind") != "plain", F.concat("kind", F.lit(":"), "call_id")))
-    first = m.where("node is not null").groupBy("conv_id", "node").agg(F.min("turn").alias("first"), F.min_by("after", "turn").alias("after"), F.min_by("tool", "turn").alias("tool"))
+    first = m.where("node is not null").groupBy("conv_id", "node").agg(F.min("turn").alias("first"), F.min_by("after", "turn").alias("after"))
     first = cut(first)
-    calls = first.where("node like 'call:%'").select("conv_id", F.substring("node", 6, 1 << 30).alias("call_id"), F.col("tool").alias("_tool"))
+    calls = first.where("node like 'call:%'").select("conv_id", F.substring("node", 6, 1 << 30).alias("call_id"), F.lit(True).alias("_called"))
     results = first.where("node like 'result:%'").select("conv_id", F.substring("node", 8, 1 << 30).alias("call_id"))
-    pairs = calls.join(results.withColumn("_answered", F.lit(True)), ["conv_id", "call_id"], "full_outer").select("conv_id", "call_id", (F.col("_tool").isNotNull() & F.coalesce("_answered", F.lit(False))).alias("linked"))
+    pairs = calls.join(results.withColumn("_answered", F.lit(True)), ["conv_id", "call_id"], "full_outer").select("conv_id", "call_id", (F.coalesce("_called", F.lit(False)) & F.coalesce("_answered", F.lit(False))).alias("linked"))
     call = F.col("node").startswith("call:")
     parent = F.when(call, F.concat(F.lit("result:"), "after")).otherwise(F.concat(F.lit("call:"), F.substring("node", 8, 1 << 30)))
     depth = depths(first.select("conv_id", "node", parent.alias("parent")))

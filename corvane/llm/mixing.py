@@ -62,55 +62,56 @@ def draw(doc_id: Column) -> Column:
 
 
 def celled(docs: DataFrame) -> DataFrame:
-    """docs with _source, _lang, _topic, _tokens."""
-    named = [F.coalesce(docs[c].cast("string"), F.lit("")).alias(f"_{c}") if c in docs.columns else F.lit("").alias(f"_{c}") for c in ("source", "lang")]
-    out = docs.select("*", *named, tokens(docs["text"]).alias("_tokens"))
-    return out.withColumn("_topic", F.coalesce(docs["topic"].cast("string"), F.lit("")) if "topic" in docs.columns else topic(docs["text"], F.col("_tokens")))
+    """docs with _mix_source, _mix_lang, _mix_topic, _mix_tokens."""
+    named = [F.coalesce(docs[c].cast("string"), F.lit("")).alias(f"_mix_{c}") if c in docs.columns else F.lit("").alias(f"_mix_{c}") for c in ("source", "lang")]
+    out = docs.select("*", *named, tokens(docs["text"]).alias("_mix_tokens"))
+    return out.withColumn("_mix_topic", F.coalesce(docs["topic"].cast("string"), F.lit("")) if "topic" in docs.columns else topic(docs["text"], F.col("_mix_tokens")))
 
 
 def raked(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """The cells of docs: _source, _lang, _topic, n (tokens), weight (tokens after raking), prob (of a document to be kept)."""
-    cells = celled(docs).groupBy(*(f"_{d}" for d in DIMS)).agg(F.sum("_tokens").cast("double").alias("n"))
+    """The cells of docs: _mix_source, _mix_lang, _mix_topic, n (tokens), weight (tokens after raking), prob (of a document to be kept)."""
+    cells = celled(docs).groupBy(*(f"_mix_{d}" for d in DIMS)).agg(F.sum("_mix_tokens").cast("double").alias("n"))
     cells = cut(cells).coalesce(1).withColumn("weight", F.col("n"))
     total = F.sum("n").over(Window.partitionBy())
     for d in DIMS:
-        by = Window.partitionBy(f"_{d}")
+        by = Window.partitionBy(f"_mix_{d}")
         if d in p.targets:
-            given = F.coalesce(F.create_map(*[F.lit(x) for kv in p.targets[d].items() for x in kv])[F.col(f"_{d}")], F.lit(0.0))
+            given = F.coalesce(F.create_map(*[F.lit(x) for kv in p.targets[d].items() for x in kv])[F.col(f"_mix_{d}")], F.lit(0.0))
         else:
             given = F.pow(F.sum("n").over(by) / total, F.lit(float(p.power[d])))
         # each value's share, normed over the values present: divided by its number of cells, the cells of all values add up to 1
         cells = cells.withColumn(f"g_{d}", given).withColumn(f"k_{d}", F.count("*").over(by)).withColumn(f"t_{d}", F.col(f"g_{d}") / F.sum(F.col(f"g_{d}") / F.col(f"k_{d}")).over(Window.partitionBy()) * total)
     for i in range(p.rounds):
         for d in DIMS:
-            cells = cells.withColumn("weight", F.coalesce(F.try_divide(F.col("weight") * F.col(f"t_{d}"), F.sum("weight").over(Window.partitionBy(f"_{d}"))), F.lit(0.0)))
+            cells = cells.withColumn("weight", F.coalesce(F.try_divide(F.col("weight") * F.col(f"t_{d}"), F.sum("weight").over(Window.partitionBy(f"_mix_{d}"))), F.lit(0.0)))
         if i % 6 == 5:
             cells = cut(cells).coalesce(1)
     cells = cells.withColumn("ratio", F.col("weight") / F.col("n"))
     # the c of the least i for which the cells from the i-th (by falling ratio) on stay within probability 1 if those before are at 1
-    order = Window.partitionBy().orderBy(F.col("ratio").desc(), *(f"_{d}" for d in DIMS))
+    order = Window.partitionBy().orderBy(F.col("ratio").desc(), *(f"_mix_{d}" for d in DIMS))
     before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     rest = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     cells = cells.withColumn("c", F.try_divide(total * p.share - before, rest))
     cells = cells.withColumn("c", F.coalesce(F.max(F.when((F.col("c") >= 0) & (F.col("c") * F.col("ratio") <= 1), F.col("c"))).over(Window.partitionBy()), F.lit(0.0)))
-    return cut(cells.select(*(f"_{d}" for d in DIMS), "n", "weight", F.round(F.least(F.lit(1.0), F.col("c") * F.col("ratio")), 6).alias("prob")))
+    return cut(cells.select(*(f"_mix_{d}" for d in DIMS), "n", "weight", F.round(F.least(F.lit(1.0), F.col("c") * F.col("ratio")), 6).alias("prob")))
 
 
 def joined(docs: DataFrame, p: Params) -> DataFrame:
     cells = raked(docs, p)
     few = cells.count() <= p.held
-    return celled(docs).join(F.broadcast(cells) if few else cells, [f"_{d}" for d in DIMS])
+    cells = cells.withColumnsRenamed({"weight": "_mix_weight", "prob": "_mix_prob"}).drop("n")
+    return celled(docs).join(F.broadcast(cells) if few else cells, [f"_mix_{d}" for d in DIMS])
 
 
 def mixture(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """A row for each row of docs(doc_id, text, source, lang): source, lang, topic, n_tokens, weight (of its cell, rounded), prob, kept."""
     out = joined(docs, p)
-    return out.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.round("weight", 3).alias("weight"), "prob", (draw(F.col("doc_id")) < F.col("prob")).alias("kept"))
+    return out.select("doc_id", F.col("_mix_source").alias("source"), F.col("_mix_lang").alias("lang"), F.col("_mix_topic").alias("topic"), F.col("_mix_tokens").alias("n_tokens"), F.round("_mix_weight", 3).alias("weight"), F.col("_mix_prob").alias("prob"), (draw(F.col("doc_id")) < F.col("_mix_prob")).alias("kept"))
 
 
 def mixed(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of docs that are drawn, with all their columns."""
-    out = joined(docs, p).where(draw(F.col("doc_id")) < F.col("prob"))
+    out = joined(docs, p).where(draw(F.col("doc_id")) < F.col("_mix_prob"))
     return out.select(*docs.columns)
 
 

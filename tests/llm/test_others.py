@@ -178,8 +178,8 @@ def test_mixture_equals_sql_and_meets_targets(spark, share):
     assert abs(expected - share) < 0.01
     cells = mixing.raked(df, p).toPandas()
     for dim in ("source", "lang", "topic"):
-        have = cells.groupby(f"_{dim}").weight.sum() / cells.weight.sum()
-        want = (cells.groupby(f"_{dim}").n.sum() / cells.n.sum()) ** p.power[dim]
+        have = cells.groupby(f"_mix_{dim}").weight.sum() / cells.weight.sum()
+        want = (cells.groupby(f"_mix_{dim}").n.sum() / cells.n.sum()) ** p.power[dim]
         assert np.allclose(have, want / want.sum(), atol=0.02)
 
 
