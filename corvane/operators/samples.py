@@ -31,17 +31,19 @@ def matched(manifest: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def utterances(manifest: DataFrame, members: DataFrame) -> DataFrame:
-    """Manifest rows with frames (map of index to bytes, ascending) and audio; members need content. A row's size is bounded by one
-    utterance, about 75 frames."""
-    frames = F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("frame_index").isNotNull(), F.struct("frame_index", "content")))))
-    by = members.groupBy("speaker_id", F.col("prefix").alias("shard_member_prefix")).agg(frames.alias("frames"), F.first(F.when(F.col("filename") == "audio.wav", F.col("content")), True).alias("audio"))
+    """Manifest rows with frames (map of index to bytes, ascending; null, and repeats true, if an index is there twice) and audio;
+    members need content. A row's size is bounded by one utterance, about 75 frames."""
+    frames = F.sort_array(F.collect_list(F.when(F.col("frame_index").isNotNull(), F.struct("frame_index", "content"))))
+    by = members.groupBy("speaker_id", F.col("prefix").alias("shard_member_prefix")).agg(frames.alias("_frames"), F.first(F.when(F.col("filename") == "audio.wav", F.col("content")), True).alias("audio"))
+    by = by.withColumn("repeats", F.size(F.array_distinct("_frames.frame_index")) < F.size("_frames"))
+    by = by.withColumn("frames", F.when(~F.col("repeats"), F.map_from_entries("_frames"))).drop("_frames")
     return manifest.join(by, ["speaker_id", "shard_member_prefix"])
 
 
 def samples(manifest: DataFrame, members: DataFrame, fps: float = 25.0) -> DataFrame:
     """utterances() with samples of audio, video and audio durations, their gap, and error."""
     u = utterances(manifest, members).withColumn("_a", decode_wav("audio", "audio_sample_rate"))
-    u = u.withColumns({"samples": F.col("_a.samples"), "error": F.col("_a.error")}).drop("_a", "audio")
+    u = u.withColumns({"samples": F.col("_a.samples"), "error": F.coalesce("_a.error", F.when(F.col("repeats"), "a frame index is there twice"))}).drop("_a", "audio", "repeats")
     u = u.withColumn("video_duration_sec", (F.col("last_frame_index") - F.col("first_frame_index") + 1) / F.lit(float(fps)))
     u = u.withColumn("decoded_audio_sec", F.when(F.col("samples").isNotNull(), F.size("samples") / F.col("audio_sample_rate")))
     return u.withColumn("duration_gap_sec", F.col("video_duration_sec") - F.col("decoded_audio_sec")).withColumn("gap_warning", F.abs("duration_gap_sec") > 0.08)
