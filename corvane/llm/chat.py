@@ -57,7 +57,9 @@ def depths(nodes: DataFrame) -> DataFrame:
     open_ = n.where(f"parent is not null and depth <= {total}")
     while open_.take(1):
         up = n.select("conv_id", F.col("node").alias("parent"), F.col("parent").alias("_up"), F.col("depth").alias("_more"))
-        n = cut(n.join(up, ["conv_id", "parent"], "left").select("conv_id", "node", F.col("_up").alias("parent"), (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth")))
+        # only what isn't at its root yet is joined again
+        moved = n.where("parent is not null").join(up, ["conv_id", "parent"], "left").select("conv_id", "node", F.col("_up").alias("parent"), (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"))
+        n = cut(n.where("parent is null").select("conv_id", "node", "parent", "depth").union(moved))
         open_ = n.where(f"parent is not null and depth <= {total}")
     return n.select("conv_id", "node", F.when(F.col("parent").isNull(), F.col("depth")).alias("depth"))
 
