@@ -23,6 +23,10 @@ def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_dedup.sentence_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_all_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_dedup.sentence_dedup(table(spark, sf_dir, "documents"), sentence_dedup.WHOLE)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,9 +55,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_sentence_spans, op4_decontaminate, op5_quality_rank, op6_warc, op7_substring_dedup, op8_token_counts, op9_mixture, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_sentence_spans, op3_all_spans, op4_decontaminate, op5_quality_rank, op6_warc, op7_substring_dedup, op8_token_counts, op9_mixture, op10_quality_rules)}
 
-#: op5, op8 and op10 have none: SQL can't express a fitted model, a tokenizer's merges or the suffix arrays' verdict.
+#: op3_all_spans is tested by brute force, as OP3 has the narrower rule. op5, op8 and op10 have none: SQL can't express a fitted model, a tokenizer's merges or the suffix arrays' verdict.
 ORACLE_SQL = {
     "op1_chat_format": sql.OP1,
     "op2_near_duplicates": sql.OP2,

@@ -2,7 +2,7 @@
 
 A sentence ends after a run of `.`, `!` or `?`, or at a line feed; one of more than `longest` words is cut into pieces of so many,
 each a sentence from here on (else passages without many full stops would have no run). Its key is its lower-cased words
-(A-Z; white space apart). Every run of `sentences` consecutive sentences with `least_words` words or more is hashed; the first place of each hash, by doc_id
+(A-Z; white space apart). Every run of `sentences` consecutive sentences with `least_words` words or more (0 in WHOLE: every run) is hashed; the first place of each hash, by doc_id
 and position, is found across all documents, and sentences covered by a run at any other place go.
 
 Texts go through Python once, as arrays of hashes; all else is grouping and joining of narrow rows. Grouping takes partial
@@ -43,6 +43,10 @@ class Params:
     longest: int = 8
 
 
+#: The whole method: every run counts, however few its words. Params() is what sql.OP3 states.
+WHOLE = Params(least_words=0)
+
+
 @lru_cache(8)
 def pieces(longest: int) -> re.Pattern:
     return re.compile(rb"\s*\S+(?:\s+\S+){0,%d}\s*" % (longest - 1))

@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from corvane.llm import chat, mixing, ranker, sentence_dedup, sql, token_scan, warc
+from corvane.llm import chat, mixing, queries, ranker, sentence_dedup, sql, token_scan, warc
 
 
 def ask(text, **tables):
@@ -55,6 +55,28 @@ def test_sentence_spans_of_odd_tables(spark):
     assert sentence_dedup.sentence_dedup(df.limit(0)).count() == 0
 
 
+def brute_spans(rows, p):
+    """(doc_id, n_sentences, n_removed) by comparing the words of all runs, without hashes."""
+    keys = {d: [tuple(x.lower().split()) for x in sentence_dedup.sentences((t or "").encode(), p)] for d, t in rows}
+    seen, go = set(), {d: set() for d in keys}
+    for d in sorted(keys):
+        for i in range(len(keys[d]) - 2):
+            run = tuple(keys[d][i : i + 3])
+            if run in seen:
+                go[d] |= {i, i + 1, i + 2}
+            seen.add(run)
+    return {(d, len(keys[d]), len(go[d])) for d in keys}
+
+
+def test_all_spans_find_copied_short_lines(spark, tmp_path):
+    lines = "".join(f"a{i} b{i} c{i}\n" for i in range(60))
+    rows = [(1, lines), (2, lines), (3, "Yes.\nNo.\nOh!\nyes.\nno.\noh!\n"), *sentence_rows(3)[10:]]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.doc_id, r.n_sentences, r.n_removed) for r in queries.QUERIES["op3_all_spans"](spark, str(tmp_path)).collect()}
+    assert (2, 60, 60) in got and (1, 60, 0) in got and (3, 6, 3) in got
+    assert got == brute_spans(rows, sentence_dedup.WHOLE)
+
+
 # ---- ranking ----
 
 
