@@ -1,7 +1,8 @@
 """Substring dedup by sliding sentence spans.
 
 A sentence ends after a run of `.`, `!` or `?`, or at a line feed; one of more than `longest` words is cut into pieces of so many,
-each a sentence from here on (else passages without many full stops would have no run). Its key is its lower-cased words
+each a sentence from here on (else passages without many full stops would have no run); in WHOLE, where the words' hashes say so, so that
+copies are cut alike whatever precedes them (46 consecutive words in common have a run in common). Its key is its lower-cased words
 (A-Z; white space apart). Every run of `sentences` consecutive sentences with `least_words` words or more (0 in WHOLE: every run) is hashed; the first place of each hash, by doc_id
 and position, is found across all documents, and sentences covered by a run at any other place go.
 
@@ -21,6 +22,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +38,19 @@ SCHEMA = "doc_id bigint, n_sentences bigint, n_removed bigint, n_words bigint, n
 
 @dataclass(frozen=True)
 class Params:
-    """sentences: in a span. least_words: that a span must have. longest: words of a sentence."""
+    """sentences: in a span. least_words: that a span must have. longest: words of a sentence. aligned: sentences are cut after the least hash
+    in any `longest` consecutive words, not after every `longest` words from their start."""
 
     sentences: int = 3
     least_words: int = 12
     longest: int = 8
+    aligned: bool = False
 
 
-#: The whole method: every run counts, however few its words. Params() is what sql.OP3 states.
-WHOLE = Params(least_words=0)
+#: The whole method: every run counts, however few its words, and copies are cut alike whatever precedes them. Params() is what sql.OP3 states.
+WHOLE = Params(least_words=0, aligned=True)
+ENTIRE = re.compile(rb"[.!?\s]*[^.!?\s][^.!?\n]*(?:[.!?]+|\n|\Z)[.!?\s]*")
+WORDS = re.compile(rb"\s*\S+\s*")
 
 
 @lru_cache(8)
@@ -52,8 +58,34 @@ def pieces(longest: int) -> re.Pattern:
     return re.compile(rb"\s*\S+(?:\s+\S+){0,%d}\s*" % (longest - 1))
 
 
-def sentences(text: bytes | None, p: Params) -> list[bytes]:
+def aligned(found: list[bytes], p: Params, hashes: WordHash) -> tuple[list[bytes], np.ndarray]:
+    """The sentences' lower-cased words, and the index after each piece: sentences are cut after the least hash (the last of equals) in any
+    p.longest consecutive words. So cuts depend on the words near them alone, and pieces have at most so many words."""
+    words = [x.lower().split() for x in found]
+    n = np.fromiter(map(len, words), np.int64, len(words))
+    flat = list(chain.from_iterable(words))
+    h, ends, m = hashes.of(flat), np.cumsum(n), len(flat) - p.longest + 1
+    if m < 1:
+        return flat, ends
+    least, at = h[p.longest - 1 :].copy(), np.full(m, p.longest)
+    for k in range(p.longest - 1, 0, -1):
+        x = h[k - 1 : k - 1 + m]
+        at[x < least] = k
+        np.minimum(x, least, out=least)
+    of = np.repeat(np.arange(len(n)), n)
+    i = np.flatnonzero(of[:m] == of[p.longest - 1 :])
+    last = np.zeros(len(flat) + 1, bool)
+    last[i + at[i]] = last[ends] = True
+    return flat, np.flatnonzero(last)
+
+
+def sentences(text: bytes | None, p: Params, hashes: WordHash | None = None) -> list[bytes]:
     """The sentences that have a word, with what follows them up to the next; joined they are the text."""
+    if p.aligned:
+        found = entire(text)
+        at = aligned(found, p, WordHash() if hashes is None else hashes)[1].tolist()
+        raw = [w for x in found for w in WORDS.findall(x)]
+        return [b"".join(raw[a:z]) for a, z in zip([0, *at], at)] if raw else found
     out: list[bytes] = []
     for x in SENTENCE.findall(text or b""):
         if x.strip(b".!? \t\n\v\f\r"):
@@ -65,9 +97,18 @@ def sentences(text: bytes | None, p: Params) -> list[bytes]:
     return out
 
 
+def entire(text: bytes | None) -> list[bytes]:
+    """The sentences before they are cut, each with the marks and white space up to the next; what precedes the first is part of it."""
+    return ENTIRE.findall(text or b"") or ([text] if text else [])
+
+
 def spans(text: bytes | None, p: Params, hashes: WordHash) -> tuple[np.ndarray, np.ndarray]:
     """Position and hash of each span."""
-    words = [x.lower().split() for x in sentences(text, p)]
+    if p.aligned:
+        flat, ends = aligned(entire(text), p, hashes)
+        words = [flat[a:z] for a, z in zip([0, *ends.tolist()], ends.tolist())]
+    else:
+        words = [x.lower().split() for x in sentences(text, p)]
     n = np.array([len(w) for w in words], np.int64)
     m = len(words) - p.sentences + 1
     if m < 1:
@@ -101,13 +142,18 @@ def sentence_dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """A row for each row of docs(doc_id, text): n_sentences, n_removed, n_words, n_words_removed, kept_sha256 (of the sentences that stay)."""
     repeated = cut(repeated_spans(docs, p))
     release(docs.sparkSession)
+    hashes = WordHash()
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
     both = texts.join(repeated.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "positions")
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         rows = []
         for text, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            ss = sentences(text, p)
+            if p.aligned and not at:
+                flat, ends = aligned(entire(text), p, hashes)
+                rows.append((len(ends), 0, len(flat), 0, hashlib.sha256(text or b"").hexdigest()))
+                continue
+            ss = sentences(text, p, hashes)
             words = [len(x.split()) for x in ss]
             go = removed(len(ss), at, p)
             kept = b"".join(x for x, g in zip(ss, go) if not g)

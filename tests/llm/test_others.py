@@ -77,6 +77,25 @@ def test_all_spans_find_copied_short_lines(spark, tmp_path):
     assert got == brute_spans(rows, sentence_dedup.WHOLE)
 
 
+def test_all_spans_cut_copies_alike():
+    r, p = random.Random(7), sentence_dedup.WHOLE
+    word = lambda: "".join(r.choice("abcdé") for _ in range(r.randint(1, 7))) + r.choice(["", "", "", "", "", "", ",", ".", "?!"])
+    for k in range(300):
+        plain = k % 2 == 0
+        word_ = (lambda: word().rstrip(".?!") or "x") if plain else word
+        passage = " ".join(word_() for _ in range(46))
+        texts = [" ".join([*(word_() for _ in range(r.randint(0, 12))), passage, *(word_() for _ in range(r.randint(0, 12)))]).encode() for _ in range(2)]
+        runs = []
+        for t in texts:
+            ss = sentence_dedup.sentences(t, p)
+            assert b"".join(ss) == t and all(1 <= len(x.split()) <= 8 for x in ss)
+            keys = [tuple(x.lower().split()) for x in ss]
+            runs.append({tuple(keys[i : i + 3]) for i in range(len(keys) - 2)})
+        assert runs[0] & runs[1], texts
+    t = b" la" * 40 + b"\n" + b"A b\v c. " * 3 + b"..!" + "né ".encode() * 9
+    assert b"".join(sentence_dedup.sentences(t, p)) == t
+
+
 # ---- ranking ----
 
 
