@@ -3,7 +3,8 @@
 Documents fall into cells (source, language, topic) of so many tokens. Raking multiplies the cells' weights until their sums
 over each margin meet its targets: in each round, for each margin in turn, weight * target / (sum of weights in the margin's
 value). A document of a cell is then kept with probability min(1, c * weight / tokens of the cell); c makes the expected share
-of tokens kept `share`. The draw is a hash of doc_id, so it is the same in every run and for every layout of the data.
+of tokens kept `share`. Cells at probability 1 can't give more, and what they lack isn't raked again over the others: the weights meet
+the targets, what is drawn does so only as far as no cell is at 1. `margins` gives both. The draw is a hash of doc_id, so it is the same in every run and for every layout of the data.
 
 Everything is DataFrame operations. The texts are scanned twice and not shuffled; partial sums by cell come before the only
 shuffle. Raking runs over the table of cells, which has a row for each combination of three categories, in windows in one
@@ -115,6 +116,23 @@ def mixed(docs: DataFrame, p: Params = Params()) -> DataFrame:
     return out.select(*docs.columns)
 
 
+def margins(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """A row for each dimension and value: target, its share of the tokens that is aimed at; had, before the draw; drawn, after it (expected)."""
+    cells, out = raked(docs, p), None
+    everything = Window.partitionBy()
+    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.sum(c).over(everything)), F.lit(0.0))
+    for d in DIMS:
+        by = cells.groupBy(F.col(f"_mix_{d}").alias("value")).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("prob")).alias("kept"))
+        by = by.withColumn("had", share("n")).withColumn("drawn", share("kept"))
+        if d in p.targets:
+            given = F.coalesce(F.create_map(*[F.lit(x) for kv in p.targets[d].items() for x in kv])[F.col("value")], F.lit(0.0))
+        else:
+            given = F.pow("had", F.lit(float(p.power[d])))
+        rows = by.withColumn("g", given).select(F.lit(d).alias("dimension"), "value", share("g").alias("target"), "had", "drawn")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def sql(source: str, p: Params = Params()) -> str:
     """DuckDB's SQL for mixture over the table or CTE `source` (doc_id, text, lang, source), as text without a final SELECT: its last CTE is
     `mixture`."""

@@ -234,6 +234,23 @@ def test_mixture_of_odd_tables(spark):
     assert rows_of(mixing.mixture(df, mixing.Params(held=0))) == rows_of(mixing.mixture(df))
 
 
+@pytest.mark.parametrize("share", [0.02, 0.8])
+def test_margins_are_those_of_the_draw(spark, share):
+    rows, p = mix_rows(), mixing.Params(share=share)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {(r.dimension, r.value): r for r in mixing.margins(df, p).collect()}
+    docs = mixing.mixture(df, p).toPandas()
+    docs["drawn"] = docs.n_tokens * docs.prob
+    for d in mixing.DIMS:
+        had, drawn = docs.groupby(d).n_tokens.sum() / docs.n_tokens.sum(), docs.groupby(d).drawn.sum() / docs.drawn.sum()
+        target = had ** p.power[d] / (had ** p.power[d]).sum()
+        for v in had.index:
+            assert np.allclose([got[d, v].had, got[d, v].drawn, got[d, v].target], [had[v], drawn[v], target[v]], atol=1e-4)
+    assert len(got) == sum(docs[d].nunique() for d in mixing.DIMS) and mixing.margins(df.limit(0), p).count() == 0
+    off = max(abs(r.drawn - r.target) for r in got.values())
+    assert off < 0.02 if share < 0.1 else off > 0.02
+
+
 # ---- chat ----
 
 
