@@ -2,8 +2,8 @@
 
 From labelled documents, pairs (one marked good, one marked bad) say which of two is better; the probability that a beats b is
 sigmoid(w . (f(a) - f(b))), and w minimises the logistic loss over pairs, by Newton steps with a ridge. What makes w . f(x) a
-score from 0 to 1 is a monotone map fitted on the same documents (Platt's), so that the cut at `cut_at` also is a quantile of
-the scores: documents above it are expected to be good with that probability or more.
+score from 0 to 1 is a monotone map fitted on the same documents (Platt's), so that documents
+above the cut at `cut_at` are expected to be good with that probability or more. The cut is fixed; no quantile is computed.
 
 Labels come only from rows whose crc32(doc_id as text) mod `folds` isn't 0. Inputs of a score are counts over the whole text, never
 doc_id, labels, lang or source. The fit uses at most `sample` labelled documents, those with the least hashes of doc_id (the
