@@ -9,18 +9,20 @@ similar two sets are.
 2. `rows` registers in a row are a band; classes with an equal band share a bucket. In each bucket all are paired with its
    least member only.
 3. Pairs are dropped if their sizes rule the threshold out, or if the joint likelihood of both sketches puts the similarity
-   more than `slack` below it; the rest is verified on the full sets.
+   more than `slack` below it; the rest is verified on the full sets, as words, not as hashes.
 4. Connected components of the links. Buckets that still hold several components can hide links between members that are
-   not the least: their pairs across components are compared as well, in small buckets by rows, in large ones block by block
-   within a row, so that no bucket is gathered or written out in pairs. A pair comes up in the first band it shares only. The
-   most similar partners in each other component are verified first, and verified links join components; the last round
-   takes all pairs that still lie across.
+   not the least. Small ones give their pairs across components as rows, to be estimated and verified as before. Members of
+   large ones are dealt into blocks, by number and by bytes of their sets; a task holds two blocks and counts intersections
+   exactly: a member outside the largest component is compared with those that have one of its rarest shingles (its prefix,
+   of which any partner must have one), and only links that join two components leave the task. So what is written grows
+   with the members, not with their pairs, however many of them lie just under the threshold.
 
 So the links missed are those whose bands all differ: with 32 bands of 4 registers (0.85: 1 - 0.85**4 = 0.48 for a band)
 5 in 10**11, and those misjudged by 0.12 by the likelihood (over 5 standard errors of 0.022 at 256 registers).
 
-Null texts and texts without words have empty sets and are linked with nothing. Rows that repeat a doc_id are one node;
-each is returned. A row without doc_id takes no part: its component is null and it is kept. Other columns are ignored.
+Null texts and texts without words have empty sets and are linked with nothing. Rows that repeat a doc_id are one node, with
+all links that any of its texts has; each is returned. A row without doc_id takes no part: its component is null and it is
+kept. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,8 +47,8 @@ SHIFT = 6000
 @dataclass(frozen=True)
 class Params:
     """shingle: words. pct: link with 100 * intersection >= pct * union. registers: of a sketch; the first bands * rows of them make bands.
-    base: of the registers' logarithm. small: the largest bucket whose pairs are made as rows; block: members compared at once in
-    larger ones; partners: in each other component that a member is verified with, by rounds before the last."""
+    base: of the registers' logarithm. small: the largest bucket whose pairs are made as rows; block, block_shingles: members of larger ones, and
+    shingles of theirs, in a block."""
 
     shingle: int = 3
     pct: int = 85
@@ -57,8 +58,8 @@ class Params:
     base: float = 1.001
     slack: float = 0.12
     small: int = 12
-    block: int = 256
-    partners: tuple[int, ...] = (1, 4)
+    block: int = 4096
+    block_shingles: int = 1 << 21
 
 
 def shingle_set(text: bytes | None, hashes: WordHash, p: Params) -> np.ndarray:
@@ -66,6 +67,12 @@ def shingle_set(text: bytes | None, hashes: WordHash, p: Params) -> np.ndarray:
     return np.unique(shingle_hashes(hashes.of((text or b"").lower().split()), p.shingle))
 
 
+def word_set(text: bytes | None, p: Params) -> frozenset[bytes]:
+    """The distinct shingles of a text, as its words."""
+    w = (text or b"").lower().split()
+    return frozenset(b" ".join(w[i : i + p.shingle]) for i in range(max(1, len(w) - p.shingle + 1))) if w else frozenset()
+
+
 def factors(m: int) -> np.ndarray:
     """An odd 64-bit factor for each register."""
     return np.array([xxhash.xxh3_64_intdigest(b"register %d" % i) | 1 for i in range(m)], np.uint64)
@@ -139,24 +146,22 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     classes = cut(feats.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("reg").alias("reg")))
     width = 2 * p.rows
     bands = F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("reg"), i * width + 1, F.lit(width))))
-    keys = classes.select("node", F.posexplode(bands).alias("band", "key"))
-    buckets = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("size")).where("size > 1")
-    members = cut(keys.join(buckets, "key"))
+    keys = classes.select("node", "n", F.explode(bands).alias("key"))
+    buckets = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1")
+    members = cut(keys.drop("n").join(buckets, "key"))
     release(docs.sparkSession)
     texts_of = _Texts(docs, members.select("node").distinct())
     release(docs.sparkSession)
     first = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = cut(_verified(_estimated(first, classes, p), texts_of, p))
+    links = cut(_verified(_estimated(first, classes, p), texts_of, p).union(_same_document(feats, classes)))
     comps = cut(components(links))
-    members = members.where("size > 2").drop("least")
-    for i, partners in enumerate((*p.partners, None)):
-        pairs = cut(_across(members, comps, classes, p, partners, small=i == 0))
-        if not pairs.take(1):
-            break
-        more = cut(_verified(pairs, texts_of, p))
-        if more.take(1):
-            links = links.union(more)
-            comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
+    open_ = cut(_open(members.where("size > 2").drop("least"), comps))
+    release(docs.sparkSession)
+    more = _verified(_estimated(_few(open_, p), classes, p), texts_of, p).union(_blocks(open_, texts_of, p))
+    more = cut(more.distinct())
+    if more.take(1):
+        links = links.union(more)
+        comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
     labels = classes.select("digest", F.col("node").alias("_node")).join(comps.withColumnRenamed("node", "_node"), "_node", "left")
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("_node")).groupBy("_node").agg(F.count("*").alias("n_links"))
     labels = labels.join(degree, "_node", "left").select("digest", F.coalesce("component", "_node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -200,17 +205,17 @@ def _estimated(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: _Texts, p: Params) -> DataFrame:
-    """The pairs whose full sets are linked."""
+    """The pairs whose full sets are linked. Sets are of words here, not of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last = WordHash(), (None, None)
+        last: tuple = (None, frozenset())
         for batch in batches:
             ok = []
             for t1, t2 in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if last[0] != t1:
-                    last = (t1, shingle_set(t1, hashes, p))
-                s, t = last[1], shingle_set(t2, hashes, p)
-                both = len(np.intersect1d(s, t, assume_unique=True))
+                    last = (t1, word_set(t1, p))
+                s, t = last[1], word_set(t2, p)
+                both = len(s & t)
                 ok.append(both > 0 and 100 * both >= p.pct * (len(s) + len(t) - both))
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
@@ -219,74 +224,92 @@ def _verified(pairs: DataFrame, texts: _Texts, p: Params) -> DataFrame:
     return wide.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _across(members: DataFrame, comps: DataFrame, classes: DataFrame, p: Params, partners: int | None, small: bool) -> DataFrame:
-    """Pairs of members of a bucket that lie in different components and that sizes and sketches don't rule out: of large buckets the most
-    similar `partners` in each component (None: all), and, with small, all of small ones."""
+def _same_document(feats: DataFrame, classes: DataFrame) -> DataFrame:
+    """A link between classes for each doc_id that has texts of several."""
+    several = feats.where("digest is not null and doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc_id")
+    nodes = feats.join(several, "doc_id", "left_semi").select("doc_id", "digest").distinct().join(classes.select("digest", "node"), "digest")
+    least = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return nodes.join(least, "doc_id").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+
+
+def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """The members, with their components, of buckets that hold several."""
     named = members.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_ = cut(named.join(mixed, "key"))
-    pairs = _blocks(open_.where(F.col("size") > p.small), classes, p, partners)
-    if small:
-        few = open_.where(F.col("size") <= p.small).groupBy("key").agg(F.collect_list(F.struct("node", "component")).alias("m"))
-        few = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
-        few = few.where("x.node < y.node and x.component <> y.component").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-        pairs = _estimated(few, classes, p).union(pairs).distinct()
-    return pairs
-
-
-def _blocks(many: DataFrame, classes: DataFrame, p: Params, partners: int | None) -> DataFrame:
-    """Such pairs of large buckets: members are dealt into blocks, and each two blocks of a bucket are compared within one row."""
-    n = F.ceil(F.col("size") / p.block).cast("int")
-    dealt = many.join(classes.select("node", "n", "reg"), "node").withColumn("blocks", n).withColumn("mine", F.pmod(F.xxhash64("node"), n).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = dealt.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
-    # the work is by pairs, not by bytes, so the number of tasks is given
-    met = met.repartition(4 * partitions(many.sparkSession), "key", "lo", "hi").groupBy("key", "band", "lo", "hi").agg(F.collect_list(F.struct("node", "component", "n", "reg", "mine")).alias("m"))
+    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    return named.join(several, "key")
+
+
+def _few(open_: DataFrame, p: Params) -> DataFrame:
+    """All pairs across components of small buckets: at most small**2 / 2 of each."""
+    few = open_.where(F.col("size") <= p.small).groupBy("key").agg(F.collect_list(F.struct("node", "component")).alias("m"))
+    few = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
+    return few.where("x.node < y.node and x.component <> y.component").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def _blocks(open_: DataFrame, texts: _Texts, p: Params) -> DataFrame:
+    """Links that join components within large buckets: members are dealt into blocks, and each two blocks of a bucket meet in one task."""
+    many = open_.where(F.col("size") > p.small)
+    hashes = WordHash()
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        ends = np.cumsum(np.array(pc.list_value_length(batch.column(1))))
-        node, comp, n, reg, mine = batch.column(1).flatten().flatten()
-        node, comp, n, mine = (np.array(x) for x in (node, comp, n, mine))
-        k = np.frombuffer(b"".join(reg.to_pylist()), np.uint16).reshape(len(node), -1)
-        a, b = [], []
-        for band, lo, hi in zip(batch.column(0).to_pylist(), np.append(0, ends[:-1]), ends):
-            i, j = _differing(node[lo:hi], comp[lo:hi], n[lo:hi].astype(float), mine[lo:hi], k[lo:hi], band, p, partners)
-            a.append(i), b.append(j)
-        yield {"a": pa.array(np.concatenate([*a, np.zeros(0, np.int64)]), pa.int64()), "b": pa.array(np.concatenate([*b, np.zeros(0, np.int64)]), pa.int64())}
-
-    return arrow_map(met.select("band", "m"), run, "a bigint, b bigint").distinct()
-
-
-def _differing(node: np.ndarray, comp: np.ndarray, n: np.ndarray, mine: np.ndarray, k: np.ndarray, band: int, p: Params, partners: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Plausible pairs of different components, between two blocks or within one, that share no band before this one. One of each pair lies
-    outside the largest component, so only those members are compared with the rest."""
-    alone = (mine == mine[0]).all()
-    _, which, sizes = np.unique(comp, return_inverse=True, return_counts=True)
-    main = which == np.argmax(sizes)
-    least = (p.pct / 100 - p.slack - 0.15) * k.shape[1]
-    earlier = k[:, : band * p.rows].reshape(len(k), band, p.rows)
+        yield {"node": batch.column(0), "shingles": pa.array([shingle_set(t, hashes, p).tobytes() for t in batch.column(1).to_pylist()], pa.binary())}
+
+    sets = cut(arrow_map(texts.df.join(many.select("node").distinct(), "node", "left_semi").select("node", "text"), run, "node bigint, shingles binary"))
+    n = F.ceil(F.greatest(F.col("size") / p.block, F.col("shingles") / p.block_shingles)).cast("int")
+    dealt = many.select("key", "node", "component", n.alias("blocks")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = dealt.select("key", "node", "component", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+
+    def linked(t: pa.Table) -> pa.Table:
+        node, comp, mine = (np.array(t.column(c)) for c in ("node", "component", "mine"))
+        sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")]
+        a, b = joining(node, comp, mine, sets_, p.pct)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    # the work is by pairs, not by bytes, so the number of tasks is given
+    wide = met.join(sets, "node").repartition(4 * partitions(open_.sparkSession), "key", "lo", "hi")
+    return wide.groupBy("key", "lo", "hi").applyInArrow(linked, "a bigint, b bigint").distinct()
+
+
+def joining(node: np.ndarray, comp: np.ndarray, mine: np.ndarray, sets: list[np.ndarray], pct: int) -> tuple[list[int], list[int]]:
+    """Links that join the components of members of two blocks (mine tells which; pairs within a block count if there is one only); as few as
+    join what can be joined. One of each pair lies outside the largest component, so only those members are looked up."""
+    names, which, members = np.unique(comp, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return [], []
+    root = list(range(len(names)))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    size = np.array([len(s) for s in sets])
+    tokens = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), size)
+    o = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[o], owner[o]
+    main = int(np.argmax(members))
+    alone = bool((mine == mine[0]).all())
     a, b = [], []
-    for i in np.flatnonzero(~main).tolist():
-        ok = (comp != comp[i]) & (main | (node > node[i])) & (100 * np.minimum(n, n[i]) >= p.pct * np.maximum(n, n[i]))
+    for i in np.flatnonzero(which != main).tolist():
+        lo, hi = np.searchsorted(tokens, sets[i]), np.searchsorted(tokens, sets[i], side="right")
+        many = hi - lo
+        # any partner has pct percent of this set at least, so one of the rarest size - least + 1 shingles
+        prefix = np.argsort(many, kind="stable")[: size[i] - -(-pct * size[i] // 100) + 1]
+        if many[prefix].max(initial=0) < 2:
+            continue
+        met = np.unique(np.concatenate([owner[x:y] for x, y in zip(lo[prefix], hi[prefix])]))
+        met = met[(which[met] != which[i]) & ((which[met] == main) | (met > i)) & (100 * np.minimum(size[met], size[i]) >= pct * np.maximum(size[met], size[i]))]
         if not alone:
-            ok &= mine != mine[i]
-        j = np.flatnonzero(ok)
-        if not len(j):
+            met = met[mine[met] != mine[i]]
+        if not len(met):
             continue
-        same = np.count_nonzero(k[j] == k[i], axis=1)
-        j, same = j[same >= least], same[same >= least]
-        if partners is None and band:
-            new = ~(earlier[j] == earlier[i]).all(2).any(1)
-            j, same = j[new], same[new]
-        if partners is not None and len(j):
-            o = np.lexsort((-same, comp[j]))
-            j = j[o]
-            start = np.flatnonzero(np.append(True, comp[j][1:] != comp[j][:-1]))
-            j = j[np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j)))) < partners]
-        a.append(np.full(len(j), i)), b.append(j)
-    if not a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    i, j = np.concatenate(a), np.concatenate(b)
-    ok = np.concatenate([plausible(k[i[c : c + 20_000]], k[j[c : c + 20_000]], n[i[c : c + 20_000]], n[j[c : c + 20_000]], p) for c in range(0, len(i), 20_000)] or [np.zeros(0, bool)])
-    i, j = i[ok], j[ok]
-    return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+        both = np.bincount(np.concatenate([owner[x:y] for x, y in zip(lo, hi)]), minlength=len(sets))[met]
+        for j in met[100 * both >= pct * (size[met] + size[i] - both)].tolist():
+            x, y = top(int(which[i])), top(int(which[j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                a.append(int(node[i])), b.append(int(node[j]))
+    return a, b

@@ -15,7 +15,7 @@ def shingles(text, k):
 
 def brute(rows, k=3, pct=85):
     sets = [(d, shingles(t, k)) for d, t in rows if d is not None]
-    least = {d: d for d, _ in sets}
+    least = {d: d for d, _ in sets}  # rows of a doc_id are one node, whatever their texts
 
     def root(x):
         while least[x] != x:
@@ -107,3 +107,59 @@ def test_components_of_random_graphs(spark):
             root[y] = x
     got = {x.node: x.component for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
+
+
+def test_rows_of_a_doc_id_with_different_texts_are_one_node(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    for rows in ([(3, a), (9, a), (9, b), (12, b), (7, c)], [(12, b), (9, b), (9, a), (3, a), (9, c), (2, c + " d")], [(5, a), (5, b), (5, c)]):
+        got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).drop("n_links")
+        assert sorted((tuple(x) for x in got.collect()), key=str) == brute(rows)
+
+
+def edited(seed, members, words, edits):
+    """Members with as many own words each: no two are alike, and none is nearer to the middle than the others."""
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for d in range(members):
+        t = list(base)
+        for i in r.sample(range(words), edits):
+            t[i] = f"x{d}.{i}"
+        out.append((d, " ".join(t)))
+    return out
+
+
+@pytest.mark.parametrize("words,edits,block", [(200, 3, 4096), (200, 3, 64), (300, 4, 64)])
+def test_members_just_under_the_threshold_give_no_pairs(spark, monkeypatch, words, edits, block):
+    """Similarities of 0.73 to 0.79 under a threshold of 0.80: all look plausible to the sketches, none is linked. What the steps make must
+    grow with the members."""
+    made = {}
+    p = N.Params(shingle=5, pct=80, block=block)
+    for name in ("_blocks", "_few", "_estimated"):
+        f = getattr(N, name)
+        monkeypatch.setattr(N, name, lambda *a, f=f, name=name: made.__setitem__(name, (df := N.cut(f(*a))).count()) or df)
+    for members in (100, 300):
+        rows = edited(1, members, words, edits)
+        sims = [(len(x & y), len(x | y)) for x, y in zip([shingles(t, 5) for _, t in rows], [shingles(t, 5) for _, t in rows[1:]])]
+        assert max(a / b for a, b in sims) < 0.85 and sum(a / b for a, b in sims) / len(sims) > 0.7
+        made.clear()
+        got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), p).drop("n_links")
+        assert sorted((tuple(x) for x in got.collect()), key=str) == brute(rows, 5, 80)
+        assert made["_blocks"] < 3 * members and made["_few"] + made["_estimated"] < p.bands * members
+
+
+def test_joining_counts_whole_sets():
+    r = random.Random(4)
+    sets = [N.np.unique(N.np.array(r.sample(range(60), r.randint(1, 40)), N.np.uint64)) for _ in range(80)]
+    comp = N.np.array([r.randrange(30) for _ in sets])
+    for mine in (N.np.zeros(80, int), N.np.array([i % 2 for i in range(80)])):
+        one = bool((mine == 0).all())
+        want, got = {}, {}
+        links = [(i, j) for i in range(80) for j in range(i) if (one or mine[i] != mine[j]) and 2 * len(set(sets[i]) & set(sets[j])) >= len(set(sets[i]) | set(sets[j]))]
+        for root, pairs in ((want, links), (got, list(zip(*N.joining(N.np.arange(80), comp, mine, sets, 50))))):
+            find = lambda x: x if root.setdefault(x, x) == x else find(root[x])  # noqa: B023, E731
+            for i, j in pairs:
+                x, y = sorted((find(int(comp[i])), find(int(comp[j]))))
+                root[y] = x
+        top = lambda root, x: x if root.get(x, x) == x else top(root, root[x])
+        assert {c: top(want, c) for c in comp.tolist()} == {c: top(got, c) for c in comp.tolist()}
