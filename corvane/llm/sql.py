@@ -49,14 +49,18 @@ FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(least
 """
 
 OP3 = rf"""
-WITH p AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*(?:[.!?]+|\n|\z)') AS l FROM documents)),
-c AS (SELECT doc_id, i, v, unnest(l) AS x, generate_subscripts(l, 1) AS j FROM (SELECT doc_id, i, v, CASE WHEN v THEN regexp_extract_all(x, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+(?:[\x20\x09-\x0D]+[^\x20\x09-\x0D]+){{0,7}}[\x20\x09-\x0D]*') ELSE [x] END AS l
-  FROM (SELECT *, regexp_matches(x, '[^.!?\x20\x09-\x0D]') AS v FROM p WHERE x <> ''))),
-g AS (SELECT *, sum(CASE WHEN v THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i, j) AS g FROM c),
-t AS (SELECT doc_id, g, string_agg(x, '' ORDER BY i, j) AS raw FROM g GROUP BY ALL),
-s AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1 AS i, raw, regexp_extract_all({LOWER.replace("text", "raw")}, '{WORD}') AS w FROM t),
-k AS (SELECT doc_id, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM s WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-h AS (SELECT doc_id, i, array_to_string(w, ' ') || chr(10) || array_to_string(w1, ' ') || chr(10) || array_to_string(w2, ' ') AS h FROM k WHERE w2 IS NOT NULL AND len(w) + len(w1) + len(w2) >= 12),
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+p AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, CASE WHEN len(l) = 0 AND text <> '' THEN [text] ELSE l END AS l
+  FROM (SELECT *, regexp_extract_all(text, '[.!?\x20\x09-\x0D]*[^.!?\x20\x09-\x0D][^.!?\n]*(?:[.!?]+|\n|\z)[.!?\x20\x09-\x0D]*') AS l FROM d))),
+q AS (SELECT *, regexp_extract_all({LOWER.replace("text", "x")}, '{WORD}') AS w, regexp_extract_all(x, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS r FROM p),
+c AS (SELECT DISTINCT doc_id, i, list_max(list_transform(range(a, a + 24), lambda j: {{'n': strlen(w[j]), 'w': w[j], 'j': j}})).j AS j
+  FROM (SELECT doc_id, i, w, unnest(range(1, len(w) - 22)) AS a FROM q WHERE len(w) >= 24)),
+e AS (SELECT doc_id, i, unnest(w) AS w, unnest(r) AS r, generate_subscripts(w, 1) AS j FROM q),
+g AS (SELECT e.*, count(c.j) OVER (PARTITION BY e.doc_id, e.i ORDER BY e.j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k FROM e LEFT JOIN c USING (doc_id, i, j)),
+t AS (SELECT doc_id, i, k, list(w ORDER BY j) AS w, string_agg(r, '' ORDER BY j) AS raw FROM g GROUP BY ALL UNION ALL SELECT doc_id, i, 0, w, x FROM q WHERE len(w) = 0),
+s AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, k) - 1 AS i, raw, w FROM t),
+o AS (SELECT doc_id, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM s WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+h AS (SELECT doc_id, i, array_to_string(w, ' ') || chr(10) || array_to_string(w1, ' ') || chr(10) || array_to_string(w2, ' ') AS h FROM o WHERE w2 IS NOT NULL),
 f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS r FROM h),
 z AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM f WHERE r > 1)
 SELECT d.doc_id, count(s.i) AS n_sentences, count(z.i) AS n_removed, coalesce(sum(len(s.w)), 0)::BIGINT AS n_words, coalesce(sum(CASE WHEN z.i IS NOT NULL THEN len(s.w) END), 0)::BIGINT AS n_words_removed,

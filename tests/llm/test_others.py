@@ -38,11 +38,24 @@ def sentence_rows(seed):
     return rows + [(60, ""), (61, None), (62, "..!\n "), (63, shared[0] * 3), (64, " . a. b. c " + shared[1])]
 
 
+def spans_query(spark, tmp_path, rows, ddl="doc_id long, text string"):
+    spark.createDataFrame(rows, ddl).write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
+    return queries.QUERIES["op3_sentence_spans"](spark, str(tmp_path))
+
+
+def plain(r, n):
+    """Words without marks, of which every tenth has some."""
+    return " ".join("".join(r.choice("abcdé") for _ in range(r.randint(1, 7))) + r.choice(["", "", "", "", "", "", "", "", ",", ".\v" if r.random() < 0.5 else ""]) for _ in range(n))
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-def test_sentence_spans_equal_sql(spark, seed):
-    rows = sentence_rows(seed)
-    df = spark.createDataFrame([(d, t, "h") for d, t in rows], "doc_id long, text string, h string")
-    assert rows_of(sentence_dedup.sentence_dedup(df)) == ask(sql.OP3, documents=("doc_id BIGINT, text VARCHAR", rows))
+def test_sentence_spans_equal_sql(spark, tmp_path, seed):
+    r = random.Random(seed)
+    passage = plain(r, 90)
+    rows = sentence_rows(seed) + [(d, plain(r, r.randint(0, 80)) + r.choice(["", " " + passage, passage + "\n" + passage])) for d in range(100, 130)]
+    rows += [(200, " \n "), (201, " la" * 40 + "\n" + "A b\v c. " * 3 + "..!" + "né " * 9), (202, " . a"), (203, "x" * 100_000 + " " + "y. " * 20_000)]
+    got = spans_query(spark, tmp_path, [(d, t, "h") for d, t in rows], "doc_id long, text string, kept string")
+    assert rows_of(got) == ask(sql.OP3, documents=("doc_id BIGINT, text VARCHAR", rows))
 
 
 def test_sentence_spans_of_odd_tables(spark):
@@ -50,14 +63,29 @@ def test_sentence_spans_of_odd_tables(spark):
     df = spark.createDataFrame([(None, t), (None, t), (4, t), (4, t), (2, t.upper()), (9, t + t)], "doc_id long, text string")
     got = {(r.doc_id, r.n_sentences, r.n_removed) for r in sentence_dedup.sentence_dedup(df).collect()}
     assert got == {(None, 3, 0), (4, 3, 3), (2, 3, 0), (9, 6, 6)}
-    assert b"".join(sentence_dedup.sentences(b"a b\v c d e f g h i j. !\n k", sentence_dedup.Params())) == b"a b\v c d e f g h i j. !\n k"
-    assert len(sentence_dedup.sentences(b" a b c d e f g h i j. !\n k", sentence_dedup.Params())) == 3
     assert sentence_dedup.sentence_dedup(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_rows_of_a_doc_id_lose_their_own_spans_only(spark, turned):
+    p, q = ("".join(f"{x}{i} b{i}. " for i in range(6)) for x in "pq")
+    rows = [(1, p), (2, p + "tail. "), (2, q), (3, q), (2, q + p), (5, p + p)]
+    got = {(r.doc_id, bytes(r.kept).decode()) for r in sentence_dedup.sentence_dedup(spark.createDataFrame(rows[::-1] if turned else rows, "doc_id long, text string")).collect()}
+    assert got == {(1, p), (2, "tail. "), (2, q), (3, ""), (5, "")}
+
+
+def test_one_text_differing_only_later_keeps_what_is_its_own(spark):
+    head = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, head + " one."), (2, head + " two.")]
+    assert {r.n_removed for r in sentence_dedup.sentence_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
+
+
 def brute_spans(rows, p):
     """(doc_id, n_sentences, n_removed) by comparing the words of all runs, without hashes."""
-    keys = {d: [tuple(x.lower().split()) for x in sentence_dedup.sentences((t or "").encode(), p)] for d, t in rows}
+    keys = {}
+    for d, t in rows:
+        flat, at = sentence_dedup.sentences((t or "").encode(), p)
+        keys[d] = [tuple(flat[a:z]) for a, z in zip([0, *at.tolist()], at.tolist())]
     seen, go = set(), {d: set() for d in keys}
     for d in sorted(keys):
         for i in range(len(keys[d]) - 2):
@@ -68,32 +96,26 @@ def brute_spans(rows, p):
     return {(d, len(keys[d]), len(go[d])) for d in keys}
 
 
-def test_all_spans_find_copied_short_lines(spark, tmp_path):
+def test_spans_of_short_lines_are_found(spark, tmp_path):
     lines = "".join(f"a{i} b{i} c{i}\n" for i in range(60))
     rows = [(1, lines), (2, lines), (3, "Yes.\nNo.\nOh!\nyes.\nno.\noh!\n"), *sentence_rows(3)[10:]]
-    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {(r.doc_id, r.n_sentences, r.n_removed) for r in queries.QUERIES["op3_all_spans"](spark, str(tmp_path)).collect()}
+    got = {(r.doc_id, r.n_sentences, r.n_removed) for r in spans_query(spark, tmp_path, rows).collect()}
     assert (2, 60, 60) in got and (1, 60, 0) in got and (3, 6, 3) in got
-    assert got == brute_spans(rows, sentence_dedup.WHOLE)
+    assert got == brute_spans(rows, sentence_dedup.Params())
 
 
-def test_all_spans_cut_copies_alike():
-    r, p = random.Random(7), sentence_dedup.WHOLE
-    word = lambda: "".join(r.choice("abcdé") for _ in range(r.randint(1, 7))) + r.choice(["", "", "", "", "", "", ",", ".", "?!"])
+def test_copies_without_marks_are_cut_alike():
+    r, p = random.Random(7), sentence_dedup.Params(longest=8)
     for k in range(300):
-        plain = k % 2 == 0
-        word_ = (lambda: word().rstrip(".?!") or "x") if plain else word
-        passage = " ".join(word_() for _ in range(46))
-        texts = [" ".join([*(word_() for _ in range(r.randint(0, 12))), passage, *(word_() for _ in range(r.randint(0, 12)))]).encode() for _ in range(2)]
+        passage = plain(r, 46).replace(".", "")
+        texts = [" ".join([plain(r, r.randint(1, 12)).replace(".", ""), passage, plain(r, r.randint(1, 12)).replace(".", "")]).encode() for _ in range(2)]
         runs = []
         for t in texts:
-            ss = sentence_dedup.sentences(t, p)
-            assert b"".join(ss) == t and all(1 <= len(x.split()) <= 8 for x in ss)
-            keys = [tuple(x.lower().split()) for x in ss]
+            flat, at = sentence_dedup.sentences(t, p)
+            assert b"".join(sentence_dedup.uncut(t)) == t and max(np.diff(at, prepend=0)) <= 8
+            keys = [tuple(flat[a:z]) for a, z in zip([0, *at.tolist()], at.tolist())]
             runs.append({tuple(keys[i : i + 3]) for i in range(len(keys) - 2)})
         assert runs[0] & runs[1], texts
-    t = b" la" * 40 + b"\n" + b"A b\v c. " * 3 + b"..!" + "né ".encode() * 9
-    assert b"".join(sentence_dedup.sentences(t, p)) == t
 
 
 # ---- ranking ----
