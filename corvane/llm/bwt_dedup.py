@@ -14,11 +14,15 @@ never cross documents and are judged on the input.
    of the interleave, sorted stably by symbol, give the next interleave. Blocks that a step splits bound the common prefixes;
    after width / 2 steps a block is a repeated interval: all suffixes with the same `width` first bytes. No suffix is sorted again.
    The least doc_id in a window's block decides.
-4. A fingerprint found in more than `hot` documents isn't gathered in a bucket. Its windows are grouped one by one instead, with
-   partial minima before the shuffle and a join back that adaptive execution can split.
+4. A fingerprint of more than about `hot` documents isn't gathered in a bucket. Such ones are found first, from summaries of counts
+   by task (those of no more than `kept` fingerprints, so counts can be too low by the share that this loses); their windows are
+   grouped one by one instead, with partial minima before the shuffle and a join back that adaptive execution can split.
 5. What goes is sent to its document, spans are united and cut out.
 
-Null texts are empty. Rows that repeat a doc_id are one document for the matching, and each returned with its own cuts; a
+Tables and shuffles have at most `most` partitions at any size; a task works through its buckets and groups, which have a bounded
+size each, one after another.
+
+Null texts are empty. Rows that repeat a doc_id are one document towards others, and each is returned with its own cuts; a
 row without doc_id neither causes nor suffers cuts. Other columns are ignored.
 """
 
@@ -31,10 +35,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import C1, C2, arrow_map, bucketed, cut, partitions, release
+from corvane.llm.common import C1, C2, arrow_map, bucketed, cut, named, partitions, release
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 #: UTF-8 has no such byte; it ends a context.
@@ -44,17 +49,19 @@ END = 0xFF
 @dataclass(frozen=True)
 class Params:
     """width: bytes of a string, even. gram: bytes of a piece, a multiple of 8. hot: documents of a fingerprint beyond which its windows are
-    grouped one by one; held_windows: most of these that are broadcast. shard_bytes: of contexts. bucket_bytes: of text for each bucket, so that a bucket fits a task; groups: of
-    documents for each bucket. piece: windows
-    of a text at once. longest: windows of a run."""
+    grouped one by one (a task holds about 100 bytes for each; more for more than 4 TB of text, so that no more than a few million are hot); kept: fingerprints of a task's
+    summary; held_windows: most hot windows that are broadcast. shard_bytes: of contexts. bucket_bytes: of text for each bucket, so that a
+    bucket fits a task; groups: of documents for each bucket; most: partitions. piece: windows of a text at once. longest: windows of a run."""
 
     width: int = 50
     gram: int = 24
-    hot: int = 50_000
+    hot: int = 500_000
+    kept: int = 4_000_000
     held_windows: int = 100_000
     shard_bytes: int = 1 << 19
     bucket_bytes: int = 16 << 20
     groups: int = 4
+    most: int = 20_000
     piece: int = 1 << 20
     longest: int = 64
 
@@ -164,12 +171,13 @@ class Shard:
         self.bwt, self.string, self.offset = bwt[order], self.string[order], self.offset[order]
 
 
-def interleaved(bwts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merge transforms by refining their interleave. For each suffix in merged order its shard and its block (suffixes with the same first
-    `width` bytes), and the common prefix with the one before, in steps of two bytes, up to width."""
+def interleaved(bwts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Merge transforms by refining their interleave. For each suffix in merged order its shard, and its common prefix with the one before,
+    in steps of two bytes, up to width."""
     b = np.concatenate(bwts)
     z = np.repeat(np.arange(len(bwts), dtype=np.uint16), [len(x) for x in bwts])
     block, lcp = np.zeros(len(b), np.int32), np.full(len(b), width, np.int32)
+    lcp[:1] = 0
     for step in range(width // 2):
         merged = np.empty_like(b)
         merged[np.argsort(z, kind="stable")] = b
@@ -180,7 +188,7 @@ def interleaved(bwts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndar
         lcp[fresh & (lcp == width)] = 2 * step
         block = np.cumsum(fresh, dtype=np.int32) - 1
         z = z[order]
-    return z, block, lcp
+    return z, lcp
 
 
 def window_minima(contexts: list[bytes], windows: np.ndarray, docs: np.ndarray, p: Params) -> np.ndarray:
@@ -193,8 +201,9 @@ def window_minima(contexts: list[bytes], windows: np.ndarray, docs: np.ndarray,
             shards.append(part)
             part, size = [], 0
     built = [Shard([contexts[i] for i in s]) for s in shards]
-    z, block, _ = interleaved([s.bwt for s in built], p.width)
-    own = block[np.argsort(z, kind="stable")]  # in the order of the shards again
+    z, lcp = interleaved([s.bwt for s in built], p.width)
+    interval = np.cumsum(lcp < p.width) - 1  # a repeated interval: neighbours whose common prefix has the full width
+    own = interval[np.argsort(z, kind="stable")]  # in the order of the shards again
     string = np.concatenate([s.string + part[0] for s, part in zip(built, shards)])
     offset = np.concatenate([s.offset for s in built])
     real = offset < windows[string]
@@ -235,8 +244,8 @@ def _slices(keys: np.ndarray, wanted: list) -> Iterator[slice | None]:
         yield None if x is None else slice(i, j)
 
 
-def _print_rows(batch: pa.RecordBatch, buckets: int, p: Params) -> Iterator[dict]:
-    """Of a batch of documents(doc_id, text, g): for each group and bucket the (fingerprint, document) pairs, packed."""
+def _print_rows(batch: pa.RecordBatch, buckets: int, hot: np.ndarray, p: Params) -> Iterator[dict]:
+    """Of a batch of documents(doc_id, text, g): for each group and bucket the (fingerprint, document) pairs, packed; without hot ones."""
     prints, docs, groups, held = [], [], [], 0
 
     def rows() -> Iterator[dict]:
@@ -251,6 +260,7 @@ def _print_rows(batch: pa.RecordBatch, buckets: int, p: Params) -> Iterator[dict
     for doc, text, g in zip(*(batch.column(i).to_pylist() for i in range(3))):
         for f, _, _ in runs(text, p):
             f = np.unique(f)
+            f = f[~_among(f, hot)]
             prints.append(f), docs.append(np.full(len(f), doc)), groups.append(np.full(len(f), g, np.int32))
             held += len(f)
         if held > 1_000_000:
@@ -260,8 +270,8 @@ def _print_rows(batch: pa.RecordBatch, buckets: int, p: Params) -> Iterator[dict
         yield from rows()
 
 
-def _repeated(table: pa.Table, p: Params) -> pa.Table:
-    """Of a bucket: for each group its documents' fingerprints that other documents have too, and which are hot."""
+def _repeated(table: pa.Table, hot: np.ndarray) -> pa.Table:
+    """Of a bucket: for each group its documents' fingerprints that other documents have too; those in hot aside."""
     f = _joined(table, "prints", unpacked)
     d = _joined(table, "docs", ids_unpacked)
     g = np.repeat(np.array(table.column("g")), [len(x.as_py()) // 6 for x in table.column("prints")]).astype(np.int32)
@@ -271,32 +281,87 @@ def _repeated(table: pa.Table, p: Params) -> pa.Table:
     keep = first | np.concatenate([[True], d[1:] != d[:-1]])
     f, d, g, first = f[keep], d[keep], g[keep], first[keep]
     count = np.diff(np.append(np.flatnonzero(first), len(f)))
-    count = np.repeat(count, count)
-    many = count > 1
-    f, d, g, hot = f[many], d[many], g[many], count[many] > p.hot
+    many = np.repeat(count, count) > 1
+    f, d, g = f[many], d[many], g[many]
     o = np.argsort(g, kind="stable")
-    f, d, g, hot = f[o], d[o], g[o], hot[o]
+    f, d, g = f[o], d[o], g[o]
     c = _cuts(g) if len(g) else np.zeros(1, np.int64)
     spans = list(zip(c[:-1], c[1:]))
-    return pa.table({"g": pa.array(g[c[:-1]], pa.int32()), "n_hot": pa.array([int(hot[i:j].sum()) for i, j in spans], pa.int64()), "docs": pa.array([ids_packed(d[i:j]) for i, j in spans], pa.binary()), "prints": pa.array([packed(f[i:j]) for i, j in spans], pa.binary()), "hot": pa.array([hot[i:j].tobytes() for i, j in spans], pa.binary())})
-
-
-def _wanted(texts: pa.Table, told: pa.Table, hot: bool, p: Params) -> Iterator[tuple]:
-    """Of a group: document, text, and the runs (fingerprint, first window, number) that were told to it, hot or not."""
+    return pa.table({"g": pa.array(g[c[:-1]], pa.int32()), "docs": pa.array([ids_packed(d[i:j]) for i, j in spans], pa.binary()), "prints": pa.array([packed(f[i:j]) for i, j in spans], pa.binary())})
+
+
+def summary(prints: Iterator[np.ndarray], kept: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent of the numbers in prints, and counts that are at most too low by total / (kept / 2): whenever there are more than
+    `kept` numbers, the count of the one in the middle is taken from all, and those without a rest go."""
+    f, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    part: list[np.ndarray] = []
+    held = 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray]:
+        x, m = np.unique(np.concatenate(part), return_counts=True)
+        every = np.concatenate([f, x])
+        u, at = np.unique(every, return_inverse=True)
+        total = np.zeros(len(u), np.int64)
+        np.add.at(total, at, np.concatenate([n, m]))
+        if len(u) > kept:
+            total -= np.partition(total, -(kept // 2))[-(kept // 2)]
+            u, total = u[total > 0], total[total > 0]
+        return u, total
+
+    for x in prints:
+        part.append(x)
+        held += len(x)
+        if held > 2_000_000:
+            f, n = joined()
+            part, held = [], 0
+    return joined() if part else (f, n)
+
+
+def hot_prints(live: DataFrame, hot: int, p: Params) -> np.ndarray:
+    """The sorted fingerprints of `hot` documents or more, and some of half as many. What comes to the driver is bounded: twice the number of
+    fingerprints in all documents, divided by hot."""
+    tasks = live.rdd.getNumPartitions()
+    least = max(1, hot // (2 * tasks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = (np.unique(np.concatenate([f for f, _, _ in runs(t, p)])) for b in batches for t in b.column(0).to_pylist() if len(t) >= p.width)
+        f, n = summary(each, p.kept)
+        f, n = f[n >= least], n[n >= least]
+        yield pa.RecordBatch.from_arrays([pa.array(f.view(np.int64)), pa.array(n)], names=["f", "n"])
+
+    found = live.select("text").mapInArrow(run, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n")).where(F.col("n") * 2 >= hot).select("f").collect()
+    return np.array(sorted(r["f"] for r in found), np.int64).view(np.uint64)
+
+
+def _among(f: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of f are in the sorted array known."""
+    return known[np.minimum(np.searchsorted(known, f), len(known) - 1)] == f if len(known) else np.zeros(len(f), bool)
+
+
+def _tags(ids: list, texts: pa.ChunkedArray, live: list[bool]) -> list[int]:
+    """What tells live rows with the same doc_id, which are all in one group, from each other: 0 where there is one only."""
+    count: dict = {}
+    for i, x in zip(ids, live):
+        count[i] = count.get(i, 0) + x
+    return [xxhash.xxh3_64_intdigest(t.as_py()) >> 1 if count[i] > 1 else 0 for i, t in zip(ids, texts)]
+
+
+def _wanted(texts: pa.Table, told: pa.Table, p: Params) -> Iterator[tuple]:
+    """Of a group: document, tag, text, and the runs (fingerprint, first window, number) that were told to it."""
     if not told.num_rows or not texts.num_rows:
         return
     d, f = _joined(told, "docs", ids_unpacked), _joined(told, "prints", unpacked)
-    ok = _joined(told, "hot", lambda x: np.frombuffer(x, bool)) == hot
-    o = np.lexsort((f[ok], d[ok]))
-    d, f = d[ok][o], f[ok][o]
+    o = np.lexsort((f, d))
+    d, f = d[o], f[o]
     ids = texts.column("doc_id").to_pylist()
-    for doc, text, at in zip(ids, texts.column("text"), _slices(d, ids)):
+    tags = _tags(ids, texts.column("text"), [True] * len(ids))
+    for doc, tag, text, at in zip(ids, tags, texts.column("text"), _slices(d, ids)):
         mine = f[at]
         if len(mine):
             text = text.as_py()
             for x, start, n in runs(text, p):
-                has = mine[np.minimum(np.searchsorted(mine, x), len(mine) - 1)] == x
-                yield doc, text, x[has], start[has], n[has]
+                has = _among(x, mine)
+                yield doc, tag, text, x[has], start[has], n[has]
 
 
 RUNS = "bucket int, g int, runs binary"
@@ -304,30 +369,30 @@ RUNS = "bucket int, g int, runs binary"
 
 def _run_rows(texts: pa.Table, told: pa.Table, buckets: int, p: Params) -> pa.Table:
     """Of a group: for each bucket the runs whose fingerprints repeat, with their bytes, packed and compressed."""
-    fs, ds, starts, ns, bytes_ = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-    for doc, text, f, s, n in _wanted(texts, told, False, p):
-        fs.append(f), ds.append(np.full(len(f), doc)), starts.append(s), ns.append(n)
+    fs, ds, ts, starts, ns, bytes_ = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+    for doc, tag, text, f, s, n in _wanted(texts, told, p):
+        fs.append(f), ds.append(np.full(len(f), doc)), ts.append(np.full(len(f), tag)), starts.append(s), ns.append(n)
         bytes_ += [text[a : a + k] for a, k in zip(s.tolist(), (n + p.width - 1).tolist())]
-    f, d, s, n = (np.concatenate(x) for x in (fs, ds, starts, ns))
+    f, d, t, s, n = (np.concatenate(x) for x in (fs, ds, ts, starts, ns))
     b = (f % np.uint64(buckets)).astype(np.int32)
     o = np.lexsort((f, b))
     out: dict[str, list] = {"bucket": [], "runs": []}
     c = _cuts(b[o]) if len(o) else np.zeros(1, np.int64)
     for i, j in zip(c[:-1], c[1:]):
         k = o[i:j]
-        raw = b"".join([struct.pack("<I", len(k)), packed(f[k]), s[k].astype(np.uint32).tobytes(), n[k].astype(np.uint8).tobytes(), b"".join([bytes_[x] for x in k.tolist()]), ids_packed(d[k])])
+        raw = b"".join([struct.pack("<I", len(k)), packed(f[k]), s[k].astype(np.uint32).tobytes(), n[k].astype(np.uint8).tobytes(), _longs(t[k]), b"".join([bytes_[x] for x in k.tolist()]), ids_packed(d[k])])
         out["bucket"].append(int(b[k[0]]))
         out["runs"].append(struct.pack("<I", len(raw)) + pa.compress(raw, "zstd", asbytes=True))
     g = texts.column("g")[0].as_py() if texts.num_rows else 0
     return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "g": pa.array([g] * len(out["bucket"]), pa.int32()), "runs": pa.array(out["runs"], pa.binary())})
 
 
-SPANS = "g int, docs binary, firsts binary, ns binary"
+SPANS = "g int, docs binary, tags binary, firsts binary, ns binary"
 
 
 def _decided(table: pa.Table, p: Params) -> pa.Table:
-    """Of a bucket: for each group the windows of its documents that go, as (document, first, number)."""
-    fs, ds, ss, ns, gs, cids = [], [], [], [], [], []
+    """Of a bucket: for each group the windows of its documents that go, as (document, tag, first, number)."""
+    fs, ds, ts, ss, ns, gs, cids = [], [], [], [], [], [], []
     number: dict[bytes, int] = {}
     contexts: list[bytes] = []
     for g, x in zip(table.column("g").to_pylist(), table.column("runs")):
@@ -338,8 +403,9 @@ def _decided(table: pa.Table, p: Params) -> pa.Table:
         ss.append(np.frombuffer(raw, np.uint32, m, 4 + 6 * m))
         n = np.frombuffer(raw, np.uint8, m, 4 + 10 * m)
         ns.append(n)
+        ts.append(np.frombuffer(raw, np.int64, m, 4 + 11 * m))
         gs.append(np.full(m, g, np.int32))
-        at = 4 + 11 * m
+        at = 4 + 19 * m
         ends = at + np.cumsum(n.astype(np.int64) + p.width - 1)
         ds.append(ids_unpacked(raw[int(ends[-1]) :]))
         mine = np.empty(m, np.int32)
@@ -351,8 +417,8 @@ def _decided(table: pa.Table, p: Params) -> pa.Table:
             mine[k] = i
             at = z
         cids.append(mine)
-    f, d, s, n, g, cid = (np.concatenate(x) for x in (fs, ds, ss, ns, gs, cids))
-    del fs, ds, ss, ns, gs, cids, number
+    f, d, t, s, n, g, cid = (np.concatenate(x) for x in (fs, ds, ts, ss, ns, gs, cids))
+    del fs, ds, ts, ss, ns, gs, cids, number
     least = np.full(len(contexts), np.iinfo(np.int64).max)
     np.minimum.at(least, cid, d)
     cf, cn = np.empty(len(contexts), np.uint64), np.empty(len(contexts), np.int64)
@@ -366,61 +432,71 @@ def _decided(table: pa.Table, p: Params) -> pa.Table:
     if len(which):
         minima[np.repeat(hard, cn)] = window_minima([contexts[i] for i in which], cn[which], least[which], p)
     del contexts
-    docs, groups, windows = [], [], []
+    out: list[tuple] = []
     for i in range(0, len(d), 50_000):
         part = slice(i, i + 50_000)
         k = n[part].astype(np.int64)
         occ = np.repeat(np.arange(len(k)), k)
         j = np.arange(len(occ)) - np.repeat(np.cumsum(k) - k, k)
         go = d[part][occ] > minima[base[cid[part][occ]] + j]
-        docs.append(d[part][occ[go]]), groups.append(g[part][occ[go]]), windows.append((s[part][occ[go]] + j[go]).astype(np.int64))
-    return _span_rows(np.concatenate(groups), np.concatenate(docs), np.concatenate(windows))
-
-
-def _span_rows(g: np.ndarray, doc: np.ndarray, w: np.ndarray) -> pa.Table:
-    """Windows that go, as runs, a row for each group."""
-    o = np.lexsort((w, doc, g))
-    g, doc, w = g[o], doc[o], w[o]
+        at = occ[go]
+        out.append((g[part][at], d[part][at], t[part][at], s[part][at] + j[go]))
+    return _span_rows(*(np.concatenate(x) for x in zip(*out)))
+
+
+def _span_rows(g: np.ndarray, doc: np.ndarray, tag: np.ndarray, w: np.ndarray) -> pa.Table:
+    """Windows that go, as runs, a row for each group. Tags are left out where all are 0."""
+    if not len(w):
+        return pa.table({"g": pa.array([], pa.int32())} | {k: pa.array([], pa.binary()) for k in ("docs", "tags", "firsts", "ns")})
+    w = w.astype(np.int64)
+    o = np.lexsort((w, tag, doc, g))
+    g, doc, tag, w = g[o], doc[o], tag[o], w[o]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (w[1:] > w[:-1] + 1)
+    new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (w[1:] > w[:-1] + 1)
     a = np.flatnonzero(new)
     last = np.append(a[1:], len(doc)) - 1
-    g, doc, first, n = g[a], doc[a], w[a], w[last] - w[a] + 1
-    c = _cuts(g) if len(g) else np.zeros(1, np.int64)
+    g, doc, tag, first, n = g[a], doc[a], tag[a], w[a], w[last] - w[a] + 1
+    c = _cuts(g)
     spans = list(zip(c[:-1], c[1:]))
-    return pa.table({"g": pa.array(g[c[:-1]], pa.int32())} | {k: pa.array([_longs(v[i:j]) for i, j in spans], pa.binary()) for k, v in (("docs", doc), ("firsts", first), ("ns", n))})
+    tags = [_longs(tag[i:j]) if tag[i:j].any() else b"" for i, j in spans]
+    return pa.table({"g": pa.array(g[c[:-1]], pa.int32()), "docs": pa.array([_longs(doc[i:j]) for i, j in spans], pa.binary()), "tags": pa.array(tags, pa.binary())} | {k: pa.array([_longs(v[i:j]) for i, j in spans], pa.binary()) for k, v in (("firsts", first), ("ns", n))})
 
 
-def _hot_rows(texts: pa.Table, told: pa.Table, p: Params) -> pa.Table:
+def _hot_rows(texts: pa.Table, hot: np.ndarray, p: Params) -> pa.Table:
     """Of a group: the windows of hot fingerprints, one by one."""
-    doc_, win, start = [], [], []
-    for doc, text, _, s, n in _wanted(texts, told, True, p):
-        w = [x for a, k in zip(s.tolist(), n.tolist()) for x in range(a, a + k)]
-        doc_ += [doc] * len(w)
-        win += [text[x : x + p.width] for x in w]
-        start += w
-    g = texts.column("g")[0].as_py() if texts.num_rows else 0
-    return pa.table({"g": pa.array([g] * len(win), pa.int32()), "doc_id": pa.array(doc_, pa.int64()), "win": pa.array(win, pa.binary()), "start": pa.array(start, pa.int64())})
+    doc_, tag_, win, start = [], [], [], []
+    ids = texts.column("doc_id").to_pylist()
+    for doc, tag, text in zip(ids, _tags(ids, texts.column("text"), [True] * len(ids)), texts.column("text")):
+        text = text.as_py()
+        for f, s, n in runs(text, p):
+            has = _among(f, hot)
+            w = [x for a, k in zip(s[has].tolist(), n[has].tolist()) for x in range(a, a + k)]
+            doc_ += [doc] * len(w)
+            tag_ += [tag] * len(w)
+            win += [text[x : x + p.width] for x in w]
+            start += w
+    return pa.table({"g": pa.array([texts.column("g")[0].as_py()] * len(win), pa.int32()), "doc_id": pa.array(doc_, pa.int64()), "tag": pa.array(tag_, pa.int64()), "win": pa.array(win, pa.binary()), "start": pa.array(start, pa.int64())})
 
 
 def _going(texts: pa.Table, spans: pa.Table, p: Params) -> Iterator[np.ndarray]:
     """Of a group: for each text which of its bytes go."""
     read = lambda x: np.frombuffer(x, np.int64)
     d, first, n = (_joined(spans, k, read) for k in ("docs", "firsts", "ns"))
-    o = np.argsort(d, kind="stable")
-    d, first, end = d[o], first[o], first[o] + n[o] + p.width - 1
-    ids = texts.column("_id").to_pylist()
-    for text, copy, at in zip(texts.column("_text"), texts.column("copy").to_pylist(), _slices(d, ids)):
+    tag = np.concatenate([np.zeros(0, np.int64), *(read(x.as_py() or bytes(len(y.as_py()))) for x, y in zip(spans.column("tags"), spans.column("docs")))])
+    o = np.lexsort((tag, d))
+    d, tag, first, end = d[o], tag[o], first[o], first[o] + n[o] + p.width - 1
+    ids, copies = texts.column("_id").to_pylist(), texts.column("copy").to_pylist()
+    tags = _tags(ids, texts.column("_text"), [not x for x in copies])
+    for text, copy, mine, at in zip(texts.column("_text"), copies, tags, _slices(d, ids)):
         size = len(text.as_py())
         if copy and size >= p.width:
             yield np.ones(size, bool)
             continue
         step = np.zeros(size + 1, np.int32)
         if at is not None and at.stop > at.start:
-            a, z = first[at], end[at]
-            fits = z <= size  # another row of this id may be longer
-            np.add.at(step, a[fits], 1)
-            np.add.at(step, z[fits], -1)
+            own = tag[at] == mine
+            np.add.at(step, first[at][own], 1)
+            np.add.at(step, end[at][own], -1)
         yield np.cumsum(step[:-1]) > 0
 
 
@@ -431,35 +507,40 @@ def removals(docs: DataFrame, p: Params, others: list[str]) -> tuple[DataFrame,
     """A table of texts, bucketed by group: _g, _id, _text (binary, null: empty), copy (if a smaller id has the whole text), and the columns
     `others` as _o0, _o1, ...; and the spans that go, packed by bucket and group. Both are dealt alike."""
     spark = docs.sparkSession
-    ids = cut(docs.select(F.col("doc_id").cast("bigint"), F.unhex(F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)).alias("sha"), F.octet_length("text").alias("n")))
-    total = ids.agg(F.sum("n")).first()[0] or 0
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ids = cut(docs.select(F.col("doc_id").cast("bigint"), F.unhex(F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)).alias("sha")).distinct())
     buckets = max(partitions(spark), -(-total // p.bucket_bytes))
+    n = min(buckets, p.most)
     group = lambda c: F.pmod(F.xxhash64(c), F.lit(p.groups * buckets)).cast("int")
     groups = ids.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
-    copies = ids.join(groups, "sha").where("doc_id > first").select("doc_id", F.col("sha").alias("_sha")).distinct()
+    copies = ids.join(groups, "sha").where("doc_id > first").select("doc_id", F.col("sha").alias("_sha"))
     # the one shuffle of the texts; the table it fills is bucketed, so what follows meets it where it is
-    wide = docs.select(group(F.col("doc_id").cast("bigint")).alias("_g"), F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("_text"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(others)])
-    flags = copies.withColumn("_cg", group(F.col("doc_id"))).repartition(buckets, "_cg").hint("shuffle_hash")
+    wide = docs.select(group(F.col("doc_id").cast("bigint")).alias("_g"), F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("_text"), *[named(c).alias(f"_o{i}") for i, c in enumerate(others)])
+    flags = copies.withColumn("_cg", group(F.col("doc_id"))).repartition(n, "_cg").hint("shuffle_hash")
     same = (F.col("_g") == F.col("_cg")) & (F.col("_id") == F.col("doc_id")) & (F.unhex(F.sha2("_text", 256)) == F.col("_sha"))
-    dealt = wide.repartition(buckets, "_g").join(flags, same, "left").withColumn("copy", F.col("doc_id").isNotNull()).drop("doc_id", "_sha", "_cg")
-    texts = bucketed(dealt, buckets, "_g", "texts")
+    dealt = wide.repartition(n, "_g").join(flags, same, "left").withColumn("copy", F.col("doc_id").isNotNull()).drop("doc_id", "_sha", "_cg")
+    texts = bucketed(dealt, n, "_g", "texts")
     release(spark)
     live = texts.where("_id is not null and not copy").select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_g").alias("g"))
-    prints = arrow_map(live, lambda b: _print_rows(b, buckets, p), "bucket int, g int, prints binary, docs binary")
-    told = cut(prints.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _repeated(t, p), "g int, n_hot bigint, docs binary, prints binary, hot binary"))
+    hot, most = np.zeros(0, np.uint64), max(p.hot, total >> 23)
+    if ids.count() >= most:
+        hot = hot_prints(live, most, p)
+        release(spark)
+    known = spark.sparkContext.broadcast(hot)
+    prints = arrow_map(live, lambda b: _print_rows(b, buckets, known.value, p), "bucket int, g int, prints binary, docs binary")
+    told = cut(prints.repartition(n, "bucket").groupBy("bucket").applyInArrow(lambda t: _repeated(t, known.value), "g int, docs binary, prints binary"))
     release(spark)
-    asked = lambda f, schema: live.groupBy("g").cogroup(told.repartition(buckets, "g").groupBy("g")).applyInArrow(f, schema)
-    found = asked(lambda x, y: _run_rows(x, y, buckets, p), RUNS)
-    spans = cut(found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _decided(t, p), SPANS))
+    found = live.groupBy("g").cogroup(told.repartition(n, "g").groupBy("g")).applyInArrow(lambda x, y: _run_rows(x, y, buckets, p), RUNS)
+    spans = cut(found.repartition(n, "bucket").groupBy("bucket").applyInArrow(lambda t: _decided(t, p), SPANS))
     release(spark)
-    if told.where("n_hot > 0").take(1):
-        windows = asked(lambda x, y: _hot_rows(x, y, p), "g int, doc_id bigint, win binary, start bigint")
+    if len(hot):
+        windows = live.groupBy("g").applyInArrow(lambda x: _hot_rows(x, known.value, p), "g int, doc_id bigint, tag bigint, win binary, start bigint")
         least = cut(windows.groupBy("win").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("win", "least"))
-        gone = windows.join(F.broadcast(least) if least.count() <= p.held_windows else least, "win").where("doc_id > least").select("g", "doc_id", "start")
-        pack = lambda b: iter(_span_rows(*(np.array(b.column(i)) for i in range(3))).to_batches())
+        gone = windows.join(F.broadcast(least) if least.count() <= p.held_windows else least, "win").where("doc_id > least").select("g", "doc_id", "tag", "start")
+        pack = lambda b: iter(_span_rows(*(np.array(b.column(i)) for i in range(4))).to_batches())
         spans = cut(spans.union(gone.mapInArrow(lambda batches: (y for b in batches for y in pack(b)), SPANS)))
         release(spark)
-    return texts, spans.repartition(buckets, "g")
+    return texts, spans.repartition(n, "g")
 
 
 def _applied(docs: DataFrame, p: Params, others: list[str], f, schema) -> DataFrame:

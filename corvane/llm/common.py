@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Mixing constants of the 64-bit hashes; any fixed odd numbers would do.
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -58,9 +59,16 @@ def partitions(spark: SparkSession) -> int:
 def bucketed(df: DataFrame, n: int, key: str, kind: str) -> DataFrame:
     """df, already dealt by key into n partitions, as a table in the shared folder that is bucketed by key: joins and groupings on key find it
     dealt and don't shuffle it again."""
-    name = f"corvane_{uuid.uuid4().hex}"
-    df.write.format("parquet").option("compression", "zstd").option("path", new_folder(df.sparkSession, kind)).bucketBy(n, key).saveAsTable(name)
-    return df.sparkSession.table(name)
+    spark, name = df.sparkSession, f"corvane_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("compression", "zstd").option("path", new_folder(spark, kind)).bucketBy(n, key).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only the catalogue's entry; the files are in a folder of their own and out knows how they are dealt
+    return out
+
+
+def named(column: str) -> Column:
+    """The column of that name, whatever is in the name."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 class WordHash(dict):

@@ -73,7 +73,7 @@ def test_merged_transform_is_the_sorted_one():
     r = random.Random(3)
     contexts = sorted({bytes(r.choice(b"ab") for _ in range(r.randint(50, 70))) for _ in range(40)})
     parts = [B.Shard(contexts[i::3]) for i in range(3)]
-    z, block, lcp = B.interleaved([s.bwt for s in parts], 50)
+    z, lcp = B.interleaved([s.bwt for s in parts], 50)
     names = [[contexts[i::3][s][o:] for s, o in zip(p.string, p.offset)] for i, p in enumerate(parts)]
     at = [iter(x) for x in names]
     merged = [next(at[k]) + bytes([255]) * 50 for k in z]
@@ -83,10 +83,9 @@ def test_merged_transform_is_the_sorted_one():
             continue
         common = next((j for j in range(50) if merged[i][j] != merged[i - 1][j]), 50)
         assert lcp[i] == common // 2 * 2
-        assert (block[i] == block[i - 1]) == (common >= 50)
 
 
-@pytest.mark.parametrize("seed,params", [(1, SMALL), (2, SMALL), (3, B.Params(hot=2, shard_bytes=500)), (4, B.Params())])
+@pytest.mark.parametrize("seed,params", [(1, SMALL), (2, SMALL), (3, B.Params(hot=2, shard_bytes=500)), (4, B.Params()), (5, B.Params(hot=12, bucket_bytes=500, most=3))])
 def test_whole_operator_equals_brute_force(spark, seed, params):
     rows = corpus(seed)
     got = B.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), params)
@@ -103,3 +102,38 @@ def test_nulls_ties_empties_and_clashing_columns(spark):
     left = B.without_repeats(df.select("doc_id", "text", "sha"))
     assert left.columns == ["doc_id", "text", "sha"]
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([(1, x), (1, x), (2, "!"), (2, "!"), (3, None), (None, x), (4, ""), (5, "ünïcödé "), (6, "ab" * 80)], key=str) 
+
+
+@pytest.mark.parametrize("params", [B.Params(), B.Params(hot=2, bucket_bytes=200, most=2)])
+def test_rows_of_a_doc_id_lose_their_own_bytes_only(spark, params):
+    r = random.Random(9)
+    p, q, x = ("".join(r.choice("abcdefgh ") for _ in range(120)) for _ in range(3))
+    rows = [(1, p), (2, p + " tail"), (2, q), (2, q + p), (3, q), (3, x + p[:70]), (3, p[:70] + x), (4, x), (4, x), (5, p), (5, q[:60] + x)]
+    for t in (rows, rows[::-1]):
+        got = B.substring_dedup(spark.createDataFrame(t, "doc_id long, text string"), params)
+        assert sorted((tuple(y) for y in got.collect()), key=str) == brute(t)
+
+
+def test_more_buckets_than_a_table_can_have(spark):
+    """100,000 is the most that bucketBy takes."""
+    rows = corpus(6, 12)
+    got = B.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), B.Params(bucket_bytes=1, groups=40, most=4)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("corvane_")]
+
+
+def test_long_texts(spark):
+    r = random.Random(11)
+    long = "".join(r.choice("abcdefghijk \n") for _ in range(400_000))
+    rows = [(1, long), (2, "x" * 200_000), (3, long[1000:1200] + "é" * 100), (4, "y" + long[:300_000])]
+    got = {x.doc_id: x.n_removed for x in B.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), B.Params(piece=50_000)).collect()}
+    assert got == {1: 0, 2: 0, 3: 200, 4: 300_000}
+
+
+def test_summaries_keep_what_is_frequent():
+    r = np.random.default_rng(1)
+    parts = [r.integers(0, 10**6, 300_000).astype(np.uint64) for _ in range(30)] + [np.full(50_000, 7, np.uint64)] * 4
+    r.shuffle(parts)
+    f, n = B.summary(iter(parts), 10_000)
+    total = sum(map(len, parts))
+    assert len(f) <= 10_000 and 200_000 - total / 5000 <= int(n[f == 7][0]) <= 200_100
