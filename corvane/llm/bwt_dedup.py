@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import C1, C2, arrow_map, bucketed, cut, named, partitions, release
+from corvane.llm.common import C1, C2, arrow_map, bucketed, cut, named, partitions, release, setting
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 #: UTF-8 has no such byte; it ends a context.
@@ -519,7 +519,9 @@ def removals(docs: DataFrame, p: Params, others: list[str]) -> tuple[DataFrame,
     flags = copies.withColumn("_cg", group(F.col("doc_id"))).repartition(n, "_cg").hint("shuffle_hash")
     same = (F.col("_g") == F.col("_cg")) & (F.col("_id") == F.col("doc_id")) & (F.unhex(F.sha2("_text", 256)) == F.col("_sha"))
     dealt = wide.repartition(n, "_g").join(flags, same, "left").withColumn("copy", F.col("doc_id").isNotNull()).drop("doc_id", "_sha", "_cg")
-    texts = bucketed(dealt, n, "_g", "texts")
+    # both sides are dealt by _g, which is enough for a join on it and more; else Spark would deal the texts again by all keys
+    with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        texts = bucketed(dealt, n, "_g", "texts")
     release(spark)
     live = texts.where("_id is not null and not copy").select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_g").alias("g"))
     hot, most = np.zeros(0, np.uint64), max(p.hot, total >> 23)

@@ -7,6 +7,7 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -66,11 +67,41 @@ def bucketed(df: DataFrame, n: int, key: str, kind: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for what is run within."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def named(column: str) -> Column:
     """The column of that name, whatever is in the name."""
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def free(prefix: str, df: DataFrame) -> str:
+    """A prefix that no column of df begins with."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = f"_{prefix}"
+    return prefix
+
+
+def filtered(df: DataFrame, column: str, stays: Callable[[bytes | None], bool]) -> DataFrame:
+    """The rows of df for whose text in `column` stays is true, with all their columns, whatever these are called; one pass in Arrow batches."""
+    at = df.columns.index(column)
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([stays(x) for x in batch.column(at).cast(pa.binary()).to_pylist()], pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 class WordHash(dict):
     """word (bytes) -> 64-bit hash; look-ups of words already seen stay in C."""
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.common import WordHash, arrow_map, cut, partitions, release, shingle_hashes
-from corvane.llm.graph import components
+from corvane.llm.graph import components, joined
 
 #: Shift of the registers, so that all sets from 1 to 2**60 shingles have registers in 16 bits.
 SHIFT = 6000
@@ -141,7 +141,7 @@ def features(docs: DataFrame, p: Params) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """A row for each row of docs(doc_id, text): doc_id, n_shingles, component_id (the least doc_id linked, over any number of links),
-    kept (doc_id = component_id), n_links (verified links of the row's class, of those that were needed)."""
+    kept (doc_id = component_id)."""
     feats = cut(features(docs, p))
     classes = cut(feats.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("reg").alias("reg")))
     width = 2 * p.rows
@@ -153,21 +153,22 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     texts_of = _Texts(docs, members.select("node").distinct())
     release(docs.sparkSession)
     first = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = cut(_verified(_estimated(first, classes, p), texts_of, p).union(_same_document(feats, classes)))
-    comps = cut(components(links))
+    links = _verified(_estimated(first, classes, p), texts_of, p)
+    twice = _several(feats)
+    if twice.take(1):
+        links = links.union(_same_document(twice, feats, classes))
+    comps = cut(components(cut(links)))
     open_ = cut(_open(members.where("size > 2").drop("least"), comps))
     release(docs.sparkSession)
     more = _verified(_estimated(_few(open_, p), classes, p), texts_of, p).union(_blocks(open_, texts_of, p))
-    more = cut(more.distinct())
+    more = cut(more)
     if more.take(1):
-        links = links.union(more)
-        comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
+        comps = cut(joined(comps, more))
     labels = classes.select("digest", F.col("node").alias("_node")).join(comps.withColumnRenamed("node", "_node"), "_node", "left")
-    degree = links.distinct().select(F.explode(F.array("a", "b")).alias("_node")).groupBy("_node").agg(F.count("*").alias("n_links"))
-    labels = labels.join(degree, "_node", "left").select("digest", F.coalesce("component", "_node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    labels = labels.select("digest", F.coalesce("component", "_node").alias("component"))
     out = feats.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(labels, "digest", "left")
     comp = F.coalesce("component", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == comp)).alias("kept"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == comp)).alias("kept"))
 
 
 def representatives(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -201,7 +202,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
         ok = pa.array(plausible(k1, k2, np.array(batch.column(2)), np.array(batch.column(4)), p))
         yield {"a": batch.column(0).filter(ok), "b": batch.column(1).filter(ok)}
 
-    return arrow_map(wide.select("a", "b", "n1", "k1", "n2", "k2"), run, "a bigint, b bigint").distinct()
+    return arrow_map(wide.select("a", "b", "n1", "k1", "n2", "k2"), run, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, texts: _Texts, p: Params) -> DataFrame:
@@ -221,15 +222,20 @@ def _verified(pairs: DataFrame, texts: _Texts, p: Params) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     wide = texts.on(texts.on(pairs, "b", "t2"), "a", "t1").select("a", "b", "t1", "t2")
-    return wide.mapInArrow(run, "a bigint, b bigint").distinct()
+    return wide.mapInArrow(run, "a bigint, b bigint")
 
 
-def _same_document(feats: DataFrame, classes: DataFrame) -> DataFrame:
-    """A link between classes for each doc_id that has texts of several."""
-    several = feats.where("digest is not null and doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc_id")
-    nodes = feats.join(several, "doc_id", "left_semi").select("doc_id", "digest").distinct().join(classes.select("digest", "node"), "digest")
+def _several(feats: DataFrame) -> DataFrame:
+    """The doc_ids that have texts of several classes."""
+    ids = feats.where("digest is not null and doc_id is not null").select("doc_id", F.xxhash64("digest").alias("h"))
+    return cut(ids.groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("doc_id"))
+
+
+def _same_document(several: DataFrame, feats: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links that join these classes for each such doc_id."""
+    nodes = feats.where("digest is not null").join(several, "doc_id", "left_semi").select("doc_id", "digest").distinct().join(classes.select("digest", "node"), "digest")
     least = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
-    return nodes.join(least, "doc_id").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    return nodes.join(least, "doc_id").where("a <> node").select("a", F.col("node").alias("b"))
 
 
 def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
@@ -268,7 +274,7 @@ def _blocks(open_: DataFrame, texts: _Texts, p: Params) -> DataFrame:
 
     # the work is by pairs, not by bytes, so the number of tasks is given
     wide = met.join(sets, "node").repartition(4 * partitions(open_.sparkSession), "key", "lo", "hi")
-    return wide.groupBy("key", "lo", "hi").applyInArrow(linked, "a bigint, b bigint").distinct()
+    return wide.groupBy("key", "lo", "hi").applyInArrow(linked, "a bigint, b bigint")
 
 
 def joining(node: np.ndarray, comp: np.ndarray, mine: np.ndarray, sets: list[np.ndarray], pct: int) -> tuple[list[int], list[int]]:
