@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import WordHash, arrow_map, cut, shingle_hashes
+from corvane.llm.common import WordHash, arrow_map, cut, filtered, free, named, shingle_hashes
 
 #: A-Z lower-cased; what isn't a word byte becomes a space.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -141,17 +141,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFr
     """The rows of docs that aren't contaminated, with all their columns."""
     items, few = _items(benchmark, p)
     if not few:
-        rows = cut(docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row_")))
-        bad = _joined(rows, items, p, "_row_").where("contaminated").select(F.col("row").alias("_row_"))
-        return rows.join(bad, "_row_", "left_anti").select(*docs.columns)
-    search, at = _search(docs, items, p), docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            yield batch.filter(pa.array([not search(t)[3] for t in texts], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+        row = free("row_", docs)
+        rows = cut(docs.select("*", F.monotonically_increasing_id().alias(row)))
+        bad = _joined(rows, items, p, row).where("contaminated").select(F.col("row").alias(row))
+        return rows.join(bad, row, "left_anti").select(*map(named, docs.columns))
+    search = _search(docs, items, p)
+    return filtered(docs, "text", lambda t: not search(t)[3])
 
 
 def _items(benchmark: DataFrame, p: Params) -> tuple[DataFrame, bool]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import arrow_map
+from corvane.llm.common import arrow_map, filtered
 
 SYMBOLS = b"#*$%&|<>"
 SCHEMA = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, covered_words bigint, longest_repeat bigint"
@@ -28,7 +28,8 @@ SCHEMA = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_
 class Rules:
     """Limits. A document passes with at least min_words words, at most repeat_pct percent of words in repeated windows of
     `window` words; and, by the suffix array: repeats of span words or more cover at most covered_pct percent of the words, and
-    no repeat is longer than both longest_words words and longest_pct percent of the words."""
+    no repeat is longer than both longest_words words and longest_pct percent of the words (less than half of repeat_pct, else two copies of
+    such a repeat would fail that limit first)."""
 
     min_words: int = 20
     window: int = 8
@@ -36,7 +37,7 @@ class Rules:
     span: int = 5
     covered_pct: int = 40
     longest_words: int = 100
-    longest_pct: int = 25
+    longest_pct: int = 10
 
 
 def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,11 +138,4 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def passing(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns; one pass, no join."""
-    at = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            yield batch.filter(pa.array([judged(x, rules)[6] for x in texts], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    return filtered(docs, "text", lambda x: judged(x, rules)[6])

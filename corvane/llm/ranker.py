@@ -3,7 +3,8 @@
 From labelled documents, pairs (one marked good, one marked bad) say which of two is better; the probability that a beats b is
 sigmoid(w . (f(a) - f(b))), and w minimises the logistic loss over pairs, by Newton steps with a ridge. What makes w . f(x) a
 score from 0 to 1 is a monotone map fitted on the same documents (Platt's), so that documents
-above the cut at `cut_at` are expected to be good with that probability or more. The cut is fixed; no quantile is computed.
+above the cut at `cut_at` are expected to be good with that probability or more. Documents are selected by a threshold at a quantile of
+the scores of all documents, found exactly (to 2**-32) from counts by score in two steps.
 
 Labels come only from rows whose crc32(doc_id as text) mod `folds` isn't 0. Inputs of a score are counts over the whole text, never
 doc_id, labels, lang or source. The fit uses at most `sample` labelled documents, those with the least hashes of doc_id (the
@@ -28,9 +29,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import arrow_map
+from corvane.llm.common import arrow_map, cut
 
 SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
+STEP = 1 << 16
 #: Characters counted one by one.
 MARKS = b"|#*$%&<>!?.,;:-_/\\@{}()[]=+~^\"'`"
 
@@ -38,7 +40,8 @@ MARKS = b"|#*$%&<>!?.,;:-_/\\@{}()[]=+~^\"'`"
 @dataclass(frozen=True)
 class Params:
     """sample: labelled documents used for the fit, at most. pairs: made of them. cut_at: least score of a document predicted good. hashed:
-    buckets of word endings and shapes. ridge: of the loss. folds: every document whose remainder is 0 is held out."""
+    buckets of word endings and shapes. ridge: of the loss. folds: every document whose remainder is 0 is held out. share: of the
+    documents, to be selected by score."""
 
     sample: int = 20_000
     pairs: int = 200_000
@@ -46,6 +49,7 @@ class Params:
     hashed: int = 64
     ridge: float = 1e-3
     folds: int = 5
+    share: float = 0.7
 
 
 def features(text: bytes | None, p: Params) -> np.ndarray:
@@ -140,15 +144,40 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
         x = [features(t, p) for t in batch.column(1).to_pylist()]
         yield {"doc_id": batch.column(0), "quality": batch.column(2), "x": pa.array([v.tobytes() for v in x], pa.binary())}
 
-    got = arrow_map(rows.select("doc_id", "text", F.col("quality").cast("int")), run, "doc_id bigint, quality int, x binary").collect()
+    got = arrow_map(rows.select("doc_id", "text", F.col("quality").cast("int")), run, "doc_id bigint, quality int, x binary")
+    # rows that repeat an id don't raise the number that comes to the driver
+    got = got.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(p.sample).collect()
     got.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
     x = np.stack([np.frombuffer(r["x"], np.float64) for r in got]) if got else np.zeros((0, len(features(b"", p))))
     return fit(x, np.array([r["quality"] for r in got]), p)
 
 
+def quantile(scores: DataFrame, share: float) -> float:
+    """The largest multiple of 2**-32 that a share of the scores (0 to 1), or more, reach. The driver holds at most 2**16 counts at once."""
+    n = scores.count()
+    if share * n <= 0:
+        return 1.0
+    lo, above = 0, 0  # in units of 2**-32; scores beyond the bin looked at
+    for width in (STEP, 1):
+        unit = F.least(F.floor(F.col("score") * float(STEP * STEP)), F.lit(STEP * STEP - 1)).cast("bigint")
+        part = scores.select(F.floor((unit - lo) / width).cast("bigint").alias("bin")).where(F.col("bin").between(0, STEP - 1))
+        for b, m in sorted(part.groupBy("bin").agg(F.count("*").alias("n")).collect(), reverse=True):
+            if above + m >= share * n:
+                lo += b * width
+                break
+            above += m
+    return lo / float(STEP * STEP)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
-    """A row for each row of docs(doc_id, text): held_out, score, predicted (1 if score >= cut_at)."""
-    model = train(docs, labels, p)
+    """A row for each row of docs(doc_id, text): held_out, score, predicted (1 if score >= cut_at), selected (score at or over the quantile that
+    p.share of all documents reach)."""
+    scores = cut(scored(docs, train(docs, labels, p), p))
+    return scores.withColumn("selected", F.col("score") >= quantile(scores, p.share))
+
+
+def scored(docs: DataFrame, model: Model, p: Params) -> DataFrame:
+    """held_out, score and predicted of docs by a model."""
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

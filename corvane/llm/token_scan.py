@@ -10,6 +10,9 @@ document it continues. Tokens after a file's last end are a last document if the
 each, which the files themselves don't have. Files are written under names of their own attempt; the returned order, written to
 the shared folder, is what commits them.
 
+Long runs of white space, on which the tokenizer's own pattern search fails, are cut out and encoded as the pieces that the pattern
+makes of them, so tokens are the same. Identifiers that don't fit `width` bytes, or an end identifier that a token has, are refused.
+
 Null and empty texts have no tokens. Rows that repeat a doc_id are documents of their own; a null doc_id is passed on. Other
 columns are ignored. Without documents there are no files.
 """
@@ -17,6 +20,7 @@ columns are ignored. Without documents there are no files.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,24 +38,54 @@ from corvane.llm.warc import filesystem
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: White space as that pattern understands it (a fixed value).
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 @dataclass(frozen=True)
 class Params:
     """vocabulary: a file of ranks (base64 token, rank). end: the identifier that ends a document, free in the vocabulary. width: bytes of an
-    identifier. block: bytes read at once."""
+    identifier. block: bytes read at once. run: characters of white space in a row that are encoded apart."""
 
     vocabulary: str = "/opt/tokenizers/byte_bpe_50k.tiktoken"
     end: int = 50256
     width: int = 2
     block: int = 8 << 20
+    run: int = 1000
 
 
 @lru_cache(1)
-def encoding(vocabulary: str):
+def ranks(vocabulary: str) -> dict[bytes, int]:
+    with open(vocabulary, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
+@lru_cache(2)
+def encoding(vocabulary: str, pattern: str = PATTERN):
     import tiktoken
 
-    with open(vocabulary, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks(vocabulary), special_tokens={})
+
+
+@lru_cache(1)
+def checked(p: Params) -> None:
+    most = max(ranks(p.vocabulary).values())
+    if max(most, p.end) >= 256**p.width:
+        raise ValueError(f"identifiers up to {max(most, p.end)} don't fit {p.width} bytes")
+    if p.end in ranks(p.vocabulary).values():
+        raise ValueError(f"{p.end} is a token's identifier, so it can't end documents")
+
+
+def encoded(text: str, p: Params) -> list[int]:
+    """The identifiers of a text."""
+    checked(p)
+    enc, out, at = encoding(p.vocabulary), [], 0
+    for m in re.finditer(f"[{SPACE}]{{{p.run},}}", text) if len(text) >= p.run else ():
+        # the pattern takes a run but for its last character if something follows, which then is for the next piece
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        out += enc.encode_ordinary(text[at : m.start()]) + encoding(p.vocabulary, r"[\s\S]+").encode_ordinary(text[m.start() : end])
+        at = end
+    return out + enc.encode_ordinary(text[at:])
 
 
 def kind(p: Params) -> np.dtype:
@@ -69,7 +103,7 @@ def write_tokens(docs: DataFrame, folder: str, p: Params = Params()) -> DataFram
                 if out is None:
                     fs.create_dir(base, recursive=True)
                     out = fs.open_output_stream(f"{base}/{name}")
-                tokens = np.array([*encoding(p.vocabulary).encode_ordinary(text or ""), p.end]).astype(kind(p)).tobytes()
+                tokens = np.array([*encoded(text or "", p), p.end]).astype(kind(p)).tobytes()
                 out.write(tokens)
                 size += len(tokens)
                 ids.append(doc)

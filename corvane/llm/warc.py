@@ -4,7 +4,7 @@ Writer: records are ranged by page id into shards of about `shard_bytes` of payl
 archives of one gzip member a record. A shard rolls over to another file when its compressed size passes `roll_bytes`.
 Headers and digests are made anew from the payload, with a fixed date, so the same rows give the same bytes however the
 cluster runs. A task writes under a name of its own attempt and renames when the file is whole; a shard's last act is its
-manifest, also renamed into place. A task that runs twice thus writes the same files twice; readers go by the manifest.
+manifest, also renamed into place. A task that runs twice thus writes the same files twice; readers go by the manifests.
 
 Of records with equal payloads of at least `least_bytes` bytes the one with the largest page id is a response, the others
 are revisits of it; shorter ones are all responses. Null html is an empty payload. Rows that repeat a page id are each
@@ -41,13 +41,14 @@ VERSION, DATE, PROFILE = b"WARC/1.1", b"2024-01-01T00:00:00Z", b"http://netprese
 @dataclass(frozen=True)
 class Params:
     """least_bytes: the shortest payload that can be a revisit. shard_bytes: payload of a shard, about. roll_bytes: compressed size at which a
-    file is closed. level: of gzip. bins: page-id bins counted at once for the ranges."""
+    file is closed. level: of gzip. bins: page-id bins counted at first for the ranges, and at most for a heavy one. tasks: that write, at most."""
 
     least_bytes: int = 0
     shard_bytes: int = 64 << 20
     roll_bytes: int = 32 << 20
     level: int = 4
     bins: int = 2048
+    tasks: int = 20_000
 
 
 def bare_digest(payload: bytes) -> str:
@@ -101,25 +102,35 @@ def revisits(rows: DataFrame, p: Params) -> DataFrame:
 
 
 def ranges(rows: DataFrame, p: Params) -> list[int]:
-    """Ascending page ids at which shards begin, each of about shard_bytes; from exact sums of payload in bins of ids. Heavy bins are
-    binned again. What the driver holds is bounded by bins and by total / shard_bytes."""
-    ids = rows.select("page_id", "bytes").where("page_id is not null")
+    """Ascending page ids at which shards begin, each of about shard_bytes; from exact sums of payload in bins of ids. All heavy bins are
+    divided again in one grouped pass over (id, bytes), until none is heavy or they are single ids. What the driver holds is bounded by
+    bins and by total / shard_bytes."""
+    ids = cut(rows.select("page_id", "bytes").where("page_id is not null"))
     lo, hi = ids.agg(F.min("page_id"), F.max("page_id")).first()
     if lo is None:
         return []
-    heavy, sums = [(lo, hi + 1)], {}
-    for _ in range(4):  # 2048**4 ids are more than 64 bits have in use
-        found: list[tuple[int, int, int]] = []
-        for a, z in heavy:
-            width = max(1, -(-(z - a) // p.bins))
-            part = ids.where(F.col("page_id").between(a, z - 1)).groupBy(F.expr(f"(page_id - {a}L) div {width}L").alias("bin")).agg(F.sum("bytes").alias("s"))
-            found += [(a + r["bin"] * width, min(z, a + (r["bin"] + 1) * width), r["s"]) for r in part.collect()]
-        sums |= {a: s for a, _, s in found}
-        heavy = [(a, z) for a, z, s in found if s > p.shard_bytes and z - a > 1][:64]
-        for a, _ in heavy:
-            sums.pop(a)
-        if not heavy:
-            break
+    sums: dict[int, int] = {}
+    heavy, parts = [(lo, hi + 1)], [p.bins]
+    while heavy:
+        cuts: list[tuple[int, int, bool]] = []  # begin, end, if it is part of a heavy bin
+        for (a, z), n in zip(heavy, parts):
+            if cuts and cuts[-1][1] < a:
+                cuts.append((cuts[-1][1], a, False))
+            width = max(1, -(-(z - a) // n))
+            cuts += [(x, min(z, x + width), True) for x in range(a, z, width)]
+        begins = np.array([x for x, _, _ in cuts], np.int64)
+        last = cuts[-1][1] - 1
+
+        @F.pandas_udf("int")
+        def bin_of(page: pd.Series) -> pd.Series:
+            x = page.to_numpy(np.int64)
+            return pd.Series(np.where(x <= last, np.searchsorted(begins, x, side="right") - 1, -1)).astype("int32")  # noqa: B023
+
+        found = {r["bin"]: r["s"] for r in ids.groupBy(bin_of("page_id").alias("bin")).agg(F.sum("bytes").alias("s")).collect()}
+        mine = [(a, z, found[i]) for i, (a, z, own) in enumerate(cuts) if own and i in found]
+        sums |= {a: s for a, z, s in mine if s <= p.shard_bytes or z - a == 1}
+        rest = [(a, z, s) for a, z, s in mine if s > p.shard_bytes and z - a > 1]
+        heavy, parts = [(a, z) for a, z, _ in rest], [min(p.bins, max(16, 4 * -(-s // p.shard_bytes))) for _, _, s in rest]
     out, held = [], 0
     for a in sorted(sums):
         if out and held + sums[a] > p.shard_bytes:
@@ -143,7 +154,10 @@ def write(pages: DataFrame, folder: str, p: Params = Params()) -> DataFrame:
     names = ["page_id", "sha", "tie", "url", "html", "refers_to"]
     roles = revisits(rows, p).select("page_id", "sha", "tie", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("html"), "refers_to")
     both = roles.unionByName(rows.withColumn("refers_to", F.lit(None).cast("bigint")).select(*names))
-    dealt = both.withColumn("shard", shard("page_id")).repartition(n, "shard").sortWithinPartitions("shard", "page_id", "sha", "tie", F.col("refers_to").desc_nulls_last())
+    tasks = min(n, p.tasks)
+    # neighbouring shards share a task if there are more shards than tasks
+    task = F.floor((F.col("shard").cast("bigint") - 1) * tasks / n).cast("int")
+    dealt = both.withColumn("shard", shard("page_id")).repartitionById(tasks, task).sortWithinPartitions("shard", "page_id", "sha", "tie", F.col("refers_to").desc_nulls_last())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(folder)
@@ -210,10 +224,11 @@ class _Roll:
         return pa.RecordBatch.from_arrays([pa.array([self.shard] * len(self.files), pa.int32()), pa.array(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3])], names=["shard", "file", "records", "bytes", "sha256"])
 
 
-def members(stream) -> Iterator[bytes]:
-    """The gzip members of a file, one at a time."""
+def members(stream, sha) -> Iterator[bytes]:
+    """The gzip members of a file, one at a time; sha takes in all its bytes."""
     d, got = zlib.decompressobj(31), []
     while chunk := stream.read(1 << 20):
+        sha.update(chunk)
         while chunk:
             got.append(d.decompress(chunk))
             chunk = d.unused_data
@@ -234,19 +249,27 @@ def parsed(rec: bytes) -> tuple[dict[bytes, bytes], bytes]:
     return headers, rest[: int(headers[b"Content-Length"])]
 
 
-def read(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """A row for each record in the archives that the manifest lists, checked: the files' and blocks' digests, and the payload's for
-    responses. Files are streamed member by member."""
-    n = max(1, manifest.count())
-    files = manifest.select("file", "records", "sha256").repartition(n)
+def manifests(spark: SparkSession, folder: str) -> DataFrame:
+    """file, records, bytes, sha256 of each archive that the shards' manifests in folder name; other files there are not committed."""
+    fs, base = filesystem(folder)
+    there = any(x.base_name.startswith("manifest-") and x.base_name.endswith(".json") for x in fs.get_file_info(pafs.FileSelector(base)))
+    schema = "file string, records bigint, bytes bigint, sha256 string"
+    return spark.read.schema(schema).option("multiLine", True).json(f"{folder}/manifest-*.json") if there else spark.createDataFrame([], schema)
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for each record in the archives that the manifests in folder list, checked: the files' and blocks' digests, and the payload's
+    for responses. Files are streamed member by member."""
+    files = cut(manifests(spark, folder).select("file", "records", "sha256"))
+    files = files.repartition(max(1, min(files.count(), 20_000)))
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         fs, base = filesystem(folder)
-        for file, records, _ in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for file, records, digest_ in zip(*(batch.column(i).to_pylist() for i in range(3))):
             rows: list[tuple] = []
-            total = 0
+            total, sha = 0, hashlib.sha256()
             with fs.open_input_stream(f"{base}/{file}", compression=None) as f:
-                for rec in members(f):
+                for rec in members(f, sha):
                     h, block = parsed(rec)
                     if h[b"WARC-Type"] == b"warcinfo":
                         continue
@@ -267,6 +290,8 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
                         rows = []
             if total != records:
                 raise ValueError(f"{file} has {total} records; its manifest has {records}")
+            if sha.hexdigest() != digest_:
+                raise ValueError(f"{file} doesn't match its digest in the manifest")
             yield _columns(rows)
 
     return arrow_map(files, run, RECORD)
@@ -280,4 +305,5 @@ def _columns(rows: list[tuple]) -> dict:
 def round_trip(pages: DataFrame, p: Params = Params()) -> DataFrame:
     """Write pages to a new folder and read the archives back."""
     folder = new_folder(pages.sparkSession, "warc")
-    return read(pages.sparkSession, folder, write(pages, folder, p))
+    write(pages, folder, p)
+    return read(pages.sparkSession, folder)

@@ -1,6 +1,7 @@
 """Sentence spans, ranking, WARC, token scan, mixing and chat formatting on small and odd tables."""
 
 import base64
+import gzip
 import hashlib
 import json
 import random
@@ -148,6 +149,46 @@ def test_ranking_learns_and_is_held_out(spark):
     assert ranker.quality_scores(df.limit(0), lab).count() == 0
 
 
+def test_the_fit_is_bradley_terry_s_optimum():
+    """Against the loss written out pair by pair: its gradient is 0 there, and no step from there lowers it."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=(60, 4))
+    good = (x @ [1.0, -2.0, 0.5, 0.0] + r.logistic(size=60) > 0).astype(int)
+    pairs = [(i, j) for i in np.flatnonzero(good == 1) for j in np.flatnonzero(good == 0)]
+    loss = lambda w: sum(np.log1p(np.exp(-(x[i] - x[j]) @ w)) for i, j in pairs) / len(pairs) + 0.01 * (w @ w) / 2
+    d = np.array([x[i] - x[j] for i, j in pairs])
+    w = ranker.newton(d, np.ones(len(d)), np.full(4, 0.01))
+    for k in range(4):
+        e = np.eye(4)[k] * 1e-5
+        assert abs(loss(w + e) - loss(w - e)) / 2e-5 < 1e-6
+        assert loss(w) < min(loss(w + 100 * e), loss(w - 100 * e))
+    # scores rank as the weights over the differences of all pairs do
+    model = ranker.fit(x, good, ranker.Params(pairs=20_000))
+    s = model.score(x)
+    assert np.corrcoef(model.raw(x), x @ w)[0, 1] > 0.99 and ((s[:, None] > s) == (model.raw(x)[:, None] > model.raw(x))).all()
+    assert abs(s.mean() - good.mean()) < 0.02
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.5, 1.0])
+def test_threshold_is_the_quantile_of_all_scores(spark, share):
+    r = random.Random(1)
+    scores = sorted([r.random() for _ in range(500)] + [0.25] * 300 + [0.0, 1.0])
+    got = ranker.quantile(spark.createDataFrame([(s,) for s in scores], "score double"), share)
+    reach = [s for s in scores if s >= got]
+    if share:
+        assert len(reach) >= share * len(scores) and sum(s >= got + 2**-32 for s in scores) < share * len(scores)
+    assert ranker.quantile(spark.createDataFrame([], "score double"), 0.5) == 1.0
+
+
+def test_repeated_labelled_documents_stay_within_the_sample(spark, monkeypatch):
+    seen = []
+    fit = ranker.fit
+    monkeypatch.setattr(ranker, "fit", lambda x, good, p: seen.append(len(x)) or fit(x, good, p))
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(3, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, quality int")
+    assert ranker.quality_scores(docs, labels, ranker.Params(sample=6)).count() == 51 and seen == [6]
+
+
 # ---- WARC ----
 
 
@@ -176,13 +217,35 @@ def test_warc_is_deterministic_and_standard(spark, tmp_path):
     for r in a.collect():
         data = (tmp_path / "a" / r.file).read_bytes()
         assert data == (tmp_path / "b" / r.file).read_bytes() and len(data) == r.bytes and hashlib.sha256(data).hexdigest() == r.sha256
-        recs = list(warc.members(open(tmp_path / "a" / r.file, "rb")))
+        recs = list(warc.members(open(tmp_path / "a" / r.file, "rb"), hashlib.sha256()))
         assert len(recs) == r.records + 1 and all(x.startswith(b"WARC/1.1\r\n") and x.endswith(b"\r\n\r\n") for x in recs)
     assert not [x for x in (tmp_path / "a").iterdir() if x.name.startswith("_")]
-    broken = next((tmp_path / "a").glob("*.warc.gz"))
-    broken.write_bytes(broken.read_bytes()[:-9])
+    assert warc.read(spark, str(tmp_path / "a")).count() == len(rows)
+    (tmp_path / "a" / "part-999999-0000.warc.gz").write_bytes(b"left by a lost attempt, in no manifest")
+    assert warc.read(spark, str(tmp_path / "a")).count() == len(rows)
+    broken = next((tmp_path / "b").glob("part-000001-*.warc.gz"))
+    data = broken.read_bytes()
+    # one more member: records and their digests are right, the file's isn't
+    broken.write_bytes(data + gzip.compress(b"WARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Length: 0\r\n\r\n\r\n\r\n"))
+    with pytest.raises(Exception, match="doesn't match its digest in the manifest"):
+        warc.read(spark, str(tmp_path / "b")).collect()
+    broken.write_bytes(data[:-9])
     with pytest.raises(Exception):
-        warc.read(spark, str(tmp_path / "a"), a).collect()
+        warc.read(spark, str(tmp_path / "b")).collect()
+
+
+def test_warc_ranges_have_no_cap(spark):
+    """Ids in 250 clusters far apart, each of them heavy: every page is a shard of its own, and one task writes several."""
+    rows = [(i * 10**15 + j, "u", f"{i}.{j}") for i in range(-100, 150) for j in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    p = warc.Params(bins=100, shard_bytes=1, tasks=7)
+    assert warc.ranges(warc.sized(df), p) == [x for x, _, _ in rows]
+    got = warc.round_trip(df, p)
+    assert sorted(r.page_id for r in got.collect()) == [x for x, _, _ in rows]
+    big = warc.Params(bins=100, shard_bytes=40)
+    begins = warc.ranges(warc.sized(df), big)
+    ends = [*begins[1:], 10**18]
+    assert max(sum(len(h) for x, _, h in rows if a <= x < z) for a, z in zip(begins, ends)) <= 40 and len(begins) < 120
 
 
 def test_warc_of_odd_tables(spark):
@@ -221,6 +284,25 @@ def test_token_counts_equal_the_tokenizer(spark):
     assert token_scan.token_counts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_long_runs_of_white_space(spark):
+    r = random.Random(12)
+    enc, p = token_scan.encoding(token_scan.Params().vocabulary), token_scan.Params(run=4)
+    for _ in range(2000):
+        t = "".join(r.choice([" ", "\n", "\t", "\u3000", "\xa0", "\x1c", "a", "é!", "'s", "7"]) * r.choice([1, 1, 1, 3, 4, 9]) for _ in range(r.randint(0, 9)))
+        assert token_scan.encoded(t, p) == enc.encode_ordinary(t), repr(t)
+    rows = [(1, " " * 1_000_000), (2, "a" + "\n" * 500_000 + "b"), (3, "a" * 300_000)]
+    got = {x.doc_id: x.n_tokens for x in token_scan.token_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {1, 2, 3} and min(got.values()) > 1000
+
+
+def test_identifiers_that_do_not_fit_are_refused(tmp_path):
+    for n, p in ((70_000, {"width": 2, "end": 5}), (300, {"width": 2, "end": 299}), (10, {"width": 2, "end": 65_536})):
+        v = tmp_path / f"v{n}{p['end']}"
+        v.write_bytes(b"".join(base64.b64encode(i.to_bytes(3, "big")) + b" %d\n" % i for i in range(n)))
+        with pytest.raises(ValueError):
+            token_scan.encoded("x", token_scan.Params(vocabulary=str(v), **p))
+
+
 # ---- mixing ----
 
 
