@@ -32,8 +32,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn towards target weights of sources, languages and topics; 80 % of the tokens, in expectation. Cells that are kept
-    whole can't give what they lack, so the targets aren't met in full: mixing.margins gives them beside what is drawn."""
+    """Documents drawn by target weights of sources, languages and topics; 80 % of the tokens, in expectation. No target exceeds what there
+    is; where targets contradict each other, mixing.margins gives them beside what is drawn."""
     return mixing.mixed(docs, mixing.Params(share=0.8))
 
 
