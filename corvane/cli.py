@@ -1,32 +1,90 @@
-"""python -m corvane.cli gold|report|inspect ..."""
+"""python -m corvane.cli build|gold|report|inspect ..."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
+import os
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corvane.config import CorpusConfig, ReaderSettings
+from corvane import logs
+from corvane.config import CorpusConfig, ReaderSettings, check_speaker
+from corvane.errors import CorvaneError
+from corvane.functions.text import fmt_size
 from corvane.operators import profile
-from corvane.plans import corpus
-from corvane.sources import metadata
+from corvane.plans import build, corpus
+from corvane.sources import manifest, metadata
+
+FOLDERS = (("root", ""), ("bronze", "bronze"), ("silver", "silver"), ("shards", "silver/shards"), ("metadata", "silver/metadata"), ("gold", "gold"), ("state", "state"), ("logs", "logs"))
 
 
 def inspect(spark: SparkSession, root: str) -> str:
-    """A text about a dataset's folders, shards and states; reads no media."""
-    lines = [f"dataset: {root}"]
-    for part in ("", "silver/shards", "silver/metadata", "gold", "state"):
+    """A text about a dataset: its folders, shards (names and sizes), metadata, manifests and state. No media are read, no archives opened,
+    and no path above the dataset is named."""
+    lines = [f"dataset: {os.path.basename(root.rstrip('/'))}"]
+    for name, part in FOLDERS:
         e = metadata.entries(spark, f"{root}/{part}")
         n = profile.entry_counts(e).first()
-        lines.append(f"[{part or '.'}] {n['dirs']} folders, {n['files']} files")
-        lines += [f"  {r['name']}{'/' if r['is_dir'] else ''}" for r in profile.preview(e).collect()]
+        lines.append(f"[{name}] {n['dirs']} folders, {n['files']} files")
+        lines += [f"  {r['name']}/" if r["is_dir"] else f"  {r['name']} ({r['text']})" for r in profile.preview(e).withColumn("text", fmt_size(F.col("size"))).collect()]
+    shards = metadata.entries(spark, f"{root}/silver/shards").select(F.col("name").alias("path"), "size")
+    total = profile.shard_totals(shards).withColumn("text", fmt_size(F.col("bytes"))).first()
+    lines.append(f"[shards by size] {total['shards']} archives, {total['text']}")
+    lines += [f"  {r['name']} ({r['text']})" for r in profile.shard_inventory(shards).withColumn("text", fmt_size(F.col("size"))).collect()]
+    names = sorted((x for x in _names(f"{root}/silver/metadata") if x.lower().endswith(".json")), key=str.lower)
+    lines.append(f"[metadata documents] {len(names)}")
+    lines += described(metadata.documents(spark, [f"{root}/silver/metadata/{x}" for x in names[:2]]), samples=True)
+    lines.append("[manifests]")
+    for name in [x for x in _names(f"{root}/gold") if x.endswith(".csv")][:12]:
+        columns, rows = profile.csv_profile(manifest.table(spark, f"{root}/gold/{name}"))
+        lines += [f"  {name}: {', '.join(columns)}", *(f"    {r.asDict()}" for r in rows.collect())]
+    lines.append("[splits]")
+    lines += described(metadata.documents(spark, [f"{root}/gold/split_metadata.json"]))
+    lines.append("[state]")
+    lines += described(metadata.documents(spark, [f"{root}/state/processing_state.json"]))
     return "\n".join(lines) + "\n"
 
 
-def main(args: list[str] | None = None) -> int:
-    parser = argparse.ArgumentParser(prog="corvane")
-    sub = parser.add_subparsers(dest="what", required=True)
+def _names(folder: str) -> list[str]:
+    return sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+
+
+def described(docs: DataFrame, samples: bool = False) -> list[str]:
+    """Lines about docs(path, json)."""
+    rows = profile.json_profile(docs).orderBy("path").collect()
+    objects, speakers, statuses = (f(docs).collect() for f in (profile.json_objects, profile.json_speakers, profile.json_statuses))
+    out = [] if rows else ["  (not found)"]
+    for r in rows:
+        if not r["readable"] or r["root_keys"] is None:
+            out.append(f"  {r['path']}: " + ("no JSON object" if r["readable"] else "can't be read as JSON"))
+            continue
+        out.append(f"  {r['path']}: {', '.join(r['root_keys'])}")
+        out += [f"    {k}: {r[k]}" for k in profile.SCALARS if r[k] is not None]
+        out += [f"    {o['key']}: {', '.join(o['keys'])}; {o['numbers']}" for o in objects if o["path"] == r["path"]]
+        out += [f"    {s['key']}: {s['count']}" + (f" ({', '.join(s['ids'])})" if s["ids"] else "") for s in speakers if s["path"] == r["path"]]
+        mine = {s["status"]: s["n"] for s in statuses if s["path"] == r["path"]}
+        out += [f"    speakers: {sum(mine.values())}; {mine}"] if mine else []
+        if r["samples"] is not None:
+            out.append(f"    samples: {r['samples']}" + (f"; keys of the first: {', '.join(r['sample_keys'])}" if samples and r["sample_keys"] else ""))
+    return out
+
+
+def parser() -> argparse.ArgumentParser:
+    p = argparse.ArgumentParser(prog="corvane")
+    sub = p.add_subparsers(dest="what", required=True)
+    b = sub.add_parser("build", help="archives to shards, metadata, state and Gold")
+    who = b.add_mutually_exclusive_group(required=True)
+    who.add_argument("--speaker")
+    who.add_argument("--all", action="store_true")
+    b.add_argument("--root", required=True)
+    b.add_argument("--media", help="module:name of a plans.build.Media; not needed for a dry run")
+    b.add_argument("--force", action="store_true", help="also speakers whose artefacts verify")
+    b.add_argument("--limit-utterances", type=int, default=0)
+    b.add_argument("--dry-run", action="store_true", help="stop before archives are opened")
+    b.add_argument("--log-level", default="INFO", choices=["DEBUG", "INFO", "WARNING", "ERROR"])
     g = sub.add_parser("gold")
     g.add_argument("--root", required=True)
     g.add_argument("--allow-partial", action="store_true")
@@ -37,16 +95,47 @@ def main(args: list[str] | None = None) -> int:
     i = sub.add_parser("inspect")
     i.add_argument("--root", required=True)
     i.add_argument("--out")
-    a = parser.parse_args(args)
+    return p
+
+
+def run_build(spark: SparkSession, a: argparse.Namespace) -> int:
+    c = CorpusConfig(root=a.root)
+    log = logs.configure(a.log_level, f"{c.root}/logs/build.log")
+    try:
+        speakers = c.usable() if a.all else [check_speaker(a.speaker, c)]
+        build.check_store(c)
+        media = None
+        if a.media:
+            module, _, name = a.media.partition(":")
+            media = getattr(importlib.import_module(module), name)
+        elif not a.dry_run:
+            raise ValueError("give --media, or --dry-run")
+        states = build.build(spark, c, speakers, media, a.force, a.limit_utterances or None, a.dry_run)
+    except (ValueError, ImportError, AttributeError, CorvaneError) as e:
+        log.error("%s", e)
+        return 1
+    except KeyboardInterrupt:
+        log.warning("interrupted; the state is kept")
+        return 130
+    for r in profile.status_histogram(states).orderBy("status").collect():
+        log.info("%s: %d", r["status"], r["n"])
+    return 0
+
+
+def main(args: list[str] | None = None) -> int:
+    p = parser()
+    a = p.parse_args(args)
     if a.what == "inspect" and a.out and f"{a.out}/".startswith(f"{a.root.rstrip('/')}/"):
-        parser.error("the output must lie outside the dataset")
+        p.error("the output must lie outside the dataset")
     spark = SparkSession.builder.appName("corvane").getOrCreate()
+    if a.what == "build":
+        return run_build(spark, a)
     if a.what == "gold":
         return 0 if corpus.build_gold(spark, CorpusConfig(root=a.root, split_seed=a.seed), a.allow_partial) else 1
     if a.what == "report":
         settings = ReaderSettings.from_env()
         if not (a.root or settings.data_root):
-            parser.error("no dataset: give --root or set it in the environment")
+            p.error("no dataset: give --root or set it in the environment")
         print("\n".join(corpus.report(spark, settings, a.out, a.root).values()))
         return 0
     text = inspect(spark, a.root)

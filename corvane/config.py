@@ -117,7 +117,7 @@ class ReaderSettings:
             raise ValueError("min_frame_count must be a positive integer or None")
 
     @classmethod
-    def from_env(cls, dotenv: str | None = ".env", environ: dict[str, str] | None = None, prefix: str = "LIPSYNC_") -> ReaderSettings:
+    def from_env(cls, dotenv: str | None = ".env", environ: dict[str, str] | None = None, prefix: str = "CORVANE_") -> ReaderSettings:
         """The environment, else the file, else defaults; blank values count as absent, a bad number raises ValueError."""
         found: dict[str, str] = {}
         if dotenv and Path(dotenv).is_file():

@@ -108,25 +108,30 @@ def fps_ok(fps: Column, expected: float, tolerance: float) -> Column:
     return fps.between(expected * (1 - tolerance), expected * (1 + tolerance))
 
 
-def process_videos(df: DataFrame, reader: Callable, detector: Callable, batch: int = 16, expected: float = 25.0, tolerance: float = 0.05) -> DataFrame:
+CROPS = "array<struct<frame_index: int, content: binary>>"
+
+
+def process_videos(df: DataFrame, reader: Callable, detector: Callable, batch: int = 16, expected: float = 25.0, tolerance: float = 0.05, encoder: Callable | None = None, video: str = "video_path") -> DataFrame:
     """For df(speaker_id, utterance_id, video_path): fps, total_frames, detected frame indices, invalid_reason. reader() gives a function from a
-    path to (fps, frames or None); detector() one from a list of frames to a list of boxes or None. Both are made once a task. The
-    frame rate is checked before any frame is read; a batch that fails counts as without detections, and the rest goes on."""
+    path (or whatever the column `video` holds, such as a file's bytes) to (fps, frames or None); detector() one from a list of
+    frames to a list of boxes or None. Both are made once a task. The frame rate is checked before any frame is read; a batch that
+    fails counts as without detections, and the rest goes on. With encoder, which gives a function from a crop to the bytes of an image
+    file, or None if it can't, each crop comes out in `crops` under its frame's index; a frame whose crop can't be encoded isn't detected."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        read, detect = reader(), detector()
+        read, detect, encode = reader(), detector(), encoder() if encoder else lambda crop: b""
         if read is None or detect is None:
             raise DetectionSetupError("no video reader or face detector is available")
         for b in batches:
             rows = []
-            for s, u, path in zip(b["speaker_id"], b["utterance_id"], b["video_path"]):
+            for s, u, path in zip(b["speaker_id"], b["utterance_id"], b[video]):
                 try:
                     fps, frames = read(path)
                 except Exception:
-                    rows.append((s, u, 0.0, 0, [], "VIDEO_DECODE_FAILED"))
+                    rows.append((s, u, 0.0, 0, [], "VIDEO_DECODE_FAILED", []))
                     continue
                 if not expected * (1 - tolerance) <= fps <= expected * (1 + tolerance):
-                    rows.append((s, u, fps, 0, [], "INVALID_FPS"))
+                    rows.append((s, u, fps, 0, [], "INVALID_FPS", []))
                     continue
                 frames, found = list(frames()), []
                 for i in range(0, len(frames), batch):
@@ -134,11 +139,13 @@ def process_videos(df: DataFrame, reader: Callable, detector: Callable, batch: i
                         boxes = detect(frames[i : i + batch])
                     except Exception:
                         continue
-                    found += [i + j for j, (box, f) in enumerate(zip(boxes, frames[i : i + batch])) if box is not None and crop(f, box) is not None]
-                rows.append((s, u, fps, len(frames), found, None if frames else "NO_FRAMES"))
-            yield pd.DataFrame(rows, columns=["speaker_id", "utterance_id", "source_fps", "total_frames", "detected", "invalid_reason"])
+                    cut = [(i + j, crop(f, box)) for j, (box, f) in enumerate(zip(boxes, frames[i : i + batch])) if box is not None]
+                    found += [(k, data) for k, c in cut if c is not None and (data := encode(c)) is not None]
+                rows.append((s, u, fps, len(frames), [k for k, _ in found], None if frames else "NO_FRAMES", [{"frame_index": k, "content": data} for k, data in found]))
+            yield pd.DataFrame(rows, columns=["speaker_id", "utterance_id", "source_fps", "total_frames", "detected", "invalid_reason", "crops"])
 
-    return df.select("speaker_id", "utterance_id", "video_path").mapInPandas(run, "speaker_id string, utterance_id string, source_fps double, total_frames int, detected array<int>, invalid_reason string")
+    out = df.select("speaker_id", "utterance_id", video).mapInPandas(run, f"speaker_id string, utterance_id string, source_fps double, total_frames int, detected array<int>, invalid_reason string, crops {CROPS}")
+    return out if encoder else out.drop("crops")
 
 
 def crop(frame: np.ndarray, box) -> np.ndarray | None:
@@ -151,22 +158,23 @@ def first_faces(detections: list) -> list:
     return [None if d is None or not len(d) else [max(0, v) for v in d[0][:4]] for d in detections]
 
 
-def process_audio(df: DataFrame, convert: Callable, rate: int = 16_000, least: float = 0.1) -> DataFrame:
-    """For df(speaker_id, utterance_id, audio_path): success, invalid_reason, audio_duration_sec, audio_sample_rate, audio_channels.
-    convert() is made once a task and gives a function from a path to (converted, duration, rate, channels)."""
+def process_audio(df: DataFrame, convert: Callable, rate: int = 16_000, least: float = 0.1, audio: str = "audio_path") -> DataFrame:
+    """For df(speaker_id, utterance_id, audio_path): success, invalid_reason, audio_duration_sec, audio_sample_rate, audio_channels, converted.
+    convert() is made once a task and gives a function from a path (or whatever the column `audio` holds) to (converted, duration,
+    rate, channels); converted is the bytes of the new file, or whether there is one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         run_one = convert()
         for b in batches:
             rows = []
-            for s, u, path in zip(b["speaker_id"], b["utterance_id"], b["audio_path"]):
+            for s, u, path in zip(b["speaker_id"], b["utterance_id"], b[audio]):
                 try:
                     ok, duration, got, channels = run_one(path)
                 except Exception:
-                    rows.append((s, u, False, "AUDIO_CONVERSION_FAILED", None, None, None))
+                    rows.append((s, u, False, "AUDIO_CONVERSION_FAILED", None, None, None, None))
                     continue
                 reason = "AUDIO_CONVERSION_FAILED" if not ok else "INVALID_OUTPUT_AUDIO_RATE" if got != rate else "EMPTY_AUDIO" if duration is not None and duration < least else None
-                rows.append((s, u, reason is None, reason, duration, got, channels))
-            yield pd.DataFrame(rows, columns=["speaker_id", "utterance_id", "success", "invalid_reason", "audio_duration_sec", "audio_sample_rate", "audio_channels"])
+                rows.append((s, u, reason is None, reason, duration, got, channels, ok if isinstance(ok, bytes) else None))
+            yield pd.DataFrame(rows, columns=["speaker_id", "utterance_id", "success", "invalid_reason", "audio_duration_sec", "audio_sample_rate", "audio_channels", "converted"])
 
-    return df.select("speaker_id", "utterance_id", "audio_path").mapInPandas(run, "speaker_id string, utterance_id string, success boolean, invalid_reason string, audio_duration_sec double, audio_sample_rate int, audio_channels int")
+    return df.select("speaker_id", "utterance_id", audio).mapInPandas(run, "speaker_id string, utterance_id string, success boolean, invalid_reason string, audio_duration_sec double, audio_sample_rate int, audio_channels int, converted binary")

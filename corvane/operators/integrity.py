@@ -30,24 +30,26 @@ def shard_problems(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return expected.join(a, "path", "left").select("path", problem.alias("problem")).where("problem is not null")
 
 
-def zip_fault(data: bytes) -> str | None:
+def zip_fault(data: bytes | str) -> str | None:
+    """What is wrong with a zip archive, given by its bytes or its path; members are tested one by one."""
     try:
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
+        with zipfile.ZipFile(data if isinstance(data, str) else io.BytesIO(data)) as z:
             bad = z.testzip()
             return f"bad member: {bad}" if bad else None
     except (zipfile.BadZipFile, EOFError, OSError) as e:
         return f"not a zip archive: {e}"
 
 
-def tar_fault(data: bytes) -> str | None:
+def tar_fault(data: bytes | str) -> str | None:
+    """What is wrong with a tar archive, given by its bytes or its path; it is read from header to header."""
     try:
-        with tarfile.open(fileobj=io.BytesIO(data)) as t:
-            return None if t.getmembers() else "the archive is empty"
+        with tarfile.open(data) if isinstance(data, str) else tarfile.open(fileobj=io.BytesIO(data)) as t:
+            return None if sum(1 for _ in t) else "the archive is empty"
     except (tarfile.TarError, EOFError, OSError) as e:
         return f"not a tar archive: {e}"
 
 
 @F.pandas_udf(T.StringType())
 def archive_fault(kind: pd.Series, content: pd.Series) -> pd.Series:
-    """What is wrong with an archive of kind zip or tar, or null."""
-    return pd.Series([{"zip": zip_fault, "tar": tar_fault}[k](bytes(c)) if k in ("zip", "tar") else "unknown kind of archive" for k, c in zip(kind, content)], dtype="object")
+    """What is wrong with an archive of kind zip or tar, given by its bytes or by its path, or null."""
+    return pd.Series([{"zip": zip_fault, "tar": tar_fault}[k](c if isinstance(c, str) else bytes(c)) if k in ("zip", "tar") else "unknown kind of archive" for k, c in zip(kind, content)], dtype="object")

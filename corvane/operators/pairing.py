@@ -30,6 +30,14 @@ def pair(videos: DataFrame, audios: DataFrame, strict: bool = False, check: bool
     return v.join(a, ["speaker_id", "utterance_id"], "full_outer").select("speaker_id", "utterance_id", "video_path", "audio_path", status.otherwise("PAIRED").alias("pairing_status"))
 
 
+def layout_faults(speakers: DataFrame, videos: DataFrame, audios: DataFrame) -> DataFrame:
+    """speaker_id, error for speakers that have no video files or no audio files."""
+    has = lambda files, name: files.select("speaker_id").distinct().withColumn(name, F.lit(True))
+    df = speakers.select("speaker_id").join(has(videos, "_v"), "speaker_id", "left").join(has(audios, "_a"), "speaker_id", "left")
+    error = F.when(F.col("_v").isNull(), "there are no video files").when(F.col("_a").isNull(), "there are no audio files")
+    return df.select("speaker_id", error.alias("error")).where("error is not null")
+
+
 def counts(pairs: DataFrame) -> DataFrame:
     """A column of counts for each status, by speaker."""
     return pairs.groupBy("speaker_id").agg(*[F.count_if(F.col("pairing_status") == s).alias(s.lower()) for s in PAIRING])

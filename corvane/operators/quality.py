@@ -67,6 +67,12 @@ def spot_checked(frames: DataFrame, utterances: DataFrame, n: int = 3) -> DataFr
     return wanted.join(frames, ["speaker_id", "utterance_id", "frame_index"], "left").groupBy("speaker_id", "utterance_id").agg(F.bool_and(F.coalesce("readable", F.lit(False))).alias("readable"))
 
 
+def reason_counts(records: DataFrame) -> DataFrame:
+    """speaker_id, reason, n of invalid records, by speaker and reason, for a log."""
+    bad = records.where(~F.col("valid")).groupBy("speaker_id", F.coalesce("invalid_reason", F.lit("UNKNOWN_ERROR")).alias("reason"))
+    return bad.agg(F.count("*").alias("n")).orderBy("speaker_id", "reason")
+
+
 def summarise(records: DataFrame) -> DataFrame:
     """speaker_id, total, valid, invalid, invalid_reason_counts (map; an invalid one without reason counts as UNKNOWN_ERROR)."""
     r = records.withColumn("reason", F.when(~F.col("valid"), F.coalesce("invalid_reason", F.lit("UNKNOWN_ERROR"))))

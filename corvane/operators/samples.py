@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.media import decode_wav
@@ -17,33 +17,56 @@ def frame_lists(members: DataFrame) -> DataFrame:
 def matched(manifest: DataFrame, members: DataFrame) -> DataFrame:
     """Manifest rows with their folder's frames, and error: what doesn't agree first."""
     m = manifest.join(frame_lists(members).withColumnRenamed("prefix", "shard_member_prefix"), ["speaker_id", "shard_member_prefix"], "left")
-    f = F.col("frame_indices")
-    error = (
+    return m.withColumn("error", disagreement(F.col("frame_indices"), F.col("has_audio"), F.col("repeats")))
+
+
+def disagreement(f: Column, has_audio: Column, repeats: Column) -> Column:
+    """What frame indices f (ascending; null without a folder) and a manifest row don't agree on first; null if they agree."""
+    return (
         F.when(f.isNull(), "utterance is missing from its shard")
-        .when(~F.col("has_audio"), "audio is missing")
+        .when(~has_audio, "audio is missing")
         .when(F.size(f) == 0, "there are no frames")
-        .when(F.col("repeats"), "a frame index is there twice")
+        .when(repeats, "a frame index is there twice")
         .when(F.size(f) != F.col("frame_count"), "frame count differs from the manifest")
         .when(F.array_min(f) != F.col("first_frame_index"), "first frame differs from the manifest")
         .when(F.array_max(f) != F.col("last_frame_index"), "last frame differs from the manifest")
     )
-    return m.withColumn("error", error)
+
+
+def frame(members: DataFrame, index: int) -> DataFrame:
+    """speaker_id, prefix, content, error for each folder of members (with content): the frame of that index, or that there is none. The
+    archives are asked for this frame and for names only."""
+    if index < 0:
+        raise ValueError("a frame's index isn't negative")
+    return _one(members, F.col("frame_index") == index, f"there is no frame {index}", f"frame {index} is there twice")
+
+
+def audio(members: DataFrame) -> DataFrame:
+    """speaker_id, prefix, content, error for each folder of members (with content)."""
+    return _one(members, F.col("filename") == "audio.wav", "audio is missing", "audio is there twice")
+
+
+def _one(members: DataFrame, which: Column, none: str, many: str) -> DataFrame:
+    by = members.groupBy("speaker_id", "prefix").agg(F.count_if(which).alias("n"), F.first(F.when(which, F.col("content")), True).alias("content"))
+    return by.select("speaker_id", "prefix", F.when(F.col("n") == 1, F.col("content")).alias("content"), F.when(F.col("n") == 0, none).when(F.col("n") > 1, many).alias("error"))
 
 
 def utterances(manifest: DataFrame, members: DataFrame) -> DataFrame:
-    """Manifest rows with frames (map of index to bytes, ascending; null, and repeats true, if an index is there twice) and audio;
-    members need content. A row's size is bounded by one utterance, about 75 frames."""
+    """Every manifest row with frames (map of index to bytes, ascending; null, and repeats true, if an index is there twice), audio, and
+    error: what its shard lacks or what doesn't agree with it; members need content. A row's size is bounded by one utterance, about
+    75 frames."""
     frames = F.sort_array(F.collect_list(F.when(F.col("frame_index").isNotNull(), F.struct("frame_index", "content"))))
     by = members.groupBy("speaker_id", F.col("prefix").alias("shard_member_prefix")).agg(frames.alias("_frames"), F.first(F.when(F.col("filename") == "audio.wav", F.col("content")), True).alias("audio"))
     by = by.withColumn("repeats", F.size(F.array_distinct("_frames.frame_index")) < F.size("_frames"))
-    by = by.withColumn("frames", F.when(~F.col("repeats"), F.map_from_entries("_frames"))).drop("_frames")
-    return manifest.join(by, ["speaker_id", "shard_member_prefix"])
+    u = manifest.join(by, ["speaker_id", "shard_member_prefix"], "left")
+    u = u.withColumn("error", disagreement(F.col("_frames.frame_index"), F.col("audio").isNotNull(), F.col("repeats")))
+    return u.withColumn("frames", F.when(~F.col("repeats"), F.map_from_entries("_frames"))).drop("_frames")
 
 
 def samples(manifest: DataFrame, members: DataFrame, fps: float = 25.0) -> DataFrame:
-    """utterances() with samples of audio, video and audio durations, their gap, and error."""
+    """utterances() with samples of audio, video and audio durations, their gap, and error; rows with an error have no gap."""
     u = utterances(manifest, members).withColumn("_a", decode_wav("audio", "audio_sample_rate"))
-    u = u.withColumns({"samples": F.col("_a.samples"), "error": F.coalesce("_a.error", F.when(F.col("repeats"), "a frame index is there twice"))}).drop("_a", "audio", "repeats")
+    u = u.withColumns({"samples": F.col("_a.samples"), "error": F.coalesce("error", "_a.error")}).drop("_a", "audio", "repeats")
     u = u.withColumn("video_duration_sec", (F.col("last_frame_index") - F.col("first_frame_index") + 1) / F.lit(float(fps)))
-    u = u.withColumn("decoded_audio_sec", F.when(F.col("samples").isNotNull(), F.size("samples") / F.col("audio_sample_rate")))
+    u = u.withColumn("decoded_audio_sec", F.when(F.col("samples").isNotNull() & F.col("error").isNull(), F.size("samples") / F.col("audio_sample_rate")))
     return u.withColumn("duration_gap_sec", F.col("video_duration_sec") - F.col("decoded_audio_sec")).withColumn("gap_warning", F.abs("duration_gap_sec") > 0.08)

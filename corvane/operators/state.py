@@ -6,7 +6,10 @@ holds follows from the events since the last start, in one grouped aggregate wit
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.config import RETRYABLE, STATUSES
@@ -24,6 +27,38 @@ def event(speaker: str, seq: int, kind: str, ts: str, **more) -> dict:
     return dict.fromkeys(EVENT.fieldNames()) | {"speaker_id": speaker, "seq": seq, "kind": kind, "ts": ts, "status": status} | more
 
 
+class Log:
+    """The log as a folder of Parquet files, appended to from one driver. Each call of add is one file, written under a temporary name and
+    committed by Spark. Numbers go on from the largest in the log."""
+
+    def __init__(self, spark: SparkSession, folder: str, clock: Callable[[], str]):
+        self.spark, self.folder, self.clock = spark, folder, clock
+        self.seq = {r["speaker_id"]: r["seq"] for r in self.events().groupBy("speaker_id").agg(F.max("seq").alias("seq")).collect()}
+
+    def events(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(EVENT).parquet(self.folder)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return self.spark.createDataFrame([], EVENT)
+
+    def add(self, *events: tuple[str, str, dict]) -> None:
+        """(speaker, kind, fields) each, in order; one write."""
+        rows = []
+        for speaker, kind, more in events:
+            self.seq[speaker] = self.seq.get(speaker, 0) + 1
+            rows.append(event(speaker, self.seq[speaker], kind, self.clock(), **more))
+        if rows:
+            self.spark.createDataFrame([tuple(r[f] for f in EVENT.fieldNames()) for r in rows], EVENT).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def extend(self, events: DataFrame) -> None:
+        """Events made by an operator; their numbers must follow the log's."""
+        events.select(*EVENT.fieldNames()).coalesce(1).write.mode("append").parquet(self.folder)
+        for r in events.groupBy("speaker_id").agg(F.max("seq").alias("seq")).collect():
+            self.seq[r["speaker_id"]] = max(r["seq"], self.seq.get(r["speaker_id"], 0))
+
+
 def latest(events: DataFrame) -> DataFrame:
     """A row for each speaker that has events."""
     start = F.max(F.when(F.col("kind") == "start", F.col("seq"))).over(Window.partitionBy("speaker_id"))

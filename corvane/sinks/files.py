@@ -74,3 +74,15 @@ def report(gaps: DataFrame, summary: DataFrame, folder: str) -> dict[str, str]:
         "split_summary": write_csv(f"{folder}/split_summary.csv", SUMMARY_COLUMNS, pick((0, 1)), bom=True),
         "speaker_summary": write_csv(f"{folder}/speaker_summary.csv", SUMMARY_COLUMNS, pick((2,)), bom=True),
     }
+
+
+def make_folder(path: str) -> None:
+    try:
+        os.makedirs(path, exist_ok=True)
+    except OSError as e:
+        raise PersistenceError(f"{path} can't be made: {e}") from e
+
+
+def remove(path: str) -> None:
+    if os.path.exists(path):
+        os.unlink(path)

@@ -1,7 +1,7 @@
 """Members of tar and zip archives as a Spark data source: spark.read.format("corvane_archive").load(folder).
 
 A partition is one archive; of an uncompressed tar only headers are read unless content is asked for (option content), and then
-only of members that the filters leave. Filters on speaker_id, prefix, filename and frame_index are pushed down
+only of members that the filters leave; compressed tars (.tgz, .tar.bz2, .tar.xz) are read through. Filters on speaker_id, prefix, filename and frame_index are pushed down
 (spark.sql.python.filterPushdown.enabled): a speaker's filter leaves one archive.
 
 Options: content (false), max_member_bytes (16 MiB), suffix (.tar or .zip), cache (a folder of the executor's own for copies,
@@ -10,6 +10,7 @@ reused while the size agrees).
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import shutil
@@ -18,7 +19,9 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+import pandas as pd
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 from corvane.errors import DatasetReadError
@@ -102,7 +105,7 @@ class _open:
         try:
             with open(self.path, "rb") as f:
                 zipped = f.read(4) == b"PK\x03\x04"
-            self.handle = zipfile.ZipFile(self.path) if zipped else tarfile.open(self.path, "r:")
+            self.handle = zipfile.ZipFile(self.path) if zipped else tarfile.open(self.path, "r:*")
         except (tarfile.TarError, zipfile.BadZipFile, OSError, EOFError) as e:
             raise DatasetReadError(f"{self.path} can't be opened: {e}") from e
         h = self.handle
@@ -136,6 +139,29 @@ def members(spark: SparkSession, folder: str, content: bool = False, **options):
     return spark.read.format("corvane_archive").options(content=str(content).lower(), **options).load(folder)
 
 
+def digests(files: DataFrame) -> DataFrame:
+    """files(path) with size and sha256, read on executors a MiB at a time, so that no file has to fit in memory; null for one that isn't
+    there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for path in b["path"]:
+                try:
+                    fs, name = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
+                    sha, size = hashlib.sha256(), 0
+                    with fs.open_input_stream(name, compression=None) as f:
+                        while chunk := f.read(1 << 20):
+                            sha.update(chunk)
+                            size += len(chunk)
+                    rows.append((path, size, sha.hexdigest()))
+                except (OSError, ValueError):
+                    rows.append((path, None, None))
+            yield pd.DataFrame(rows, columns=["path", "size", "sha256"]).astype({"size": "Int64"})
+
+    return files.select("path").mapInPandas(run, "path string, size bigint, sha256 string")
+
+
 def of_speaker(members, speaker: str):
     """Members of a shared archive below the speaker's folder; all of them if none are."""
     mine = members.where(f"prefix like '{speaker}/%' or prefix like '%/{speaker}/%'")

@@ -42,7 +42,7 @@ def fetch(url: str, dest: str, open_url: Callable, c: CorpusConfig = CorpusConfi
 
 
 def verified(path: str, kind: str) -> str:
-    fault = {"zip": zip_fault, "tar": tar_fault}[kind](Path(path).read_bytes())
+    fault = {"zip": zip_fault, "tar": tar_fault}[kind](path)
     if fault:
         raise ArchiveError(f"{path}: {fault}")
     return path

@@ -42,3 +42,8 @@ def load(spark: SparkSession, root: str, split: str, strict: bool = True, partia
 
 def load_all(spark: SparkSession, root: str, splits: tuple[str, ...] = SPLITS) -> DataFrame:
     return reduce(DataFrame.unionByName, (load(spark, root, s) for s in splits))
+
+
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """A manifest as it is, all strings, unchecked."""
+    return spark.read.option("header", True).csv(path)

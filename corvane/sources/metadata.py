@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvane.schemas import METADATA
+from corvane.sources import archive
 
 
 def speakers(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,18 +37,25 @@ def files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, shards: str, metadata: str, digests: bool = True) -> DataFrame:
-    """speaker_id, shard_size, shard_sha, has_metadata from the configured folders."""
+    """speaker_id, shard_size, shard_sha, has_metadata from the configured folders. Shards are listed, and read in chunks for their digests."""
     name = F.regexp_extract("path", r"([^/]+)\.[a-z]+\z", 1)
-    tar = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(shards)
-    s = tar.select(name.alias("speaker_id"), F.col("length").alias("shard_size"), (F.sha2("content", 256) if digests else F.lit(None).cast("string")).alias("shard_sha"))
+    tar = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(shards).select("path", F.col("length").alias("size"))
+    found = archive.digests(tar.repartition("path")) if digests else tar.withColumn("sha256", F.lit(None).cast("string"))
+    s = found.select(name.alias("speaker_id"), F.col("size").alias("shard_size"), F.col("sha256").alias("shard_sha"))
     m = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(metadata).select(name.alias("speaker_id"), F.lit(True).alias("has_metadata"))
     return s.join(m, "speaker_id", "full_outer")
 
 
 def entries(spark: SparkSession, folder: str) -> DataFrame:
-    """name, is_dir of a local folder's entries."""
-    rows = [(e.name, e.is_dir()) for e in os.scandir(folder)] if os.path.isdir(folder) else []
-    return spark.createDataFrame(rows, "name string, is_dir boolean")
+    """name, is_dir, size of a local folder's entries."""
+    rows = [(e.name, e.is_dir(), None if e.is_dir() else e.stat().st_size) for e in os.scandir(folder)] if os.path.isdir(folder) else []
+    return spark.createDataFrame(rows, "name string, is_dir boolean, size bigint")
+
+
+def documents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path (the file's name), json of small JSON files, read whole on the driver; a byte order mark is dropped."""
+    rows = [(os.path.basename(p), open(p, encoding="utf-8-sig", errors="replace").read()) for p in paths if os.path.isfile(p)]
+    return spark.createDataFrame(rows, "path string, json string")
 
 
 def file_urls(records: DataFrame) -> DataFrame:

@@ -95,11 +95,11 @@ def test_settings():
 
 def test_settings_from_environment(tmp_path):
     f = tmp_path / ".env"
-    f.write_text("# c\nLIPSYNC_FPS=30\nexport LIPSYNC_FRAME_WIDTH='128'\nLIPSYNC_FRAME_HEIGHT=\n")
-    s = ReaderSettings.from_env(str(f), {"LIPSYNC_FPS": "24.5", "LIPSYNC_FRAME_WIDTH": " "})
+    f.write_text("# c\nCORVANE_FPS=30\nexport CORVANE_FRAME_WIDTH='128'\nCORVANE_FRAME_HEIGHT=\n")
+    s = ReaderSettings.from_env(str(f), {"CORVANE_FPS": "24.5", "CORVANE_FRAME_WIDTH": " "})
     assert (s.fps, s.frame_width, s.frame_height) == (24.5, 128, 96)
     with pytest.raises(ValueError):
-        ReaderSettings.from_env(None, {"LIPSYNC_FPS": "fast"})
+        ReaderSettings.from_env(None, {"CORVANE_FPS": "fast"})
 
 
 def test_split_is_the_published_one():

@@ -150,7 +150,16 @@ def test_samples(spark, tmp_path):
     got = {r.utterance_id: r for r in corpus.read_samples(spark, ReaderSettings(data_root=str(tmp_path)), "train", ["s1"]).collect()}
     s = got["bbaf2n"]
     assert list(s.frames) == [0, 2] and len(s.samples) == 1600 and s.video_duration_sec == 3 / 25 and s.decoded_audio_sec == 0.1 and s.error is None
-    assert got["two"].error == "audio is missing"
+    assert {u: r.error for u, r in got.items()} == {"bbaf2n": None, "gone": "utterance is missing from its shard", "two": "audio is missing"}
+    assert got["two"].duration_gap_sec is None and got["gone"].frames is None
+    late = m.withColumn("last_frame_index", F.lit(3))
+    assert {r.error for r in samples.samples(late.where("utterance_id = 'bbaf2n'"), archive.members(spark, str(tmp_path / "silver/shards"), content=True)).collect()} == {"last frame differs from the manifest"}
+    held = archive.members(spark, str(tmp_path / "silver/shards"), content=True)
+    frames = {r.prefix: (r.content, r.error) for r in samples.frame(held, 2).collect()}
+    assert frames["s1/bbaf2n/"][0] is not None and frames["s1/two/"][1] == "there is no frame 2"
+    assert {r.prefix: r.error for r in samples.audio(held).collect()}["s1/two/"] == "audio is missing"
+    with pytest.raises(ValueError):
+        samples.frame(held, -1)
     assert corpus.read_samples(spark, ReaderSettings(data_root=str(tmp_path), min_frame_count=3), "train").count() == 0
 
 
