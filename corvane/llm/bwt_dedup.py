@@ -10,9 +10,9 @@ never cross documents and are judged on the input.
 3. The runs of these windows, with the bytes they span, are dealt into buckets by fingerprint. Equal runs are one context. If a
    fingerprint has one context only, all its windows occur in the same documents. Contexts of other fingerprints are cut
    into shards; the Burrows-Wheeler transform of each shard is built, and the shards' transforms are merged by refining their
-   interleave (which shard the next suffix comes from) step by step, two bytes a step: the transform's symbols in the order
+   interleave (which shard the next suffix comes from) step by step, four bytes a step: the transform's symbols in the order
    of the interleave, sorted stably by symbol, give the next interleave. Blocks that a step splits bound the common prefixes;
-   after width / 2 steps a block is a repeated interval: all suffixes with the same `width` first bytes. No suffix is sorted again.
+   after the last step, for the full width, a block is a repeated interval: all suffixes with the same `width` first bytes. No suffix is sorted again.
    The least doc_id in a window's block decides.
 4. A fingerprint of more than about `hot` documents isn't gathered in a bucket. Such ones are found first, from summaries of counts
    by task (those of no more than `kept` fingerprints, so counts can be too low by the share that this loses); their windows are
@@ -129,7 +129,7 @@ def ids_unpacked(data: bytes) -> np.ndarray:
 
 
 class Shard:
-    """The sorted rotations of a set of different contexts, each ended by END bytes to an even length: `bwt` has, in sorted order, the two
+    """The sorted rotations of a set of different contexts, each ended by END bytes to an even length: `bwt` has, in sorted order, the four
     bytes before each; `string` and `offset` tell which rotation it is."""
 
     def __init__(self, contexts: list[bytes]):
@@ -145,48 +145,44 @@ class Shard:
         at = base[self.string] + self.offset
         words = np.ndarray((len(flat) - 8,), np.uint64, a, strides=(1,))
         key = words[at].byteswap()
-        order = np.argsort(key, kind="stable")
-        group = np.zeros(len(at), np.int64)
-        k = key[order]
-        group[1:] = np.cumsum(k[1:] != k[:-1])
+        order = np.argsort(key)
+        k, t, g = key[order], np.arange(len(at)), np.zeros(len(at), np.int64)
         for depth in range(8, width, 8):  # sort again only where the bytes so far agree
-            tied = np.zeros(len(at), bool)
-            same = group[1:] == group[:-1]
-            tied[1:] |= same
-            tied[:-1] |= same
-            t = np.flatnonzero(tied)
-            if not len(t):
+            new = np.ones(len(t) + 1, bool)
+            new[1:-1] = (g[1:] != g[:-1]) | (k[1:] != k[:-1])
+            tied = np.flatnonzero(~(new[1:] & new[:-1]))
+            if not len(tied):
                 break
+            t, g = t[tied], np.cumsum(new[:-1])[tied]
             k = words[at[order[t]] + depth].byteswap()
-            o = np.lexsort((k, group[t]))
-            order[t] = order[t][o]
-            k, g = k[o], group[t]
-            split = np.zeros(len(at), np.int64)
-            split[t[1:]] = (g[1:] == g[:-1]) & (k[1:] != k[:-1])
-            fresh = np.zeros(len(at), bool)
-            fresh[1:] = group[1:] != group[:-1]
-            group = np.cumsum(fresh | (split > 0))
-        before = base[self.string] + np.where(self.offset >= 2, self.offset - 2, self.offset - 2 + sizes[self.string])
-        bwt = a[before].astype(np.uint16) << 8 | a[before + 1]
+            o = np.lexsort((k, g))
+            order[t], k = order[t][o], k[o]
+        before = base[self.string] + np.where(self.offset >= 4, self.offset - 4, self.offset - 4 + sizes[self.string])
+        bwt = words[before].astype(np.uint32).byteswap()
         self.bwt, self.string, self.offset = bwt[order], self.string[order], self.offset[order]
 
 
 def interleaved(bwts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Merge transforms by refining their interleave. For each suffix in merged order its shard, and its common prefix with the one before,
-    in steps of two bytes, up to width."""
+    in steps of four bytes, up to width."""
     b = np.concatenate(bwts)
-    z = np.repeat(np.arange(len(bwts), dtype=np.uint16), [len(x) for x in bwts])
-    block, lcp = np.zeros(len(b), np.int32), np.full(len(b), width, np.int32)
-    lcp[:1] = 0
-    for step in range(width // 2):
+    z = np.repeat(np.arange(len(bwts), dtype=np.uint8 if len(bwts) < 256 else np.uint16), [len(x) for x in bwts])
+    block, lcp = np.zeros(len(b), np.int32), np.zeros(len(b), np.int32)
+    for depth in range(0, width, 4):
+        step = min(4, width - depth)
         merged = np.empty_like(b)
         merged[np.argsort(z, kind="stable")] = b
-        order = np.argsort(merged, kind="stable")
+        # stably by the last two of the symbol's bytes, then by the first two: 16 bits at a time are sorted in linear time
+        order = np.argsort(merged.astype(np.uint16), kind="stable")
+        if step == 4:
+            order = order[np.argsort((merged >> np.uint32(16)).astype(np.uint16)[order], kind="stable")]
+        else:
+            merged &= np.uint32(0xFFFF)
         c, before = merged[order], block[order]
-        fresh = np.ones(len(b), bool)
-        fresh[1:] = (c[1:] != c[:-1]) | (before[1:] != before[:-1])
-        lcp[fresh & (lcp == width)] = 2 * step
-        block = np.cumsum(fresh, dtype=np.int32) - 1
+        same = np.zeros(len(b), bool)
+        np.logical_and(c[1:] == c[:-1], before[1:] == before[:-1], out=same[1:])
+        lcp[same] += step  # blocks are only ever split, so what is the same now was so before
+        block = np.cumsum(~same, dtype=np.int32)
         z = z[order]
     return z, lcp
 
