@@ -7,10 +7,9 @@ never cross documents and are judged on the input.
 2. Each string (window) has a fingerprint, the least hash of its `gram`-byte pieces, which neighbouring windows mostly share
    (a run). Equal windows have equal fingerprints, so only windows whose fingerprint occurs in several documents can repeat.
    Fingerprints, packed by bucket, are counted across all documents; a document hears back which of its own repeat.
-3. The runs of these windows, with the bytes they span, are dealt into buckets by fingerprint. Equal runs are one context. If a
-   fingerprint has one context only, all its windows occur in the same documents. Contexts of other fingerprints are cut
-   into shards; the Burrows-Wheeler transform of each shard is built, and the shards' transforms are merged by refining their
-   interleave (which shard the next suffix comes from) step by step, four bytes a step: the transform's symbols in the order
+3. The runs of these windows, with the bytes they span, are dealt into buckets by fingerprint. Equal runs are one context, which
+   stands for all its documents. Contexts are cut into shards; the Burrows-Wheeler transform of each shard is built, and the
+   shards' transforms are merged by refining their interleave (which shard the next suffix comes from) step by step, four bytes a step: the transform's symbols in the order
    of the interleave, sorted stably by symbol, give the next interleave. Blocks that a step splits bound the common prefixes;
    after the last step, for the full width, a block is a repeated interval: all suffixes with the same `width` first bytes. No suffix is sorted again.
    The least doc_id in a window's block decides.
@@ -376,7 +375,7 @@ def _run_rows(texts: pa.Table, told: pa.Table, buckets: int, p: Params) -> pa.Ta
     c = _cuts(b[o]) if len(o) else np.zeros(1, np.int64)
     for i, j in zip(c[:-1], c[1:]):
         k = o[i:j]
-        raw = b"".join([struct.pack("<I", len(k)), packed(f[k]), s[k].astype(np.uint32).tobytes(), n[k].astype(np.uint8).tobytes(), _longs(t[k]), b"".join([bytes_[x] for x in k.tolist()]), ids_packed(d[k])])
+        raw = b"".join([struct.pack("<I", len(k)), s[k].astype(np.uint32).tobytes(), n[k].astype(np.uint8).tobytes(), _longs(t[k]), b"".join([bytes_[x] for x in k.tolist()]), ids_packed(d[k])])
         out["bucket"].append(int(b[k[0]]))
         out["runs"].append(struct.pack("<I", len(raw)) + pa.compress(raw, "zstd", asbytes=True))
     g = texts.column("g")[0].as_py() if texts.num_rows else 0
@@ -388,20 +387,19 @@ SPANS = "g int, docs binary, tags binary, firsts binary, ns binary"
 
 def _decided(table: pa.Table, p: Params) -> pa.Table:
     """Of a bucket: for each group the windows of its documents that go, as (document, tag, first, number)."""
-    fs, ds, ts, ss, ns, gs, cids = [], [], [], [], [], [], []
+    ds, ts, ss, ns, gs, cids = [], [], [], [], [], []
     number: dict[bytes, int] = {}
     contexts: list[bytes] = []
     for g, x in zip(table.column("g").to_pylist(), table.column("runs")):
         data = x.as_py()
         raw = pa.decompress(data[4:], struct.unpack_from("<I", data)[0], "zstd", asbytes=True)
         m = struct.unpack_from("<I", raw)[0]
-        fs.append(unpacked(raw[4 : 4 + 6 * m]))
-        ss.append(np.frombuffer(raw, np.uint32, m, 4 + 6 * m))
-        n = np.frombuffer(raw, np.uint8, m, 4 + 10 * m)
+        ss.append(np.frombuffer(raw, np.uint32, m, 4))
+        n = np.frombuffer(raw, np.uint8, m, 4 + 4 * m)
         ns.append(n)
-        ts.append(np.frombuffer(raw, np.int64, m, 4 + 11 * m))
+        ts.append(np.frombuffer(raw, np.int64, m, 4 + 5 * m))
         gs.append(np.full(m, g, np.int32))
-        at = 4 + 19 * m
+        at = 4 + 13 * m
         ends = at + np.cumsum(n.astype(np.int64) + p.width - 1)
         ds.append(ids_unpacked(raw[int(ends[-1]) :]))
         mine = np.empty(m, np.int32)
@@ -413,20 +411,15 @@ def _decided(table: pa.Table, p: Params) -> pa.Table:
             mine[k] = i
             at = z
         cids.append(mine)
-    f, d, t, s, n, g, cid = (np.concatenate(x) for x in (fs, ds, ts, ss, ns, gs, cids))
-    del fs, ds, ts, ss, ns, gs, cids, number
+    d, t, s, n, g, cid = (np.concatenate(x) for x in (ds, ts, ss, ns, gs, cids))
+    del ds, ts, ss, ns, gs, cids, number
     least = np.full(len(contexts), np.iinfo(np.int64).max)
     np.minimum.at(least, cid, d)
-    cf, cn = np.empty(len(contexts), np.uint64), np.empty(len(contexts), np.int64)
-    cf[cid], cn[cid] = f, n
-    _, family, members = np.unique(cf, return_inverse=True, return_counts=True)
-    hard = members[family] > 1
+    cn = np.empty(len(contexts), np.int64)
+    cn[cid] = n
     # the minimum of each window of each context
     base = np.cumsum(cn) - cn
-    minima = np.repeat(least, cn)
-    which = np.flatnonzero(hard)
-    if len(which):
-        minima[np.repeat(hard, cn)] = window_minima([contexts[i] for i in which], cn[which], least[which], p)
+    minima = window_minima(contexts, cn, least, p)
     del contexts
     out: list[tuple] = []
     for i in range(0, len(d), 50_000):
