@@ -87,6 +87,11 @@ def eligible(rows: DataFrame, min_frame_count: int | None) -> DataFrame:
     return rows if min_frame_count is None else rows.where(F.col("frame_count") >= min_frame_count)
 
 
+def first(rows: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
+    """The first n rows of each group; ranks are cut off before the shuffle too."""
+    return rows.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_i") <= n).drop("_i")
+
+
 def at(rows: DataFrame, split: str, index: int) -> DataFrame:
     """The row at a place of a split; negative ones count from its end."""
     if split not in SPLITS:
@@ -94,7 +99,7 @@ def at(rows: DataFrame, split: str, index: int) -> DataFrame:
     mine = rows.where(F.col("split") == split)
     if index >= 0:
         return mine.where(F.col("manifest_index") == index)
-    return mine.withColumn("_n", F.count("*").over(Window.partitionBy("split"))).where(F.col("manifest_index") == F.col("_n") + index).drop("_n")
+    return mine.where(F.col("manifest_index") == mine.count() + index)
 
 
 def overlapping_speakers(rows: DataFrame) -> DataFrame:

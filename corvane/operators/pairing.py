@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.config import PAIRING
 from corvane.errors import SourceLayoutError
 from corvane.functions.text import stem
+from corvane.operators.manifest import first
 
 
 def keyed(files: DataFrame) -> DataFrame:
@@ -47,5 +48,4 @@ def limited(pairs: DataFrame, n: int | None) -> DataFrame:
     """The first n paired utterances of each speaker; all pairs without n."""
     if not n:
         return pairs
-    order = Window.partitionBy("speaker_id").orderBy("utterance_id")
-    return pairs.where("pairing_status = 'PAIRED'").withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= n).drop("_i")
+    return first(pairs.where("pairing_status = 'PAIRED'"), ["speaker_id"], ["utterance_id"], n)

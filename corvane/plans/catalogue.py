@@ -74,15 +74,16 @@ def longest_runs(spark, d):
     return li.select("l_orderkey", longest_run(F.col("i")).alias("longest_run"))
 
 
-PAIRS = """v AS (SELECT 's' || (doc_id % 7 + 1) AS speaker_id, max('/v/' || source || '/U' || (doc_id % 1000) || '.mpg') AS video_path, 'u' || (doc_id % 1000) AS utterance_id FROM documents WHERE n_chars >= 1000 GROUP BY 1, 3),
-a AS (SELECT 's' || (doc_id % 7 + 1) AS speaker_id, max('/a/' || quality || '/u' || (doc_id % 1000) || '.WAV') AS audio_path, 'u' || (doc_id % 1000) AS utterance_id FROM labels GROUP BY 1, 3),
+PAIRS = """v AS (SELECT 's' || (doc_id // 10 % 7 + 1) AS speaker_id, max('/v/' || source || '/U' || (doc_id - doc_id % 10 // 9) || '.mpg') AS video_path, 'u' || (doc_id - doc_id % 10 // 9) AS utterance_id FROM documents WHERE doc_id % 5 <> 0 GROUP BY 1, 3),
+a AS (SELECT 's' || (doc_id // 10 % 7 + 1) AS speaker_id, max('/a/' || quality || '/u' || (doc_id - doc_id % 10 // 9) || '.WAV') AS audio_path, 'u' || (doc_id - doc_id % 10 // 9) AS utterance_id FROM labels GROUP BY 1, 3),
 p AS (SELECT speaker_id, utterance_id, video_path, audio_path, CASE WHEN audio_path IS NULL THEN 'MISSING_AUDIO' WHEN video_path IS NULL THEN 'MISSING_VIDEO' ELSE 'PAIRED' END AS pairing_status FROM v FULL JOIN a USING (speaker_id, utterance_id))"""
 
 
 def pairs_of(spark, d):
-    speaker = F.concat(F.lit("s"), (F.col("doc_id") % 7 + 1).cast("string"))
-    v = t(spark, d, "documents").where("n_chars >= 1000").select(speaker.alias("speaker_id"), F.concat(F.lit("/v/"), "source", F.lit("/U"), (F.col("doc_id") % 1000).cast("string"), F.lit(".mpg")).alias("path"))
-    a = t(spark, d, "labels").select(speaker.alias("speaker_id"), F.concat(F.lit("/a/"), F.col("quality").cast("string"), F.lit("/u"), (F.col("doc_id") % 1000).cast("string"), F.lit(".WAV")).alias("path"))
+    speaker = F.concat(F.lit("s"), (F.floor(F.col("doc_id") / 10) % 7 + 1).cast("string"))
+    name = (F.col("doc_id") - F.when(F.col("doc_id") % 10 == 9, 1).otherwise(0)).cast("string")  # some twice
+    v = t(spark, d, "documents").where("doc_id % 5 <> 0").select(speaker.alias("speaker_id"), F.concat(F.lit("/v/"), "source", F.lit("/U"), name, F.lit(".mpg")).alias("path"))
+    a = t(spark, d, "labels").select(speaker.alias("speaker_id"), F.concat(F.lit("/a/"), F.col("quality").cast("string"), F.lit("/u"), name, F.lit(".WAV")).alias("path"))
     return pairing.pair(v, a)
 
 
@@ -101,11 +102,6 @@ def pairing_limited(spark, d):
     return pairing.limited(pairs_of(spark, d), 5)
 
 
-@query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
-def pairing_missing(spark, d):
-    return t(spark, d, "orders").join(t(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
-
-
 RECORDS = """e AS (SELECT event_id, user_id, value, json_extract_string(props, '$.k')::INT AS k, event_type FROM events),
 q AS (SELECT 's' || (user_id % 7 + 1) AS speaker_id, event_id::VARCHAR AS utterance_id, CASE WHEN event_id % 11 = 0 THEN 'MISSING_AUDIO' WHEN event_id % 13 = 0 THEN 'VIDEO_DECODE_FAILED' WHEN event_id % 17 = 0 THEN 'INVALID_FPS' WHEN event_id % 19 = 0 THEN 'AUDIO_CONVERSION_FAILED'
   WHEN event_id % 23 = 0 THEN 'EMPTY_AUDIO' WHEN k % 12 = 0 THEN 'NO_FRAMES' WHEN k % 9 = 0 OR (k % 9)::DOUBLE / (k % 12) < 0.5 THEN 'FACE_NOT_DETECTED' WHEN k % 9 < 5 THEN 'INSUFFICIENT_CONSECUTIVE_FACE_FRAMES' WHEN event_id % 29 = 0 THEN 'CORRUPT_OUTPUT'
@@ -140,7 +136,7 @@ def qc_summary(spark, d):
     return s.select("speaker_id", "total_candidates", "valid_samples", "invalid_samples", F.size("invalid_reason_counts").cast("bigint").alias("n_reasons"), F.coalesce(F.try_element_at("invalid_reason_counts", F.lit("NO_FRAMES")), F.lit(0)).alias("no_frames"))
 
 
-RAW_SQL = """r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 1 AS row_number, ' train' AS split, CASE WHEN o_orderkey % 97 = 0 THEN 's21' WHEN o_orderkey % 89 = 0 THEN 's01' ELSE 's' || (o_custkey % 34 + 1) END AS sp, CASE WHEN o_orderkey % 83 = 0 THEN 'a/b' ELSE 'u' || o_orderkey END AS ut,
+RAW_SQL = """r AS (SELECT o_orderkey, o_orderkey + 2 AS row_number, ' train' AS split, CASE WHEN o_orderkey % 97 = 0 THEN 's21' WHEN o_orderkey % 89 = 0 THEN 's01' ELSE 's' || (o_custkey % 34 + 1) END AS sp, CASE WHEN o_orderkey % 83 = 0 THEN 'a/b' ELSE 'u' || o_orderkey END AS ut,
   CASE WHEN o_orderkey % 79 = 0 THEN 'x/' ELSE '' END AS px, CASE WHEN o_orderkey % 73 = 0 THEN 'False' WHEN o_orderkey % 2 = 0 THEN '1' ELSE 'True' END AS va, CASE WHEN o_orderkey % 71 = 0 THEN 'abc' WHEN o_orderkey % 67 = 0 THEN '99' ELSE '10' END AS fc,
   CASE WHEN o_orderkey % 61 = 0 THEN '1.5' ELSE '0.5' END AS ra, CASE WHEN o_orderkey % 59 = 0 THEN '1.0d' WHEN o_orderkey % 53 = 0 THEN '0' ELSE ' 1.25 ' END AS du FROM orders),
 c AS (SELECT row_number, sp AS speaker_id, ut AS utterance_id, CASE WHEN fc = 'abc' THEN 'invalid or missing value: frame_count' WHEN du = '1.0d' THEN 'invalid or missing value: audio_duration_sec' WHEN NOT regexp_full_match(sp, 's[1-9][0-9]*') OR sp = 's21' THEN 'invalid speaker: ' || sp WHEN ut = 'a/b' THEN 'invalid utterance: a/b'
@@ -150,7 +146,7 @@ c AS (SELECT row_number, sp AS speaker_id, ut AS utterance_id, CASE WHEN fc = 'a
 def parsed_of(spark, d):
     k = F.col("o_orderkey")
     hit = lambda n: k % n == 0
-    o = t(spark, d, "orders").withColumn("row_number", F.row_number().over(Window.orderBy("o_orderkey")) + 1)
+    o = t(spark, d, "orders").withColumn("row_number", k + 2)
     sp = F.when(hit(97), "s21").when(hit(89), "s01").otherwise(F.concat(F.lit("s"), (F.col("o_custkey") % 34 + 1).cast("string")))
     ut = F.when(hit(83), "a/b").otherwise(F.concat(F.lit("u"), k.cast("string")))
     raw = o.select(
@@ -227,11 +223,6 @@ def gold_project(spark, d):
     return gold_of(spark, d).drop("ordinal", "pos")
 
 
-@query(f"WITH {GOLD_SQL} SELECT split, count(*) AS utterances FROM g GROUP BY 1")
-def gold_counts(spark, d):
-    return gold_of(spark, d).groupBy("split").agg(F.count("*").alias("utterances"))
-
-
 @query("SELECT 's' || i AS speaker_id FROM range(1, 35) r(i) WHERE i <> 21 AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 34 + 1 = i AND s_acctbal > 5000)")
 def gold_incomplete(spark, d):
     sp = F.concat(F.lit("s"), (F.col("s_suppkey") % 34 + 1).cast("string"))
@@ -282,23 +273,11 @@ def artefacts_verified(spark, d):
     return state.verified(st, inv).select("speaker_id", "verified")
 
 
-@query("SELECT conv_id, turn, role FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 2")
-def first_n(spark, d):
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return t(spark, d, "conversations").withColumn("_i", F.row_number().over(w)).where("_i <= 2").select("conv_id", "turn", "role")
-
-
 @query("SELECT event_type AS status, count(*) AS n FROM events GROUP BY 1")
 def status_histogram(spark, d):
     return profile.status_histogram(t(spark, d, "events"), "event_type")
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k, ['k'] AS root_keys FROM events")
-def json_extract(spark, d):
-    e = t(spark, d, "events")
-    return e.select("event_id", F.get_json_object("props", "$.k").alias("k"), F.array_sort(F.json_object_keys("props")).alias("root_keys"))
-
-
 @query("SELECT doc_id, sha256(text) AS sha256, octet_length(encode(text))::BIGINT AS size FROM documents")
 def sha256(spark, d):
     docs = t(spark, d, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
@@ -325,12 +304,6 @@ def tolerant_parse(spark, d):
     return t(spark, d, "orders").select("o_orderkey", to_int(text).alias("as_int"), to_double(price).alias("as_double"), strip(F.concat(F.lit("\t\x0b "), "o_orderpriority", F.lit("\r\n"))).alias("stripped"))
 
 
-@query("SELECT vec_id, (unnest(range(len(embedding))))::INT AS i, unnest(embedding) AS sample, unnest(list_transform(embedding, lambda x: (x / 32768)::FLOAT)) AS normal FROM embeddings")
-def pcm_explode(spark, d):
-    e = t(spark, d, "embeddings")
-    return e.select("vec_id", F.posexplode(F.arrays_zip("embedding", F.transform("embedding", lambda x: (x / F.lit(32768.0).cast("float")).cast("float")).alias("normal"))).alias("i", "s")).select("vec_id", "i", F.col("s.embedding").alias("sample"), F.col("s.normal").alias("normal"))
-
-
 @query(
     """SELECT l_orderkey, l_linenumber, l_partkey, b."right" - b."left" AS w, b.bottom - b.top AS h FROM (SELECT *, struct_pack("left" := greatest(0, trunc(l_quantity - 10)::INT), top := greatest(0, trunc(l_discount * 100 - 3)::INT), "right" := least(40, trunc(l_quantity + l_tax * 100)::INT), bottom := least(8, trunc(l_tax * 100 + 2)::INT)) AS b FROM lineitem) WHERE b."right" > b."left" AND b.bottom > b.top"""
 )
@@ -375,7 +348,3 @@ def top_preview(spark, d):
     return profile.preview(e).select("n_nationkey", F.col("name").alias("n_name"))
 
 
-@query(None)
-def size_text(spark, d):
-    """No SQL: DuckDB has no such formatting."""
-    return t(spark, d, "documents").select("doc_id", fmt_size(F.col("n_chars")).alias("size"))
