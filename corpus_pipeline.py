@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm import bwt_dedup, decontam, mixing, near_dedup, quality_rules
-from corvane.llm.common import new_folder
+from corvane.llm.common import new_folder, sweep
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +50,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; the last one's rows."""
+    """All stages over documents; the last one's rows. What a stage has written goes when the next one's output is there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         out = new_folder(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(out)
+        sweep(out)
         docs = spark.read.parquet(out)
     return docs

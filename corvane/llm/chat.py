@@ -3,22 +3,23 @@
 A call and its result carry the same call_id within a conversation and are joined on it by hash. A result depends on its call;
 a call may depend on the result of another call (`after`). The depth of a message in this forest is its topological order:
 messages sorted by (depth, turn) follow all they depend on. Depths come from pointer doubling, in as many joins as the depth's
-logarithm, on (conversation, call), so that a conversation of any length is spread over all tasks; messages are
-returned as rows, never gathered by conversation. Arguments are parsed as JSON variants and checked field by field against
+logarithm, on (conversation, call), so that a conversation of any length is spread over all tasks. Positions in that order come
+from one sort of all messages by ranges, whatever their conversation, and counts by range; messages are returned as rows, never
+gathered by conversation, and writing them sorted by (conversation, position) serialises conversations in order. Arguments are parsed as JSON variants and checked field by field against
 their tool's schema; a variant holds an object's keys sorted, so writing it gives canonical JSON.
 
 DataFrame operations only. Defined cases: messages with null or unknown call_id are plain; of calls (or results) that repeat an
 id in a conversation the one with the least turn is linked and the others are marked as duplicates; a result without call or
-a call without result is kept and marked; calls that depend on each other in a circle have no depth and are marked. Null texts give
+a call without result is kept and marked; calls that depend on each other in a circle have no depth, are marked and come last. Null texts give
 JSON without content. A null conversation or turn is kept as such and linked with nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.common import cut
+from corvane.llm.common import cut, partitions
 
 #: Variant types that a schema's type allows.
 KINDS = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE", "DECIMAL"], "boolean": ["BOOLEAN"], "array": ["ARRAY"], "object": ["OBJECT"]}
@@ -32,7 +33,8 @@ def argument_error(arguments: Column, tool: Column, schemas: dict[str, dict[str,
     for name, fields in schemas.items():
         mine = tool == name
         for f, (kind, required) in fields.items():
-            got = F.try_variant_get(v, f"$.{f}", "variant")
+            quote = '"' if "'" in f else "'"  # a path has no way to escape either
+            got = F.try_variant_get(v, f"$[{quote}{f}{quote}]", "variant")
             type_ = F.regexp_extract(F.schema_of_variant(got), "^[A-Z]+", 0)
             none = got.isNull() | (type_ == "VOID")
             if required:
@@ -66,7 +68,7 @@ def depths(nodes: DataFrame) -> DataFrame:
 
 def format_chats(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
     """A row for each row of messages(conv_id, turn, role, text, kind, call_id, tool, arguments, after); kind is call, result or null.
-    Returns conv_id, turn, role, kind (or plain), call_id, linked, depth, valid, error, json."""
+    Returns conv_id, turn, role, kind (or plain), call_id, linked, depth, valid, error, json, position."""
     m = messages.select("conv_id", "turn", "role", "text", F.when(F.col("call_id").isNotNull() & F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), F.col("kind")).alias("kind"), "call_id", "tool", "arguments", "after")
     m = m.withColumn("kind", F.when(F.col("kind").isin("call", "result"), F.col("kind")).otherwise("plain"))
     m = m.withColumn("node", F.when(F.col("kind") != "plain", F.concat("kind", F.lit(":"), "call_id")))
@@ -85,7 +87,24 @@ def format_chats(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bo
     # keys in sorted order; absent ones are left out
     made = F.to_json(F.struct(F.col("arguments_json").alias("arguments"), F.when(F.col("kind") != "plain", F.col("call_id")).alias("call_id"), F.col("text").alias("content"), F.col("role").alias("role"), F.when(F.col("kind") == "call", F.col("tool")).alias("tool")))
     out = out.withColumn("arguments_json", F.when(F.col("kind") == "call", F.try_parse_json(F.col("arguments")))).withColumn("json", made)
-    return out.select("conv_id", "turn", "role", "kind", F.when(F.col("kind") != "plain", F.col("call_id")).alias("call_id"), F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("depth", F.when(F.col("kind") == "plain", 0)).alias("depth"), F.col("error").isNull().alias("valid"), "error", "json")
+    out = out.select("conv_id", "turn", "role", "kind", F.when(F.col("kind") != "plain", F.col("call_id")).alias("call_id"), F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("depth", F.when(F.col("kind") == "plain", 0)).alias("depth"), F.col("error").isNull().alias("valid"), "error", "json")
+    return positioned(out)
+
+
+def positioned(messages: DataFrame) -> DataFrame:
+    """With position, from 0 within each conversation by (depth, turn); rows that agree in both follow role and text. Ranges of the sort
+    hold neighbouring messages of one conversation or of many, so a long conversation is spread over several."""
+    last = lambda c: F.col(c).asc_nulls_last()
+    keys = [last("conv_id"), last("depth"), last("turn"), last("role"), last("json")]
+    dealt = messages.repartitionByRange(partitions(messages.sparkSession), *keys).sortWithinPartitions(*keys)
+    dealt = cut(dealt.withColumn("_at", F.monotonically_increasing_id()))
+    dealt = dealt.withColumn("_range", F.shiftright("_at", 33))
+    counts = dealt.groupBy("conv_id", "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    # a row for each conversation and range it lies in
+    before = F.sum("_n").over(Window.partitionBy("conv_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(F.col("conv_id").alias("_conv"), F.col("_range").alias("_r"), (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
+    out = dealt.join(counts, (F.col("_range") == F.col("_r")) & F.col("conv_id").eqNullSafe(F.col("_conv")))
+    return out.select(*messages.columns, (F.col("_at") + F.col("_shift")).alias("position"))
 
 
 #: The one tool of plain conversations.

@@ -11,6 +11,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +20,18 @@ from pyspark.sql import functions as F
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 #: Words that a worker keeps the hashes of; then it starts anew.
 CACHE = 300_000
+#: Folders named by this driver and not yet swept.
+MADE: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset (tests on one machine), an own one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset and all is on one machine (tests), an own one. On a
+    cluster a folder of one machine would lose data, so there it must be set."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="corvane-")
         sc.setCheckpointDir(folder)
     elif not sc.getCheckpointDir():
@@ -35,7 +41,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, kind: str) -> str:
     """A name, not yet used, in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    MADE.append(f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}")
+    return MADE[-1]
+
+
+def sweep(kept: str) -> None:
+    """Delete the folders that new_folder has named so far, but for `kept`: for callers that have written what they wanted from them."""
+    for folder in [x for x in MADE if x != kept]:
+        fs, path = filesystem(folder)
+        if fs.get_file_info(path).type == pafs.FileType.Directory:
+            fs.delete_dir(path)
+        MADE.remove(folder)
+
+
+def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """Whatever store the cluster's shared folder is in."""
+    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
 
 
 def cut(df: DataFrame) -> DataFrame:

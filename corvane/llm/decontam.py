@@ -11,7 +11,7 @@ enough to look for its rarest one (its prefix: for full containment one token is
 4. compare all words of the window there.
 
 The benchmark is held in each task only if its words are few (`held_words`); a larger one is joined by shuffles, with the
-same steps. Null texts have no words; a null doc_id is passed on. Rows that repeat a doc_id are judged each on their own
+same steps, after a filter of fixed size has dropped the texts' shingles that no window has. Null texts have no words; a null doc_id is passed on. Rows that repeat a doc_id are judged each on their own
 text in the held form; the joined form numbers rows, so it does likewise. Items without item_id mark words as hit but
 aren't listed; rows that repeat an item_id are one item. Other columns of either table are ignored.
 """
@@ -39,12 +39,14 @@ SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha
 @dataclass(frozen=True)
 class Params:
     """size: words in a window. shingle: words in a token of the join. pct: a text is contaminated with that share of words hit, and one
-    at least. held_words: the largest benchmark, in words, that is sent to every task (about 100 bytes a word there)."""
+    at least. held_words: the largest benchmark, in words, that is sent to every task (about 100 bytes a word there). filter_bits: the logarithm of the size, in bits, of the filter that the
+    joined form sends to every task."""
 
     size: int = 13
     shingle: int = 5
     pct: int = 5
     held_words: int = 500_000
+    filter_bits: int = 27
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -199,7 +201,8 @@ def _joined(docs: DataFrame, items: DataFrame, p: Params, row: str | None = None
     tokens = cut(tokens)
     kinds = [r[0] for r in tokens.select("k").distinct().collect()]
     texts = cut(docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("bigint"), F.col("text").cast("binary")))
-    places = arrow_map(texts, lambda b: _place_rows(b, kinds), "row bigint, n_words int, k int, tokens array<bigint>").select("row", "n_words", "k", F.posexplode("tokens").alias("i", "token"))
+    held = spark.sparkContext.broadcast(_filter(tokens, p))
+    places = arrow_map(texts, lambda b: _place_rows(b, kinds, held.value), "row bigint, n_words int, k int, places array<int>, tokens array<bigint>").select("row", "n_words", "k", F.explode(F.arrays_zip("places", "tokens")).alias("x")).select("row", "n_words", "k", F.col("x.places").alias("i"), F.col("x.tokens").alias("token"))
     wanted = tokens.select("token", "k").distinct()
     # one scan of the texts: the places of benchmark tokens are kept, then both counted and joined
     seen = cut(places.join(wanted, ["token", "k"], "left_semi"))
@@ -232,13 +235,28 @@ def _token_rows(batch: pa.RecordBatch, p: Params) -> Iterator[dict]:
     yield {"win": pa.array(win, pa.string()), "token": pa.array(token, pa.int64()), "at": pa.array(at, pa.int32()), "k": pa.array(kinds, pa.int32())}
 
 
-def _place_rows(batch: pa.RecordBatch, kinds: list[int]) -> Iterator[dict]:
+def _filter(tokens: DataFrame, p: Params) -> np.ndarray:
+    """A bit for each remainder of a token, set if a token of the benchmark has it: 2**filter_bits bits, whatever the size of the benchmark."""
+    slot = F.pmod(F.col("token"), F.lit(1 << p.filter_bits)) + 1
+    found = tokens.groupBy(F.bitmap_bucket_number(slot).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    out = np.zeros(max(1 << p.filter_bits, 32768) // 8, np.uint8)
+    for r in found:
+        out[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _place_rows(batch: pa.RecordBatch, kinds: list[int], known: np.ndarray) -> Iterator[dict]:
+    """For each text and kind the places of tokens that the filter lets through; the rest is in no window."""
     hashes = WordHash()
     for row, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
         h = hashes.of(words_of(text))
-        ks = [k for k in kinds if len(h) >= k]
-        if ks:
-            yield {"row": pa.array([row] * len(ks)), "n_words": pa.array([len(h)] * len(ks), pa.int32()), "k": pa.array(ks, pa.int32()), "tokens": pa.array([shingle_hashes(h, k).view(np.int64) for k in ks], pa.list_(pa.int64()))}
+        for k in kinds:
+            if len(h) >= k:
+                s = shingle_hashes(h, k)
+                slot = (s & np.uint64(len(known) * 8 - 1)).astype(np.int64)
+                at = np.flatnonzero(known[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+                if len(at):
+                    yield {"row": pa.array([row]), "n_words": pa.array([len(h)], pa.int32()), "k": pa.array([k], pa.int32()), "places": pa.array([at], pa.list_(pa.int32())), "tokens": pa.array([s[at].view(np.int64)], pa.list_(pa.int64()))}
 
 
 def _verified(batch: pa.RecordBatch, p: Params) -> Iterator[dict]:

@@ -29,11 +29,11 @@ o AS (
   LEFT JOIN d ON d.conv_id = m.conv_id AND d.node = CASE kind WHEN 'call' THEN 'c' WHEN 'result' THEN 'r' END || m.call_no),
 x AS (
   SELECT *, CASE WHEN kind = 'plain' THEN NULL WHEN turn <> first THEN 'duplicate' WHEN NOT linked AND kind = 'call' THEN 'no result' WHEN NOT linked THEN 'no call'
-    WHEN kind = 'call' AND text IS NULL THEN 'chars is missing' END AS error FROM o)
-SELECT conv_id, turn, role, kind, call_no::VARCHAR AS call_id, linked, coalesce(depth, 0) AS depth, error IS NULL AS valid, error,
+    WHEN kind = 'call' AND text IS NULL THEN 'chars is missing' END AS error FROM o),
+y AS (SELECT conv_id, turn, role, kind, call_no::VARCHAR AS call_id, linked, coalesce(depth, 0) AS depth, error IS NULL AS valid, error,
   '{' || concat_ws(',', CASE WHEN kind = 'call' THEN '"arguments":{' || concat_ws(',', '"chars":' || length(text), '"text":' || to_json(text)) || '}' END,
-    '"call_id":"' || call_no || '"', '"content":' || to_json(text), '"role":' || to_json(role), CASE WHEN kind = 'call' THEN '"tool":"ask"' END) || '}' AS json
-FROM x
+    '"call_id":"' || call_no || '"', '"content":' || to_json(text), '"role":' || to_json(role), CASE WHEN kind = 'call' THEN '"tool":"ask"' END) || '}' AS json FROM x)
+SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY depth, turn, role, json) - 1 AS position FROM y
 """
 
 OP2 = rf"""

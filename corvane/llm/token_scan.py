@@ -31,8 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.common import arrow_map, cut, new_folder
-from corvane.llm.warc import filesystem
+from corvane.llm.common import arrow_map, cut, filesystem, new_folder
 
 #: How the byte-level BPE of the vocabulary splits a text, as published with it (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

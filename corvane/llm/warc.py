@@ -31,7 +31,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.common import arrow_map, cut, new_folder
+from corvane.llm.common import arrow_map, cut, filesystem, new_folder
 
 RECORD = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 #: Fixed values of the format.
@@ -82,11 +82,6 @@ def record(page_id: int | None, url: str | None, payload: bytes, kind: str, dige
     return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """Whatever store the cluster's shared folder is in."""
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
-
-
 def sized(pages: DataFrame) -> DataFrame:
     """page_id, url, html (binary), sha (of the payload), bytes, tie (of the url)."""
     rows = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("html"))

@@ -421,3 +421,33 @@ def test_order_follows_dependencies_and_marks_circles(spark):
     assert {errors[x, "call"] for x in "pq"} == {"circular"} and errors["self", "call"] == "circular"
     assert errors["r", "call"] == "no result" and errors["z", "result"] == "no call" and errors["k0", "call"] is None
     assert chat.format_chats(m.limit(0), SCHEMAS).count() == 0
+    # positions: every message after all it depends on, those without depth last, and no gap, though several tasks hold the conversation
+    one = sorted((r for r in got if r.conv_id == 1), key=lambda r: r.position)
+    assert [r.position for r in one] == list(range(len(one))) and [r.depth is None for r in one] == sorted(r.depth is None for r in one)
+    keys = [(r.depth, r.turn) for r in one if r.depth is not None]
+    assert keys == sorted(keys)
+
+
+def test_fields_with_odd_names_are_checked(spark):
+    schema = {"t": {"a.b": ("integer", True), "it's": ("string", True)}}
+    rows = [(1, 0, "", "", "call", "x", "t", '{"a.b": 1, "it\'s": "y"}', None), (1, 1, "", "", "result", "x", None, None, None), (1, 2, "", "", "call", "y", "t", '{"a": {"b": 1}, "it\'s": "y"}', None), (1, 3, "", "", "result", "y", None, None, None)]
+    m = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, kind string, call_id string, tool string, arguments string, after string")
+    assert {r.turn: r.error for r in chat.format_chats(m, schema).collect()} == {0: None, 1: None, 2: "a.b is missing", 3: None}
+
+
+def test_the_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch, tmp_path):
+    from types import SimpleNamespace
+
+    from corvane.llm import common
+
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://x:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(fake)
+    monkeypatch.setattr(common, "MADE", [])
+    a, b = common.new_folder(spark, "a"), common.new_folder(spark, "b")
+    for x in (a, b):
+        spark.range(1).write.parquet(x)
+    common.sweep(b)
+    assert common.MADE == [b] and spark.read.parquet(b).count() == 1
+    with pytest.raises(Exception):
+        spark.read.parquet(a)

@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from corvane.llm import mixing, quality_rules
+from corvane.llm import mixing
 from tests.llm.test_decontam import brute as contamination
 from tests.llm.test_near_dedup import brute as components
+from tests.llm.test_quality_rules import brute as judged
 
 
 def tables(seed):
@@ -63,8 +64,7 @@ def test_stages_equal_brute_force(spark, tmp_path, seed):
     ddl = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame(docs, ddl).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    rules = quality_rules.Rules()
-    want = [[x for x in docs if quality_rules.judged((x[1] or "").encode(), rules)[6]]]
+    want = [[x for x in docs if judged(x[1])[6]]]
     keep = {c[0] for c in components([(x[0], x[1]) for x in want[-1]], 5, 80) if c[3]}
     want.append([x for x in want[-1] if x[0] in keep])
     want.append(cut_out(want[-1]))
