@@ -1,4 +1,4 @@
-"""python -m corvane.cli build|gold|report|inspect ..."""
+"""python -m corvane.cli build|gold|report|inspect|sample ..."""
 
 from __future__ import annotations
 
@@ -6,12 +6,13 @@ import argparse
 import importlib
 import os
 import sys
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane import logs
-from corvane.config import CorpusConfig, ReaderSettings, check_speaker
+from corvane.config import SPLITS, CorpusConfig, ReaderSettings, check_speaker
 from corvane.errors import CorvaneError
 from corvane.functions.text import fmt_size
 from corvane.operators import profile
@@ -48,6 +49,22 @@ def inspect(spark: SparkSession, root: str) -> str:
     return "\n".join(lines) + "\n"
 
 
+def sample(spark: SparkSession, settings: ReaderSettings, split: str, index: int) -> str:
+    """A text about one utterance: its manifest row, what its shard has of it, and its decoded audio. One archive is read."""
+    rows = corpus.at(spark, settings, split, index)
+    r = rows.first()
+    if r is None:
+        raise IndexError(f"{split} has no row {index}")
+    s = corpus.read_samples(spark, settings, split, [r["speaker_id"]]).where((F.col("speaker_id") == r["speaker_id"]) & (F.col("utterance_id") == r["utterance_id"])).first()
+    lines = [f"{k}: {r[k]}" for k in ("speaker_id", "utterance_id", "shard_member_prefix", "frame_count", "audio_sample_rate")]
+    if s is None or s["error"]:
+        return "\n".join([*lines, f"error: {s['error'] if s else 'too few frames'}"]) + "\n"
+    frames = s["frames"]
+    lines += [f"frames: {len(frames)} ({', '.join(map(str, list(frames)[:10]))}{' ...' if len(frames) > 10 else ''}), {sum(map(len, frames.values()))} bytes", f"audio: {len(s['samples'])} samples"]
+    lines += [f"{k}: {s[k]:.3f} s" for k in ("video_duration_sec", "decoded_audio_sec", "duration_gap_sec")]
+    return "\n".join(lines + ["the gap is over 80 ms"] * bool(s["gap_warning"])) + "\n"
+
+
 def _names(folder: str) -> list[str]:
     return sorted(os.listdir(folder)) if os.path.isdir(folder) else []
 
@@ -92,6 +109,10 @@ def parser() -> argparse.ArgumentParser:
     r = sub.add_parser("report")
     r.add_argument("--root")
     r.add_argument("--out", required=True)
+    s = sub.add_parser("sample")
+    s.add_argument("--root")
+    s.add_argument("--split", choices=SPLITS, default="train")
+    s.add_argument("--index", type=int, default=0, help="negative ones count from the end")
     i = sub.add_parser("inspect")
     i.add_argument("--root", required=True)
     i.add_argument("--out")
@@ -132,11 +153,14 @@ def main(args: list[str] | None = None) -> int:
         return run_build(spark, a)
     if a.what == "gold":
         return 0 if corpus.build_gold(spark, CorpusConfig(root=a.root, split_seed=a.seed), a.allow_partial) else 1
-    if a.what == "report":
+    if a.what in ("report", "sample"):
         settings = ReaderSettings.from_env()
         if not (a.root or settings.data_root):
             p.error("no dataset: give --root or set it in the environment")
-        print("\n".join(corpus.report(spark, settings, a.out, a.root).values()))
+        if a.what == "sample":
+            sys.stdout.write(sample(spark, replace(settings, data_root=a.root or settings.data_root), a.split, a.index))
+        else:
+            print("\n".join(corpus.report(spark, settings, a.out, a.root).values()))
         return 0
     text = inspect(spark, a.root)
     if a.out:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,9 @@ from corvane.sinks import files, shards
 from corvane.sources import archive, manifest, metadata
 
 
+log = logging.getLogger("corvane.corpus")
+
+
 def now() -> str:
     return datetime.now(UTC).isoformat()
 
@@ -23,6 +27,8 @@ def build_gold(spark: SparkSession, c: CorpusConfig, allow_partial: bool = False
     """Write the manifests of all splits and their description; False, and nothing written, if speakers are incomplete and allow_partial
     isn't set."""
     dimension = gold.split_dimension(spark, c)
+    for name in metadata.unreadable(spark, c.metadata):
+        log.warning("%s can't be read and is left out", name)
     meta = metadata.speakers(spark, c.metadata)
     missing = [r["speaker_id"] for r in gold.incomplete(dimension, meta).orderBy("ordinal").collect()]
     if missing and not allow_partial:
@@ -99,6 +105,11 @@ def read_samples(spark: SparkSession, settings: ReaderSettings, split: str, spea
     return samples.samples(rows, members, settings.fps)
 
 
+def at(spark: SparkSession, settings: ReaderSettings, split: str, index: int) -> DataFrame:
+    """The manifest's row at a place of a split."""
+    return M.at(manifest.load(spark, settings.data_root, split), split, index)
+
+
 def resume(spark: SparkSession, c: CorpusConfig, events: DataFrame, force: bool = False, clock=now) -> tuple[DataFrame, DataFrame]:
     """Speakers still to process, and events that reconcile the state of those whose artefacts verify."""
     catalogue = spark.createDataFrame([(s,) for s in c.usable()], "speaker_id string")

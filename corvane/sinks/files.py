@@ -9,12 +9,17 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from corvane.config import SPLITS
 from corvane.errors import PersistenceError
 from corvane.schemas import DURATION, MANIFEST_COLUMNS, SUMMARY_COLUMNS
 
 
+#: What counts as the same type in a report.
+KINDS = {T.StringType: "text", T.BooleanType: "truth", T.DoubleType: "number", T.FloatType: "number", T.IntegerType: "count", T.LongType: "count", T.ShortType: "count"}
+
+
 def write_atomically(path: str, data: bytes) -> str:
     """Under another name first, flushed to disk, then renamed."""
     folder = os.path.dirname(path) or "."
@@ -67,6 +72,9 @@ def report(gaps: DataFrame, summary: DataFrame, folder: str) -> dict[str, str]:
     missing = set(DURATION.fieldNames()) - set(gaps.columns) | set(SUMMARY_COLUMNS) - set(summary.columns)
     if missing:
         raise TypeError(f"the report lacks columns: {sorted(missing)}")
+    wrong = [f"{f.name} ({gaps.schema[f.name].dataType.simpleString()})" for f in DURATION.fields if KINDS[type(f.dataType)] != KINDS.get(type(gaps.schema[f.name].dataType))]
+    if wrong:
+        raise TypeError(f"the report has columns of another type: {wrong}")
     every = summary.collect()  # a row for each speaker, split and all
     pick = lambda levels: [tuple(r[c] for c in SUMMARY_COLUMNS) for r in every if r["level"] in levels]
     return {

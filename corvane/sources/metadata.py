@@ -8,15 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvane.errors import DownloadError
 from corvane.schemas import METADATA
 from corvane.sources import archive
 
 
 def speakers(spark: SparkSession, folder: str) -> DataFrame:
     """A row for each readable <speaker>.json; files that can't be parsed are left out. speaker_id is the file's name."""
+    return _documents(spark, folder).where(READABLE).drop("_corrupt")
+
+
+def unreadable(spark: SparkSession, folder: str) -> list[str]:
+    """The speakers whose files speakers() leaves out; a file a speaker."""
+    return sorted(r["speaker_id"] for r in _documents(spark, folder).where(f"not ({READABLE})").select("speaker_id").collect())
+
+
+READABLE = "_corrupt is null and (status is not null or samples is not null)"
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
     df = spark.read.schema(T.StructType([*METADATA.fields, T.StructField("_corrupt", T.StringType())])).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(f"{folder}/*.json")
     name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.json\z", 1)
-    return df.withColumn("speaker_id", name).where("_corrupt is null and (status is not null or samples is not null)").drop("_corrupt")
+    return df.withColumn("speaker_id", name)
 
 
 def state_file(spark: SparkSession, path: str, catalogue: DataFrame) -> DataFrame:
@@ -66,6 +79,14 @@ def file_urls(records: DataFrame) -> DataFrame:
     return f.select(F.coalesce(blank("f.key"), blank("f.filename")).alias("filename"), F.coalesce(blank("f.links.self"), blank("f.links.download")).alias("url")).where("filename is not null and url is not null")
 
 
+def urls(records: DataFrame) -> dict[str, str]:
+    """file_urls of one listing as a mapping; an empty listing is an error."""
+    found = {r["filename"]: r["url"] for r in file_urls(records).collect()}
+    if not found:
+        raise DownloadError("the listing names no files")
+    return found
+
+
 def chosen_sources(catalogue: DataFrame, available: DataFrame) -> DataFrame:
     """For each speaker and kind (video, audio), independently: the primary source if its file is there and verified, else the fallback.
     available(speaker_id, kind, source, url, verified); speaker_id null stands for all speakers."""

@@ -179,6 +179,29 @@ def test_command_line(spark, tmp_path, raw, capsys, monkeypatch):
     assert "/secret" not in text and str(tmp_path) not in text and "'s3'" not in text
 
 
+def test_one_sample_on_the_command_line(spark, tmp_path, raw, capsys):
+    import wave
+
+    c = CorpusConfig(root=str(tmp_path / "d"), excluded=tuple(f"s{i}" for i in range(1, 35) if i not in (2, 4)), train=1, val=1, test=0)
+    sound = io.BytesIO()
+    with wave.open(sound, "wb") as w:
+        w.setnchannels(1), w.setsampwidth(2), w.setframerate(16000), w.writeframes(bytes(3200))
+    m = media_of(raw)
+    m = build.Media(m.acquire, m.reader, m.detector, m.encoder, lambda: lambda data: (sound.getvalue(), 0.1, 16000, 1))
+    build.build(spark, c, ["s2", "s4"], m)
+    assert cli.main(["sample", "--root", c.root, "--index", "-1"]) == 0
+    out = capsys.readouterr().out
+    assert "frames: 8 (0, 1, 2, 3, 4, 5, 6, 7)" in out and "audio: 1600 samples" in out and "video_duration_sec: 0.320 s" in out and "over 80 ms" in out
+    with pytest.raises(IndexError):
+        cli.main(["sample", "--root", c.root, "--index", "5"])
+    (tmp_path / "d/silver/metadata/s2.json").write_text("{oops")
+    from corvane.sources import metadata
+
+    assert metadata.unreadable(spark, c.metadata) == ["s2"] and metadata.speakers(spark, c.metadata).count() == 1
+    with pytest.raises(DownloadError):
+        metadata.urls(spark.createDataFrame([('{"files": []}',)], "json string"))
+
+
 def test_logging_is_set_up_once(tmp_path, capsys):
     for _ in range(2):
         log = logs.configure("DEBUG", str(tmp_path / "l/x.log"))

@@ -248,6 +248,16 @@ def test_archive_faults(spark):
     assert all(r.f for r in df.collect())
 
 
+def test_reports_refuse_other_types(spark, tmp_path):
+    rows = spark.createDataFrame([], DURATION)
+    summary = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in SUMMARY_COLUMNS) + ", level int")
+    assert len(files.report(rows, summary, str(tmp_path / "r"))) == 3
+    with pytest.raises(TypeError, match="frame_count"):
+        files.report(rows.withColumn("frame_count", F.lit("3")), summary, str(tmp_path / "r"))
+    with pytest.raises(TypeError, match="lacks"):
+        files.report(rows.drop("split"), summary, str(tmp_path / "r"))
+
+
 def test_atomic_files(tmp_path):
     p = files.write_json(str(tmp_path / "a/b.json"), {"é": 1})
     assert open(p, encoding="utf-8").read() == '{\n  "é": 1\n}\n'
