@@ -10,6 +10,8 @@ import duckdb
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from corvane.llm import chat, mixing, queries, ranker, sentence_dedup, sql, token_scan, warc
 
 
@@ -451,3 +453,26 @@ def test_the_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch, tmp_pa
     assert common.MADE == [b] and spark.read.parquet(b).count() == 1
     with pytest.raises(Exception):
         spark.read.parquet(a)
+
+
+def test_very_long_texts(spark):
+    from corvane.llm import decontam, near_dedup, quality_rules
+
+    r = random.Random(21)
+    words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(120_000)]
+    long = " ".join(words)
+    rows = [(1, long, "en", "s"), (2, long + " more", "en", "s"), (3, "short text", "en", "s"), (4, "x" * 2_000_000, "en", "s"), (5, ". " * 300_000, "en", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    near = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.near_duplicates(df).collect()}
+    assert near == {1: (119_998, 1), 2: (119_999, 1), 3: (1, 3), 4: (1, 4), 5: (1, 5)}
+    bench = spark.createDataFrame([(7, " ".join(words[100_000:106_500]))], "item_id long, text string")
+    for p in (decontam.Params(), decontam.Params(held_words=0)):
+        got = {x.doc_id: (x.n_words, x.n_hit, x.contaminated) for x in decontam.decontaminate(df, bench, p).collect()}
+        assert got == {1: (120_000, 6500, True), 2: (120_001, 6500, True), 3: (2, 0, False), 4: (1, 0, False), 5: (0, 0, False)}
+    assert ranker.quality_scores(df, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")).where("score between 0 and 1").count() == 5
+    assert {x.doc_id: x.n_tokens for x in mixing.mixture(df).collect()} == {1: 120_000, 2: 120_001, 3: 2, 4: 1, 5: 300_000}
+    assert {x.doc_id: x.kept for x in quality_rules.quality_rules(df).collect()} == {1: True, 2: True, 3: False, 4: False, 5: False}
+    pages = df.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
+    assert {x.page_id: x.payload_bytes for x in warc.round_trip(pages, warc.Params(shard_bytes=1000, roll_bytes=500)).collect()} == {d: len(t) for d, t, *_ in rows}
+    chats = df.select(F.lit(1).cast("bigint").alias("conv_id"), F.col("doc_id").alias("turn"), F.when(F.col("doc_id") % 2 == 1, "user").otherwise("assistant").alias("role"), "text")
+    assert chat.format_chats(chat.as_messages(chats), chat.ASK).where("linked and length(json) >= 10").count() == 4
