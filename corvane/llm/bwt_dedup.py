@@ -167,7 +167,7 @@ def interleaved(bwts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndar
     in steps of four bytes, up to width."""
     b = np.concatenate(bwts)
     z = np.repeat(np.arange(len(bwts), dtype=np.uint8 if len(bwts) < 256 else np.uint16), [len(x) for x in bwts])
-    block, lcp = np.zeros(len(b), np.int32), np.zeros(len(b), np.int32)
+    block, lcp, same = np.zeros(len(b), np.int32), np.zeros(len(b), np.uint16), np.zeros(len(b), bool)
     for depth in range(0, width, 4):
         step = min(4, width - depth)
         merged = np.empty_like(b)
@@ -175,15 +175,14 @@ def interleaved(bwts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndar
         # stably by the last two of the symbol's bytes, then by the first two: 16 bits at a time are sorted in linear time
         order = np.argsort(merged.astype(np.uint16), kind="stable")
         if step == 4:
-            order = order[np.argsort((merged >> np.uint32(16)).astype(np.uint16)[order], kind="stable")]
+            order = order.take(np.argsort((merged >> np.uint32(16)).astype(np.uint16).take(order), kind="stable"))
         else:
             merged &= np.uint32(0xFFFF)
-        c, before = merged[order], block[order]
-        same = np.zeros(len(b), bool)
+        c, before = merged.take(order), block.take(order)
         np.logical_and(c[1:] == c[:-1], before[1:] == before[:-1], out=same[1:])
-        lcp[same] += step  # blocks are only ever split, so what is the same now was so before
-        block = np.cumsum(~same, dtype=np.int32)
-        z = z[order]
+        lcp += same * np.uint16(step)  # blocks are only ever split, so what is the same now was so before
+        np.cumsum(~same, dtype=np.int32, out=block)
+        z = z.take(order)
     return z, lcp
 
 
