@@ -79,9 +79,12 @@ def topic(text: Column, hits: Column, p: Params) -> Column:
     size = F.coalesce(F.length(text), F.lit(0))
     without = lambda chars: size - F.coalesce(F.length(F.translate(text, chars, "")), F.lit(0))
     out = F.when((most == 0) & (without(MARKS) * 50 > size), "listing").when((most == 0) & (without("0123456789") * 50 > size), "figures").when(most == 0, "general")
-    for t, n in counts.items():
-        out = out.when(n == most, t)
-    return out
+    if not counts:
+        return out
+    *others, last = counts
+    for t in others:
+        out = out.when(counts[t] == most, t)
+    return out.otherwise(last)  # never null, so a join on it needs no look at it first
 
 
 def draw(doc_id: Column) -> Column:
