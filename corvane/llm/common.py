@@ -167,3 +167,11 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[dict | pa.Re
                 yield pa.RecordBatch.from_arrays([out[x] if isinstance(out[x], pa.Array) else pa.array(out[x]) for x in fields], names=fields)
 
     return df.mapInArrow(run, schema)
+
+
+def vector_total(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of vectors of `size` 64-bit integers, one a row of parts(v binary): treeReduce merges them on executors, so the driver adds up a
+    few, however many tasks there were."""
+    zero = np.zeros(size, np.int64)
+    sums = parts.rdd.mapPartitions(lambda rows: [sum((np.frombuffer(r[0], np.int64) for r in rows), zero)])
+    return sums.treeReduce(np.add, 3) if sums.getNumPartitions() else zero

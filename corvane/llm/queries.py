@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import bwt_dedup, chat, decontam, mixing, near_dedup, quality_rules, ranker, sentence_dedup, sql, token_scan, warc
+from corvane.llm import bwt_dedup, centroids, chat, decontam, importance, langid, mixing, near_dedup, quality_rules, ranker, sentence_dedup, sql, token_scan, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,9 +53,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_sentence_spans, op4_decontaminate, op5_quality_rank, op6_warc, op7_substring_dedup, op8_token_counts, op9_mixture, op10_quality_rules)}
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
-#: op5, op8 and op10 have none: SQL can't express a fitted model, a tokenizer's merges or the suffix arrays' verdict.
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_sentence_spans, op4_decontaminate, op5_quality_rank, op6_warc, op7_substring_dedup, op8_token_counts, op9_mixture, op10_quality_rules, op11_importance_resample, op12_centroid_clusters, op13_language_id)}
+
+#: op5, op8, op10 and op13 have none: SQL can't express a fitted model, a tokenizer's merges or the suffix arrays' verdict.
 ORACLE_SQL = {
     "op1_chat_format": sql.OP1,
     "op2_near_duplicates": sql.OP2,
@@ -64,4 +76,6 @@ ORACLE_SQL = {
     "op6_warc": sql.OP6,
     "op7_substring_dedup": sql.OP7,
     "op9_mixture": sql.OP9,
+    "op11_importance_resample": sql.OP11,
+    "op12_centroid_clusters": sql.OP12,
 }

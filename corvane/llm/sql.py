@@ -109,3 +109,44 @@ FROM b LEFT JOIN (SELECT doc_id, sum(z - a) AS n, count(*) AS c FROM r GROUP BY
 """
 
 OP9 = "WITH " + mixing.sql("documents") + "\nSELECT doc_id, _source AS source, _lang AS lang, _topic AS topic, _tokens AS n_tokens, weight, prob, kept FROM mixture"
+
+#: CRC-32 of a text's bytes; the table of its 256 remainders comes from the polynomial (0xEDB88320, a fixed value).
+_CRC_TABLE = "SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))"
+_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(range(0, strlen(w)), lambda j: ('0x' || substr(h, 2 * j + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255)::INT + 1])), 4294967295)"
+OP11 = rf"""
+WITH d AS (SELECT doc_id, {_W4} AS w FROM documents),
+f AS (SELECT doc_id, unnest(w) AS w FROM d),
+g AS (SELECT unnest({_W4}) AS w FROM benchmark),
+c AS ({_CRC_TABLE}),
+k AS MATERIALIZED (SELECT w, ({_CRC} % 10000)::BIGINT AS b FROM (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM f UNION SELECT w FROM g)), c),
+s AS (SELECT b, count(*) AS n FROM f JOIN k USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM g JOIN k USING (w) GROUP BY b),
+a AS (SELECT (SELECT count(*) FROM f) AS s, (SELECT count(*) FROM g) AS t),
+v AS (SELECT x.b, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (a.s + 10000)::DOUBLE / ((coalesce(s.n, 0) + 1)::DOUBLE * (a.t + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM (SELECT DISTINCT b FROM k) x LEFT JOIN s USING (b) LEFT JOIN t USING (b), a),
+y AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM f JOIN k USING (w) JOIN v USING (b) GROUP BY doc_id),
+z AS (SELECT doc_id, len(w)::BIGINT AS n, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN y USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM z WHERE n >= 20)
+SELECT z.doc_id, n AS n_words, n AS n_features, weight, score, CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM z WHERE n >= 20) THEN rank END AS rank
+FROM z LEFT JOIN r USING (doc_id)
+"""
+
+
+def _op12(k: int = 40, dims: int = 64, rounds: int = 5) -> str:
+    """One assignment and one move after another; sums and quotients are of integers."""
+    out = [
+        f"x AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dims})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k, x AS c FROM x QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id)) <= {k})",
+    ]
+    for i in range(rounds + 1):
+        out.append(f"a{i} AS MATERIALIZED (SELECT vec_id, x, k, d FROM (SELECT vec_id, x, k, list_sum(list_transform(range(1, {dims + 1}), lambda j: (x[j] - c[j]) * (x[j] - c[j])))::BIGINT AS d FROM x, c{i}) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, k) = 1)")
+        if i < rounds:
+            out.append(f"s{i} AS (SELECT k, j, sum(x[j]) AS s, count(*) AS n FROM a{i}, range(1, {dims + 1}) r(j) GROUP BY ALL)")
+            out.append(f"m{i} AS (SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS c FROM s{i} GROUP BY k)")
+            out.append(f"c{i + 1} AS MATERIALIZED (SELECT k, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (k))")
+    columns = "vec_id, k::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256"
+    return f"WITH {', '.join(out)} SELECT {columns} FROM a{rounds} JOIN c{rounds} USING (k)"
+
+
+OP12 = _op12()
