@@ -147,8 +147,8 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     width = 2 * p.rows
     bands = F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("reg"), i * width + 1, F.lit(width))))
     keys = classes.select("node", "n", F.explode(bands).alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1")
-    members = cut(keys.drop("n").join(buckets, "key"))
+    buckets = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("size")).where("size > 1")
+    members = cut(keys.join(buckets, "key"))
     release(docs.sparkSession)
     texts_of = _Texts(docs, members.select("node").distinct())
     release(docs.sparkSession)
@@ -261,10 +261,7 @@ def _blocks(open_: DataFrame, texts: _Texts, p: Params) -> DataFrame:
         yield {"node": batch.column(0), "shingles": pa.array([shingle_set(t, hashes, p).tobytes() for t in batch.column(1).to_pylist()], pa.binary())}
 
     sets = cut(arrow_map(texts.df.join(many.select("node").distinct(), "node", "left_semi").select("node", "text"), run, "node bigint, shingles binary"))
-    n = F.ceil(F.greatest(F.col("size") / p.block, F.col("shingles") / p.block_shingles)).cast("int")
-    dealt = many.select("key", "node", "component", n.alias("blocks")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = dealt.select("key", "node", "component", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+    met = _dealt(many, p)
 
     def linked(t: pa.Table) -> pa.Table:
         node, comp, mine = (np.array(t.column(c)) for c in ("node", "component", "mine"))
@@ -277,6 +274,22 @@ def _blocks(open_: DataFrame, texts: _Texts, p: Params) -> DataFrame:
     return wide.groupBy("key", "lo", "hi").applyInArrow(linked, "a bigint, b bigint")
 
 
+def _dealt(many: DataFrame, p: Params) -> DataFrame:
+    """key, node, component, mine, lo, hi: which members of many(key, node, n, component) meet in the task (key, lo, hi), and from which of its
+    blocks (mine) each is. Blocks 0 and up have the members outside their bucket's largest component, those below 0 that component's. In a bucket
+    of m of these and o others, dealt into b and c blocks, m * c + o * (b + c) rows."""
+    of = many.groupBy("key", "component").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    per = of.groupBy("key").agg(F.max_by(F.struct("component", "m", "s"), F.struct("m", -F.col("component"))).alias("main"), F.sum("m").alias("m"), F.sum("s").alias("s"))
+    blocks = lambda m, s: F.ceil(F.greatest(m / p.block, s / p.block_shingles, F.lit(1.0))).cast("int")
+    per = per.select("key", F.col("main.component").alias("main"), blocks(F.col("main.m"), F.col("main.s")).alias("b"), blocks(F.col("m") - F.col("main.m"), F.col("s") - F.col("main.s")).alias("c"))
+    dealt = many.select("key", "node", "component").join(per, "key").withColumn("inside", F.col("component") == F.col("main"))
+    h = F.xxhash64("node")
+    dealt = dealt.withColumn("mine", F.when(F.col("inside"), -1 - F.pmod(h, F.col("b"))).otherwise(F.pmod(h, F.col("c"))).cast("int"))
+    others = F.sequence(F.lit(0), F.col("c") - 1)
+    dealt = dealt.withColumn("other", F.explode(F.when(F.col("inside"), others).otherwise(F.concat(others, F.sequence(F.lit(-1), -F.col("b"), F.lit(-1))))))
+    return dealt.select("key", "node", "component", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+
+
 def joining(node: np.ndarray, comp: np.ndarray, mine: np.ndarray, sets: list[np.ndarray], pct: int) -> tuple[list[int], list[int]]:
     """Links that join the components of members of two blocks (mine tells which; pairs within a block count if there is one only); as few as
     join what can be joined. One of each pair lies outside the largest component, so only those members are looked up."""

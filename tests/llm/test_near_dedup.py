@@ -166,3 +166,28 @@ def test_joining_counts_whole_sets():
                 root[y] = x
         top = lambda root, x: x if root.get(x, x) == x else top(root, root[x])
         assert {c: top(want, c) for c in comp.tolist()} == {c: top(got, c) for c in comp.tolist()}
+
+
+def test_rows_shipped_grow_with_members_and_blocks_of_others(spark):
+    """One component of all but a few members: each of it is sent once, however many blocks there are; the few to all blocks."""
+    p = N.Params(block=50)
+    for members, few in ((1000, 10), (4000, 10)):
+        rows = [(1, i, 100, 0 if i >= few else i + 1) for i in range(members)]
+        met = N._dealt(spark.createDataFrame(rows, "key long, node long, n long, component long"), p)
+        blocks = -(-(members - few) // 50)
+        assert met.count() == members - few + few * (blocks + 1)
+        # every two of different components meet once, but for two of the largest component
+        if members == 1000:
+            groups: dict = {}
+            for r in met.collect():
+                groups.setdefault((r.lo, r.hi), []).append((r.node, r.mine))
+            seen = {}
+            for (lo, hi), g in groups.items():
+                for x, mx in g:
+                    for y, my in g:
+                        if x < y and x < few and (lo == hi or mx != my):
+                            seen[x, y] = seen.get((x, y), 0) + 1
+            assert set(seen.values()) == {1} and len(seen) == few * (members - few) + few * (few - 1) // 2
+    rows = [(1, i, 1 << 20, i) for i in range(30)]  # no component at all, and large sets
+    met = N._dealt(spark.createDataFrame(rows, "key long, node long, n long, component long"), N.Params()).collect()
+    assert {(r.node, s.node) for r in met for s in met if (r.lo, r.hi) == (s.lo, s.hi) and r.node < s.node and (r.lo == r.hi or r.mine != s.mine)} == {(i, j) for i in range(30) for j in range(i + 1, 30)}
