@@ -10,7 +10,7 @@ enough to look for its rarest one (its prefix: for full containment one token is
    those that would start before the text or end after it (position and length bounds);
 4. compare all words of the window there.
 
-The benchmark is held in each task only if its words are few (`held_words`); a larger one is joined by shuffles, with the
+The benchmark is held in each task, as arrays, only if its words are few (`held_words`); a larger one is joined by shuffles, with the
 same steps, after a filter of fixed size has dropped the texts' shingles that no window has. Null texts have no words; a null doc_id is passed on. Rows that repeat a doc_id are judged each on their own
 text in the held form; the joined form numbers rows, so it does likewise. Items without item_id mark words as hit but
 aren't listed; rows that repeat an item_id are one item. Other columns of either table are ignored.
@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import WordHash, arrow_map, cut, filtered, free, named, shingle_hashes
+from corvane.llm.common import C1, WordHash, arrow_map, cut, filtered, free, mixed, named, shingle_hashes
 
 #: A-Z lower-cased; what isn't a word byte becomes a space.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -39,8 +38,9 @@ SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha
 @dataclass(frozen=True)
 class Params:
     """size: words in a window. shingle: words in a token of the join. pct: a text is contaminated with that share of words hit, and one
-    at least. held_words: the largest benchmark, in words, that is sent to every task (about 100 bytes a word there). filter_bits: the logarithm of the size, in bits, of the filter that the
-    joined form sends to every task."""
+    at least. held_words: the largest benchmark, in words, that is sent to every task: a word takes under 400 bytes there, measured with words that are all
+    different (under 200 with words as in texts), so 200 MB at most. filter_bits: the logarithm of the size, in bits, of the filter that the joined
+    form sends to every task."""
 
     size: int = 13
     shingle: int = 5
@@ -66,35 +66,65 @@ def lengths(k: int, shingle: int) -> int:
 
 
 class Index:
-    """The windows of a benchmark by their rarest shingles."""
+    """The windows of a benchmark by their rarest shingles. Words are numbers into a vocabulary, all items one array of them, and a window a place
+    in it; what belongs to a window or a shingle lies in one array, with the ends of each part in another."""
 
     def __init__(self, items: list[tuple[int | None, bytes | None]], p: Params):
         self.p = p
-        owners: dict[tuple, set] = defaultdict(set)
-        for item, text in items:
-            for w in windows_of(words_of(text), p.size):
-                owners[w].add(item)
-        self.windows = sorted(owners)
-        self.items = [sorted((x for x in owners[w] if x is not None), key=str) for w in self.windows]
-        hashes = WordHash()
-        self.words = [hashes.of(list(w)) for w in self.windows]
-        self.kinds = sorted({lengths(len(w), p.shingle) for w in self.windows})
-        self.shingles = [shingle_hashes(h, lengths(len(h), p.shingle)) for h in self.words]
-        self.tokens = np.unique(np.concatenate([*self.shingles, np.zeros(0, np.uint64)]))
+        number: dict[bytes, int] = {}
+        texts = [np.fromiter((number.setdefault(w, len(number)) for w in words_of(text)), np.int32) for _, text in items]
+        hashes = WordHash().of(list(number))
+        self.vocabulary = list(number)
+        self.flat = np.concatenate([*texts, np.zeros(0, np.int32)])
+        begins = np.cumsum([0, *map(len, texts)])[:-1]
+        length = np.array([min(p.size, len(t)) for t in texts], np.int64)
+        # all windows: where they begin, and of which item they are
+        place = np.concatenate([*(b + np.arange(len(t) - k + 1) for b, t, k in zip(begins, texts, length) if k), np.zeros(0, np.int64)]).astype(np.int64)
+        of = np.repeat(np.arange(len(texts)), [len(t) - k + 1 if k else 0 for t, k in zip(texts, length)])
+        self.start, self.size, self.shingles, owner, who = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        windows = 0
+        for k in sorted(set(length.tolist()) - {0}):
+            mine = np.flatnonzero(length[of] == k)
+            words = self.flat[place[mine, None] + np.arange(k)]
+            _, first, same = np.unique(words.view(np.dtype((np.void, 4 * k))).ravel(), return_index=True, return_inverse=True)
+            self.start.append(place[mine[first]]), self.size.append(np.full(len(first), k))
+            # every row of words is a text of its own to the hash of shingles: all at once, column by column
+            self.shingles.append(np.stack([_shingle(hashes[words[first][:, i : i + lengths(k, p.shingle)]]) for i in range(k - lengths(k, p.shingle) + 1)], 1))
+            owner.append(windows + same), who.append(of[mine])
+            windows += len(first)
+        self.start, self.size = np.concatenate(self.start), np.concatenate(self.size)
+        owner, who = np.concatenate(owner), np.concatenate(who)
+        # items of each window, once each, those without id left out
+        ids = np.array([-1 if x is None else x for x, _ in items], np.int64)
+        known = np.array([x is not None for x, _ in items], bool)
+        owner, who = owner[known[who]], ids[who[known[who]]]
+        o = np.lexsort((who, owner))
+        owner, who = owner[o], who[o]
+        new = np.ones(len(o), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (who[1:] != who[:-1])
+        self.items, self.items_end = who[new], np.cumsum(np.bincount(owner[new], minlength=windows))
+        self.kinds = sorted({lengths(int(k), p.shingle) for k in np.unique(self.size)})
+        self.tokens = np.unique(np.concatenate([*(x.ravel() for x in self.shingles), np.zeros(0, np.uint64)]))
 
     def of_kind(self, h: np.ndarray, k: int) -> np.ndarray:
         """The k-word shingles of a text; none if it has fewer words."""
         return shingle_hashes(h, k) if len(h) >= k else np.zeros(0, np.uint64)
 
-    def prefixes(self, counts: dict[int, int]) -> None:
-        """Choose each window's rarest shingle; counts: of each shingle in all texts."""
-        found = defaultdict(list)
-        for w, s in enumerate(self.shingles):
-            at = min(range(len(s)), key=lambda i: (counts.get(int(s[i]), 0), i))
-            if counts.get(int(s[at]), 0):
-                found[int(s[at])].append((w, at))
-        self.prefix = np.array(sorted(found), np.uint64)
-        self.at = [found[int(x)] for x in self.prefix]
+    def prefixes(self, counts: np.ndarray) -> None:
+        """Choose each window's rarest shingle, the first of equals; counts: of each of tokens in all texts."""
+        token, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        many = [np.zeros(0, np.int64)]
+        for s in self.shingles:
+            n = counts[np.searchsorted(self.tokens, s)]
+            best = n.argmin(1)
+            rows = np.arange(len(s))
+            token.append(s[rows, best]), at.append(best), many.append(n[rows, best])
+        token, at, many = np.concatenate(token), np.concatenate(at), np.concatenate(many)
+        window = np.flatnonzero(many)  # a window that has a shingle in no text is in no text
+        o = window[np.argsort(token[window], kind="stable")]
+        self.prefix, n = np.unique(token[o], return_counts=True)
+        self.window, self.at, self.ends = o, at[o], np.cumsum(n)
+        del self.shingles, self.tokens  # not needed in a search
 
     def search(self, words: list[bytes], h: np.ndarray) -> tuple[int, set]:
         """The number of words hit, and the items of the windows found."""
@@ -104,12 +134,13 @@ class Index:
             s = self.of_kind(h, k)
             slot = np.minimum(np.searchsorted(self.prefix, s), len(self.prefix) - 1)
             for i in np.flatnonzero(self.prefix[slot] == s).tolist():
-                for w, at in self.at[slot[i]]:
-                    window = self.windows[w]
-                    a = i - at
-                    if lengths(len(window), self.p.shingle) == k and 0 <= a <= n - len(window) and tuple(words[a : a + len(window)]) == window:
-                        starts[a] = max(starts.get(a, 0), len(window))
-                        items.update(self.items[w])
+                j = slot[i]
+                for x in range(self.ends[j - 1] if j else 0, self.ends[j]):
+                    w, a = int(self.window[x]), i - int(self.at[x])
+                    size, b = int(self.size[w]), int(self.start[w])
+                    if lengths(size, self.p.shingle) == k and 0 <= a <= n - size and [self.vocabulary[v] for v in self.flat[b : b + size].tolist()] == words[a : a + size]:
+                        starts[a] = max(starts.get(a, 0), size)
+                        items.update(self.items[self.items_end[w - 1] if w else 0 : self.items_end[w]].tolist())
         step = np.zeros(n + 1, np.int64)
         for a, k in starts.items():
             step[a] += 1
@@ -117,6 +148,16 @@ class Index:
         return int((np.cumsum(step[:n]) > 0).sum()), items
 
 
+def _shingle(h: np.ndarray) -> np.ndarray:
+    """The hash of each row of words' hashes, as shingle_hashes has it for a text of these words alone."""
+    out = np.full(len(h), h.shape[1], np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(h.shape[1]):
+            out = (out + h[:, j]) * C1
+            out ^= out >> np.uint64(31)
+        return mixed(out)
+
+
 def digest(items) -> str:
     return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
 
@@ -182,7 +223,10 @@ def _search(docs: DataFrame, items: DataFrame, p: Params):
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(total[i])], names=["i", "n"])
 
     counts = texts.mapInArrow(count, "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect() if len(index.tokens) else []
-    index.prefixes({int(index.tokens[r["i"]]): r["n"] for r in counts})
+    total = np.zeros(len(index.tokens), np.int64)
+    for r in counts:
+        total[r["i"]] = r["n"]
+    index.prefixes(total)
     held = spark.sparkContext.broadcast(index)
 
     def search(text: bytes | None) -> tuple[int, int, set, bool]:

@@ -66,3 +66,25 @@ def test_empty_tables(spark):
     for p in (D.Params(), D.Params(held_words=-1)):
         assert D.decontaminate(d.limit(0), i, p).count() == 0
         assert [tuple(r)[1:4] for r in D.decontaminate(d, i.limit(0), p).collect()] == [(2, 0, 0)]
+
+
+def test_bytes_a_word_are_under_the_stated_bound():
+    """What a task holds of a benchmark, after it has come there; and what the driver needs at most."""
+    import pickle
+    import tracemalloc
+
+    r = random.Random(6)
+    for vocabulary, bound in ((10**9, 400), (5000, 200)):
+        items = [(i, " ".join(f"word{r.randrange(vocabulary)}" for _ in range(200)).encode()) for i in range(150)]
+        tracemalloc.start()
+        index = D.Index(items, D.Params())
+        index.prefixes(D.np.ones(len(index.tokens), D.np.int64))
+        peak = tracemalloc.get_traced_memory()[1]
+        sent = pickle.dumps(index)
+        del index
+        before = tracemalloc.get_traced_memory()[0]
+        held = pickle.loads(sent)
+        size = tracemalloc.get_traced_memory()[0] - before
+        tracemalloc.stop()
+        assert size / 30_000 < bound and peak / 30_000 < 3 * bound, (size / 30_000, peak / 30_000)
+        assert held.search(*(lambda w: (w, D.WordHash().of(w)))(D.words_of(items[7][1]))) == (200, {7})
