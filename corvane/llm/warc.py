@@ -1,7 +1,8 @@
 """WARC: a deterministic sharded writer, and its reader.
 
-Writer: records are ranged by page id into shards of about `shard_bytes` of payload, sorted within each, and written as
-archives of one gzip member a record. A shard rolls over to another file when its compressed size passes `roll_bytes`.
+Writer: records are ranged by page id into shards of about `shard_bytes` (payload and headers), sorted within each, and written as
+archives of one gzip member a record. Where shards begin comes from running sums of bytes over the ids in order, each range of ids summed by
+a task of its own. A shard rolls over to another file when its compressed size passes `roll_bytes`.
 Headers and digests are made anew from the payload, with a fixed date, so the same rows give the same bytes however the
 cluster runs. A task writes under a name of its own attempt and renames when the file is whole; a shard's last act is its
 manifest, also renamed into place. A task that runs twice thus writes the same files twice; readers go by the manifests.
@@ -10,7 +11,7 @@ Of records with equal payloads of at least `least_bytes` bytes the one with the
 are revisits of it; shorter ones are all responses. Null html is an empty payload. Rows that repeat a page id are each
 written; of several payload-equal ones with the largest page id the one whose url has the least hash is the response (rows
 that are alike in all three columns share their type). A row without page id is written as a response with an
-empty target id. Other columns are ignored. An empty table gives no archives.
+empty target id, in shards of their own after the others, dealt by its payload (copies that would fill a shard by their place in the input). Other columns are ignored. An empty table gives no archives.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.common import arrow_map, cut, filesystem, new_folder
+from corvane.llm.common import arrow_map, cut, filesystem, new_folder, partitions
 
 RECORD = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 #: Fixed values of the format.
@@ -40,14 +41,14 @@ VERSION, DATE, PROFILE = b"WARC/1.1", b"2024-01-01T00:00:00Z", b"http://netprese
 
 @dataclass(frozen=True)
 class Params:
-    """least_bytes: the shortest payload that can be a revisit. shard_bytes: payload of a shard, about. roll_bytes: compressed size at which a
-    file is closed. level: of gzip. bins: page-id bins counted at first for the ranges, and at most for a heavy one. tasks: that write, at most."""
+    """least_bytes: the shortest payload that can be a revisit. shard_bytes: of payload and headers in a shard, about. head_bytes: that a record's headers
+    count. roll_bytes: compressed size at which a file is closed. level: of gzip. tasks: that write, at most."""
 
     least_bytes: int = 0
     shard_bytes: int = 64 << 20
     roll_bytes: int = 32 << 20
     level: int = 4
-    bins: int = 2048
+    head_bytes: int = 512
     tasks: int = 20_000
 
 
@@ -96,54 +97,49 @@ def revisits(rows: DataFrame, p: Params) -> DataFrame:
     return narrow.join(first, "sha").where("page_id <> refers_to or tie <> main").select("page_id", "sha", "tie", "refers_to").distinct()
 
 
-def ranges(rows: DataFrame, p: Params) -> list[int]:
-    """Ascending page ids at which shards begin, each of about shard_bytes; from exact sums of payload in bins of ids. All heavy bins are
-    divided again in one grouped pass over (id, bytes), until none is heavy or they are single ids. What the driver holds is bounded by
-    bins and by total / shard_bytes."""
-    ids = cut(rows.select("page_id", "bytes").where("page_id is not null"))
-    lo, hi = ids.agg(F.min("page_id"), F.max("page_id")).first()
-    if lo is None:
-        return []
-    sums: dict[int, int] = {}
-    heavy, parts = [(lo, hi + 1)], [p.bins]
-    while heavy:
-        cuts: list[tuple[int, int, bool]] = []  # begin, end, if it is part of a heavy bin
-        for (a, z), n in zip(heavy, parts):
-            if cuts and cuts[-1][1] < a:
-                cuts.append((cuts[-1][1], a, False))
-            width = max(1, -(-(z - a) // n))
-            cuts += [(x, min(z, x + width), True) for x in range(a, z, width)]
-        begins = np.array([x for x, _, _ in cuts], np.int64)
-        last = cuts[-1][1] - 1
-
-        @F.pandas_udf("int")
-        def bin_of(page: pd.Series) -> pd.Series:
-            x = page.to_numpy(np.int64)
-            return pd.Series(np.where(x <= last, np.searchsorted(begins, x, side="right") - 1, -1)).astype("int32")  # noqa: B023
-
-        found = {r["bin"]: r["s"] for r in ids.groupBy(bin_of("page_id").alias("bin")).agg(F.sum("bytes").alias("s")).collect()}
-        mine = [(a, z, found[i]) for i, (a, z, own) in enumerate(cuts) if own and i in found]
-        sums |= {a: s for a, z, s in mine if s <= p.shard_bytes or z - a == 1}
-        rest = [(a, z, s) for a, z, s in mine if s > p.shard_bytes and z - a > 1]
-        heavy, parts = [(a, z) for a, z, _ in rest], [min(p.bins, max(16, 4 * -(-s // p.shard_bytes))) for _, _, s in rest]
-    out, held = [], 0
-    for a in sorted(sums):
-        if out and held + sums[a] > p.shard_bytes:
-            out, held = [*out, a], 0
-        out = out or [a]
-        held += sums[a]
-    return out
+def ranges(rows: DataFrame, p: Params) -> np.ndarray:
+    """Ascending page ids at which shards begin: an id begins one if a multiple of shard_bytes lies in the running sum up to it. The ids are summed,
+    ordered and summed up by ranges; the driver gets the sum of each range, and of each shard its first id (8 bytes a shard)."""
+    ids = rows.where("page_id is not null").groupBy("page_id").agg(F.sum(F.col("bytes") + p.head_bytes).alias("bytes"))
+    dealt = cut(ids.repartitionByRange(partitions(rows.sparkSession), "page_id").sortWithinPartitions("page_id").withColumn("part", F.spark_partition_id()))
+    totals = sorted(map(tuple, dealt.groupBy("part").agg(F.sum("bytes")).collect()))
+    before = dict(zip((part for part, _ in totals), np.cumsum([0, *(n for _, n in totals)]).tolist()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = last = None  # bytes before the next id; the shard of the one before, begun in this range
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size = np.asarray(batch.column(1))
+            done = before[batch.column(2)[0].as_py()] if done is None else done
+            shard = (done + np.cumsum(size) - size) // p.shard_bytes
+            i = np.flatnonzero(np.diff(shard, prepend=-1 if last is None else last))
+            done, last = done + int(size.sum()), int(shard[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(i)), pa.array(shard[i])], names=["page_id", "shard"])
+
+    starts = dealt.mapInArrow(run, "page_id bigint, shard bigint").groupBy("shard").agg(F.min("page_id").alias("page_id"))
+    return np.sort(np.asarray(starts.select("page_id").toArrow().column(0), np.int64))
+
+
+def nameless(rows: DataFrame, p: Params) -> tuple[int, DataFrame]:
+    """How many shards rows without page id need, and sha, tie, spread of the copies among these that need over one for themselves (at most as
+    many rows as shards)."""
+    groups = rows.where("page_id is null").groupBy("sha", "tie").agg(F.sum(F.col("bytes") + p.head_bytes).alias("s"))
+    groups = cut(groups)
+    total = groups.agg(F.sum("s")).first()[0] or 0
+    return -(-total // p.shard_bytes), groups.where(F.col("s") > p.shard_bytes).select("sha", "tie", F.ceil(F.col("s") / p.shard_bytes).cast("int").alias("spread"))
 
 
 def write(pages: DataFrame, folder: str, p: Params = Params()) -> DataFrame:
     """Write pages(page_id, url, html) as archives below folder; returns the manifest: shard, file, records, bytes, sha256, one row a file."""
     rows = sized(pages)
-    starts = np.array(ranges(rows, p), np.int64)
-    n = max(1, len(starts))
+    starts = ranges(rows, p)
+    more, copies = nameless(rows, p)
+    n = max(1, len(starts) + more)
 
     @F.pandas_udf("int")
     def shard(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.maximum(np.searchsorted(starts, ids.fillna(np.iinfo(np.int64).min).to_numpy(np.int64), side="right"), 1)).astype("int32")
+        return pd.Series(np.maximum(np.searchsorted(starts, ids.fillna(0).to_numpy(np.int64), side="right"), 1)).astype("int32")
 
     # what makes a page a revisit travels to its shard as a row of its own, ahead of the page, so payloads are shuffled once
     names = ["page_id", "sha", "tie", "url", "html", "refers_to"]
@@ -152,7 +148,14 @@ def write(pages: DataFrame, folder: str, p: Params = Params()) -> DataFrame:
     tasks = min(n, p.tasks)
     # neighbouring shards share a task if there are more shards than tasks
     task = F.floor((F.col("shard").cast("bigint") - 1) * tasks / n).cast("int")
-    dealt = both.withColumn("shard", shard("page_id")).repartitionById(tasks, task).sortWithinPartitions("shard", "page_id", "sha", "tie", F.col("refers_to").desc_nulls_last())
+    if more:
+        # a copy's place among its shards is its row's in the input: copies are alike, so the files are too
+        both = both.join(F.broadcast(copies), ["sha", "tie"], "left")
+        own = F.pmod(F.xxhash64("sha", "tie") + F.when(F.col("spread").isNotNull(), F.pmod(F.monotonically_increasing_id(), "spread")).otherwise(0), F.lit(more)).cast("int")
+        both = both.withColumn("shard", F.when(F.col("page_id").isNull(), len(starts) + 1 + own).otherwise(shard("page_id"))).select(*names, "shard")
+    else:
+        both = both.withColumn("shard", shard("page_id"))
+    dealt = both.repartitionById(tasks, task).sortWithinPartitions("shard", "page_id", "sha", "tie", F.col("refers_to").desc_nulls_last())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(folder)
