@@ -1,8 +1,9 @@
 """Chat formatting: tool calls linked with their results, in topological order, checked and written as canonical JSON.
 
 A call and its result carry the same call_id within a conversation and are joined on it by hash. A result depends on its call;
-a call may depend on the result of another call (`after`). The depth of a message in this forest is its topological order:
-messages sorted by (depth, turn) follow all they depend on. Depths come from pointer doubling, in as many joins as the depth's
+a call may depend on the result of another call (`after`). The order of messages is that of turns wherever it follows these dependencies: a
+message stands at the latest turn of itself and all it depends on, behind those (by depth) that stand there too. Depths and latest turns
+come from pointer doubling, in as many joins as the depth's
 logarithm, on (conversation, call), so that a conversation of any length is spread over all tasks. Positions in that order come
 from one sort of all messages by ranges, whatever their conversation, and counts by range; messages are returned as rows, never
 gathered by conversation, and writing them sorted by (conversation, position) serialises conversations in order. Arguments are parsed as JSON variants and checked field by field against
@@ -51,19 +52,21 @@ def canonical(json: Column) -> Column:
 
 
 def depths(nodes: DataFrame) -> DataFrame:
-    """conv_id, node, depth (null in or behind a circle) for nodes(conv_id, node, parent), unique in the first two. A parent that isn't there
-    is none."""
+    """conv_id, node, depth (null in or behind a circle), latest (of the turns of the node and all above it) for nodes(conv_id, node, parent, turn),
+    unique in the first two. A parent that isn't there is none."""
     there = nodes.select("conv_id", F.col("node").alias("parent"), F.lit(True).alias("_there"))
-    n = cut(nodes.join(there, ["conv_id", "parent"], "left").select("conv_id", "node", F.when(F.col("_there"), F.col("parent")).alias("parent"), F.when(F.col("_there"), 1).otherwise(0).cast("bigint").alias("depth")))
+    n = cut(nodes.join(there, ["conv_id", "parent"], "left").select("conv_id", "node", F.when(F.col("_there"), F.col("parent")).alias("parent"), F.when(F.col("_there"), 1).otherwise(0).cast("bigint").alias("depth"), F.col("turn").alias("latest")))
     total = n.count()
     open_ = n.where(f"parent is not null and depth <= {total}")
     while open_.take(1):
-        up = n.select("conv_id", F.col("node").alias("parent"), F.col("parent").alias("_up"), F.col("depth").alias("_more"))
+        # latest: of the nodes from this one to before its parent; with the parent's it reaches as far as the parent's parent
+        up = n.select("conv_id", F.col("node").alias("parent"), F.col("parent").alias("_up"), F.col("depth").alias("_more"), F.col("latest").alias("_late"))
         # only what isn't at its root yet is joined again
-        moved = n.where("parent is not null").join(up, ["conv_id", "parent"], "left").select("conv_id", "node", F.col("_up").alias("parent"), (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"))
-        n = cut(n.where("parent is null").select("conv_id", "node", "parent", "depth").union(moved))
+        moved = n.where("parent is not null").join(up, ["conv_id", "parent"], "left")
+        moved = moved.select("conv_id", "node", F.col("_up").alias("parent"), (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"), F.greatest("latest", "_late").alias("latest"))
+        n = cut(n.where("parent is null").select("conv_id", "node", "parent", "depth", "latest").union(moved))
         open_ = n.where(f"parent is not null and depth <= {total}")
-    return n.select("conv_id", "node", F.when(F.col("parent").isNull(), F.col("depth")).alias("depth"))
+    return n.select("conv_id", "node", F.when(F.col("parent").isNull(), F.col("depth")).alias("depth"), "latest")
 
 
 def format_chats(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
@@ -79,7 +82,7 @@ def format_chats(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bo
     pairs = calls.join(results.withColumn("_answered", F.lit(True)), ["conv_id", "call_id"], "full_outer").select("conv_id", "call_id", (F.coalesce("_called", F.lit(False)) & F.coalesce("_answered", F.lit(False))).alias("linked"))
     call = F.col("node").startswith("call:")
     parent = F.when(call, F.concat(F.lit("result:"), "after")).otherwise(F.concat(F.lit("call:"), F.substring("node", 8, 1 << 30)))
-    depth = depths(first.select("conv_id", "node", parent.alias("parent")))
+    depth = depths(first.select("conv_id", "node", parent.alias("parent"), F.col("first").alias("turn")))
     out = m.join(depth, ["conv_id", "node"], "left").join(first.select("conv_id", "node", "first"), ["conv_id", "node"], "left").join(pairs, ["conv_id", "call_id"], "left")
     fault = F.when(F.col("kind") == "plain", F.lit(None)).when(F.col("turn") != F.col("first"), "duplicate").when(~F.coalesce("linked", F.lit(False)), F.when(F.col("kind") == "call", "no result").otherwise("no call")).when(F.col("depth").isNull(), "circular")
     out = out.withColumn("fault", fault)
@@ -87,15 +90,16 @@ def format_chats(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bo
     # keys in sorted order; absent ones are left out
     made = F.to_json(F.struct(F.col("arguments_json").alias("arguments"), F.when(F.col("kind") != "plain", F.col("call_id")).alias("call_id"), F.col("text").alias("content"), F.col("role").alias("role"), F.when(F.col("kind") == "call", F.col("tool")).alias("tool")))
     out = out.withColumn("arguments_json", F.when(F.col("kind") == "call", F.try_parse_json(F.col("arguments")))).withColumn("json", made)
-    out = out.select("conv_id", "turn", "role", "kind", F.when(F.col("kind") != "plain", F.col("call_id")).alias("call_id"), F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("depth", F.when(F.col("kind") == "plain", 0)).alias("depth"), F.col("error").isNull().alias("valid"), "error", "json")
+    out = out.select("conv_id", "turn", "role", "kind", F.when(F.col("kind") != "plain", F.col("call_id")).alias("call_id"), F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("depth", F.when(F.col("kind") == "plain", 0)).alias("depth"), F.col("error").isNull().alias("valid"), "error", "json", F.when(F.col("turn").isNotNull() & ((F.col("kind") == "plain") | F.col("depth").isNotNull()), F.greatest("latest", "turn")).alias("place"))
     return positioned(out)
 
 
 def positioned(messages: DataFrame) -> DataFrame:
-    """With position, from 0 within each conversation by (depth, turn); rows that agree in both follow role and text. Ranges of the sort
-    hold neighbouring messages of one conversation or of many, so a long conversation is spread over several."""
+    """Without place, with position: from 0 within each conversation by (place, depth, turn), those in circles and without turn last; rows that
+    agree in all follow role and text. Ranges of the sort hold neighbouring messages of one conversation or of many, so a long conversation is
+    spread over several."""
     last = lambda c: F.col(c).asc_nulls_last()
-    keys = [last("conv_id"), last("depth"), last("turn"), last("role"), last("json")]
+    keys = [last("conv_id"), last("place"), last("depth"), last("turn"), last("role"), last("json")]
     dealt = messages.repartitionByRange(partitions(messages.sparkSession), *keys).sortWithinPartitions(*keys)
     dealt = cut(dealt.withColumn("_at", F.monotonically_increasing_id()))
     dealt = dealt.withColumn("_range", F.shiftright("_at", 33))
@@ -104,7 +108,7 @@ def positioned(messages: DataFrame) -> DataFrame:
     before = F.sum("_n").over(Window.partitionBy("conv_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select(F.col("conv_id").alias("_conv"), F.col("_range").alias("_r"), (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
     out = dealt.join(counts, (F.col("_range") == F.col("_r")) & F.col("conv_id").eqNullSafe(F.col("_conv")))
-    return out.select(*messages.columns, (F.col("_at") + F.col("_shift")).alias("position"))
+    return out.select(*[c for c in messages.columns if c != "place"], (F.col("_at") + F.col("_shift")).alias("position"))
 
 
 #: The one tool of plain conversations.

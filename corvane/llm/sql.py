@@ -16,15 +16,15 @@ WITH RECURSIVE m AS (
 c AS (SELECT conv_id, call_no, min(turn) AS t FROM m WHERE kind = 'call' GROUP BY ALL),
 r AS (SELECT conv_id, call_no, min(turn) AS t FROM m WHERE kind = 'result' GROUP BY ALL),
 e AS (
-  SELECT r.conv_id, 'r' || r.call_no AS node, CASE WHEN c.t IS NOT NULL THEN 'c' || c.call_no END AS parent FROM r LEFT JOIN c USING (conv_id, call_no)
+  SELECT r.conv_id, 'r' || r.call_no AS node, r.t, CASE WHEN c.t IS NOT NULL THEN 'c' || c.call_no END AS parent FROM r LEFT JOIN c USING (conv_id, call_no)
   UNION ALL
-  SELECT c.conv_id, 'c' || c.call_no, CASE WHEN r.t IS NOT NULL THEN 'r' || r.call_no END FROM c LEFT JOIN r ON r.conv_id = c.conv_id AND r.call_no = c.call_no - 2),
+  SELECT c.conv_id, 'c' || c.call_no, c.t, CASE WHEN r.t IS NOT NULL THEN 'r' || r.call_no END FROM c LEFT JOIN r ON r.conv_id = c.conv_id AND r.call_no = c.call_no - 2),
 d AS (
-  SELECT conv_id, node, 0::BIGINT AS depth FROM e WHERE parent IS NULL
+  SELECT conv_id, node, 0::BIGINT AS depth, t AS latest FROM e WHERE parent IS NULL
   UNION ALL
-  SELECT e.conv_id, e.node, d.depth + 1 FROM d JOIN e ON e.conv_id = d.conv_id AND e.parent = d.node),
+  SELECT e.conv_id, e.node, d.depth + 1, greatest(d.latest, e.t) FROM d JOIN e ON e.conv_id = d.conv_id AND e.parent = d.node),
 o AS (
-  SELECT m.*, c.t IS NOT NULL AND r.t IS NOT NULL AS linked, d.depth, CASE kind WHEN 'call' THEN c.t WHEN 'result' THEN r.t END AS first
+  SELECT m.*, c.t IS NOT NULL AND r.t IS NOT NULL AS linked, d.depth, greatest(coalesce(d.latest, turn), turn) AS place, CASE kind WHEN 'call' THEN c.t WHEN 'result' THEN r.t END AS first
   FROM m LEFT JOIN c ON c.conv_id = m.conv_id AND c.call_no = m.call_no LEFT JOIN r ON r.conv_id = m.conv_id AND r.call_no = m.call_no
   LEFT JOIN d ON d.conv_id = m.conv_id AND d.node = CASE kind WHEN 'call' THEN 'c' WHEN 'result' THEN 'r' END || m.call_no),
 x AS (
@@ -32,8 +32,8 @@ x AS (
     WHEN kind = 'call' AND text IS NULL THEN 'chars is missing' END AS error FROM o),
 y AS (SELECT conv_id, turn, role, kind, call_no::VARCHAR AS call_id, linked, coalesce(depth, 0) AS depth, error IS NULL AS valid, error,
   '{' || concat_ws(',', CASE WHEN kind = 'call' THEN '"arguments":{' || concat_ws(',', '"chars":' || length(text), '"text":' || to_json(text)) || '}' END,
-    '"call_id":"' || call_no || '"', '"content":' || to_json(text), '"role":' || to_json(role), CASE WHEN kind = 'call' THEN '"tool":"ask"' END) || '}' AS json FROM x)
-SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY depth, turn, role, json) - 1 AS position FROM y
+    '"call_id":"' || call_no || '"', '"content":' || to_json(text), '"role":' || to_json(role), CASE WHEN kind = 'call' THEN '"tool":"ask"' END) || '}' AS json, place FROM x)
+SELECT * EXCLUDE (place), row_number() OVER (PARTITION BY conv_id ORDER BY place, depth, turn, role, json) - 1 AS position FROM y
 """
 
 OP2 = rf"""
