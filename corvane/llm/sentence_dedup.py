@@ -34,6 +34,7 @@ from corvane.llm.common import arrow_map, cut, release, shingle_hashes
 SCHEMA = "doc_id bigint, n_sentences bigint, n_removed bigint, n_words bigint, n_words_removed bigint, kept binary"
 #: A sentence with a word, and the marks and white space up to the next; what precedes the first is part of it.
 SENTENCE = re.compile(rb"[.!?\s]*[^.!?\s][^.!?\n]*(?:[.!?]+|\n|\Z)[.!?\s]*")
+WORDLIKE = re.compile(rb"[^.!?\s]")
 WORD = re.compile(rb"\s*\S+\s*")
 #: A run's hash.
 PAIR = np.dtype([("a", np.int64), ("b", np.int64)])
@@ -48,8 +49,9 @@ class Params:
 
 
 def uncut(text: bytes | None) -> list[bytes]:
-    """The sentences before long ones are cut; joined they are the text."""
-    return SENTENCE.findall(text or b"") or ([text] if text else [])
+    """The sentences before long ones are cut; joined they are the text. A text without a word is one; the pattern, which would look for one from
+    each of its bytes, isn't asked."""
+    return SENTENCE.findall(text) if WORDLIKE.search(text or b"") else [text] if text else []
 
 
 def ends(words: list[list[bytes]], p: Params) -> np.ndarray:
