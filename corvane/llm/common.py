@@ -8,6 +8,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 #: Words that a worker keeps the hashes of; then it starts anew.
 CACHE = 300_000
-#: Folders named by this driver and not yet swept.
-MADE: list[str] = []
+#: Folders named in the block of `passing` that this thread is in.
+PASSING: ContextVar[list[str] | None] = ContextVar("PASSING", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,18 +41,32 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
-    """A name, not yet used, in the shared folder."""
-    MADE.append(f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}")
-    return MADE[-1]
-
-
-def sweep(kept: str) -> None:
-    """Delete the folders that new_folder has named so far, but for `kept`: for callers that have written what they wanted from them."""
-    for folder in [x for x in MADE if x != kept]:
-        fs, path = filesystem(folder)
-        if fs.get_file_info(path).type == pafs.FileType.Directory:
-            fs.delete_dir(path)
-        MADE.remove(folder)
+    """A name, not yet used, in the shared folder. Who called within `passing` decides when it goes; else it stays until its owner deletes it."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    mine = PASSING.get()
+    if mine is not None:
+        mine.append(folder)
+    return folder
+
+
+@contextmanager
+def passing() -> Iterator[list[str]]:
+    """The folders that this thread's new_folder names within the block; they are deleted at its end, those taken out of the list excepted. For a run
+    that has then written its result: what other runs have made, and lazy results of before still read, isn't touched."""
+    folders: list[str] = []
+    token = PASSING.set(folders)
+    try:
+        yield folders
+    finally:
+        PASSING.reset(token)
+        for folder in folders:
+            delete(folder)
+
+
+def delete(folder: str) -> None:
+    fs, path = filesystem(folder)
+    if fs.get_file_info(path).type == pafs.FileType.Directory:
+        fs.delete_dir(path)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import json
 import random
+import time
 
 import duckdb
 import numpy as np
@@ -99,6 +100,16 @@ def brute_spans(rows, p):
     return {(d, len(keys[d]), len(go[d])) for d in keys}
 
 
+@pytest.mark.parametrize("unit", [" ", "\n", "!", ". ", "\t.?"])
+def test_long_texts_without_words_take_no_time(unit):
+    text = (unit * 1_000_000)[:1_000_000].encode()
+    began = time.time()
+    for t in (text, b"a" + text, text + b"a", text + b"a" + text):
+        assert b"".join(sentence_dedup.uncut(t)) == t
+        sentence_dedup.sentences(t, sentence_dedup.Params())
+    assert time.time() - began < 4
+
+
 def test_spans_of_short_lines_are_found(spark, tmp_path):
     lines = "".join(f"a{i} b{i} c{i}\n" for i in range(60))
     rows = [(1, lines), (2, lines), (3, "Yes.\nNo.\nOh!\nyes.\nno.\noh!\n"), *sentence_rows(3)[10:]]
@@ -202,7 +213,7 @@ def page_rows():
     return rows
 
 
-@pytest.mark.parametrize("p", [warc.Params(), warc.Params(shard_bytes=2000, roll_bytes=900, bins=8)])
+@pytest.mark.parametrize("p", [warc.Params(), warc.Params(shard_bytes=2000, roll_bytes=900, head_bytes=0)])
 def test_warc_round_trip_equals_sql(spark, p):
     rows = page_rows()
     got = warc.round_trip(spark.createDataFrame([(*x, 1) for x in rows], "page_id long, url string, html string, shard int"), p)
@@ -211,7 +222,7 @@ def test_warc_round_trip_equals_sql(spark, p):
 
 def test_warc_is_deterministic_and_standard(spark, tmp_path):
     rows = page_rows()
-    p = warc.Params(shard_bytes=4000, roll_bytes=1500, bins=16)
+    p = warc.Params(shard_bytes=4000, roll_bytes=1500, head_bytes=0)
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     a = warc.write(df, str(tmp_path / "a"), p)
     b = warc.write(df.repartition(7), str(tmp_path / "b"), p)
@@ -240,14 +251,33 @@ def test_warc_ranges_have_no_cap(spark):
     """Ids in 250 clusters far apart, each of them heavy: every page is a shard of its own, and one task writes several."""
     rows = [(i * 10**15 + j, "u", f"{i}.{j}") for i in range(-100, 150) for j in range(2)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    p = warc.Params(bins=100, shard_bytes=1, tasks=7)
-    assert warc.ranges(warc.sized(df), p) == [x for x, _, _ in rows]
+    p = warc.Params(shard_bytes=1, tasks=7, head_bytes=0)
+    assert warc.ranges(warc.sized(df), p).tolist() == [x for x, _, _ in rows]
     got = warc.round_trip(df, p)
     assert sorted(r.page_id for r in got.collect()) == [x for x, _, _ in rows]
-    big = warc.Params(bins=100, shard_bytes=40)
+    big = warc.Params(shard_bytes=40, head_bytes=0)
     begins = warc.ranges(warc.sized(df), big)
     ends = [*begins[1:], 10**18]
-    assert max(sum(len(h) for x, _, h in rows if a <= x < z) for a, z in zip(begins, ends)) <= 40 and len(begins) < 120
+    assert max(sum(len(h) for x, _, h in rows if a <= x < z) for a, z in zip(begins, ends)) < 40 + max(len(h) for _, _, h in rows) and len(begins) < 120
+
+
+def test_warc_has_a_million_shards_in_seconds(spark):
+    df = spark.range(1_000_000).select(F.col("id").alias("page_id"), F.lit(1).alias("bytes"))
+    began = time.time()
+    assert (warc.ranges(df, warc.Params(shard_bytes=1, head_bytes=0)) == np.arange(1_000_000)).all() and time.time() - began < 60
+    few = warc.ranges(df.withColumn("bytes", F.lit(0)), warc.Params())  # empty payloads have headers too
+    assert len(few) == -(-1_000_000 * 512 // (64 << 20))
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_pages_without_id_are_spread(spark, tmp_path, alike):
+    rows = [(None if i % 2 else i, "u", "same payload" if alike else f"payload {i}") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    m = warc.write(df, str(tmp_path / "w"), warc.Params(shard_bytes=1 << 20)).groupBy("shard").agg(F.sum("records").alias("n")).collect()
+    assert sum(r.n for r in m) == 20_000 and len(m) >= 10 and max(r.n for r in m) < 5000
+    got = warc.read(spark, str(tmp_path / "w"))
+    assert got.where("page_id is null and record_type = 'response'").count() == 10_000
+    assert got.where("record_type = 'revisit'").count() == (9_999 if alike else 0)
 
 
 def test_warc_of_odd_tables(spark):
@@ -426,8 +456,20 @@ def test_order_follows_dependencies_and_marks_circles(spark):
     # positions: every message after all it depends on, those without depth last, and no gap, though several tasks hold the conversation
     one = sorted((r for r in got if r.conv_id == 1), key=lambda r: r.position)
     assert [r.position for r in one] == list(range(len(one))) and [r.depth is None for r in one] == sorted(r.depth is None for r in one)
-    keys = [(r.depth, r.turn) for r in one if r.depth is not None]
-    assert keys == sorted(keys)
+    at = {(r.call_id, r.kind): r.position for r in one if r.depth is not None}
+    assert all(at[f"k{i}", "call"] < at[f"k{i}", "result"] for i in range(n)) and all(at[f"k{i}", "result"] < at[f"k{i + 1}", "call"] for i in range(n - 1))
+
+
+def test_turns_keep_their_order_where_they_fulfil_dependencies(spark):
+    schema = "conv_id long, turn long, role string, text string, kind string, call_id string, tool string, arguments string, after string"
+    call = lambda t, i, after=None: (1, t, "assistant", "", "call", i, "add", '{"a": 1}', after)
+    result = lambda t, i: (1, t, "tool", "", "result", i, None, None, None)
+    plain = lambda t, role: (1, t, role, "x", None, None, None, None, None)
+    rows = [plain(0, "user"), call(1, "a"), result(2, "a"), plain(3, "assistant"), plain(4, "user"), call(5, "b"), result(6, "b")]
+    order = lambda rows: [r.turn for r in sorted(chat.format_chats(spark.createDataFrame(rows, schema), SCHEMAS).collect(), key=lambda r: r.position)]
+    assert order(rows) == [0, 1, 2, 3, 4, 5, 6]
+    # a result before its call moves behind it, what depends on it too, and nothing else moves
+    assert order([plain(0, "user"), result(1, "a"), plain(2, "user"), call(3, "a"), call(2, "b", "a"), result(4, "b"), plain(5, "user")]) == [0, 2, 3, 1, 2, 4, 5]
 
 
 def test_fields_with_odd_names_are_checked(spark):
@@ -445,16 +487,27 @@ def test_the_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch, tmp_pa
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://x:7077", getCheckpointDir=lambda: None))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         common.shared_folder(fake)
-    monkeypatch.setattr(common, "MADE", [])
-    a, b = common.new_folder(spark, "a"), common.new_folder(spark, "b")
-    for x in (a, b):
-        spark.range(1).write.parquet(x)
-    common.sweep(b)
-    assert common.MADE == [b] and spark.read.parquet(b).count() == 1
+    with common.passing() as folders:
+        a, b = common.new_folder(spark, "a"), common.new_folder(spark, "b")
+        for x in (a, b):
+            spark.range(1).write.parquet(x)
+        folders.remove(b)
+    assert spark.read.parquet(b).count() == 1
     with pytest.raises(Exception):
         spark.read.parquet(a)
 
 
+def test_passing_leaves_what_others_read(spark):
+    from corvane.llm import bwt_dedup, common
+
+    docs = spark.createDataFrame([(i, f"a text of its own, number {i}, and a passage that comes again in every text of this table, word for word") for i in range(40)], "doc_id long, text string")
+    lazy = bwt_dedup.substring_dedup(docs)
+    before = sorted(map(tuple, lazy.collect()))
+    with common.passing():
+        assert bwt_dedup.substring_dedup(docs).count() == 40
+    assert sorted(map(tuple, lazy.collect())) == before
+
+
 def test_very_long_texts(spark):
     from corvane.llm import decontam, near_dedup, quality_rules
 
@@ -471,6 +524,9 @@ def test_very_long_texts(spark):
         assert got == {1: (120_000, 6500, True), 2: (120_001, 6500, True), 3: (2, 0, False), 4: (1, 0, False), 5: (0, 0, False)}
     assert ranker.quality_scores(df, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")).where("score between 0 and 1").count() == 5
     assert {x.doc_id: x.n_tokens for x in mixing.mixture(df).collect()} == {1: 120_000, 2: 120_001, 3: 2, 4: 1, 5: 300_000}
+    spans = {x.doc_id: (x.n_words, x.n_words_removed) for x in sentence_dedup.sentence_dedup(df).collect()}
+    assert {d: n for d, (n, _) in spans.items()} == {1: 120_000, 2: 120_001, 3: 2, 4: 1, 5: 300_000}
+    assert spans[2][1] > 119_900 and [spans[d][1] for d in (1, 3, 4)] == [0, 0, 0] and spans[5][1] > 299_000
     assert {x.doc_id: x.kept for x in quality_rules.quality_rules(df).collect()} == {1: True, 2: True, 3: False, 4: False, 5: False}
     pages = df.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
     assert {x.page_id: x.payload_bytes for x in warc.round_trip(pages, warc.Params(shard_bytes=1000, roll_bytes=500)).collect()} == {d: len(t) for d, t, *_ in rows}
