@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm import bwt_dedup, decontam, mixing, near_dedup, quality_rules
-from corvane.llm.common import new_folder, sweep
+from corvane.llm.common import delete, new_folder, passing
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,11 +50,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; the last one's rows. What a stage has written goes when the next one's output is there."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; the last one's rows. What a stage has made besides its output goes when that is written, the output when
+    the next stage's is; nothing of other runs is deleted."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        out = new_folder(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(out)
-        sweep(out)
-        docs = spark.read.parquet(out)
+        with passing() as folders:
+            out = new_folder(spark, name.replace(" ", "-"))
+            stage(spark, docs, sf_dir).write.parquet(out)
+            folders.remove(out)
+        if before:
+            delete(before)
+        docs, before = spark.read.parquet(out), out
     return docs
