@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corvane.errors import DatasetError
 from corvane.functions.text import close, exact_mean, finite
+from corvane.operators.order_statistics import at_ranks
 from corvane.schemas import DURATION
 
 
@@ -40,27 +41,58 @@ def checked(rows: DataFrame) -> DataFrame:
 
 
 def statistics() -> list[Column]:
-    """A row's aggregates. The 95th percentile is by nearest rank; the mean sums decimals, so it is the same in any order of rows."""
+    """A row's aggregates but for the order statistics. The mean sums decimals, so it is the same in any order of rows."""
     return [
         F.count("*").alias("utterances"),
         exact_mean(F.col("duration_gap_sec")).alias("mean_gap_sec"),
-        F.median("duration_gap_sec").alias("median_gap_sec"),
         F.min("duration_gap_sec").alias("min_gap_sec"),
         F.max("duration_gap_sec").alias("max_gap_sec"),
-        F.expr("percentile_disc(0.95) within group (order by absolute_gap_sec)").alias("p95_absolute_gap_sec"),
         F.count_if("exceeds_threshold").alias("exceeds_threshold_count"),
         (F.count_if("exceeds_threshold") * 100.0 / F.count("*")).alias("exceeds_threshold_pct"),
         F.count_if(F.col("missing_frame_count") > 0).alias("has_missing_frames_count"),
     ]
 
 
-def summarise(rows: DataFrame) -> DataFrame:
-    """By split, by split and speaker, and over all, in one aggregation over grouping sets. level: 0 all, 1 split, 2 speaker."""
-    sets = rows.groupingSets([[], ["split"], ["split", "speaker_id"]], "split", "speaker_id").agg(F.grouping_id().alias("_g"), *statistics())
+#: What names a group.
+LEVELS = ["level", "split", "speaker_id"]
+
+
+def summarise(rows: DataFrame, held: int = 1_000_000) -> DataFrame:
+    """By split, by split and speaker, and over all. level: 0 all, 1 split, 2 speaker. Up to `held` rows are counted first: a group's values then fit
+    in one buffer, and all is one aggregation over grouping sets. Of more rows the median and the 95th percentile (nearest rank) come
+    from counts by their bits, so that no task holds a group's values."""
+    few = rows.limit(held + 1).count() <= held
+    buffered = [F.median("duration_gap_sec").alias("median_gap_sec"), F.expr("percentile_disc(0.95) within group (order by absolute_gap_sec)").alias("p95_absolute_gap_sec")]
+    sets = rows.groupingSets([[], ["split"], ["split", "speaker_id"]], "split", "speaker_id").agg(F.grouping_id().alias("_g"), *statistics(), *(buffered if few else []))
     level = F.when(F.col("_g") == 3, 0).when(F.col("_g") == 1, 1).otherwise(2)
-    group = F.when(level == 0, "ALL").when(level == 1, F.col("split")).otherwise(F.concat("split", F.lit("/"), "speaker_id"))
     # over no rows at all there is no group, not even the one over all
-    return sets.where("utterances > 0").select(level.alias("level"), group.alias("group"), "split", "speaker_id", *[c for c in sets.columns if c not in ("split", "speaker_id", "_g")])
+    sets = sets.where("utterances > 0").withColumn("level", level).drop("_g")
+    if not few:
+        sets = ordered(sets, rows)
+    group = F.when(F.col("level") == 0, "ALL").when(F.col("level") == 1, F.col("split")).otherwise(F.concat("split", F.lit("/"), "speaker_id"))
+    names = ["utterances", "mean_gap_sec", "median_gap_sec", "min_gap_sec", "max_gap_sec", "p95_absolute_gap_sec", "exceeds_threshold_count", "exceeds_threshold_pct", "has_missing_frames_count"]
+    return sets.select("level", group.alias("group"), "split", "speaker_id", *names)
+
+
+def ordered(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """sets(level, split, speaker_id, ...) with the groups' order statistics, found by ranks."""
+    none = F.lit(None).cast("string")
+    group = lambda level: F.struct(F.lit(level).alias("level"), (F.col("split") if level else none).alias("split"), (F.col("speaker_id") if level == 2 else none).alias("speaker_id"))
+    metrics = F.array(F.struct(F.lit("gap").alias("of"), F.col("duration_gap_sec").alias("value")), F.struct(F.lit("absolute").alias("of"), F.col("absolute_gap_sec").alias("value")))
+    each = rows.select("split", "speaker_id", F.explode(metrics).alias("m")).select(F.explode(F.array(*map(group, range(3)))).alias("g"), "m").select("g.*", "m.*").where("value is not null")
+    n = each.groupBy(*LEVELS, "of").agg(F.count("*").alias("n"))
+    rank = F.array(
+        F.struct(F.lit("gap").alias("of"), F.lit("low").alias("name"), F.floor((F.col("n") - 1) / 2).alias("rank")),
+        F.struct(F.lit("gap").alias("of"), F.lit("high").alias("name"), F.floor(F.col("n") / 2).alias("rank")),
+        F.struct(F.lit("absolute").alias("of"), F.lit("p95").alias("name"), (F.floor((F.col("n") * 95 + 99) / 100) - 1).alias("rank")),
+    )
+    ranks = n.select(*LEVELS, F.col("of").alias("mine"), F.explode(rank).alias("r")).where("mine = r.of").select(*LEVELS, "r.of", "r.name", "r.rank")
+    found = at_ranks(each, ranks, [*LEVELS, "of"]).groupBy(*LEVELS).agg(*[F.max(F.when(F.col("name") == x, F.col("value"))).alias(x) for x in ("low", "high", "p95")])
+    found = found.select(*[F.col(c).alias(f"_{c}") for c in LEVELS], (0.5 * F.col("low") + 0.5 * F.col("high")).alias("median_gap_sec"), F.col("p95").alias("p95_absolute_gap_sec"))
+    match = F.col("level") == F.col("_level")
+    for c in LEVELS[1:]:
+        match &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return sets.join(found, match, "left").drop(*(f"_{c}" for c in LEVELS))
 
 
 def report_order(summary: DataFrame, rows: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corvane.config import SPLITS
 from corvane.errors import ManifestError
 from corvane.functions.text import basename, strip, to_double, to_int
+from corvane.operators.numbering import numbered
 from corvane.schemas import MANIFEST_COLUMNS
 
 SPEAKER = r"^s[1-9][0-9]*\z"
@@ -78,8 +79,9 @@ def quarantine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def indexed(rows: DataFrame) -> DataFrame:
-    """With manifest_index, from 0 within each split in file order."""
-    return rows.withColumn("manifest_index", F.row_number().over(Window.partitionBy("split").orderBy("row_number")) - 1)
+    """With manifest_index, from 0 within each split in file order, by ranges of a split: no task holds one whole. The rows are written to
+    the checkpoint folder, where at() finds them by the index."""
+    return numbered(rows, [F.col("row_number")], ["split"], "manifest_index").withColumn("manifest_index", F.col("manifest_index").cast("int"))
 
 
 def eligible(rows: DataFrame, min_frame_count: int | None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,13 @@ from pyspark.sql import types as T
 from corvane.config import SPLITS
 from corvane.errors import ManifestError
 from corvane.operators import manifest as M
+from corvane.operators.numbering import numbered, unused
 
 
 def raw(spark: SparkSession, path: str, split: str) -> DataFrame:
-    """A manifest's rows as strings, with row_number (2 is the first row after the header) and expected_split. One file is one
-    partition: manifests have a row an utterance, a few MB, and row numbers need the file's order."""
+    """A manifest's rows as strings, with row_number (2 is the first row after the header) and expected_split. A file that Spark wouldn't divide
+    is one partition in its order. A larger one is read in blocks and numbered by their places in it, unless quoted line feeds run
+    through it, which can't be told from others within a block."""
     header = spark.read.text(path).limit(1).first()
     if header is None:
         raise ManifestError(f"{path} has no header")
@@ -25,8 +28,22 @@ def raw(spark: SparkSession, path: str, split: str) -> DataFrame:
     if missing:
         raise ManifestError(f"{path} lacks columns: {', '.join(missing)}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE").option("multiLine", True).option("escape", '"').csv(path)
-    return df.coalesce(1).withColumn("row_number", F.monotonically_increasing_id() + 2).withColumn("expected_split", F.lit(split))
+    read = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE").option("escape", '"')
+    if _divides(spark, path):
+        at, within = unused("_at", spark.createDataFrame([], schema)), unused("_within", spark.createDataFrame([], schema))
+        df = read.csv(path).select("*", F.col("_metadata.file_block_start").alias(at), F.monotonically_increasing_id().alias(within))
+        df = numbered(df, [F.col(at), F.col(within)], name="row_number", first=2).drop(at, within)
+    else:
+        df = read.option("multiLine", True).csv(path).coalesce(1).withColumn("row_number", F.monotonically_increasing_id() + 2)
+    return df.withColumn("expected_split", F.lit(split))
+
+
+def _divides(spark: SparkSession, path: str) -> bool:
+    """If a file is over a block, and each of its lines has quotes in pairs."""
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    block = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+    return size > block and not spark.read.text(path).where(F.length("value") % 2 != F.length(F.translate("value", '"', "")) % 2).take(1)
 
 
 def load(spark: SparkSession, root: str, split: str, strict: bool = True, partial: str | None = None) -> DataFrame:
