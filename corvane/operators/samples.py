@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.media import decode_wav
+from corvane.sources.members import content
 
 
 def frame_lists(members: DataFrame) -> DataFrame:
@@ -33,30 +34,48 @@ def disagreement(f: Column, has_audio: Column, repeats: Column) -> Column:
     )
 
 
+def with_content(rows: DataFrame) -> DataFrame:
+    """Members with content: rows of an index (sources.members) get theirs by ranged reads, others have it."""
+    return rows if "content" in rows.columns else content(rows)
+
+
 def frame(members: DataFrame, index: int) -> DataFrame:
-    """speaker_id, prefix, content, error for each folder of members (with content): the frame of that index, or that there is none. The
-    archives are asked for this frame and for names only."""
+    """speaker_id, prefix, content, error for each folder of members: the frame of that index, or that there is none. Names are looked through
+    without content; of an index only this frame's bytes are read."""
     if index < 0:
         raise ValueError("a frame's index isn't negative")
     return _one(members, F.col("frame_index") == index, f"there is no frame {index}", f"frame {index} is there twice")
 
 
 def audio(members: DataFrame) -> DataFrame:
-    """speaker_id, prefix, content, error for each folder of members (with content)."""
+    """speaker_id, prefix, content, error for each folder of members."""
     return _one(members, F.col("filename") == "audio.wav", "audio is missing", "audio is there twice")
 
 
 def _one(members: DataFrame, which: Column, none: str, many: str) -> DataFrame:
-    by = members.groupBy("speaker_id", "prefix").agg(F.count_if(which).alias("n"), F.first(F.when(which, F.col("content")), True).alias("content"))
-    return by.select("speaker_id", "prefix", F.when(F.col("n") == 1, F.col("content")).alias("content"), F.when(F.col("n") == 0, none).when(F.col("n") > 1, many).alias("error"))
+    count = F.count_if(which).alias("n")
+    if "content" in members.columns:
+        # one scan: filters that one branch pushes to a Python source would reach the other too
+        by = members.groupBy("speaker_id", "prefix").agg(count, F.first(F.when(which, F.col("content")), True).alias("content"))
+        return by.select("speaker_id", "prefix", F.when(F.col("n") == 1, F.col("content")).alias("content"), F.when(F.col("n") == 0, none).when(F.col("n") > 1, many).alias("error"))
+    by = members.groupBy("speaker_id", "prefix").agg(count)
+    found = with_content(members.where(which)).select("speaker_id", "prefix", F.struct("content").alias("found"))
+    # a folder that has it twice gets neither
+    out = by.join(found, ["speaker_id", "prefix"], "left").groupBy("speaker_id", "prefix").agg(F.max("n").alias("n"), F.first(F.when(F.col("n") == 1, F.col("found")), True).alias("found"))
+    return out.select("speaker_id", "prefix", F.col("found.content").alias("content"), F.when(F.col("n") == 0, none).when(F.col("n") > 1, many).alias("error"))
 
 
 def utterances(manifest: DataFrame, members: DataFrame) -> DataFrame:
     """Every manifest row with frames (map of index to bytes, ascending; null, and repeats true, if an index is there twice), audio, and
-    error: what its shard lacks or what doesn't agree with it; members need content. A row's size is bounded by one utterance, about
+    error: what its shard lacks or what doesn't agree with it. Of an index the bytes of the manifest's own utterances are read. A row's size is bounded by one utterance, about
     75 frames."""
+    mine = members.withColumnRenamed("prefix", "shard_member_prefix").join(manifest.select("speaker_id", "shard_member_prefix").distinct(), ["speaker_id", "shard_member_prefix"], "left_semi")
+    wanted = F.col("frame_index").isNotNull() | (F.col("filename") == "audio.wav")
+    # folders that have neither frames nor audio are there all the same
+    there = mine.select("speaker_id", "shard_member_prefix").distinct()
     frames = F.sort_array(F.collect_list(F.when(F.col("frame_index").isNotNull(), F.struct("frame_index", "content"))))
-    by = members.groupBy("speaker_id", F.col("prefix").alias("shard_member_prefix")).agg(frames.alias("_frames"), F.first(F.when(F.col("filename") == "audio.wav", F.col("content")), True).alias("audio"))
+    by = with_content(mine.where(wanted)).groupBy("speaker_id", "shard_member_prefix").agg(frames.alias("_frames"), F.first(F.when(F.col("filename") == "audio.wav", F.col("content")), True).alias("audio"))
+    by = there.join(by, ["speaker_id", "shard_member_prefix"], "left").withColumn("_frames", F.coalesce("_frames", F.array().cast("array<struct<frame_index:int,content:binary>>")))
     by = by.withColumn("repeats", F.size(F.array_distinct("_frames.frame_index")) < F.size("_frames"))
     u = manifest.join(by, ["speaker_id", "shard_member_prefix"], "left")
     u = u.withColumn("error", disagreement(F.col("_frames.frame_index"), F.col("audio").isNotNull(), F.col("repeats")))

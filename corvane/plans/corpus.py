@@ -13,7 +13,7 @@ from corvane.functions.text import round4
 from corvane.operators import duration, gold, integrity, quality, samples, state
 from corvane.operators import manifest as M
 from corvane.sinks import files, shards
-from corvane.sources import archive, manifest, metadata
+from corvane.sources import archive, manifest, members, metadata
 
 
 log = logging.getLogger("corvane.corpus")
@@ -67,9 +67,9 @@ def speaker_documents(records: DataFrame, shard_info: DataFrame, sources: DataFr
     return df.select("speaker_id", F.to_json(doc, {"ignoreNullFields": "false"}).alias("json"))
 
 
-def pack(spark: SparkSession, members: DataFrame, valid: DataFrame, folder: str) -> DataFrame:
+def pack(spark: SparkSession, contents: DataFrame, valid: DataFrame, folder: str) -> DataFrame:
     """Pack the members of valid(speaker_id, utterance_id) and check that none is missing."""
-    info = shards.package(members.join(valid, ["speaker_id", "utterance_id"], "left_semi"), folder).cache()
+    info = shards.package(contents.join(valid, ["speaker_id", "utterance_id"], "left_semi"), folder).cache()
     info.count()
     lost = integrity.missing_from_shards(valid, archive.members(spark, folder)).take(1)
     if lost:
@@ -97,12 +97,12 @@ def report(spark: SparkSession, settings: ReaderSettings, folder: str, root: str
 
 
 def read_samples(spark: SparkSession, settings: ReaderSettings, split: str, speakers: list[str] | None = None) -> DataFrame:
-    """Samples of a split: eligible manifest rows, their frames' bytes, decoded audio and durations. speakers prune the archives read."""
+    """Samples of a split: eligible manifest rows, their frames' bytes, decoded audio and durations. speakers prune the archives read; of these
+    headers are indexed, and the bytes of the rows' own members are read."""
     rows = M.eligible(manifest.load(spark, settings.data_root, split), settings.min_frame_count)
-    members = archive.members(spark, f"{settings.data_root}/silver/shards", content=True)
-    if speakers is not None:
-        rows, members = rows.where(F.col("speaker_id").isin(speakers)), members.where(F.col("speaker_id").isin(speakers))
-    return samples.samples(rows, members, settings.fps)
+    rows = rows if speakers is None else rows.where(F.col("speaker_id").isin(speakers))
+    index = members.sound(members.of_folder(spark, f"{settings.data_root}/silver/shards", speakers=speakers))
+    return samples.samples(rows, index, settings.fps)
 
 
 def at(spark: SparkSession, settings: ReaderSettings, split: str, index: int) -> DataFrame:
