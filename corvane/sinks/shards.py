@@ -1,63 +1,181 @@
-"""Shards: members packed into one uncompressed tar a speaker, on executors."""
+"""Shards: members packed into one uncompressed tar a speaker, on executors.
+
+Members are ranged by speaker, utterance and file name, so a large speaker is spread over many tasks. Each task writes the records of
+its range, headers included, as a part of each speaker in it (a Spark data source writer: parts are under a name of the write's own; its
+commit lists them in a manifest, its abort deletes them). Records have a length that is known from the name and the size, so where each part
+belongs in its tar is a prefix sum of the parts' bytes. The parts of a speaker are then streamed in that order into the
+shard, under a name of its own attempt, compared in size, and renamed; no member is held beyond its own record. Times and owners are left at zero, so the same
+members give the same bytes, however many tasks wrote them. Files go through pyarrow, to whatever store the folder is in.
+"""
 
 from __future__ import annotations
 
 import hashlib
-import io
+import json
 import os
 import shutil
 import tarfile
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow.fs as pafs
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from corvane.errors import ShardError
+from corvane.operators.numbering import settled
+
+#: Fixed values of the format: a block, two empty ones at the end, and what a tar's length is a multiple of.
+BLOCK, END, RECORD = 512, 1024, 10240
+ROW = T.StructType([T.StructField("speaker_id", T.StringType()), T.StructField("utterance_id", T.StringType()), T.StructField("filename", T.StringType()), T.StructField("content", T.BinaryType())])
+
+
+def store(uri: str) -> tuple[pafs.FileSystem, str]:
+    if "://" in uri or uri.startswith("file:"):
+        return pafs.FileSystem.from_uri(f"file://{uri[5:]}" if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+    return pafs.LocalFileSystem(), os.path.abspath(uri)
+
+
+def head(name: str, size: int) -> bytes:
+    """A member's header, in as many blocks as its name needs."""
+    info = tarfile.TarInfo(name)
+    info.size = size
+    return info.tobuf(tarfile.PAX_FORMAT, "utf-8", "surrogateescape")
+
+
+@dataclass
+class Parts(WriterCommitMessage):
+    """What a task has written: speaker, path, bytes, members of each part, in the order of its range."""
+
+    number: int = 0
+    parts: list[tuple] = field(default_factory=list)
+
+
+class PartWriter(DataSourceWriter):
+    def __init__(self, options: dict):
+        self.folder = options["path"]
+
+    def write(self, rows: Iterator) -> Parts:
+        fs, base = store(self.folder)
+        number = TaskContext.get().partitionId()
+        out, speaker, parts, stream = Parts(number), None, [], None
+        tag = uuid.uuid4().hex
+        for s, u, name, data in rows:
+            if stream is None or s != speaker:
+                if stream is not None:
+                    stream.close()
+                speaker = s
+                path = f"{base}/{s}.{number:06d}.{tag}"
+                stream = fs.open_output_stream(path)
+                parts.append([s, path, 0, 0])
+            data = bytes(data or b"")
+            record = head(f"{s}/{u}/{name}", len(data)) + data + bytes(-len(data) % BLOCK)
+            stream.write(record)
+            parts[-1][2] += len(record)
+            parts[-1][3] += 1
+        if stream is not None:
+            stream.close()
+        out.parts = [tuple(p) for p in parts]
+        return out
+
+    def commit(self, messages: list[Parts | None]) -> None:
+        """The manifest: without it nothing is there."""
+        fs, base = store(self.folder)
+        rows = [dict(zip(("speaker_id", "path", "bytes", "members"), p), number=m.number) for m in messages if m for p in m.parts]
+        with fs.open_output_stream(f"{base}/parts.json") as f:
+            f.write(json.dumps(rows).encode())
+
+    def abort(self, messages: list[Parts | None]) -> None:
+        """Nothing stays, of tasks that didn't end either: the folder is this write's own."""
+        fs, base = store(self.folder)
+        if fs.get_file_info(base).type == pafs.FileType.Directory:
+            fs.delete_dir(base)
+
+
+class ShardParts(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "corvane_shard_parts"
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> PartWriter:
+        if schema.fieldNames() != ROW.fieldNames():
+            raise ShardError(f"members have the columns {', '.join(ROW.fieldNames())}")
+        return PartWriter(self.options)
+
+
+def package(members: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
+    """Write members(speaker_id, utterance_id, filename, content) to folder/<speaker>.tar, with at most `tasks` tasks (the session's shuffle partitions,
+    unless given); returns speaker_id, path, size, sha256, members. Within a shard utterances are sorted by id and files by name as text. Speakers of that name are replaced, others
+    stay."""
+    spark = members.sparkSession
+    fs, base = store(folder)
+    fs.create_dir(base, recursive=True)
+    parts = f"{base}/_parts-{uuid.uuid4().hex}"
+    fs.create_dir(parts)
+    # the store's own scheme, if it has one, for the tasks
+    place = f"{folder.rstrip('/')}/{parts.rsplit('/', 1)[1]}" if "://" in folder or folder.startswith("file:") else parts
+    spark.dataSource.register(ShardParts)
+    keys = ["speaker_id", "utterance_id", "filename"]
+    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = members.select(*keys, "content").repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    try:
+        dealt.write.format("corvane_shard_parts").mode("append").save(place)
+        with fs.open_input_stream(f"{parts}/parts.json") as f:
+            listed = json.loads(f.read())
+        return settled(assembled(spark, listed, folder))
+    finally:
+        if fs.get_file_info(parts).type == pafs.FileType.Directory:
+            fs.delete_dir(parts)
+
+
+def places(parts: DataFrame) -> DataFrame:
+    """parts(speaker_id, number, path, bytes, members) with offset: where each begins in its speaker's tar, by a sum over the parts before."""
+    before = Window.partitionBy("speaker_id").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.withColumn("offset", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+
+
+def assembled(spark: SparkSession, listed: list[dict], folder: str) -> DataFrame:
+    """The shards from their parts, a task a speaker, in streams."""
+    schema = "speaker_id string, path string, bytes bigint, members bigint, number int"
+    parts = places(spark.createDataFrame([(r["speaker_id"], r["path"], r["bytes"], r["members"], r["number"]) for r in listed], schema))
+
+    def run(mine: pd.DataFrame) -> pd.DataFrame:
+        mine = mine.sort_values("offset")
+        fs, base = store(folder)
+        speaker = mine["speaker_id"].iloc[0]
+        path = f"{base}/{speaker}.tar"
+        attempt = f"{path}.{uuid.uuid4().hex}"
+        sha, size = hashlib.sha256(), 0
+        total = int(mine["bytes"].sum())
+        with fs.open_output_stream(attempt) as out:
+
+            def put(data: bytes) -> None:
+                nonlocal size
+                out.write(data)
+                sha.update(data)
+                size += len(data)
 
+            for part, offset in zip(mine["path"], mine["offset"]):
+                if size != offset:
+                    raise ShardError(f"{part} belongs at {offset}, not at {size}")
+                with fs.open_input_stream(part, compression=None) as f:
+                    while chunk := f.read(1 << 20):
+                        put(chunk)
+            if size != total:
+                raise ShardError(f"{speaker}: the parts have {size} of {total} bytes")
+            put(bytes(END + -(total + END) % RECORD))
+        if fs.get_file_info(attempt).size != size:
+            fs.delete_file(attempt)
+            raise ShardError(f"{path}: the file's size differs from what was written")
+        fs.move(attempt, path)
+        return pd.DataFrame([(speaker, path, size, sha.hexdigest(), int(mine["members"].sum()))], columns=["speaker_id", "path", "size", "sha256", "members"])
 
-def package(members: DataFrame, folder: str) -> DataFrame:
-    """Write members(speaker_id, utterance_id, filename, content) to folder/<speaker>.tar; returns speaker_id, path, size, sha256, members. Within
-    a shard utterances are sorted by id and files by name as text. A shard is built by one task, row by row, under a name of its
-    own attempt, and renamed when whole; times and owners are left at zero, so the same members give the same bytes."""
-    dealt = members.select("speaker_id", "utterance_id", "filename", "content").repartition(F.col("speaker_id")).sortWithinPartitions("speaker_id", "utterance_id", "filename")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        speaker = out = None
-        for b in batches:
-            for s, u, name, data in zip(b["speaker_id"], b["utterance_id"], b["filename"], b["content"]):
-                if s != speaker:
-                    if out is not None:
-                        yield out.close()
-                    speaker, out = s, _Tar(folder, s)
-                out.add(f"{s}/{u}/{name}", bytes(data))
-        if out is not None:
-            yield out.close()
-
-    return dealt.mapInPandas(run, "speaker_id string, path string, size bigint, sha256 string, members bigint")
-
-
-class _Tar:
-    def __init__(self, folder: str, speaker: str):
-        os.makedirs(folder, exist_ok=True)
-        self.speaker, self.path = speaker, f"{folder}/{speaker}.tar"
-        self.part = f"{self.path}.{uuid.uuid4().hex}"
-        self.tar, self.n = tarfile.open(self.part, "w:"), 0
-
-    def add(self, name: str, data: bytes) -> None:
-        info = tarfile.TarInfo(name)
-        info.size = len(data)
-        self.tar.addfile(info, io.BytesIO(data))
-        self.n += 1
-
-    def close(self) -> pd.DataFrame:
-        self.tar.close()
-        with open(self.part, "rb") as f:
-            sha = hashlib.file_digest(f, "sha256").hexdigest()
-        size = os.path.getsize(self.part)
-        os.replace(self.part, self.path)
-        return pd.DataFrame([(self.speaker, self.path, size, sha, self.n)], columns=["speaker_id", "path", "size", "sha256", "members"])
+    return parts.groupBy("speaker_id").applyInPandas(run, "speaker_id string, path string, size bigint, sha256 string, members bigint")
 
 
 def upload(source: str, dest: str) -> str:
