@@ -6,12 +6,16 @@ holds follows from the events since the last start, in one grouped aggregate wit
 
 from __future__ import annotations
 
+import json
+import random
+import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corvane import objects
 from corvane.config import RETRYABLE, STATUSES
 from corvane.errors import PersistenceError
 from corvane.schemas import EVENT
@@ -21,42 +25,97 @@ FIELDS = ("shard_path", "metadata_path", "shard_size_bytes", "shard_sha256", "vi
 
 def event(speaker: str, seq: int, kind: str, ts: str, **more) -> dict:
     """A row of the log. kind failure and done imply their status."""
-    status = {"failure": "FAILED", "done": "DONE", "reconcile": "DONE"}.get(kind, more.pop("status", None))
+    given = more.pop("status", None)
+    status = {"failure": "FAILED", "done": "DONE", "reconcile": "DONE"}.get(kind, given)
     if kind not in ("start", "transition", "failure", "done", "reconcile") or (status is not None and status not in STATUSES):
         raise PersistenceError(f"no such event: {kind} {status}")
     return dict.fromkeys(EVENT.fieldNames()) | {"speaker_id": speaker, "seq": seq, "kind": kind, "ts": ts, "status": status} | more
 
 
 class Log:
-    """The log as a folder of Parquet files, appended to from one driver. Each call of add is one file, written under a temporary name and
-    committed by Spark. Numbers go on from the largest in the log."""
+    """The log in a folder, appended to by any number of drivers. A commit is a file of events in JSON lines, named by its number, and put there only
+    if no other driver has taken that number; who comes second reads what is new, numbers the events anew and takes the next. Every `every`
+    commits what is there so far is written once more as a snapshot in few files, so reading opens that and the commits since. Commits
+    stay, for streams. Nothing but the numbers by speaker is held here."""
 
-    def __init__(self, spark: SparkSession, folder: str, clock: Callable[[], str]):
-        self.spark, self.folder, self.clock = spark, folder, clock
-        self.seq = {r["speaker_id"]: r["seq"] for r in self.events().groupBy("speaker_id").agg(F.max("seq").alias("seq")).collect()}
+    def __init__(self, spark: SparkSession, folder: str, clock: Callable[[], str], every: int = 100):
+        self.spark, self.folder, self.clock, self.every = spark, folder.rstrip("/"), clock, every
+        self.last, self.seq = self._newest(), {}
+        self.seq = {r["speaker_id"]: r["seq"] for r in self._upto(self.last).groupBy("speaker_id").agg(F.max("seq").alias("seq")).collect()}
+        self._catch_up()
+
+    def commits(self) -> str:
+        """The folder of the commits' files, for streams."""
+        return f"{self.folder}/commits"
+
+    def _commit(self, n: int) -> str:
+        return f"{self.commits()}/{n:012d}.json"
+
+    def _newest(self) -> int:
+        """The number of the newest snapshot that is whole; 0 without any."""
+        return max((int(x.removesuffix(".done")) for x in objects.names(f"{self.folder}/snapshots") if x.endswith(".done")), default=0)
+
+    def _numbers(self, after: int) -> list[int]:
+        return sorted(n for x in objects.names(self.commits()) if x.endswith(".json") and x[:-5].isdigit() and (n := int(x[:-5])) > after)
+
+    def _upto(self, snapshot: int) -> DataFrame:
+        return self.spark.read.schema(EVENT).parquet(f"{self.folder}/snapshots/{snapshot:012d}") if snapshot else self.spark.createDataFrame([], EVENT)
 
     def events(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(EVENT).parquet(self.folder)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], EVENT)
+        """All events: the newest snapshot and the commits after it."""
+        newest = self._newest()
+        files = [self._commit(n) for n in self._numbers(newest)]
+        old = self._upto(newest)
+        return old.unionByName(self.spark.read.schema(EVENT).json(files)) if files else old
+
+    def _catch_up(self) -> None:
+        """Numbers of events that other drivers have committed."""
+        for n in self._numbers(self.last):
+            for line in objects.read(self._commit(n)).decode().splitlines():
+                e = json.loads(line)
+                self.seq[e["speaker_id"]] = max(e["seq"], self.seq.get(e["speaker_id"], 0))
+            self.last = n
 
     def add(self, *events: tuple[str, str, dict]) -> None:
-        """(speaker, kind, fields) each, in order; one write."""
-        rows = []
-        for speaker, kind, more in events:
-            self.seq[speaker] = self.seq.get(speaker, 0) + 1
-            rows.append(event(speaker, self.seq[speaker], kind, self.clock(), **more))
-        if rows:
-            self.spark.createDataFrame([tuple(r[f] for f in EVENT.fieldNames()) for r in rows], EVENT).coalesce(1).write.mode("append").parquet(self.folder)
+        """(speaker, kind, fields) each, in order; one commit. ts is the clock's unless it is given."""
+        if not events:
+            return
+        now = [self.clock() if more.get("ts") is None else more["ts"] for _, _, more in events]
+        for attempt in range(1000):
+            seq, rows = dict(self.seq), []
+            for (speaker, kind, more), ts in zip(events, now):
+                seq[speaker] = seq.get(speaker, 0) + 1
+                rows.append(event(speaker, seq[speaker], kind, ts, **{k: v for k, v in more.items() if k != "ts"}))
+            if objects.put_if_absent(self.spark, self._commit(self.last + 1), "".join(json.dumps(r) + "\n" for r in rows).encode()):
+                self.last, self.seq = self.last + 1, seq
+                if self.last % self.every == 0:
+                    self.snapshot()
+                return
+            if attempt:
+                time.sleep(random.random() * min(1.0, 0.01 * 2**attempt))
+            self._catch_up()
+        raise PersistenceError(f"{self.folder}: 1000 attempts to commit came second")
 
     def extend(self, events: DataFrame) -> None:
-        """Events made by an operator; their numbers must follow the log's."""
-        events.select(*EVENT.fieldNames()).coalesce(1).write.mode("append").parquet(self.folder)
-        for r in events.groupBy("speaker_id").agg(F.max("seq").alias("seq")).collect():
-            self.seq[r["speaker_id"]] = max(r["seq"], self.seq.get(r["speaker_id"], 0))
+        """Events made by an operator, a few a speaker; they get the log's next numbers."""
+        names = [f for f in EVENT.fieldNames() if f not in ("speaker_id", "kind", "seq")]
+        rows = events.select(*EVENT.fieldNames()).orderBy("seq").collect()
+        self.add(*((r["speaker_id"], r["kind"], {f: r[f] for f in names if r[f] is not None}) for r in rows))
+
+    def snapshot(self) -> None:
+        """What is there up to this driver's last commit, compacted. Another driver may write the same one: the files are put in place under a name of
+        this attempt, and the mark that names them only once."""
+        if self._newest() >= self.last:
+            return
+        upto = self._upto(newest := self._newest())
+        files = [self._commit(n) for n in self._numbers(newest) if n <= self.last]
+        df = upto.unionByName(self.spark.read.schema(EVENT).json(files))
+        path = f"{self.folder}/snapshots/{self.last:012d}"
+        try:
+            df.coalesce(max(1, len(files) // 10_000)).write.mode("errorifexists").parquet(path)
+        except AnalysisException:
+            return  # another driver is writing it
+        objects.put_if_absent(self.spark, f"{path}.done", b"")
 
 
 def latest(events: DataFrame) -> DataFrame:

@@ -1,21 +1,78 @@
-"""State events as a stream: the same log, read as it grows."""
+"""State events as a stream: the commits of operators.state.Log, read as they come."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from corvane.operators.state import FIELDS
 from corvane.schemas import EVENT
 
+#: A row of state, as operators.state.latest has it, and what it takes to go on from there.
+ROW = T.StructType([T.StructField("speaker_id", T.StringType()), T.StructField("status", T.StringType()), T.StructField("attempt_count", T.LongType()), T.StructField("started_at", T.StringType()), T.StructField("last_error", T.StringType()), *(EVENT[f] for f in FIELDS), T.StructField("seq", T.LongType()), T.StructField("completed_at", T.StringType())])
+KEPT = T.StructType([*ROW.fields[1:-1], T.StructField("done_at", T.StringType()), T.StructField("first_done_at", T.StringType())])
+WHOLE = [f.name for f in EVENT.fields if isinstance(f.dataType, T.LongType)]
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def events(spark: SparkSession, folder: str, files_at_once: int | None = None) -> DataFrame:
+    """New events of the log in folder, each file once."""
+    read = spark.readStream.schema(EVENT)
+    read = read.option("maxFilesPerTrigger", files_at_once) if files_at_once else read
+    return read.json(f"{folder.rstrip('/')}/commits")
+
+
+def step(s: dict, e: dict) -> None:
+    """What an event makes of a speaker's state. Numbers up to the state's are repeats."""
+    if e["seq"] <= s["seq"]:
+        return
+    kind, status = e["kind"], e["status"]
+    s["seq"] = e["seq"]
+    s["status"] = status or s["status"]
+    if kind == "start":
+        s |= {"attempt_count": s["attempt_count"] + 1, "started_at": e["ts"], "done_at": None, "first_done_at": None}
+    elif s["started_at"] is None and status not in (None, "PENDING", "DONE"):
+        s["started_at"] = e["ts"]
+    if kind in ("start", "done", "reconcile", "failure"):
+        s["last_error"] = e["error"] if kind == "failure" else None
+    if kind == "done":
+        s["done_at"] = e["ts"]
+    if kind in ("done", "reconcile") and s["first_done_at"] is None:
+        s["first_done_at"] = e["ts"]
+    s |= {f: e[f] for f in FIELDS if e[f] is not None}
+
+
+class Latest(StatefulProcessor):
+    """A speaker's row, kept from batch to batch."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getValueState("kept", KEPT)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        names = KEPT.fieldNames()
+        before = self.kept.get()
+        s = dict(zip(names, before)) if before is not None else dict.fromkeys(names) | {"status": "PENDING", "attempt_count": 0, "seq": 0}
+        got = pd.concat(rows).sort_values("seq", kind="stable")
+        for e in got.astype(object).where(got.notna(), None).to_dict("records"):
+            step(s, e | {f: int(e[f]) for f in WHOLE if e[f] is not None})  # a column with nulls comes as doubles
+        self.kept.update(tuple(s[n] for n in names))
+        row = s | {"speaker_id": key[0], "completed_at": s["done_at"] or s["first_done_at"]}
+        yield pd.DataFrame({f.name: pd.Series([row[f.name]], dtype="Int64" if isinstance(f.dataType, T.LongType) else object) for f in ROW.fields})
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    """New JSON files of events, each read once."""
-    return spark.readStream.schema(EVENT).json(folder)
+    def close(self) -> None:
+        pass
 
 
-def latest_status(stream: DataFrame) -> DataFrame:
-    """speaker_id, status, seq, attempt_count: one state a speaker, kept by a streaming aggregate (use output mode update or complete)."""
-    return stream.groupBy("speaker_id").agg(F.max_by("status", F.when(F.col("status").isNotNull(), F.col("seq"))).alias("status"), F.max("seq").alias("seq"), F.count_if(F.col("kind") == "start").alias("attempt_count"))
+def latest(stream: DataFrame) -> DataFrame:
+    """The rows of state that a batch changes, as operators.state.latest has them after it (output mode update). Its state is kept in RocksDB, which
+    this sets for the session."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    return stream.groupBy("speaker_id").transformWithStateInPandas(Latest(), ROW, "Update", "None")
 
 
 def failures_by_hour(stream: DataFrame, late: str = "1 hour") -> DataFrame:

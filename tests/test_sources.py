@@ -18,7 +18,6 @@ from corvane.plans import corpus
 from corvane.schemas import DURATION, EVENT, MANIFEST_COLUMNS, SUMMARY_COLUMNS
 from corvane.sinks import files, shards
 from corvane.sources import archive, download, manifest, metadata
-from corvane.streaming import state as stream
 
 
 def sample(u, valid=True, n=75, sec=3.0, indices=None, sp="s1"):
@@ -268,20 +267,6 @@ def test_atomic_files(tmp_path):
     assert [x.name for x in (tmp_path / "a").iterdir()] == ["b.json"]
 
 
-def test_stream_of_state(spark, tmp_path):
-    from corvane.operators.state import event
-
-    def put(name, *events):
-        (tmp_path / "in").mkdir(exist_ok=True)
-        (tmp_path / "in" / name).write_text("\n".join(map(json.dumps, events)))
-
-    put("1.json", event("s1", 1, "start", "2024-01-01T00:00:00"), event("s1", 2, "failure", "2024-01-01T00:10:00"))
-    for i, (frame, mode) in enumerate(((stream.latest_status(stream.events(spark, str(tmp_path / "in"))), "complete"), (stream.failures_by_hour(stream.events(spark, str(tmp_path / "in"))), "complete"))):
-        q = frame.writeStream.format("memory").queryName(f"q{i}").outputMode(mode).option("checkpointLocation", str(tmp_path / f"c{i}")).trigger(availableNow=True).start()
-        q.awaitTermination(120)
-    assert [tuple(r) for r in spark.table("q0").collect()] == [("s1", "FAILED", 2, 1)] and spark.table("q1").first().failures == 1
-
-
 def test_cli(spark, tmp_path, capsys):
     corpus_at(tmp_path / "d")
     assert cli.main(["gold", "--root", str(tmp_path / "d")]) == 0
