@@ -15,7 +15,7 @@ from corvane import logs
 from corvane.config import SPLITS, CorpusConfig, ReaderSettings, check_speaker
 from corvane.errors import CorvaneError
 from corvane.functions.text import fmt_size
-from corvane.operators import profile
+from corvane.operators import profile, state
 from corvane.plans import build, corpus
 from corvane.sources import manifest, metadata
 
@@ -35,13 +35,15 @@ def inspect(spark: SparkSession, root: str) -> str:
     total = profile.shard_totals(shards).withColumn("text", fmt_size(F.col("bytes"))).first()
     lines.append(f"[shards by size] {total['shards']} archives, {total['text']}")
     lines += [f"  {r['name']} ({r['text']})" for r in profile.shard_inventory(shards).withColumn("text", fmt_size(F.col("size"))).collect()]
+    lines += [f"  ... and {total['shards'] - 40} more"] if total["shards"] > 40 else []
     names = sorted((x for x in _names(f"{root}/silver/metadata") if x.lower().endswith(".json")), key=str.lower)
     lines.append(f"[metadata documents] {len(names)}")
     lines += described(metadata.documents(spark, [f"{root}/silver/metadata/{x}" for x in names[:2]]), samples=True)
     lines.append("[manifests]")
+    sizes = {r["name"]: r["text"] for r in metadata.entries(spark, f"{root}/gold").withColumn("text", fmt_size(F.col("size"))).collect()}
     for name in [x for x in _names(f"{root}/gold") if x.endswith(".csv")][:12]:
         columns, rows = profile.csv_profile(manifest.table(spark, f"{root}/gold/{name}"))
-        lines += [f"  {name}: {', '.join(columns)}", *(f"    {r.asDict()}" for r in rows.collect())]
+        lines += [f"  {name} ({sizes[name]}): {', '.join(columns)}", *(f"    {r.asDict()}" for r in rows.collect())]
     lines.append("[splits]")
     lines += described(metadata.documents(spark, [f"{root}/gold/split_metadata.json"]))
     lines.append("[state]")
@@ -86,6 +88,7 @@ def described(docs: DataFrame, samples: bool = False) -> list[str]:
         out += [f"    speakers: {sum(mine.values())}; {mine}"] if mine else []
         if r["samples"] is not None:
             out.append(f"    samples: {r['samples']}" + (f"; keys of the first: {', '.join(r['sample_keys'])}" if samples and r["sample_keys"] else ""))
+            out += [f"    fields of the first: {r['sample_fields']}"] if samples and r["sample_fields"] else []
     return out
 
 
@@ -96,7 +99,10 @@ def parser() -> argparse.ArgumentParser:
     who = b.add_mutually_exclusive_group(required=True)
     who.add_argument("--speaker")
     who.add_argument("--all", action="store_true")
+    who.add_argument("--gold-only", action="store_true", help="no speaker; Gold from the metadata that are there")
     b.add_argument("--root", required=True)
+    b.add_argument("--workspace", help="folder that the driver and all executors share, for what is made on the way; spark.checkpoint.dir unless given")
+    b.add_argument("--allow-partial-gold", action="store_true", help="Gold too if speakers aren't done")
     b.add_argument("--media", help="module:name of a plans.build.Media; not needed for a dry run")
     b.add_argument("--force", action="store_true", help="also speakers whose artefacts verify")
     b.add_argument("--limit-utterances", type=int, default=0)
@@ -123,8 +129,12 @@ def run_build(spark: SparkSession, a: argparse.Namespace) -> int:
     c = CorpusConfig(root=a.root)
     log = logs.configure(a.log_level, f"{c.root}/logs/build.log")
     try:
-        speakers = c.usable() if a.all else [check_speaker(a.speaker, c)]
+        speakers = c.usable() if a.all or a.gold_only else [check_speaker(a.speaker, c)]
         build.check_store(c)
+        if a.workspace:
+            spark.sparkContext.setCheckpointDir(a.workspace)
+        if a.gold_only:
+            return 0 if corpus.build_gold(spark, c, a.allow_partial_gold) else 1
         media = None
         if a.media:
             module, _, name = a.media.partition(":")
@@ -140,6 +150,8 @@ def run_build(spark: SparkSession, a: argparse.Namespace) -> int:
         return 130
     for r in profile.status_histogram(states).orderBy("status").collect():
         log.info("%s: %d", r["status"], r["n"])
+    if a.allow_partial_gold and not a.dry_run and not state.all_done(states):
+        corpus.build_gold(spark, c, True)
     return 0
 
 

@@ -61,7 +61,7 @@ def summarise(rows: DataFrame, held: int = 1_000_000) -> DataFrame:
     """By split, by split and speaker, and over all. level: 0 all, 1 split, 2 speaker. Up to `held` rows are counted first: a group's values then fit
     in one buffer, and all is one aggregation over grouping sets. Of more rows the median and the 95th percentile (nearest rank) come
     from counts by their bits, so that no task holds a group's values."""
-    few = rows.limit(held + 1).count() <= held
+    few = rows.count() <= held
     buffered = [F.median("duration_gap_sec").alias("median_gap_sec"), F.expr("percentile_disc(0.95) within group (order by absolute_gap_sec)").alias("p95_absolute_gap_sec")]
     sets = rows.groupingSets([[], ["split"], ["split", "speaker_id"]], "split", "speaker_id").agg(F.grouping_id().alias("_g"), *statistics(), *(buffered if few else []))
     level = F.when(F.col("_g") == 3, 0).when(F.col("_g") == 1, 1).otherwise(2)

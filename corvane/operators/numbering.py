@@ -9,23 +9,28 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bits of monotonically_increasing_id that count rows within a partition (a fixed value).
 WITHIN = 33
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df written to spark.checkpoint.dir and read from there. Where that is unset and all is on one machine an own folder does; on a cluster it
-    must be set."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset and all is on one machine an own folder does; on a
+    cluster it must be set."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corvane-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.schemas import MANIFEST_COLUMNS
-
-#: Columns that name no paths and measure nothing.
-SAFE = tuple(c for c in MANIFEST_COLUMNS if "path" not in c and "prefix" not in c and not c.endswith(("_ratio", "_sec")))
-# ---- fixed values: what a profile shows of a JSON document ----
+# ---- fixed values: what a profile shows of a manifest, of a JSON document, and of its first sample ----
+SAFE = ("split", "speaker_id", "utterance_id", "frame_count", "first_frame_index", "last_frame_index", "audio_sample_rate", "valid")
+FIRST = ("utterance_id", "valid", "frame_count", "cropped_frame_count", "face_detection_ratio", "audio_sample_rate", "audio_duration_sec", "shard_member_prefix")
 SCALARS = ("schema_version", "status", "speaker_id", "strategy", "seed", "partial")
 OBJECTS = ("summary", "shard", "utterance_counts", "invalid_reason_counts")
 LISTS = ("train_speakers", "val_speakers", "test_speakers", "missing_speakers")
@@ -61,11 +59,13 @@ def status_histogram(states: DataFrame, column: str = "status") -> DataFrame:
 
 
 def json_profile(docs: DataFrame) -> DataFrame:
-    """Of docs(path, json): sorted root keys, some scalars, number of samples, keys of the first sample."""
+    """Of docs(path, json): sorted root keys, some scalars, number of samples, keys of the first sample and, of some of them, its plain values."""
     v = F.try_parse_json("json")
     first = F.get_json_object("json", "$.samples[0]")
     size = F.json_array_length(F.get_json_object("json", "$.samples"))
-    return docs.select("path", v.isNotNull().alias("readable"), F.array_sort(F.json_object_keys("json")).alias("root_keys"), *[F.get_json_object("json", f"$.{k}").alias(k) for k in SCALARS], size.alias("samples"), F.array_sort(F.json_object_keys(first)).alias("sample_keys"))
+    # objects and lists aren't plain values; nulls are no values
+    shown = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, FIRST)), F.array(*[F.get_json_object(first, f"$.{k}") for k in FIRST])), lambda k, x: x.isNotNull() & ~x.rlike(r"^\s*[\[{]"))
+    return docs.select("path", v.isNotNull().alias("readable"), F.array_sort(F.json_object_keys("json")).alias("root_keys"), *[F.get_json_object("json", f"$.{k}").alias(k) for k in SCALARS], size.alias("samples"), F.array_sort(F.json_object_keys(first)).alias("sample_keys"), shown.alias("sample_fields"))
 
 
 def csv_profile(df: DataFrame, n: int = 2) -> tuple[list[str], DataFrame]:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.functions.media import decode_wav
+from corvane.functions.media import decode_frames, decode_wav
 from corvane.sources.members import content
 
 
@@ -89,3 +91,14 @@ def samples(manifest: DataFrame, members: DataFrame, fps: float = 25.0) -> DataF
     u = u.withColumn("video_duration_sec", (F.col("last_frame_index") - F.col("first_frame_index") + 1) / F.lit(float(fps)))
     u = u.withColumn("decoded_audio_sec", F.when(F.col("samples").isNotNull() & F.col("error").isNull(), F.size("samples") / F.col("audio_sample_rate")))
     return u.withColumn("duration_gap_sec", F.col("video_duration_sec") - F.col("decoded_audio_sec")).withColumn("gap_warning", F.abs("duration_gap_sec") > 0.08)
+
+
+def with_pixels(rows: DataFrame, decoder: Callable, width: int = 96, height: int = 96) -> DataFrame:
+    """samples() with pixels: a map of frame index to height x width x 3 bytes, ascending, instead of frames; a frame that can't be decoded is the
+    row's error, which then has no pixels. decoder as functions.media.decode_frames takes it."""
+    frames = rows.where("error is null").select(F.concat_ws("\n", "speaker_id", "shard_member_prefix").alias("prefix"), F.explode("frames").alias("frame_index", "content"))
+    decoded = decode_frames(frames, decoder, width, height)
+    bad = F.min_by(F.concat(F.lit("frame "), F.col("frame_index").cast("string"), F.lit(": "), F.col("error")), F.when(F.col("error").isNotNull(), F.col("frame_index")))
+    by = decoded.groupBy("prefix").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("frame_index", "pixels")))).alias("_pixels"), bad.alias("_bad"))
+    out = rows.drop("frames").withColumn("prefix", F.concat_ws("\n", "speaker_id", "shard_member_prefix")).join(by, "prefix", "left").drop("prefix")
+    return out.withColumns({"pixels": F.when(F.col("_bad").isNull() & F.col("error").isNull(), F.col("_pixels")), "error": F.coalesce("error", "_bad")}).drop("_pixels", "_bad")

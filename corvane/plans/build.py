@@ -2,16 +2,18 @@
 
 Speakers go through the stages as sets: archives are read by the archive source, pairing, media, quality and packing are one plan over
 all speakers, partitioned by utterance. What brings media with it (download, video reader, face detector, image encoder, audio
-converter) is passed in. An error of one speaker is in its state and doesn't stop the others: if a run over several fails, each
-goes on alone. The driver holds rows by speaker only, of which the format has 33.
+converter) is passed in. An error of one speaker is in its state and doesn't stop the others: archives that can't be had or read are rows with an
+error, carried through the plan. Only if a run fails by something unforeseen does each speaker go on alone. The driver holds rows by
+speaker only, of which the format has 33.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,37 +21,73 @@ from pyspark.sql import functions as F
 from corvane.config import CorpusConfig
 from corvane.errors import CorvaneError, StoreUnavailableError
 from corvane.functions.media import process_audio, process_videos
-from corvane.operators import pairing, quality, state
+from corvane.operators import integrity, pairing, quality, state
+from corvane.operators.numbering import settled
 from corvane.plans import corpus
 from corvane.sinks import files
-from corvane.sources import archive, metadata
+from corvane.sources import archive, download, metadata
+from corvane.sources import members as members_of
 
 log = logging.getLogger("corvane.build")
 
 
 @dataclass(frozen=True)
 class Media:
-    """What the builder needs and this package doesn't have. acquire(speaker) gives paths of the video and the audio archive and the names of their
-    sources; it raises DownloadError or ArchiveError. The others make, once a task: reader, detector, encoder and converter as
+    """What the builder needs and this package doesn't have. Archives come from sources(speaker), rows of (kind, source, url, format) with kind video or audio, in order
+    of preference, which are fetched on executors through open_url to the corpus's bronze folder; or from acquire(speaker), which gives paths of the video and the audio
+    archive and the names of their sources, and raises DownloadError or ArchiveError. opener opens an archive by its path. The others make, once a task: reader, detector, encoder and converter as
     functions.media describes, from files' bytes; the converter's new file is in WAV."""
 
-    acquire: Callable
+    acquire: Callable | None
     reader: Callable
     detector: Callable
     encoder: Callable
     converter: Callable
+    sources: Callable | None = None
+    open_url: Callable | None = None
+    opener: Callable = members_of.opened
 
 
-def archived(spark: SparkSession, found: dict[str, str], suffix: str, c: CorpusConfig) -> DataFrame:
-    """speaker_id, path, content of the files with that suffix in each speaker's archive; of an archive for all speakers, the speaker's own."""
-    parts = []
-    for speaker, path in found.items():
-        m = archive.members(spark, path, content=True, max_member_bytes=c.max_member_bytes)
-        m = m.where(F.lower("filename").endswith(suffix)).withColumn("speaker_id", F.lit(speaker))
-        if list(found.values()).count(path) > 1:
-            m = archive.of_speaker(m, speaker)
-        parts.append(m.select("speaker_id", F.concat("prefix", "filename").alias("path"), "content"))
-    return reduce(DataFrame.unionByName, parts)
+def acquired(spark: SparkSession, c: CorpusConfig, speakers: list[str], media: Media) -> tuple[dict[str, tuple], dict[str, str]]:
+    """Of each speaker the video and the audio archive and the names of their sources; and errors of those that lack one."""
+    got: dict[str, tuple] = {}
+    errors: dict[str, str] = {}
+    if media.sources is None:
+        for s in speakers:
+            try:
+                got[s] = media.acquire(s)
+            except CorvaneError as e:
+                errors[s] = str(e)
+        return got, errors
+    bronze = f"{os.path.abspath(c.root)}/bronze"
+    place = lambda kind, url: f"{bronze}/{kind}/{hashlib.sha256(url.encode()).hexdigest()[:16]}-{url.rstrip('/').rsplit('/', 1)[-1]}"
+    rows = [(s, kind, i, source, url, place(kind, url), format) for s in speakers for i, (kind, source, url, format) in enumerate(media.sources(s))]
+    wanted = spark.createDataFrame(rows, "speaker_id string, kind string, priority int, source string, url string, dest string, format string")
+    found = {(r["speaker_id"], r["kind"]): r for r in download.acquired(wanted, media.open_url, c).collect()}
+    for s in speakers:
+        mine = [found.get((s, kind)) for kind in ("video", "audio")]
+        fault = next((f"no source for {kind}" if r is None else r["error"] for kind, r in zip(("video", "audio"), mine) if r is None or r["error"]), None)
+        if fault:
+            errors[s] = fault
+        else:
+            got[s] = (mine[0]["dest"], mine[1]["dest"], mine[0]["source"], mine[1]["source"])
+    return got, errors
+
+
+def archived(spark: SparkSession, got: dict[str, tuple], media: Media) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Video and audio files in the speakers' archives, as rows of an index with speaker_id and path; and speaker_id, error for archives that
+    can't be read. An archive is indexed once, whoever has files in it; of one for several speakers each has what is in folders of their
+    name, or all of it if there is none."""
+    table = spark.createDataFrame([(s, kind, path) for s, x in got.items() for kind, path in zip(("video", "audio"), x)], "speaker_id string, kind string, archive string")
+    index = members_of.index(table.select("archive").distinct(), opener=media.opener)
+    faults = members_of.faults(index).join(table, "archive").groupBy("speaker_id").agg(F.min("error").alias("error"))
+    suffix = F.when(F.col("kind") == "video", ".mpg").otherwise(".wav")
+    each = index.where("error is null").drop("error").join(F.broadcast(table), "archive").where(F.lower("filename").endswith(suffix))
+    each = each.withColumn("mine", F.array_contains(F.split("prefix", "/"), F.col("speaker_id")))
+    shared = table.groupBy("kind", "archive").agg((F.count("*") > 1).alias("shared"))
+    own = each.groupBy("kind", "speaker_id").agg(F.bool_or("mine").alias("own"))
+    files_ = settled(each.join(shared, ["kind", "archive"]).join(own, ["kind", "speaker_id"]).where("not shared or mine or not own").withColumn("path", F.concat("prefix", "filename")).drop("shared", "own", "mine"))
+    return files_.where("kind = 'video'"), files_.where("kind = 'audio'"), faults
 
 
 def candidates(videos: DataFrame, audios: DataFrame, limit: int | None) -> DataFrame:
@@ -60,7 +98,9 @@ def candidates(videos: DataFrame, audios: DataFrame, limit: int | None) -> DataF
 def processed(pairs: DataFrame, videos: DataFrame, audios: DataFrame, media: Media, c: CorpusConfig) -> DataFrame:
     """Each pair with what its media gave: what quality.classify takes, and crops and converted."""
     paired = pairs.where("pairing_status = 'PAIRED'")
-    file = lambda files, kind: paired.join(files.select("speaker_id", F.col("path").alias(f"{kind}_path"), "content"), ["speaker_id", f"{kind}_path"])
+    of = lambda files, kind: paired.select("speaker_id", "utterance_id", F.col(f"{kind}_path").alias("path")).join(files, ["speaker_id", "path"])
+    # a file that can't be read has no content, and its video or audio fails
+    file = lambda files, kind: members_of.content(of(files, kind), c.max_member_bytes, False, media.opener)
     v = process_videos(file(videos, "video"), media.reader, media.detector, c.detector_batch, c.fps, c.fps_tolerance, media.encoder, "content")
     a = process_audio(file(audios, "audio"), media.converter, c.audio_rate, c.min_audio_sec, "content")
     raised = F.col("video_reason") == "VIDEO_DECODE_FAILED"
@@ -89,48 +129,48 @@ def process(spark: SparkSession, c: CorpusConfig, speakers: list[str], media: Me
     if dry_run:
         step(speakers, "EXTRACTING")
         return
-    got: dict[str, tuple] = {}
-    for s in speakers:
-        try:
-            got[s] = media.acquire(s)
-        except CorvaneError as e:
-            fail(record, s, str(e))
+    got, errors = acquired(spark, c, speakers, media)
+    for s, error in errors.items():
+        fail(record, s, error)
     if not got:
         return
     step(got, "EXTRACTING")
-    videos, audios = archived(spark, {s: x[0] for s, x in got.items()}, ".mpg", c), archived(spark, {s: x[1] for s, x in got.items()}, ".wav", c)
     dimension = spark.createDataFrame([(s, *got[s][2:]) for s in got], "speaker_id string, video_source_used string, audio_source_used string")
+    videos, audios, faults = archived(spark, got, media)
+    broken = {r["speaker_id"]: r["error"] for r in faults.collect()}
     for r in pairing.layout_faults(dimension, videos, audios).collect():
-        fail(record, r["speaker_id"], r["error"])
-        got.pop(r["speaker_id"])
+        broken.setdefault(r["speaker_id"], r["error"])
+    for s, error in broken.items():
+        fail(record, s, error)
+        got.pop(s)
     if not got:
         return
     step(got, "PREPROCESSING")
     mine = F.col("speaker_id").isin(list(got))
-    rows = processed(candidates(videos.where(mine), audios.where(mine), limit), videos, audios, media, c).persist()
-    try:
-        records = quality.classify(rows, c).persist()
-        step(got, "QC")
-        for r in quality.reason_counts(records).collect():
-            log.info("[%s] %s: %d", r["speaker_id"], r["reason"], r["n"])
-        good = {r["speaker_id"] for r in records.where("valid").select("speaker_id").distinct().collect()}
-        for s in [s for s in got if s not in good]:
-            fail(record, s, "no valid utterances after the checks")
-            got.pop(s)
-        if not got:
-            return
-        step(got, "PACKAGING")
-        valid = records.where("valid").select("speaker_id", "utterance_id")
-        info = corpus.pack(spark, members(rows), valid, c.shards)
-        step(got, "UPLOADING")
-        documents = corpus.speaker_documents(records.where(F.col("speaker_id").isin(list(got))), info, dimension, c, clock)
-        paths = write_metadata(documents, c.metadata)
-        done = {r["speaker_id"]: r for r in info.collect()}
-        record.add(*((s, "done", {"shard_path": done[s]["path"], "metadata_path": paths[s], "shard_size_bytes": done[s]["size"], "shard_sha256": done[s]["sha256"], "video_source_used": got[s][2], "audio_source_used": got[s][3]}) for s in got))
-        info.unpersist()
-        records.unpersist()
-    finally:
-        rows.unpersist()
+    # crops and audio are written once, so that no lost executor has videos decoded again
+    rows = settled(processed(candidates(videos.where(mine), audios.where(mine), limit), videos, audios, media, c))
+    records = settled(quality.classify(rows, c))
+    step(got, "QC")
+    for r in quality.reason_counts(records).collect():
+        log.info("[%s] %s: %d", r["speaker_id"], r["reason"], r["n"])
+    good = {r["speaker_id"] for r in records.where("valid").select("speaker_id").distinct().collect()}
+    for s in [s for s in got if s not in good]:
+        fail(record, s, "no valid utterances after the checks")
+        got.pop(s)
+    if not got:
+        return
+    step(got, "PACKAGING")
+    valid = records.where("valid").select("speaker_id", "utterance_id")
+    info = corpus.pack(spark, members(rows), valid, c.shards)
+    step(got, "UPLOADING")
+    # what lies in the store is read back
+    for r in integrity.shard_problems(info, archive.digests(info)).join(info.select("speaker_id", "path"), "path").collect():
+        fail(record, r["speaker_id"], f"its shard in the store: {r['problem']}")
+        got.pop(r["speaker_id"], None)
+    documents = corpus.speaker_documents(records.where(F.col("speaker_id").isin(list(got))), info, dimension, c, clock)
+    paths = write_metadata(documents, c.metadata)
+    done = {r["speaker_id"]: r for r in info.collect()}
+    record.add(*((s, "done", {"shard_path": done[s]["path"], "metadata_path": paths[s], "shard_size_bytes": done[s]["size"], "shard_sha256": done[s]["sha256"], "video_source_used": got[s][2], "audio_source_used": got[s][3]}) for s in got))
 
 
 def fail(record: state.Log, speaker: str, error: str) -> None:
@@ -143,6 +183,7 @@ def build(spark: SparkSession, c: CorpusConfig, speakers: list[str], media: Medi
     states after that. Speakers go together; if that fails, one by one, and an unexpected error is that speaker's failure."""
     record = state.Log(spark, f"{c.state}/log", clock)
     catalogue = spark.createDataFrame([(s,) for s in c.usable()], "speaker_id string")
+    adopt(metadata.state_file(spark, f"{c.state}/processing_state.json", catalogue), record)
     todo = list(speakers)
     if not force:
         for folder in (c.shards, c.metadata):
@@ -174,6 +215,23 @@ def build(spark: SparkSession, c: CorpusConfig, speakers: list[str], media: Medi
     return states
 
 
+def adopt(states: DataFrame, record: state.Log) -> None:
+    """Begin a new log with what a state document of before has of its speakers, a row each."""
+    if record.seq:
+        return
+    events: list[tuple] = []
+    for r in states.where("status <> 'PENDING'").orderBy("speaker_id").collect():
+        more = {f: r[f] for f in state.FIELDS if r[f] is not None}
+        events += [(r["speaker_id"], "start", {"ts": r["started_at"]})] * max(1, r["attempt_count"])
+        if r["status"] == "FAILED":
+            events.append((r["speaker_id"], "failure", more | {"error": r["last_error"], "ts": r["completed_at"]}))
+        elif r["status"] == "DONE":
+            events.append((r["speaker_id"], "done", more | {"ts": r["completed_at"]}))
+        else:
+            events.append((r["speaker_id"], "transition", more | {"status": r["status"]}))
+    record.add(*events)
+
+
 def check_store(c: CorpusConfig) -> None:
     """Raise unless the root can be written."""
     try:

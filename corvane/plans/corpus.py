@@ -69,8 +69,7 @@ def speaker_documents(records: DataFrame, shard_info: DataFrame, sources: DataFr
 
 def pack(spark: SparkSession, contents: DataFrame, valid: DataFrame, folder: str) -> DataFrame:
     """Pack the members of valid(speaker_id, utterance_id) and check that none is missing."""
-    info = shards.package(contents.join(valid, ["speaker_id", "utterance_id"], "left_semi"), folder).cache()
-    info.count()
+    info = shards.package(contents.join(valid, ["speaker_id", "utterance_id"], "left_semi"), folder)
     lost = integrity.missing_from_shards(valid, archive.members(spark, folder)).take(1)
     if lost:
         raise integrity_error(lost[0])
@@ -96,13 +95,14 @@ def report(spark: SparkSession, settings: ReaderSettings, folder: str, root: str
     return out
 
 
-def read_samples(spark: SparkSession, settings: ReaderSettings, split: str, speakers: list[str] | None = None) -> DataFrame:
+def read_samples(spark: SparkSession, settings: ReaderSettings, split: str, speakers: list[str] | None = None, decoder=None) -> DataFrame:
     """Samples of a split: eligible manifest rows, their frames' bytes, decoded audio and durations. speakers prune the archives read; of these
-    headers are indexed, and the bytes of the rows' own members are read."""
+    headers are indexed, and the bytes of the rows' own members are read. With a decoder frames come as pixels of the settings' size."""
     rows = M.eligible(manifest.load(spark, settings.data_root, split), settings.min_frame_count)
     rows = rows if speakers is None else rows.where(F.col("speaker_id").isin(speakers))
     index = members.sound(members.of_folder(spark, f"{settings.data_root}/silver/shards", speakers=speakers))
-    return samples.samples(rows, index, settings.fps)
+    out = samples.samples(rows, index, settings.fps)
+    return out if decoder is None else samples.with_pixels(out, decoder, settings.frame_width, settings.frame_height)
 
 
 def at(spark: SparkSession, settings: ReaderSettings, split: str, index: int) -> DataFrame:

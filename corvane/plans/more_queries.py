@@ -3,15 +3,19 @@ sources, decisions about what to process, documents by speaker, decoded audio.""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corvane.config import CorpusConfig
 from corvane.functions.media import decode_wav
 from corvane.functions.text import fmt_size, human_bytes, round4
 from corvane.operators import gold, manifest, pairing, profile, quality, samples, state
+from corvane.operators.numbering import shared_folder
 from corvane.plans import corpus
 from corvane.plans.catalogue import GOLD_SQL, RECORDS, gold_of, query, records_of, t
-from corvane.sources import metadata
+from corvane.sinks import shards
+from corvane.sources import members, metadata
 
 # ---- shards' members ----
 
@@ -59,6 +63,29 @@ def audio_read(spark, d):
     return samples.audio(members_of(spark, d)).withColumn("content", F.col("content").cast("string"))
 
 
+@query(f"WITH {MEMBERS} SELECT speaker_id, prefix, CASE WHEN count(*) FILTER (frame_index = 2) = 1 THEN any_value(content) FILTER (frame_index = 2) END AS content, CASE count(*) FILTER (frame_index = 2) WHEN 0 THEN 'there is no frame 2' WHEN 1 THEN NULL ELSE 'frame 2 is there twice' END AS error FROM m GROUP BY ALL")
+def shard_frame_read(spark, d):
+    """The same from real shards: packed from the table, indexed by their headers, one frame of each utterance read by its place."""
+    return samples.frame(members.of_folder(spark, shards_of(spark, d)), 2).withColumn("content", F.col("content").cast("string"))
+
+
+@query(f"WITH {MEMBERS} SELECT speaker_id, count(*) AS members, ((sum(512 + (length(content) + 511) // 512 * 512) + 1024 + 10239) // 10240 * 10240)::BIGINT AS size FROM m GROUP BY 1")
+def shards_packed(spark, d):
+    """A tar's length follows from its members': a block for each header, whole blocks of content, and the end to whole records."""
+    return shards.package(packable(spark, d), f"{shared_folder(spark)}/corvane-{uuid.uuid4().hex}").select("speaker_id", "members", "size")
+
+
+def packable(spark, d):
+    return members_of(spark, d).select("speaker_id", F.element_at(F.split("prefix", "/"), 2).alias("utterance_id"), "filename", "content")
+
+
+def shards_of(spark, d):
+    """A folder with shards of the table's members."""
+    out = f"{shared_folder(spark)}/corvane-{uuid.uuid4().hex}"
+    shards.package(packable(spark, d), out)
+    return out
+
+
 #: A WAV file's head for 64 mono 16-bit samples at 16 kHz (fixed values of the format).
 HEAD = "52494646A400000057415645666D74201000000001000100803E0000007D0000020010006461746180000000"
 
@@ -187,13 +214,13 @@ def layout_faults(spark, d):
 
 
 @query(
-    """WITH v AS (SELECT 's' || (o_custkey % 7 + 1) AS speaker_id, 'u' || (o_orderkey % 5000) AS utterance_id, max('/v/' || o_orderkey || '/U' || (o_orderkey % 5000) || '.mpg') AS video_path, count(*) AS nv FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1, 2),
-a AS (SELECT 's' || (o_custkey % 7 + 1) AS speaker_id, 'u' || (o_orderkey % 5000) AS utterance_id, max('/a/' || o_orderkey || '/u' || (o_orderkey % 5000) || '.wav') AS audio_path, count(*) AS na FROM orders WHERE o_orderkey % 4 <> 0 GROUP BY 1, 2)
+    """WITH v AS (SELECT 's' || (o_custkey % 7 + 1) AS speaker_id, 'u' || (o_orderkey - o_orderkey % 10 // 9) AS utterance_id, max('/v/' || o_orderkey || '/U' || (o_orderkey - o_orderkey % 10 // 9) || '.mpg') AS video_path, count(*) AS nv FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1, 2),
+a AS (SELECT 's' || (o_custkey % 7 + 1) AS speaker_id, 'u' || (o_orderkey - o_orderkey % 10 // 9) AS utterance_id, max('/a/' || o_orderkey || '/u' || (o_orderkey - o_orderkey % 10 // 9) || '.wav') AS audio_path, count(*) AS na FROM orders WHERE o_orderkey % 4 <> 0 GROUP BY 1, 2)
 SELECT speaker_id, utterance_id, video_path, audio_path, CASE WHEN audio_path IS NULL THEN 'MISSING_AUDIO' WHEN video_path IS NULL THEN 'MISSING_VIDEO' WHEN na > 1 THEN 'DUPLICATE_AUDIO' WHEN nv > 1 THEN 'DUPLICATE_VIDEO' ELSE 'PAIRED' END AS pairing_status FROM v FULL JOIN a USING (speaker_id, utterance_id)"""
 )
 def pairing_strict(spark, d):
     o = t(spark, d, "orders").withColumn("speaker_id", F.concat(F.lit("s"), (F.col("o_custkey") % 7 + 1).cast("string")))
-    path = lambda kind, u, ext: F.concat(F.lit(f"/{kind}/"), F.col("o_orderkey").cast("string"), F.lit(f"/{u}"), (F.col("o_orderkey") % 5000).cast("string"), F.lit(ext)).alias("path")
+    path = lambda kind, u, ext: F.concat(F.lit(f"/{kind}/"), F.col("o_orderkey").cast("string"), F.lit(f"/{u}"), (F.col("o_orderkey") - F.floor(F.col("o_orderkey") % 10 / 9)).cast("string"), F.lit(ext)).alias("path")
     return pairing.pair(o.where("o_orderkey % 3 <> 0").select("speaker_id", path("v", "U", ".mpg")), o.where("o_orderkey % 4 <> 0").select("speaker_id", path("a", "u", ".wav")), strict=True)
 
 
@@ -217,11 +244,14 @@ VAL, TEST = ("s30", "s34", "s9"), ("s25", "s2", "s8")
 
 
 @query(
-    f"""WITH u AS (SELECT 's' || i AS speaker_id, row_number() OVER (ORDER BY i) - 1 AS ordinal FROM range(1, 35) r(i) WHERE i <> 21)
-SELECT speaker_id, ordinal::INT AS ordinal, CASE WHEN speaker_id IN {VAL} THEN 'val' WHEN speaker_id IN {TEST} THEN 'test' ELSE 'train' END AS split FROM u"""
+    f"""WITH u AS (SELECT 's' || i AS speaker_id, row_number() OVER (ORDER BY i) - 1 AS ordinal FROM range(1, 35) r(i) WHERE i <> 21),
+x AS (SELECT *, CASE WHEN speaker_id IN {VAL} THEN 'val' WHEN speaker_id IN {TEST} THEN 'test' ELSE 'train' END AS split FROM u)
+SELECT c_custkey, 's' || (c_custkey % 36 + 1) AS speaker_id, ordinal::INT AS ordinal, split, split IS NULL AS excluded FROM customer LEFT JOIN x ON x.speaker_id = 's' || (c_custkey % 36 + 1)"""
 )
 def split_dimension(spark, d):
-    return gold.split_dimension(spark, CorpusConfig())
+    """Rows of excluded speakers, and of unknown ones, have no split."""
+    c = t(spark, d, "customer").select("c_custkey", F.concat(F.lit("s"), (F.col("c_custkey") % 36 + 1).cast("string")).alias("speaker_id"))
+    return c.join(F.broadcast(gold.split_dimension(spark, CorpusConfig())), "speaker_id", "left").select("c_custkey", "speaker_id", "ordinal", "split", F.col("split").isNull().alias("excluded"))
 
 
 @query(f"WITH {GOLD_SQL}, s AS (SELECT unnest(['train', 'val', 'test']) AS split) SELECT s.split, count(g.split) AS utterances FROM s LEFT JOIN g ON g.split = s.split GROUP BY 1")

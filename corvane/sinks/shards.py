@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import shutil
 import tarfile
 import uuid
 from collections.abc import Iterator
@@ -176,19 +175,3 @@ def assembled(spark: SparkSession, listed: list[dict], folder: str) -> DataFrame
         return pd.DataFrame([(speaker, path, size, sha.hexdigest(), int(mine["members"].sum()))], columns=["speaker_id", "path", "size", "sha256", "members"])
 
     return parts.groupBy("speaker_id").applyInPandas(run, "speaker_id string, path string, size bigint, sha256 string, members bigint")
-
-
-def upload(source: str, dest: str) -> str:
-    """Copy a shard beside its place, compare sizes, rename; where renaming fails, copy and delete."""
-    os.makedirs(os.path.dirname(dest) or ".", exist_ok=True)
-    part = f"{dest}.partial"
-    shutil.copyfile(source, part)
-    if os.path.getsize(part) != os.path.getsize(source):
-        os.unlink(part)
-        raise ShardError(f"{dest}: the copy's size differs")
-    try:
-        os.replace(part, dest)
-    except OSError:
-        shutil.copyfile(part, dest)
-        os.unlink(part)
-    return dest

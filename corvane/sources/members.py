@@ -128,7 +128,8 @@ def _arrow(df: DataFrame, one: Callable[..., Iterator[tuple]], schema: str) -> D
 
 def index(archives: DataFrame, range_bytes: int = 64 << 20, opener: Callable = opened) -> DataFrame:
     """archive, prefix, filename, frame_index, name, size, offset (of the payload; of a zip's local header; null in a compressed tar), stored
-    (bytes there), method, error for archives(archive), a path or URI each. Files outside any folder of their archive are left out."""
+    (bytes there), method, error for archives(archive), a path or URI each. Files outside any folder of their archive are left out. The rows are
+    written to the shared folder; write them to a table to keep them."""
 
     def probe(path: str) -> Iterator[tuple]:
         try:
@@ -201,7 +202,7 @@ def index(archives: DataFrame, range_bytes: int = 64 << 20, opener: Callable = o
     prefix = folder(F.col("name"))
     found = found.where((prefix != "") | F.col("error").isNotNull())
     frame = F.when(filename(F.col("name")).rlike(r"^[0-9]+\.jpg\z"), F.regexp_extract(filename(F.col("name")), "^[0-9]+", 0).try_cast("int"))
-    return found.select("archive", F.concat(prefix, F.lit("/")).alias("prefix"), filename(F.col("name")).alias("filename"), frame.alias("frame_index"), "name", "size", "offset", "stored", "method", "error")
+    return settled(found.select("archive", F.concat(prefix, F.lit("/")).alias("prefix"), filename(F.col("name")).alias("filename"), frame.alias("frame_index"), "name", "size", "offset", "stored", "method", "error"))
 
 
 def of_folder(spark: SparkSession, folder_: str, suffix: str = ".tar", speakers: list[str] | None = None, **options) -> DataFrame:
