@@ -1,4 +1,5 @@
-"""Small files written whole, from the driver: CSV and JSON that other tools read by name. Large results stay in Parquet."""
+"""Files that other tools read by name, written whole or not at all. Small ones come from the driver; a table's CSV is written by tasks, a part
+for each partition, which one task then streams together. Folders are ones that the driver and all executors share."""
 
 from __future__ import annotations
 
@@ -6,8 +7,13 @@ import csv
 import io
 import json
 import os
+import shutil
 import tempfile
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -53,13 +59,56 @@ def write_csv(path: str, columns, rows, bom: bool = False) -> str:
     return write_atomically(path, out.getvalue().encode("utf-8-sig" if bom else "utf-8"))
 
 
+def table_csv(df: DataFrame, path: str, bom: bool = False) -> str:
+    """df as write_csv has it, in the order of its partitions and of their rows, without passing through the driver."""
+    columns, parts = df.columns, f"{path}.{uuid.uuid4().hex}"
+    try:
+        os.makedirs(parts)
+    except OSError as e:
+        raise PersistenceError(f"{path} can't be written: {e}") from e
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
+        attempt = f"{parts}/.{number}.{uuid.uuid4().hex}"
+        with open(attempt, "w", encoding="utf-8", newline="") as f:
+            w = csv.writer(f)
+            for batch in batches:
+                for row in zip(*(c.to_pylist() for c in batch.columns)):
+                    w.writerow(["" if v is None else v for v in row])
+        os.replace(attempt, f"{parts}/{number:08d}")
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32())], names=["number"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = sorted(n for batch in batches for n in batch.column(0).to_pylist())
+        attempt = f"{parts}/.all"
+        with open(attempt, "wb") as out:
+            head = io.StringIO(newline="")
+            csv.writer(head).writerow(columns)
+            out.write(head.getvalue().encode("utf-8-sig" if bom else "utf-8"))
+            for n in numbers:
+                with open(f"{parts}/{n:08d}", "rb") as f:
+                    shutil.copyfileobj(f, out, 1 << 20)
+            out.flush()
+            os.fsync(out.fileno())
+        os.replace(attempt, path)
+        yield pa.RecordBatch.from_arrays([pa.array([len(numbers)], pa.int32())], names=["number"])
+
+    try:
+        written = [r["number"] for r in df.mapInArrow(write, "number int").collect()]  # a number for each partition
+        df.sparkSession.createDataFrame([(n,) for n in written], "number int").coalesce(1).mapInArrow(join, "number int").collect()
+        if not written:
+            write_csv(path, columns, [], bom)
+    finally:
+        shutil.rmtree(parts, ignore_errors=True)
+    return path
+
+
 def manifests(rows: DataFrame, folder: str, partial: str | None = None) -> dict[str, str]:
-    """The compatible form of the manifest, a CSV a split, in the order of speakers and samples. Rows are streamed a partition at a time;
-    a manifest has one row an utterance. For any size, write rows as Parquet by split: parquet()."""
+    """The compatible form of the manifest, a CSV a split, in the order of speakers and samples. parquet() has it by split."""
     out = {}
     for s in SPLITS:
         mine = rows.where(rows["split"] == s).orderBy("ordinal", "pos").select(*MANIFEST_COLUMNS)
-        out[s] = write_csv(f"{folder}/{s}_manifest{f'_{partial}' if partial else ''}.csv", MANIFEST_COLUMNS, (tuple(r) for r in mine.toLocalIterator()))
+        out[s] = table_csv(mine, f"{folder}/{s}_manifest{f'_{partial}' if partial else ''}.csv")
     return out
 
 
@@ -78,7 +127,7 @@ def report(gaps: DataFrame, summary: DataFrame, folder: str) -> dict[str, str]:
     every = summary.collect()  # a row for each speaker, split and all
     pick = lambda levels: [tuple(r[c] for c in SUMMARY_COLUMNS) for r in every if r["level"] in levels]
     return {
-        "utterance_gaps": write_csv(f"{folder}/utterance_gaps.csv", DURATION.fieldNames(), (tuple(r) for r in gaps.select(*DURATION.fieldNames()).toLocalIterator()), bom=True),
+        "utterance_gaps": table_csv(gaps.select(*DURATION.fieldNames()), f"{folder}/utterance_gaps.csv", bom=True),
         "split_summary": write_csv(f"{folder}/split_summary.csv", SUMMARY_COLUMNS, pick((0, 1)), bom=True),
         "speaker_summary": write_csv(f"{folder}/speaker_summary.csv", SUMMARY_COLUMNS, pick((2,)), bom=True),
     }

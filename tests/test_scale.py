@@ -85,3 +85,21 @@ def test_a_manifest_in_blocks_is_numbered_as_one(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert np.array_equal([n for n, _, _ in whole], np.arange(2, 3002))
+
+
+def test_csv_is_written_by_tasks(spark, tmp_path):
+    from corvane.errors import PersistenceError
+    from corvane.sinks import files
+
+    rows = [(i, f'a,"{i}"\n' if i % 3 else None, i % 2 == 0, i / 7) for i in range(500)]
+    df = spark.createDataFrame(rows, "i int, t string, b boolean, x double").orderBy("i")
+    one = files.write_csv(str(tmp_path / "one.csv"), df.columns, rows, bom=True)
+    many = files.table_csv(df, str(tmp_path / "many.csv"), bom=True)
+    assert open(many, "rb").read() == open(one, "rb").read() and {x.name for x in tmp_path.iterdir()} == {"one.csv", "many.csv"}
+    none = files.table_csv(df.where("i < 0"), str(tmp_path / "none.csv"))
+    assert open(none, "rb").read() == b"i,t,b,x\r\n"
+    with pytest.raises(PersistenceError):
+        files.table_csv(df, str(tmp_path / "one.csv/x/y.csv"))
+    with pytest.raises(Exception):
+        files.table_csv(df.withColumn("t", F.raise_error(F.lit("lost")).cast("string")), many)
+    assert open(many, "rb").read() == open(one, "rb").read()
