@@ -40,6 +40,8 @@ from pyspark.sql import functions as F
 from corvane.llm.common import WordHash, arrow_map, cut, partitions, release, shingle_hashes
 from corvane.llm.graph import components, joined
 
+#: Tasks that the members of a bucket may be dealt to for a join with the bucket's row.
+SALTS = 16
 #: Shift of the registers, so that all sets from 1 to 2**60 shingles have registers in 16 bits.
 SHIFT = 6000
 
@@ -282,8 +284,11 @@ def _dealt(many: DataFrame, p: Params) -> DataFrame:
     per = of.groupBy("key").agg(F.max_by(F.struct("component", "m", "s"), F.struct("m", -F.col("component"))).alias("main"), F.sum("m").alias("m"), F.sum("s").alias("s"))
     blocks = lambda m, s: F.ceil(F.greatest(m / p.block, s / p.block_shingles, F.lit(1.0))).cast("int")
     per = per.select("key", F.col("main.component").alias("main"), blocks(F.col("main.m"), F.col("main.s")).alias("b"), blocks(F.col("m") - F.col("main.m"), F.col("s") - F.col("main.s")).alias("c"))
-    dealt = many.select("key", "node", "component").join(per, "key").withColumn("inside", F.col("component") == F.col("main"))
+    # a bucket's row meets its members in SALTS tasks, so that a large bucket isn't one's alone
     h = F.xxhash64("node")
+    salted = per.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = many.select("key", "node", "component", F.pmod(F.shiftrightunsigned(h, 40), F.lit(SALTS)).cast("int").alias("salt"))
+    dealt = dealt.join(salted, ["key", "salt"]).withColumn("inside", F.col("component") == F.col("main"))
     dealt = dealt.withColumn("mine", F.when(F.col("inside"), -1 - F.pmod(h, F.col("b"))).otherwise(F.pmod(h, F.col("c"))).cast("int"))
     others = F.sequence(F.lit(0), F.col("c") - 1)
     dealt = dealt.withColumn("other", F.explode(F.when(F.col("inside"), others).otherwise(F.concat(others, F.sequence(F.lit(-1), -F.col("b"), F.lit(-1))))))
