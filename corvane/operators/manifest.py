@@ -63,8 +63,9 @@ def duplicates(rows: DataFrame) -> DataFrame:
 
 
 def enforce(rows: DataFrame) -> DataFrame:
-    """Valid rows only; raises on the first bad row by row_number, then on a repeated utterance. One aggregate, one bounded lookup."""
-    bad = rows.where("error is not null").agg(F.min(F.struct("row_number", "error")).alias("e")).first()["e"]
+    """Valid rows only; raises on the first bad row by its file's split and row_number, then on a repeated utterance. One aggregate, one bounded lookup."""
+    file = F.array_position(F.array(*map(F.lit, SPLITS)), F.col("expected_split")).alias("file")
+    bad = rows.where("error is not null").agg(F.min(F.struct(file, "row_number", "error")).alias("e")).first()["e"]
     if bad is not None:
         raise ManifestError(f"Manifest row {bad['row_number']}: {bad['error']}")
     twice = duplicates(rows).orderBy("split", "speaker_id", "utterance_id").take(1)
@@ -78,10 +79,10 @@ def quarantine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where("error is null").drop("error"), rows.where("error is not null")
 
 
-def indexed(rows: DataFrame) -> DataFrame:
-    """With manifest_index, from 0 within each split in file order, by ranges of a split: no task holds one whole. The rows are written to
-    the checkpoint folder, where at() finds them by the index."""
-    return numbered(rows, [F.col("row_number")], ["split"], "manifest_index").withColumn("manifest_index", F.col("manifest_index").cast("int"))
+def indexed(rows: DataFrame, by: str = "split") -> DataFrame:
+    """With manifest_index, from 0 within each split (or other column) in file order, by ranges of a split: no task holds one whole. The rows are
+    written to the checkpoint folder, where at() finds them by the index."""
+    return numbered(rows, [F.col("row_number")], [by], "manifest_index").withColumn("manifest_index", F.col("manifest_index").cast("int"))
 
 
 def eligible(rows: DataFrame, min_frame_count: int | None) -> DataFrame:

@@ -117,11 +117,6 @@ def members(media_rows: DataFrame) -> DataFrame:
     return crop.unionByName(audio)
 
 
-def write_metadata(documents: DataFrame, folder: str) -> dict[str, str]:
-    """A JSON file for each row of documents(speaker_id, json), written whole or not at all; speakers and their paths."""
-    return {r["speaker_id"]: files.write_atomically(f"{folder}/{r['speaker_id']}.json", (r["json"] + "\n").encode()) for r in documents.toLocalIterator()}
-
-
 def process(spark: SparkSession, c: CorpusConfig, speakers: list[str], media: Media, record: state.Log, limit: int | None = None, dry_run: bool = False, clock: Callable[[], str] = corpus.now) -> None:
     """Take speakers through all stages; what becomes of them is in the log."""
     step = lambda names, status: record.add(*((s, "transition", {"status": status}) for s in names))
@@ -168,7 +163,7 @@ def process(spark: SparkSession, c: CorpusConfig, speakers: list[str], media: Me
         fail(record, r["speaker_id"], f"its shard in the store: {r['problem']}")
         got.pop(r["speaker_id"], None)
     documents = corpus.speaker_documents(records.where(F.col("speaker_id").isin(list(got))), info, dimension, c, clock)
-    paths = write_metadata(documents, c.metadata)
+    paths = files.documents(documents, c.metadata)
     done = {r["speaker_id"]: r for r in info.collect()}
     record.add(*((s, "done", {"shard_path": done[s]["path"], "metadata_path": paths[s], "shard_size_bytes": done[s]["size"], "shard_sha256": done[s]["sha256"], "video_source_used": got[s][2], "audio_source_used": got[s][3]}) for s in got))
 

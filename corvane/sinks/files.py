@@ -12,6 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -59,6 +60,18 @@ def write_csv(path: str, columns, rows, bom: bool = False) -> str:
     return write_atomically(path, out.getvalue().encode("utf-8-sig" if bom else "utf-8"))
 
 
+def documents(df: DataFrame, folder: str) -> dict[str, str]:
+    """A JSON file for each row of df(speaker_id, json), written whole or not at all by the task that has it; speakers and their paths, which is
+    all that the driver gets. A task that is run again writes the same files."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            paths = [write_atomically(f"{folder}/{s}.json", (text + "\n").encode()) for s, text in zip(b["speaker_id"], b["json"])]
+            yield pd.DataFrame({"speaker_id": b["speaker_id"], "path": paths})
+
+    return {r["speaker_id"]: r["path"] for r in df.select("speaker_id", "json").mapInPandas(write, "speaker_id string, path string").collect()}
+
+
 def table_csv(df: DataFrame, path: str, bom: bool = False) -> str:
     """df as write_csv has it, in the order of its partitions and of their rows, without passing through the driver."""
     columns, parts = df.columns, f"{path}.{uuid.uuid4().hex}"

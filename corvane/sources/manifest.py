@@ -48,17 +48,22 @@ def _divides(spark: SparkSession, path: str) -> bool:
 
 def load(spark: SparkSession, root: str, split: str, strict: bool = True, partial: str | None = None) -> DataFrame:
     """The manifest of a split below root, checked. strict raises on the first bad row; else rows come with their error."""
-    if split not in SPLITS:
-        raise ValueError(f"unknown split: {split!r}")
-    path = f"{root}/gold/{split}_manifest{f'_{partial}' if partial else ''}.csv"
-    if "://" not in path and not os.path.isfile(path):
-        raise ManifestError(f"there is no manifest {path}")
-    rows = M.indexed(M.parsed(raw(spark, path, split)))
-    return M.enforce(rows).drop("expected_split") if strict else rows.drop("expected_split")
+    return load_all(spark, root, (split,), strict, partial)
 
 
-def load_all(spark: SparkSession, root: str, splits: tuple[str, ...] = SPLITS) -> DataFrame:
-    return reduce(DataFrame.unionByName, (load(spark, root, s) for s in splits))
+def load_all(spark: SparkSession, root: str, splits: tuple[str, ...] = SPLITS, strict: bool = True, partial: str | None = None) -> DataFrame:
+    """The manifests of several splits as one plan: parsed, numbered within each split and checked together. Of bad rows the first one of the
+    first split is named."""
+    found = []
+    for split in splits:
+        if split not in SPLITS:
+            raise ValueError(f"unknown split: {split!r}")
+        path = f"{root}/gold/{split}_manifest{f'_{partial}' if partial else ''}.csv"
+        if "://" not in path and not os.path.isfile(path):
+            raise ManifestError(f"there is no manifest {path}")
+        found.append(M.parsed(raw(spark, path, split)))
+    rows = M.indexed(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found), "expected_split")
+    return M.enforce(rows).drop("expected_split") if strict else rows.drop("expected_split")
 
 
 def table(spark: SparkSession, path: str) -> DataFrame:
