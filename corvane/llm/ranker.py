@@ -153,15 +153,17 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
 
 
 def quantile(scores: DataFrame, share: float) -> float:
-    """The largest multiple of 2**-32 that a share of the scores (0 to 1), or more, reach. The driver holds at most 2**16 counts at once."""
-    n = scores.count()
-    if share * n <= 0:
-        return 1.0
-    lo, above = 0, 0  # in units of 2**-32; scores beyond the bin looked at
+    """The largest multiple of 2**-32 that a share of the scores (0 to 1), or more, reach. Two passes: the
+    first one's counts also give how many there are. The driver holds at most 2**16 counts at once."""
+    n, lo, above = None, 0, 0  # lo and above in units of 2**-32; scores beyond the bin looked at
     for width in (STEP, 1):
         unit = F.least(F.floor(F.col("score") * float(STEP * STEP)), F.lit(STEP * STEP - 1)).cast("bigint")
         part = scores.select(F.floor((unit - lo) / width).cast("bigint").alias("bin")).where(F.col("bin").between(0, STEP - 1))
-        for b, m in sorted(part.groupBy("bin").agg(F.count("*").alias("n")).collect(), reverse=True):
+        counts = sorted(part.groupBy("bin").agg(F.count("*").alias("n")).collect(), reverse=True)
+        n = sum(m for _, m in counts) if n is None else n
+        if share * n <= 0:
+            return 1.0
+        for b, m in counts:
             if above + m >= share * n:
                 lo += b * width
                 break
