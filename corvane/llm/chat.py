@@ -7,12 +7,13 @@ come from pointer doubling, in as many joins as the depth's
 logarithm, on (conversation, call), so that a conversation of any length is spread over all tasks. Positions in that order come
 from one sort of all messages by ranges, whatever their conversation, and counts by range; messages are returned as rows, never
 gathered by conversation, and writing them sorted by (conversation, position) serialises conversations in order. Arguments are parsed as JSON variants and checked field by field against
-their tool's schema; a variant holds an object's keys sorted, so writing it gives canonical JSON.
+their tool's schema; a variant holds an object's keys sorted, so writing it gives canonical JSON. Equal numbers are written alike: those with
+an exponent are written out where 38 digits hold them, and 100, 100.0 and 1e2 are all the integer 100.
 
 DataFrame operations only. Defined cases: messages with null or unknown call_id are plain; of calls (or results) that repeat an
 id in a conversation the one with the least turn is linked and the others are marked as duplicates; a result without call or
 a call without result is kept and marked; calls that depend on each other in a circle have no depth, are marked and come last. Null texts give
-JSON without content. A null conversation or turn is kept as such and linked with nothing. Other columns are ignored.
+JSON without content. Arguments with a number beyond the range of doubles are at fault and left out. A null conversation or turn is kept as such and linked with nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,32 +24,60 @@ from pyspark.sql import functions as F
 from corvane.llm.common import cut, partitions
 
 #: Variant types that a schema's type allows.
-KINDS = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE", "DECIMAL"], "boolean": ["BOOLEAN"], "array": ["ARRAY"], "object": ["OBJECT"]}
+KINDS = {"string": ["STRING"], "integer": ["BIGINT", "DECIMAL"], "number": ["BIGINT", "DOUBLE", "DECIMAL"], "boolean": ["BOOLEAN"], "array": ["ARRAY"], "object": ["OBJECT"]}
+
+#: The parts of a JSON text: strings, numbers, what is between, and single characters where it is none.
+PART = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+-]*+|[^"0-9-]++|.'
+NUMBER = r"^-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][+-]?[0-9]+)?$"
+
+
+def parts(json: Column) -> Column:
+    return F.regexp_extract_all(json, F.lit(PART), F.lit(0))
+
+
+def plain(json: Column) -> Column:
+    """A JSON text with its numbers' exponents written out, where a decimal of 38 digits is the same double. What isn't JSON stays so."""
+
+    def one(part: Column) -> Column:
+        out, double = F.when(~part.rlike(NUMBER) | ~part.rlike("[eE]"), part), part.try_cast("double")
+        for scale in (18, 0, 37):
+            exact = part.try_cast(f"decimal(38,{scale})")
+            out = out.when(exact.cast("double") == double, exact.cast("string"))
+        return out.otherwise(part)
+
+    return F.when(json.rlike("[0-9][eE]"), F.array_join(F.transform(parts(json), one), "")).otherwise(json)
+
+
+def out_of_range(json: Column) -> Column:
+    """Whether a number in a JSON text is beyond the range of doubles; null for null."""
+    infinite = lambda part: part.rlike(NUMBER) & (F.abs(part.try_cast("double")) == float("inf"))
+    return json.rlike("[0-9][eE]|[0-9]{300}") & F.exists(parts(json), infinite)
 
 
 def argument_error(arguments: Column, tool: Column, schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
     """The first fault of arguments (a JSON text) under schemas {tool: {field: (type, required)}}, null if there is none. Fields are checked in
     the schema's order."""
     v = F.try_parse_json(arguments)
-    out = F.when(arguments.isNull(), "no arguments").when(v.isNull() | ~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), "not a JSON object")
+    out = F.when(arguments.isNull(), "no arguments").when(v.isNull() | ~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), "not a JSON object").when(out_of_range(arguments), "a number is out of range")
     for name, fields in schemas.items():
         mine = tool == name
         for f, (kind, required) in fields.items():
             quote = '"' if "'" in f else "'"  # a path has no way to escape either
             got = F.try_variant_get(v, f"$[{quote}{f}{quote}]", "variant")
             type_ = F.regexp_extract(F.schema_of_variant(got), "^[A-Z]+", 0)
+            fraction = F.lit(kind == "integer") & F.schema_of_variant(got).rlike(r"^DECIMAL\([0-9]+,[^0]")
             none = got.isNull() | (type_ == "VOID")
             if required:
                 out = out.when(mine & none, f"{f} is missing")
-            out = out.when(mine & ~none & ~type_.isin(KINDS[kind]), f"{f} is no {kind}")
+            out = out.when(mine & ~none & (~type_.isin(KINDS[kind]) | fraction), f"{f} is no {kind}")
         keys = F.map_keys(F.from_json(arguments, "map<string,string>"))
         out = out.when(mine & (F.size(F.array_except(keys, F.array(*[F.lit(x) for x in fields]).cast("array<string>"))) > 0), "unknown field")
     return out.when(tool.isNull() | ~tool.isin(list(schemas)), "unknown tool")
 
 
 def canonical(json: Column) -> Column:
-    """A JSON text with keys sorted and no spaces; null if it isn't JSON."""
-    return F.to_json(F.try_parse_json(json))
+    """A JSON text with keys sorted, no spaces, and equal numbers alike; null if it isn't JSON or has a number beyond the range of doubles."""
+    return F.when(~out_of_range(json), F.to_json(F.try_parse_json(plain(json))))
 
 
 def depths(nodes: DataFrame) -> DataFrame:
@@ -72,7 +101,7 @@ def depths(nodes: DataFrame) -> DataFrame:
 def format_chats(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
     """A row for each row of messages(conv_id, turn, role, text, kind, call_id, tool, arguments, after); kind is call, result or null.
     Returns conv_id, turn, role, kind (or plain), call_id, linked, depth, valid, error, json, position."""
-    m = messages.select("conv_id", "turn", "role", "text", F.when(F.col("call_id").isNotNull() & F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), F.col("kind")).alias("kind"), "call_id", "tool", "arguments", "after")
+    m = messages.select("conv_id", "turn", "role", "text", F.when(F.col("call_id").isNotNull() & F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), F.col("kind")).alias("kind"), "call_id", "tool", plain(F.col("arguments")).alias("arguments"), "after")
     m = m.withColumn("kind", F.when(F.col("kind").isin("call", "result"), F.col("kind")).otherwise("plain"))
     m = m.withColumn("node", F.when(F.col("kind") != "plain", F.concat("kind", F.lit(":"), "call_id")))
     first = m.where("node is not null").groupBy("conv_id", "node").agg(F.min("turn").alias("first"), F.min_by("after", "turn").alias("after"))
@@ -89,7 +118,7 @@ def format_chats(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bo
     out = out.withColumn("error", F.coalesce("fault", F.when(F.col("kind") == "call", argument_error(F.col("arguments"), F.col("tool"), schemas))))
     # keys in sorted order; absent ones are left out
     made = F.to_json(F.struct(F.col("arguments_json").alias("arguments"), F.when(F.col("kind") != "plain", F.col("call_id")).alias("call_id"), F.col("text").alias("content"), F.col("role").alias("role"), F.when(F.col("kind") == "call", F.col("tool")).alias("tool")))
-    out = out.withColumn("arguments_json", F.when(F.col("kind") == "call", F.try_parse_json(F.col("arguments")))).withColumn("json", made)
+    out = out.withColumn("arguments_json", F.when((F.col("kind") == "call") & ~out_of_range(F.col("arguments")), F.try_parse_json(F.col("arguments")))).withColumn("json", made)
     out = out.select("conv_id", "turn", "role", "kind", F.when(F.col("kind") != "plain", F.col("call_id")).alias("call_id"), F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("depth", F.when(F.col("kind") == "plain", 0)).alias("depth"), F.col("error").isNull().alias("valid"), "error", "json", F.when(F.col("turn").isNotNull() & ((F.col("kind") == "plain") | F.col("depth").isNotNull()), F.greatest("latest", "turn")).alias("place"))
     return positioned(out)
 

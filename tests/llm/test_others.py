@@ -439,6 +439,22 @@ def test_arguments_and_canonical_json(spark):
         assert list(json.loads(r.json)) == sorted(json.loads(r.json))
 
 
+def test_equal_numbers_are_written_alike(spark):
+    alike = [["100", "1e2", "100.0", "1E+2", "1.00e2", "10000e-2"], ["10000000000000000000000000", "1e25", "1.0e25"], ["0.1", "1e-1", "0.10"], ["0", "-0", "0e5", "-0.0", "0.0"], ["0.00000000000000000001", "1e-20"], ["-1500", "-1.5e3"], ["1" + "0" * 40, "1e40"]]
+    texts = [f'{{"b":[{x},"1e2 \\" 3e1"],"a":{x}}}' for group in alike for x in group] + ["01e2", '{"a":1e2', '{"a":"1e2}', '{"a":1e2e3}', "1e400", "-1" + "0" * 400, None, '{"a":"' + r"\\\"" * 50_000 + '1e2"}']
+    got = [r[0] for r in spark.createDataFrame(list(enumerate(texts)), "i int, j string").coalesce(1).select(chat.canonical(F.col("j")), "i").orderBy("i").collect()]
+    for group in alike:
+        mine, got = got[: len(group)], got[len(group) :]
+        assert len(set(mine)) == 1 and float(json.loads(mine[0])["a"]) == float(group[0]) and json.loads(mine[0])["b"][1] == '1e2 " 3e1', (group, mine)
+    assert got[:7] == [None] * 7 and json.loads(got[7]) == json.loads(texts[-1])
+    cases = [("1e2", None, "100"), ("100.0", None, "100"), ("12345678901234567890", None, "12345678901234567890"), ("1.5", "a is no integer", "1.5"), ("15e-1", "a is no integer", "1.5"), ("1e400", "a number is out of range", None)]
+    rows = [x for i, (a, _, _) in enumerate(cases) for x in ((1, 2 * i, "assistant", None, "call", f"c{i}", "add", f'{{"a": {a}}}', None), (1, 2 * i + 1, "tool", None, "result", f"c{i}", None, None, None))]
+    m = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, kind string, call_id string, tool string, arguments string, after string")
+    out = {r.turn: r for r in chat.format_chats(m, SCHEMAS).collect()}
+    for i, (_, error, written) in enumerate(cases):
+        assert out[2 * i].error == error and out[2 * i].json.startswith(f'{{"arguments":{{"a":{written}}},' if written else '{"call_id"'), out[2 * i]
+
+
 def test_order_follows_dependencies_and_marks_circles(spark):
     call = lambda t, i, after=None: (1, t, "assistant", "", "call", i, "add", '{"a": 1}', after)
     result = lambda t, i: (1, t, "tool", "", "result", i, None, None, None)
