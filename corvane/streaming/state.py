@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from corvane import objects
 from corvane.operators.state import FIELDS
 from corvane.schemas import EVENT
 
@@ -79,3 +80,24 @@ def failures_by_hour(stream: DataFrame, late: str = "1 hour") -> DataFrame:
     """Failures an hour of event time; events later than `late` are dropped, and so is old state."""
     timed = stream.where("kind = 'failure'").withColumn("at", F.to_timestamp("ts")).withWatermark("at", late)
     return timed.groupBy(F.window("at", "1 hour").alias("hour")).agg(F.count("*").alias("failures"))
+
+
+def followed(out: DataFrame, folder: str) -> None:
+    """Take all that is there now through a stream in output mode update, going on from where the run before ended. Each batch's rows are written to a
+    folder of its number, so a batch that is done again after a failure replaces its own."""
+
+    def put(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
+
+    run = out.writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+    run.start().awaitTermination()
+
+
+def shown(out: DataFrame, folder: str, *keys: str) -> DataFrame:
+    """What `followed` has written of the stream `out`: the last row of each key."""
+    spark, schema = out.sparkSession, out.schema
+    if not objects.names(f"{folder}/rows"):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{folder}/rows")
+    rest = [c for c in schema.fieldNames() if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last")).select(*keys, "_last.*").select(*schema.fieldNames())
