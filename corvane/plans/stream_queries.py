@@ -22,6 +22,8 @@ from corvane.streaming import state as stream
 SPEAKERS, ARCHIVES, BROKEN, LIMIT = 997, 64, 3, 4096
 #: The log comes in so many pieces, and the stream is started anew for each.
 PIECES = 3
+#: Tasks that hold the streams' state, a small row a key.
+TASKS = 16
 EPOCH = 1704067200
 
 
@@ -57,7 +59,7 @@ def grown(spark: SparkSession, d: str, made, *keys: str) -> DataFrame:
     for begin, end in zip([None, *ends], ends):
         piece = docs.where(F.col("doc_id") <= end) if begin is None else docs.where((F.col("doc_id") > begin) & (F.col("doc_id") <= end))
         logged(piece).write.mode("append").json(f"{folder}/log/commits")
-        stream.followed(out(), folder)
+        stream.followed(out(), folder, TASKS)
     return stream.shown(out(), folder, *keys)
 
 

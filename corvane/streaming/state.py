@@ -82,15 +82,23 @@ def failures_by_hour(stream: DataFrame, late: str = "1 hour") -> DataFrame:
     return timed.groupBy(F.window("at", "1 hour").alias("hour")).agg(F.count("*").alias("failures"))
 
 
-def followed(out: DataFrame, folder: str) -> None:
+def followed(out: DataFrame, folder: str, tasks: int | None = None) -> None:
     """Take all that is there now through a stream in output mode update, going on from where the run before ended. Each batch's rows are written to a
-    folder of its number, so a batch that is done again after a failure replaces its own."""
+    folder of its number, so a batch that is done again after a failure replaces its own. The state is dealt to `tasks` tasks (the session's shuffle
+    partitions, unless given) for as long as the checkpoint is used; each holds a database with some MB of files of its own, so few keys want few."""
 
     def put(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
 
     run = out.writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
-    run.start().awaitTermination()
+    conf, key = out.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(tasks or before))
+    try:
+        query = run.start()  # takes the settings as they are now
+    finally:
+        conf.set(key, before)
+    query.awaitTermination()
 
 
 def shown(out: DataFrame, folder: str, *keys: str) -> DataFrame:

@@ -11,7 +11,9 @@ def test_rows_are_kept_over_restarts_and_repeats(spark, tmp_path):
     log, folder = state.Log(spark, str(tmp_path / "log"), lambda: "2024-01-01T00:10:00Z"), str(tmp_path / "out")
     out = lambda: stream.failures_by_hour(stream.events(spark, log.folder))
     log.add(("s1", "start", {}))
-    stream.followed(out(), folder)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream.followed(out(), folder, 3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before and len([x for x in (tmp_path / "out/checkpoint/state/0").iterdir() if x.name.isdigit()]) == 3
     assert stream.shown(out(), folder, "hour").count() == 0
     for n in (1, 2):  # the hour stays open from one run to the next
         log.add(("s1", "failure", {"error": "e"}))
