@@ -7,6 +7,7 @@ every group, with partial counts before each shuffle; no task holds more than 65
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -15,8 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.operators.numbering import settled
+from corvane.operators.numbering import kept, settled, shared_folder
 
+#: Ranks, and groups, that are broadcast at most.
+FEW = 100_000
 #: Bits of a pass, and of a double (the latter a fixed value).
 STEP, ALL = 16, 64
 
@@ -52,18 +55,25 @@ def _same(left: DataFrame, right: DataFrame, on: Sequence[str], more: Column | N
 def at_ranks(values: DataFrame, ranks: DataFrame, group: Sequence[str]) -> DataFrame:
     """group, name, value for ranks(group, name, rank): the value at that rank (from 0) among values(group, value double) of its group. Null values
     are no values; ranks beyond a group's values give no row."""
-    rows = settled(values.where("value is not null").select(*group, sortable(F.col("value")).alias("_key")))
-    found = ranks.select(*group, "name", F.col("rank").cast("bigint").alias("_rest"), F.lit(0).cast("bigint").alias("_prefix"))
+    rows = values.where("value is not null").select(*group, sortable(F.col("value")).alias("_key"))
+    return at_key_ranks(kept(rows, f"{shared_folder(values.sparkSession)}/corvane-{uuid.uuid4().hex}"), ranks, group)
+
+
+def at_key_ranks(rows: DataFrame, ranks: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The same of rows(group, _key), a key being sortable() of a value. They are gone through four times, and only those that share a rank's
+    bits are counted and go into a shuffle."""
+    found = settled(ranks.select(*group, "name", F.col("rank").cast("bigint").alias("_rest"), F.lit(0).cast("bigint").alias("_prefix")))
+    small = F.broadcast if found.count() <= FEW else lambda df: df  # it never grows: a row for each rank
     for shift in range(ALL - STEP, -1, -STEP):
         top = shift == ALL - STEP
         digit = F.shiftright("_key", shift) + (1 << (STEP - 1)) if top else F.shiftright("_key", shift).bitwiseAND(F.lit((1 << STEP) - 1))
         prefix = F.lit(0).cast("bigint") if top else F.shiftright("_key", shift + STEP)
         live = rows.select(*group, prefix.alias("_prefix"), digit.alias("_digit"))
-        live = _same(live, found.select(*group, "_prefix").distinct(), [*group, "_prefix"], how="left_semi")
+        live = _same(live, small(found.select(*group, "_prefix").distinct()), [*group, "_prefix"], how="left_semi")
         n = live.groupBy(*group, "_prefix", "_digit").agg(F.count("*").alias("_n"))
         before = F.sum("_n").over(Window.partitionBy(*group, "_prefix").orderBy("_digit").rowsBetween(Window.unboundedPreceding, -1))
         n = n.withColumn("_before", F.coalesce(before, F.lit(0)))
-        hit = _same(found, n, [*group, "_prefix"], (F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_n")))
+        hit = _same(small(found), n, [*group, "_prefix"], (F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_n")))
         grown = F.col("_digit") - (1 << (STEP - 1)) if top else F.shiftleft("_prefix", STEP).bitwiseOR(F.col("_digit"))
         found = settled(hit.select(*group, "name", (F.col("_rest") - F.col("_before")).alias("_rest"), grown.alias("_prefix")))
     return found.select(*group, "name", unsortable("_prefix").alias("value"))

@@ -103,3 +103,20 @@ def test_csv_is_written_by_tasks(spark, tmp_path):
     with pytest.raises(Exception):
         files.table_csv(df.withColumn("t", F.raise_error(F.lit("lost")).cast("string")), many)
     assert open(many, "rb").read() == open(one, "rb").read()
+
+
+def test_a_summary_makes_its_rows_once_and_shuffles_few(spark):
+    """The rows are evaluated once, however many passes the order statistics take, and passes shuffle counts only."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    u = spark.range(3000).selectExpr("array('train','val')[id % 2] as split", "concat('s', id % 3) as speaker_id", "cast(id as string) as utterance_id", "2 as frame_count", "0 as first_frame_index", "cast(id % 50 + 1 as int) as last_frame_index", "id % 41 / 10.0D + 0.01D as audio_duration_sec")
+    rows = duration.gaps(u)
+    rows = rows.mapInArrow(seen, rows.schema)
+    plain = sorted(map(tuple, duration.summarise(duration.gaps(u)).collect()), key=repr)
+    assert sorted(map(tuple, duration.summarise(rows, held=0).collect()), key=repr) == plain
+    assert made.value == 3000
