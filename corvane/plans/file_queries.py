@@ -118,7 +118,10 @@ def report_summaries(spark, d):
 @query(f"WITH {MEMBERS}, s AS (SELECT DISTINCT speaker_id FROM m) SELECT speaker_id, CASE speaker_id WHEN 's1' THEN 'size differs' WHEN 's2' THEN 'digest differs' ELSE 'missing' END AS problem FROM s WHERE speaker_id IN ('s1', 's2', 's3')")
 def shards_verified(spark, d):
     """Packed shards read back from the store, against records of them of which one has another size, one another digest and one another path."""
-    info = shards.package(packable(spark, d), f"{shared_folder(spark)}/corvane-{uuid.uuid4().hex}")
+    return shards.passed(packable(spark, d), problems)
+
+
+def problems(info: DataFrame, _: str) -> DataFrame:
     one = lambda s: F.col("speaker_id") == s
     recorded = info.withColumns({"size": F.col("size") + F.when(one("s1"), 1).otherwise(0), "sha256": F.when(one("s2"), F.reverse("sha256")).otherwise(F.col("sha256")), "path": F.when(one("s3"), F.concat("path", F.lit(".gone"))).otherwise(F.col("path"))})
     return integrity.shard_problems(recorded, archive.digests(info)).join(recorded.select("path", "speaker_id"), "path").select("speaker_id", "problem")

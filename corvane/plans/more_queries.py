@@ -3,15 +3,12 @@ sources, decisions about what to process, documents by speaker, decoded audio.""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from corvane.config import CorpusConfig
 from corvane.functions.media import decode_wav
 from corvane.functions.text import fmt_size, human_bytes, round4
 from corvane.operators import gold, manifest, pairing, profile, quality, samples, state
-from corvane.operators.numbering import shared_folder
 from corvane.plans import corpus
 from corvane.plans.catalogue import GOLD_SQL, RECORDS, gold_of, query, records_of, t
 from corvane.sinks import shards
@@ -66,26 +63,20 @@ def audio_read(spark, d):
 @query(f"WITH {MEMBERS} SELECT speaker_id, prefix, CASE WHEN count(*) FILTER (frame_index = 2) = 1 THEN any_value(content) FILTER (frame_index = 2) END AS content, CASE count(*) FILTER (frame_index = 2) WHEN 0 THEN 'there is no frame 2' WHEN 1 THEN NULL ELSE 'frame 2 is there twice' END AS error FROM m GROUP BY ALL")
 def shard_frame_read(spark, d):
     """The same from real shards: packed from the table, indexed by their headers, one frame of each utterance read by its place."""
-    return samples.frame(members.of_folder(spark, shards_of(spark, d)), 2).withColumn("content", F.col("content").cast("string"))
+    read = lambda _, folder: samples.frame(members.of_folder(spark, folder, table=f"{folder}-index"), 2)
+    return shards.passed(packable(spark, d), read).withColumn("content", F.col("content").cast("string"))
 
 
 @query(f"WITH {MEMBERS} SELECT speaker_id, count(*) AS members, ((sum(512 + (length(content) + 511) // 512 * 512) + 1024 + 10239) // 10240 * 10240)::BIGINT AS size FROM m GROUP BY 1")
 def shards_packed(spark, d):
     """A tar's length follows from its members': a block for each header, whole blocks of content, and the end to whole records."""
-    return shards.package(packable(spark, d), f"{shared_folder(spark)}/corvane-{uuid.uuid4().hex}").select("speaker_id", "members", "size")
+    return shards.passed(packable(spark, d), lambda info, _: info.select("speaker_id", "members", "size"))
 
 
 def packable(spark, d):
     return members_of(spark, d).select("speaker_id", F.element_at(F.split("prefix", "/"), 2).alias("utterance_id"), "filename", "content")
 
 
-def shards_of(spark, d):
-    """A folder with shards of the table's members."""
-    out = f"{shared_folder(spark)}/corvane-{uuid.uuid4().hex}"
-    shards.package(packable(spark, d), out)
-    return out
-
-
 #: A WAV file's head for 64 mono 16-bit samples at 16 kHz (fixed values of the format).
 HEAD = "52494646A400000057415645666D74201000000001000100803E0000007D0000020010006461746180000000"
 

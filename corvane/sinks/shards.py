@@ -3,8 +3,8 @@
 Members are ranged by speaker, utterance and file name, so a large speaker is spread over many tasks. Each task writes the records of
 its range, headers included, as a part of each speaker in it (a Spark data source writer: parts are under a name of the write's own; its
 commit lists them in a manifest, its abort deletes them). Records have a length that is known from the name and the size, so where each part
-belongs in its tar is a prefix sum of the parts' bytes. The parts of a speaker are then streamed in that order into the
-shard, under a name of its own attempt, compared in size, and renamed; no member is held beyond its own record. Times and owners are left at zero, so the same
+belongs in its tar is a prefix sum of the parts' bytes. Parts are compressed, since headers and padding are mostly zeros, so what is there twice while
+a shard is assembled is small. The parts of a speaker are then streamed in that order into the shard, under a name of its own attempt, compared in size, and renamed; no member is held beyond its own record. Times and owners are left at zero, so the same
 members give the same bytes, however many tasks wrote them. Files go through pyarrow, to whatever store the folder is in.
 """
 
@@ -15,8 +15,9 @@ import json
 import os
 import tarfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -27,10 +28,12 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from corvane.errors import ShardError
-from corvane.operators.numbering import settled
+from corvane.operators.numbering import kept, settled, shared_folder
 
 #: Fixed values of the format: a block, two empty ones at the end, and what a tar's length is a multiple of.
 BLOCK, END, RECORD = 512, 1024, 10240
+#: How parts are compressed; their bytes are counted without.
+PACKING = "zstd"
 ROW = T.StructType([T.StructField("speaker_id", T.StringType()), T.StructField("utterance_id", T.StringType()), T.StructField("filename", T.StringType()), T.StructField("content", T.BinaryType())])
 
 
@@ -70,7 +73,7 @@ class PartWriter(DataSourceWriter):
                     stream.close()
                 speaker = s
                 path = f"{base}/{s}.{number:06d}.{tag}"
-                stream = fs.open_output_stream(path)
+                stream = fs.open_output_stream(path, compression=PACKING)
                 parts.append([s, path, 0, 0])
             data = bytes(data or b"")
             record = head(f"{s}/{u}/{name}", len(data)) + data + bytes(-len(data) % BLOCK)
@@ -162,7 +165,7 @@ def assembled(spark: SparkSession, listed: list[dict], folder: str) -> DataFrame
             for part, offset in zip(mine["path"], mine["offset"]):
                 if size != offset:
                     raise ShardError(f"{part} belongs at {offset}, not at {size}")
-                with fs.open_input_stream(part, compression=None) as f:
+                with fs.open_input_stream(part, compression=PACKING) as f:
                     while chunk := f.read(1 << 20):
                         put(chunk)
             if size != total:
@@ -175,3 +178,34 @@ def assembled(spark: SparkSession, listed: list[dict], folder: str) -> DataFrame
         return pd.DataFrame([(speaker, path, size, sha.hexdigest(), int(mine["members"].sum()))], columns=["speaker_id", "path", "size", "sha256", "members"])
 
     return parts.groupBy("speaker_id").applyInPandas(run, "speaker_id string, path string, size bigint, sha256 string, members bigint")
+
+
+def waves(members: DataFrame, held: int) -> list[list]:
+    """The speakers of members(speaker_id, content), a few at a time: together of about `held` bytes as shards, or one that has more alone. The driver
+    gets a row for each speaker."""
+    size = BLOCK + F.ceil(F.coalesce(F.octet_length("content"), F.lit(0)) / BLOCK) * BLOCK
+    out, total = [[]], 0
+    for s, n in members.groupBy("speaker_id").agg(F.sum(size)).orderBy("speaker_id").collect():
+        if out[-1] and total + n > held:
+            out.append([])
+            total = 0
+        out[-1].append(s)
+        total += n
+    return out
+
+
+def passed(members: DataFrame, use: Callable[[DataFrame, str], DataFrame], held: int = 4 << 30) -> DataFrame:
+    """What use(package()'s rows, the shards' folder) gives of shards that nobody needs afterwards. They are made in waves of about `held` bytes, or
+    of one speaker, and deleted when the wave's rows are written, so that the shards of one wave are there at a time. use() must go by speaker; it
+    may write to the folder above the shards'."""
+    out = []
+    for speakers in waves(members, held):
+        top = f"{shared_folder(members.sparkSession)}/corvane-{uuid.uuid4().hex}"
+        mine = reduce(lambda a, b: a | b, (F.col("speaker_id").eqNullSafe(s) for s in speakers), F.lit(False))
+        try:
+            out.append(kept(use(package(members.where(mine), f"{top}/shards"), f"{top}/shards"), f"{top}-rows"))
+        finally:
+            fs, base = store(top)
+            if fs.get_file_info(base).type == pafs.FileType.Directory:
+                fs.delete_dir(base)
+    return reduce(DataFrame.unionByName, out)

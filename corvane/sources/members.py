@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import struct
 import tarfile
+import uuid
 import zipfile
 import zlib
 from collections import OrderedDict
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from corvane.errors import DatasetReadError
 from corvane.functions.text import filename, folder
-from corvane.operators.numbering import settled
+from corvane.operators.numbering import kept, settled, shared_folder
 
 #: Fixed values of the formats.
 BLOCK, LOCAL_HEAD, LOCAL_MAGIC = 512, 30, b"PK\x03\x04"
@@ -126,10 +127,10 @@ def _arrow(df: DataFrame, one: Callable[..., Iterator[tuple]], schema: str) -> D
     return df.mapInArrow(run, schema)
 
 
-def index(archives: DataFrame, range_bytes: int = 64 << 20, opener: Callable = opened) -> DataFrame:
+def index(archives: DataFrame, range_bytes: int = 64 << 20, opener: Callable = opened, table: str | None = None) -> DataFrame:
     """archive, prefix, filename, frame_index, name, size, offset (of the payload; of a zip's local header; null in a compressed tar), stored
     (bytes there), method, error for archives(archive), a path or URI each. Files outside any folder of their archive are left out. The rows are
-    written to the shared folder; write them to a table to keep them."""
+    written as a table, to the folder `table` or to one in the shared folder."""
 
     def probe(path: str) -> Iterator[tuple]:
         try:
@@ -202,7 +203,8 @@ def index(archives: DataFrame, range_bytes: int = 64 << 20, opener: Callable = o
     prefix = folder(F.col("name"))
     found = found.where((prefix != "") | F.col("error").isNotNull())
     frame = F.when(filename(F.col("name")).rlike(r"^[0-9]+\.jpg\z"), F.regexp_extract(filename(F.col("name")), "^[0-9]+", 0).try_cast("int"))
-    return settled(found.select("archive", F.concat(prefix, F.lit("/")).alias("prefix"), filename(F.col("name")).alias("filename"), frame.alias("frame_index"), "name", "size", "offset", "stored", "method", "error"))
+    found = found.select("archive", F.concat(prefix, F.lit("/")).alias("prefix"), filename(F.col("name")).alias("filename"), frame.alias("frame_index"), "name", "size", "offset", "stored", "method", "error")
+    return kept(found, table or f"{shared_folder(archives.sparkSession)}/corvane-{uuid.uuid4().hex}")
 
 
 def of_folder(spark: SparkSession, folder_: str, suffix: str = ".tar", speakers: list[str] | None = None, **options) -> DataFrame:

@@ -79,3 +79,48 @@ def test_places_are_prefix_sums(spark):
 def test_stores(uri):
     fs, path = shards.store(uri)
     assert path == "/tmp/x" and isinstance(fs, pafs.LocalFileSystem)
+
+
+def test_shards_that_pass_are_there_a_wave_at_a_time(spark, tmp_path, monkeypatch):
+    """Disk holds one wave's shards, and their parts compressed, not those of all speakers twice."""
+    monkeypatch.setattr(shards, "shared_folder", lambda _: str(tmp_path))
+    df = spark.createDataFrame([*rows(), ("s3", "u", "0.jpg", None)], SCHEMA)
+    assert shards.waves(df, 1 << 30) == [["s1", "s10", "s2", "s3"]] and shards.waves(df, 1600) == [["s1"], ["s10", "s2"], ["s3"]] and shards.waves(df.limit(0), 1) == [[]]
+    seen = []
+
+    def use(info, folder):
+        seen.append(sorted(x.name for x in tmp_path.rglob("*.tar")))
+        return info.select("speaker_id", "size", "members")
+
+    got = shards.passed(df, use, held=1600)
+    assert seen == [["s1.tar"], ["s10.tar", "s2.tar"], ["s3.tar"]] and not list(tmp_path.rglob("*.tar"))
+    want = shards.package(df, str(tmp_path / "all")).select("speaker_id", "size", "members")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    with pytest.raises(ZeroDivisionError):
+        shards.passed(df.where("speaker_id = 's2'"), lambda *_: 1 / 0)
+    assert [x.name for x in tmp_path.rglob("*.tar") if x.parent.name == "shards"] == []
+
+
+def test_parts_are_compressed(spark, tmp_path):
+    spark.dataSource.register(shards.ShardParts)
+    spark.createDataFrame([("s1", "u", f"{i}.jpg", b"x") for i in range(500)], SCHEMA).coalesce(1).write.format("corvane_shard_parts").mode("append").save(str(tmp_path))
+    (part,) = tmp_path.glob("s1.*")
+    assert part.stat().st_size * 10 < 500 * 1024
+
+
+@pytest.mark.parametrize("name", ["shard_frame_read", "shards_packed", "shards_verified"])
+def test_queries_over_shards_leave_none_and_equal_sql(spark, tmp_path, monkeypatch, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(shards, "shared_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(shards.passed, "__defaults__", (1 << 20,))
+    sf = "/root/testdata/sf0.001"
+    got = entry.queries()[name](spark, sf)
+    assert len(list(tmp_path.glob("*-rows"))) > 1 and not list(tmp_path.rglob("*.tar"))
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from '{sf}/lineitem.parquet'")
+    want = con.execute(entry.oracle_sql()[name])
+    columns = [x[0] for x in want.description]
+    assert sorted(map(repr, (tuple(r) for r in got.select(*columns).collect()))) == sorted(map(repr, want.fetchall()))
