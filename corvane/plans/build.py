@@ -162,8 +162,8 @@ def process(spark: SparkSession, c: CorpusConfig, speakers: list[str], media: Me
     for r in integrity.shard_problems(info, archive.digests(info)).join(info.select("speaker_id", "path"), "path").collect():
         fail(record, r["speaker_id"], f"its shard in the store: {r['problem']}")
         got.pop(r["speaker_id"], None)
-    documents = corpus.speaker_documents(records.where(F.col("speaker_id").isin(list(got))), info, dimension, c, clock)
-    paths = files.documents(documents, c.metadata)
+    ends, items = corpus.document_parts(records.where(F.col("speaker_id").isin(list(got))), info, dimension, c, clock)
+    paths = files.long_documents(ends, items.join(F.broadcast(ends.select("speaker_id")), "speaker_id", "left_semi"), c.metadata)
     done = {r["speaker_id"]: r for r in info.collect()}
     record.add(*((s, "done", {"shard_path": done[s]["path"], "metadata_path": paths[s], "shard_size_bytes": done[s]["size"], "shard_sha256": done[s]["sha256"], "video_source_used": got[s][2], "audio_source_used": got[s][3]}) for s in got))
 

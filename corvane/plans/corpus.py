@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.config import DATASET, SCHEMA_VERSION, CorpusConfig, ReaderSettings
@@ -53,18 +53,38 @@ def gold_when_done(spark: SparkSession, c: CorpusConfig, states: DataFrame) -> b
     return state.all_done(states) and build_gold(spark, c)
 
 
-def speaker_documents(records: DataFrame, shard_info: DataFrame, sources: DataFrame, c: CorpusConfig, clock=now) -> DataFrame:
-    """speaker_id, json: each speaker's metadata from quality records, shards(speaker_id, path, size, sha256) and sources(speaker_id,
-    video_source_used, audio_source_used)."""
+def document_parts(records: DataFrame, shard_info: DataFrame, sources: DataFrame, c: CorpusConfig, clock=now) -> tuple[DataFrame, DataFrame]:
+    """Speakers' metadata from quality records, shards(speaker_id, path, size, sha256) and sources(speaker_id, video_source_used, audio_source_used), as
+    sinks.files.long_documents takes them: ends(speaker_id, head, tail) and items(speaker_id, place, text), a sample each."""
     names = ("utterance_id", "valid", "invalid_reason", "source_fps", "source_frame_count", "cropped_frame_count", "face_detection_ratio", "max_consecutive_face_frames", "detected_frame_indices", "audio_duration_sec", "audio_sample_rate", "audio_channels", "shard_member_prefix")
-    listed = records.withColumn("face_detection_ratio", round4("face_detection_ratio")).groupBy("speaker_id").agg(F.array_sort(F.collect_list(F.struct(*names))).alias("samples"))
-    df = quality.summarise(records).join(listed, "speaker_id").join(shard_info, "speaker_id").join(sources, "speaker_id")
-    doc = F.struct(
+    whole = {"ignoreNullFields": "false"}
+    df = quality.summarise(records).join(shard_info, "speaker_id").join(sources, "speaker_id")
+    head = F.struct(
         F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit(DATASET).alias("dataset"), "speaker_id", F.lit("DONE").alias("status"), F.struct("video_source_used", "audio_source_used").alias("source"),
         F.struct(F.lit(c.fps).alias("expected_fps"), F.lit(c.audio_rate).alias("target_audio_sample_rate"), F.lit(c.min_face_ratio).alias("min_face_detection_ratio"), F.lit(c.min_consecutive).alias("min_consecutive_face_frames")).alias("processing"),
-        F.struct("total_candidates", "valid_samples", "invalid_samples").alias("summary"), "invalid_reason_counts", "samples", F.struct("path", F.col("size").alias("size_bytes"), "sha256").alias("shard"), F.lit(clock()).alias("generated_at"),
+        F.struct("total_candidates", "valid_samples", "invalid_samples").alias("summary"), "invalid_reason_counts",
     )
-    return df.select("speaker_id", F.to_json(doc, {"ignoreNullFields": "false"}).alias("json"))
+    tail = F.struct(F.struct("path", F.col("size").alias("size_bytes"), "sha256").alias("shard"), F.lit(clock()).alias("generated_at"))
+    ends = df.select("speaker_id", opening(F.to_json(head, whole)).alias("head"), closing(F.to_json(tail, whole)).alias("tail"))
+    items = records.withColumn("face_detection_ratio", round4("face_detection_ratio")).select("speaker_id", F.struct(*names).alias("place"))
+    return ends, items.select("speaker_id", "place", F.to_json("place", whole).alias("text"))
+
+
+def opening(head: Column) -> Column:
+    """Of a document's fields before its samples, the text up to the first sample."""
+    return F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"samples":['))
+
+
+def closing(tail: Column) -> Column:
+    """Of the fields after them, the text from there."""
+    return F.concat(F.lit("],"), F.substring(tail, F.lit(2), F.length(tail) - 1))
+
+
+def speaker_documents(records: DataFrame, shard_info: DataFrame, sources: DataFrame, c: CorpusConfig, clock=now) -> DataFrame:
+    """speaker_id, json: document_parts() put together, for speakers whose documents fit in a row."""
+    ends, items = document_parts(records, shard_info, sources, c, clock)
+    listed = items.groupBy("speaker_id").agg(F.array_sort(F.collect_list(F.struct("place", "text"))).alias("listed"))
+    return ends.join(listed, "speaker_id").select("speaker_id", F.concat("head", F.array_join("listed.text", ","), "tail").alias("json"))
 
 
 def pack(spark: SparkSession, contents: DataFrame, valid: DataFrame, folder: str) -> DataFrame:

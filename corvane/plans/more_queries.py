@@ -3,15 +3,20 @@ sources, decisions about what to process, documents by speaker, decoded audio.""
 
 from __future__ import annotations
 
+import re
+import shutil
+import uuid
+
 from pyspark.sql import functions as F
 
 from corvane.config import CorpusConfig
 from corvane.functions.media import decode_wav
 from corvane.functions.text import fmt_size, human_bytes, round4
 from corvane.operators import gold, manifest, pairing, profile, quality, samples, state
+from corvane.operators.numbering import settled, shared_folder
 from corvane.plans import corpus
 from corvane.plans.catalogue import GOLD_SQL, RECORDS, gold_of, query, records_of, t
-from corvane.sinks import shards
+from corvane.sinks import files, shards
 from corvane.sources import members, metadata
 
 # ---- shards' members ----
@@ -255,16 +260,23 @@ def gold_counts(spark, d):
 SELECT speaker_id, count(*) AS total, count(*) FILTER (invalid_reason IS NULL) AS valid, count(*) AS n_samples, arg_min(utterance_id, utterance_id) AS first, round_even(arg_min(ratio, utterance_id), 4) AS first_ratio, '/shards/' || speaker_id || '.tar' AS path, 'DONE' AS status, '25.0' AS fps FROM r GROUP BY speaker_id"""
 )
 def speaker_documents(spark, d):
+    """The documents' files, which many tasks write, read back by their lines: no row, task or group holds a speaker's samples."""
     records = records_of(spark, d)
     speakers = records.select("speaker_id").distinct()
     info = speakers.select("speaker_id", F.concat(F.lit("/shards/"), "speaker_id", F.lit(".tar")).alias("path"), F.lit(1).cast("bigint").alias("size"), F.lit("00").alias("sha256"))
     sources = speakers.select("speaker_id", F.lit("primary").alias("video_source_used"), F.lit("primary").alias("audio_source_used"))
-    docs = corpus.speaker_documents(records, info, sources, CorpusConfig(), clock=lambda: "now")
-    get = lambda path: F.get_json_object("json", f"$.{path}")
-    return docs.select(
-        "speaker_id", get("summary.total_candidates").cast("bigint").alias("total"), get("summary.valid_samples").cast("bigint").alias("valid"), F.json_array_length(get("samples")).cast("bigint").alias("n_samples"), get("samples[0].utterance_id").alias("first"),
-        get("samples[0].face_detection_ratio").cast("double").alias("first_ratio"), get("shard.path").alias("path"), get("status").alias("status"), get("processing.expected_fps").alias("fps"),
-    )
+    folder = f"{re.sub('^file:/*', '/', shared_folder(spark))}/corvane-{uuid.uuid4().hex}"
+    get = lambda kind, path: F.max(F.when(F.col("kind") == kind, F.get_json_object("json", f"$.{path}")))
+    first = lambda path: F.max(F.when(F.col("first"), F.get_json_object("json", f"$.{path}")))
+    try:
+        files.long_documents(*corpus.document_parts(records, info, sources, CorpusConfig(), clock=lambda: "now"), folder)
+        read = metadata.lines(spark, folder).groupBy("speaker_id").agg(
+            get("head", "summary.total_candidates").cast("bigint").alias("total"), get("head", "summary.valid_samples").cast("bigint").alias("valid"), F.count_if(F.col("kind") == "sample").alias("n_samples"), first("utterance_id").alias("first"),
+            first("face_detection_ratio").cast("double").alias("first_ratio"), get("tail", "shard.path").alias("path"), get("head", "status").alias("status"), get("head", "processing.expected_fps").alias("fps"),
+        )
+        return settled(read)
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)  # nobody needs the files later
 
 
 @query("SELECT conv_id, turn, role FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 2")

@@ -14,12 +14,15 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvane.config import SPLITS
 from corvane.errors import PersistenceError
+from corvane.operators.numbering import settled
 from corvane.schemas import DURATION, MANIFEST_COLUMNS, SUMMARY_COLUMNS
 
 
@@ -72,6 +75,60 @@ def documents(df: DataFrame, folder: str) -> dict[str, str]:
     return {r["speaker_id"]: r["path"] for r in df.select("speaker_id", "json").mapInPandas(write, "speaker_id string, path string").collect()}
 
 
+def long_documents(ends: DataFrame, items: DataFrame, folder: str) -> dict[str, str]:
+    """documents() of any length: a file for each row of ends(speaker_id, head, tail), with the text of each of its items(speaker_id, place, text)
+    between them, by place. Items are dealt by ranges, so a long document is written by many tasks, and streamed together by one; none holds more of it
+    than an Arrow batch. Head, items and tail have a line each, all items but the first with a comma before; none has line feeds of its own."""
+    spark, parts = ends.sparkSession, f"{folder}/.parts-{uuid.uuid4().hex}"
+    make_folder(parts)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, tag, made, speaker, f = TaskContext.get().partitionId(), uuid.uuid4().hex, [], None, None
+        try:
+            for batch in batches:
+                for s, text in zip(*(c.to_pylist() for c in batch.columns)):
+                    if f is None or s != speaker:
+                        if f is not None:
+                            f.close()
+                        speaker, path = s, f"{parts}/{number}.{len(made)}.{tag}"
+                        f = pafs.LocalFileSystem().open_output_stream(path, compression="zstd")
+                        made.append((s, number, path))
+                    f.write(f",{text}\n".encode())
+        finally:
+            if f is not None:
+                f.close()
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), (pa.string(), pa.int32(), pa.string()))], names=["speaker_id", "number", "path"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = []
+            for r in batch.to_pylist():
+                path, attempt = f"{folder}/{r['speaker_id']}.json", f"{parts}/{uuid.uuid4().hex}"
+                with open(attempt, "wb") as out:
+                    out.write(f"{r['head']}\n".encode())
+                    for i, part in enumerate(r["parts"] or []):
+                        with pafs.LocalFileSystem().open_input_stream(part["path"], compression="zstd") as f:
+                            f.read(0 if i else 1)  # no comma before the first item
+                            shutil.copyfileobj(f, out, 1 << 20)
+                    out.write(f"{r['tail']}\n".encode())
+                    out.flush()
+                    os.fsync(out.fileno())
+                os.replace(attempt, path)
+                done.append(path)
+            yield pa.RecordBatch.from_arrays([batch.column("speaker_id"), pa.array(done, pa.string())], names=["speaker_id", "path"])
+
+    try:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = items.repartitionByRange(n, "speaker_id", "place").sortWithinPartitions("speaker_id", "place").select("speaker_id", "text")
+        written = settled(dealt.mapInArrow(write, "speaker_id string, number int, path string"))  # a row for each speaker of a range
+        by = written.groupBy("speaker_id").agg(F.sort_array(F.collect_list(F.struct("number", "path"))).alias("parts"))
+        whole = ends.select("speaker_id", "head", "tail").join(by, "speaker_id", "left").repartition(n, "speaker_id")
+        return {r["speaker_id"]: r["path"] for r in whole.mapInArrow(join, "speaker_id string, path string").collect()}
+    finally:
+        shutil.rmtree(parts, ignore_errors=True)
+
+
 def table_csv(df: DataFrame, path: str, bom: bool = False) -> str:
     """df as write_csv has it, in the order of its partitions and of their rows, without passing through the driver."""
     columns, parts = df.columns, f"{path}.{uuid.uuid4().hex}"

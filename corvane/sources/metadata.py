@@ -23,6 +23,15 @@ def unreadable(spark: SparkSession, folder: str) -> list[str]:
     return sorted(r["speaker_id"] for r in _documents(spark, folder).where(f"not ({READABLE})").select("speaker_id").collect())
 
 
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """speaker_id, kind (head, sample, tail), first (of its samples), json for the lines of documents as sinks.files.long_documents writes them. So files of
+    any length are read in blocks. A head's json has no samples."""
+    df = spark.read.text(f"{folder}/*.json").select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.json\z", 1).alias("speaker_id"), "value")
+    kind = F.when(F.col("value").endswith('"samples":['), "head").when(F.col("value").startswith("]"), "tail").otherwise("sample")
+    text = F.when(F.col("kind") == "head", F.concat("value", F.lit("]}"))).when(F.col("kind") == "tail", F.concat(F.lit("{"), F.substring("value", F.lit(3), F.length("value")))).otherwise(F.ltrim("value", F.lit(",")))
+    return df.withColumn("kind", kind).select("speaker_id", "kind", ((F.col("kind") == "sample") & ~F.col("value").startswith(",")).alias("first"), text.alias("json"))
+
+
 READABLE = "_corrupt is null and (status is not null or samples is not null)"
 
 

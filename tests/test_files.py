@@ -75,3 +75,45 @@ def test_an_empty_table_gives_empty_files(spark, tmp_path):
     spark.read.parquet(f"{SF}/lineitem.parquet").limit(0).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
     assert Q.gold_files(spark, str(tmp_path)).count() == 0
     assert [(r.split, r.described, r.utterances) for r in Q.partial_gold(spark, str(tmp_path)).orderBy("split").collect()] == [("test", 0, 0), ("train", 0, 0), ("val", 0, 0)]
+
+
+def test_long_documents_are_written_by_many_tasks(spark, tmp_path):
+    """No task gets a document whole: the tasks that write have ranges of its items."""
+    import json
+
+    from corvane.sources import metadata
+
+    ends = spark.createDataFrame([(s, f'{{"id":"{s}","samples":[', '],"shard":{"path":"x"}}') for s in ("s1", "s2", "s3")], "speaker_id string, head string, tail string")
+    ids = [f"ä{i:05d}" for i in range(5000)]
+    items = spark.createDataFrame([("s1", i, f'{{"utterance_id":"{i}"}}') for i in reversed(ids)] + [("s2", "z", '{"utterance_id":"z"}')], "speaker_id string, place string, text string").repartition(5)
+    folder = tmp_path / "m"
+    for _ in range(2):
+        assert files.long_documents(ends, items, str(folder)) == {s: f"{folder}/{s}.json" for s in ("s1", "s2", "s3")}
+        assert sorted(x.name for x in folder.iterdir()) == ["s1.json", "s2.json", "s3.json"]
+    for s, want in (("s1", ids), ("s2", ["z"]), ("s3", [])):
+        doc = json.loads((folder / f"{s}.json").read_text())
+        assert [x["utterance_id"] for x in doc["samples"]] == want and doc["id"] == s and doc["shard"] == {"path": "x"}
+    got = metadata.lines(spark, str(folder)).where("kind = 'sample'").groupBy("speaker_id").count().collect()
+    assert {r.speaker_id: r["count"] for r in got} == {"s1": 5000, "s2": 1}
+
+
+def test_no_row_holds_a_speakers_document(spark, monkeypatch):
+    import duckdb
+
+    def refused(*_):
+        raise AssertionError("a whole document in a row")
+
+    monkeypatch.setattr(files, "documents", refused)
+    from corvane.plans import corpus as plan
+
+    monkeypatch.setattr(plan, "speaker_documents", refused)
+    con = duckdb.connect()
+    for t in ("lineitem", "events"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    for name in ("speaker_documents", "gold_files"):
+        got = QUERIES[name](spark, SF)
+        if name == "speaker_documents":
+            con.execute("create macro round_even(x, n) as round(x, n)") if not con.execute("select count(*) from duckdb_functions() where function_name = 'round_even'").fetchone()[0] else None
+        want = con.execute(ORACLE_SQL[name])
+        columns = [x[0] for x in want.description]
+        assert sorted(map(repr, (tuple(r) for r in got.select(*columns).collect()))) == sorted(map(repr, want.fetchall()))
