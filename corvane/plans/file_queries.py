@@ -40,12 +40,13 @@ def corpus_of(spark: SparkSession, d: str, whole: bool = True) -> CorpusConfig:
         uid.alias("utterance_id"), "valid", F.size("i").alias("cropped_frame_count"), F.lit(1.0).alias("face_detection_ratio"), F.col("i").alias("detected_frame_indices"),
         (F.col("q") / 50).cast("double").alias("audio_duration_sec"), F.lit(16000).alias("audio_sample_rate"), F.concat(sp, F.lit("/"), uid, F.lit("/")).alias("shard_member_prefix"),
     )
-    by_speaker = orders.groupBy(sp.alias("speaker_id")).agg(F.array_sort(F.collect_list(sample)).alias("samples"))
-    all_ = gold.split_dimension(spark, c).select("speaker_id", "ordinal").join(by_speaker, "speaker_id", "left")
+    all_ = gold.split_dimension(spark, c).select("speaker_id", "ordinal")
     broken, open_ = (F.lit(not whole) & (F.col("speaker_id") == s) for s in (BROKEN, OPEN))
+    items = orders.select(sp.alias("speaker_id"), uid.alias("place"), F.to_json(sample).alias("text")).join(F.broadcast(all_), "speaker_id", "left_semi").where(~broken)
     path = F.when(F.col("ordinal") % 2 == 0, F.concat(F.lit("/old/"), "speaker_id", F.lit(".tar"))).otherwise("")
-    text = F.to_json(F.struct("speaker_id", F.when(open_, "QC").otherwise("DONE").alias("status"), F.coalesce("samples", F.array()).alias("samples"), F.struct(path.alias("path")).alias("shard")))
-    files.documents(all_.select("speaker_id", F.when(broken, F.substring(text, 1, 100)).otherwise(text).alias("json")), c.metadata)
+    head = corpus.opening(F.to_json(F.struct("speaker_id", F.when(open_, "QC").otherwise("DONE").alias("status"))))
+    tail = corpus.closing(F.to_json(F.struct(F.struct(path.alias("path")).alias("shard"))))
+    files.long_documents(all_.select("speaker_id", head.alias("head"), F.when(broken, "").otherwise(tail).alias("tail")), items, c.metadata)
     corpus.build_gold(spark, c, allow_partial=not whole, clock=lambda: "now")
     return c
 
