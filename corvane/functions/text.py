@@ -45,7 +45,7 @@ def folder(c: Column) -> Column:
 
 def filename(c: Column) -> Column:
     """What stands after the last slash."""
-    return F.regexp_extract(c, r"([^/]*)\z", 1)
+    return F.substring_index(c, "/", -1)
 
 
 @F.pandas_udf(T.StringType())

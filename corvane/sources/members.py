@@ -1,10 +1,10 @@
 """Members of archives as an index table, and their bytes by ranged reads.
 
 index() has a row for each file in tar and zip archives: where it lies and how long it is. An uncompressed tar of more than `range_bytes` is
-indexed by several tasks. A task looks for the first header in its range (blocks of 512 bytes whose checksum is right) and follows the
-headers from there to the range's end. What looks like a header may be part of a payload, so this is a guess; it is checked by going
-through the ranges of an archive in order: a range begins where the one before ends, and where that isn't the guess its headers are
-followed anew. Then all ranges are read from where they begin. Payloads are jumped over. A zip is indexed from its
+indexed by several tasks. A task looks for the first header in its range (blocks of 512 bytes whose checksum is right) and lists the
+members from there to the range's end. What looks like a header may be part of a payload, so this is a guess; it is checked by going
+through the ranges of an archive in order: a range begins where the one before ends, and where that isn't the guess its members are
+listed anew. Long payloads are jumped over. A zip is indexed from its
 central directory, a compressed tar by reading it through, in one task each.
 
 An archive that can't be read is a row with `error` and no name; the others go on. content() reads the bytes of the rows it is given and no others,
@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from corvane.errors import DatasetReadError
 from corvane.functions.text import filename, folder
+from corvane.objects import store
 from corvane.operators.numbering import kept, settled, shared_folder
 
 #: Fixed values of the formats.
@@ -37,6 +38,10 @@ BLOCK, LOCAL_HEAD, LOCAL_MAGIC = 512, 30, b"PK\x03\x04"
 FOUND = "archive string, name string, size bigint, offset bigint, stored bigint, method string, error string"
 #: Bytes between members that are read rather than jumped over, and bytes that are read together at most.
 GAP, TOGETHER = 64 << 10, 8 << 20
+#: Headers are read with what follows them, up to AHEAD bytes, while payloads are no longer than SHORT. Members that tarfile goes on with.
+AHEAD, SHORT, SLOW = 1 << 20, 2048, 1000
+RANGE = "begin bigint, end bigint, at bigint, exit bigint"
+WALKED = f"archive string, {RANGE}, name string, size bigint, offset bigint, error string"
 
 
 def opened(path: str):
@@ -70,26 +75,63 @@ def kind_of(f) -> tuple[int, str]:
         return size, "stream"
 
 
-def walk(f, start: int, end: int) -> Iterator[tarfile.TarInfo]:
-    """The members of a tar whose headers begin from start, which is such a place, to before end, and the one after, whatever they are."""
-    f.seek(start)
-    with tarfile.open(fileobj=f, mode="r:") as t:
-        while (m := t.next()) is not None:
-            t.members.clear()  # else all are kept
-            yield m
-            if m.offset >= end:
+def _plain(head: bytes) -> tuple[str, int] | None:
+    """Name and size of a file whose header has no more to it; None for others, which tarfile is asked about."""
+    if len(head) != BLOCK or head[156] not in b"0\0" or head[345] or not head.isascii():
+        return None
+    try:
+        stored, size = (int(head[i:j].partition(b"\0")[0], 8) for i, j in ((148, 156), (124, 136)))
+    except ValueError:
+        return None
+    name = head[:100].partition(b"\0")[0]
+    # 512 bytes below 128 sum up to less than adler32's modulus, so its low half is their sum and 1; the checksum's own bytes count as spaces
+    if stored != (zlib.adler32(head) & 0xFFFF) - 1 - sum(head[148:156]) + 8 * 32 or size < 0 or name.endswith(b"/"):
+        return None
+    return name.decode(), size
+
+
+def walk(f, start: int, end: int) -> Iterator[tuple[int, str, int, int, bool]]:
+    """The members of a tar whose headers begin from start, which is such a place, to before end, and the one after, whatever they are: where the
+    header begins, name, size, where the payload begins, whether it's a file. Headers of plain files are read here, several at a time while payloads
+    are short; whatever else there is (long names, ends, faults) is left to tarfile, some members after it too."""
+    at, last, data, base, ahead = start, None, b"", 0, BLOCK
+    while True:
+        if not base <= at <= base + len(data) - BLOCK:
+            f.seek(at)
+            data, base = f.read(min(ahead, max(0, end - at) + BLOCK)), at
+        if plain := _plain(data[at - base : at - base + BLOCK]):
+            name, size = plain
+            yield at, name, size, at + BLOCK, True
+            if at >= end:
                 return
+            length = -(-size // BLOCK) * BLOCK
+            last, at, ahead = at, at + BLOCK + length, min(2 * ahead, AHEAD) if length <= SHORT else BLOCK
+            continue
+        # from the member before, so that a payload which breaks off is noticed
+        f.seek(at if last is None else last)
+        with tarfile.open(fileobj=f, mode="r:") as t:
+            if last is not None:
+                t.next()
+            n = 0
+            while n < SLOW or t.pax_headers:  # global ones hold for all that follow
+                if (m := t.next()) is None:
+                    return
+                t.members.clear()  # else all are kept
+                yield m.offset, m.name, m.size, m.offset_data, m.isfile()
+                if m.offset >= end:
+                    return
+                last, at, n = m.offset, t.offset, n + 1
 
 
 def follow(f, start: int, end: int) -> int | None:
     """Where the first header at or after end is, if the one at start is a header; None if there is none."""
-    last = None
+    at = None
     try:
-        for last in walk(f, start, end):
+        for at, *_ in walk(f, start, end):
             pass
     except tarfile.TarError:
         return None
-    return last.offset if last is not None and last.offset >= end else None
+    return at if at is not None and at >= end else None
 
 
 def guess(f, start: int, end: int) -> int | None:
@@ -130,7 +172,7 @@ def _arrow(df: DataFrame, one: Callable[..., Iterator[tuple]], schema: str) -> D
 def index(archives: DataFrame, range_bytes: int = 64 << 20, opener: Callable = opened, table: str | None = None) -> DataFrame:
     """archive, prefix, filename, frame_index, name, size, offset (of the payload; of a zip's local header; null in a compressed tar), stored
     (bytes there), method, error for archives(archive), a path or URI each. Files outside any folder of their archive are left out. The rows are
-    written as a table, to the folder `table` or to one in the shared folder."""
+    written as a table (beside those of the ranges), to the folder `table` or to one in the shared folder; anew, beside it, if ranges weren't guessed right."""
 
     def probe(path: str) -> Iterator[tuple]:
         try:
@@ -155,62 +197,82 @@ def index(archives: DataFrame, range_bytes: int = 64 << 20, opener: Callable = o
         except (OSError, tarfile.TarError, zipfile.BadZipFile, EOFError, ValueError, zlib.error) as e:
             yield path, None, None, None, None, None, f"{path} can't be read: {e}"
 
-    def guessed(path: str, begin: int, end: int) -> Iterator[tuple]:
-        with opener(path) as f:
-            at = guess(f, begin, end) if begin else 0
-            yield path, begin, end, at, None if at is None else follow(f, at, end)
+    def walked(path: str, begin: int, end: int, at: int | None, several: int) -> Iterator[tuple]:
+        """The members of a range from `at`, or from what looks like its first header; if it's one of several, then a row of the range, with the next
+        one's first header."""
+        after = error = None
+        try:
+            with opener(path) as f:
+                at = guess(f, begin, end) if at is None else at
+                for head, name, size, offset, is_file in walk(f, at, end) if at is not None else ():
+                    if head >= end:
+                        after = head
+                    elif is_file:
+                        yield path, begin, None, None, None, name, size, offset, None
+        except (OSError, tarfile.TarError) as e:
+            error = f"{path} can't be read: {e}"
+        if several or error:
+            yield path, begin, end if several else None, at, after, None, None, None, error
 
-    def stitched(ranges: pd.DataFrame) -> pd.DataFrame:
+    def mistaken(ranges: pd.DataFrame) -> pd.DataFrame:
+        """Ranges that don't begin where was thought, with where they do; null if no header begins in them."""
         path, at, out, f = ranges["archive"].iloc[0], 0, [], None
         for r in ranges.sort_values("begin").itertuples():
             if at is None or at >= r.end:
-                continue
-            out.append((path, at, r.end))
-            if not pd.isna(r.at) and at == r.at:
+                out.append((path, r.begin, r.end, None))
+            elif not pd.isna(r.at) and at == r.at:
                 at = None if pd.isna(r.exit) else int(r.exit)
             else:
+                out.append((path, r.begin, r.end, at))
                 f = f or opener(path)
                 at = follow(f, at, r.end)
         if f is not None:
             f.close()
-        return pd.DataFrame(out, columns=["archive", "begin", "end"])
-
-    def list_range(path: str, begin: int, end: int) -> Iterator[tuple]:
-        try:
-            with opener(path) as f:
-                for m in walk(f, begin, end):
-                    if m.offset < end and m.isfile():
-                        yield path, m.name, m.size, m.offset_data, m.size, "tar", None
-        except (OSError, tarfile.TarError) as e:
-            yield path, None, None, None, None, None, f"{path} can't be read: {e}"
+        return pd.DataFrame(out, columns=["archive", "begin", "end", "at"]).astype({"at": "Int64"})
 
     n = max(1, min(archives.count(), 20_000))
     probed = settled(_arrow(archives.select("archive").repartition(n), probe, "archive string, size bigint, kind string, error string"))
-    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
-    bad = probed.where("error is not null").select("archive", none("name", "string"), none("size", "bigint"), none("offset", "bigint"), none("stored", "bigint"), none("method", "string"), "error")
-    small = probed.where(f"kind = 'tar' and size <= {range_bytes}").select("archive", F.lit(0).cast("bigint").alias("begin"), F.col("size").alias("end"))
-    begin = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(range_bytes).cast("bigint"))).alias("begin")
-    large = probed.where(f"kind = 'tar' and size > {range_bytes}").select("archive", "size", begin).select("archive", "begin", F.least("size", F.col("begin") + range_bytes).alias("end"))
-    ranges = small
-    many = large.count()
+    whole = F.lit(0).cast("bigint")
+    small = probed.where(f"kind = 'tar' and size <= {range_bytes}").select("archive", whole.alias("begin"), F.col("size").alias("end"), whole.alias("at"), whole.alias("several"))
+    begin = F.explode(F.sequence(whole, F.col("size") - 1, F.lit(range_bytes).cast("bigint"))).alias("begin")
+    large = probed.where(f"kind = 'tar' and size > {range_bytes}").select("archive", "size", begin)
+    large = large.select("archive", "begin", F.least("size", F.col("begin") + range_bytes).alias("end"), F.when(F.col("begin") == 0, whole).alias("at"), F.lit(1).cast("bigint").alias("several"))
+    spread = lambda ranges, many: _arrow(ranges.repartition(min(many, 20_000), "archive", "begin"), walked, WALKED)
+    tars = spread(small, n)
+    if many := large.count():
+        tars = tars.unionByName(spread(large, many))
+    others = _arrow(probed.where("kind in ('zip', 'stream')").select("archive", "kind").repartition(n), list_whole, FOUND)
+    bad = probed.where("error is not null").select("archive", "error")
+    found = _tar_rows(tars).unionByName(others, allowMissingColumns=True).unionByName(bad, allowMissingColumns=True)
+    table = table or f"{shared_folder(archives.sparkSession)}/corvane-{uuid.uuid4().hex}"
+    rows = kept(_shaped(found), table)
     if many:
-        spread = large.repartition(min(many, 20_000), "archive", "begin")
-        checked = _arrow(spread, guessed, "archive string, begin bigint, end bigint, at bigint, exit bigint")
-        ranges = small.unionByName(checked.groupBy("archive").applyInPandas(stitched, "archive string, begin bigint, end bigint"))
-    ranges = settled(ranges)
-    tars = _arrow(ranges.repartition(max(1, min(ranges.count(), 20_000)), "archive", "begin"), list_range, FOUND)
-    found = tars.unionByName(_arrow(probed.where("kind in ('zip', 'stream')").select("archive", "kind").repartition(n), list_whole, FOUND)).unionByName(bad)
+        wrong = settled(rows.where("end is not null").groupBy("archive").applyInPandas(mistaken, "archive string, begin bigint, end bigint, at bigint"))
+        if again := wrong.count():
+            anew = _shaped(_tar_rows(spread(wrong.where("at is not null").withColumn("several", whole), again)))
+            rows = kept(rows.join(wrong, ["archive", "begin"], "left_anti").unionByName(anew), f"{table}-anew")
+            fs, path = store(table)
+            fs.delete_dir(path)
+    return rows.where("name is not null or error is not null").drop(*(x.split(" ")[0] for x in RANGE.split(", ")))
+
+
+def _tar_rows(tars: DataFrame) -> DataFrame:
+    return tars.withColumns({"stored": F.col("size"), "method": F.when(F.col("name").isNotNull(), "tar")})
+
+
+def _shaped(found: DataFrame) -> DataFrame:
+    """Rows as index() has them, and the ranges' columns; files outside any folder aren't in it."""
     prefix = folder(F.col("name"))
-    found = found.where((prefix != "") | F.col("error").isNotNull())
+    found = found.where((prefix != "") | F.col("error").isNotNull() | F.col("end").isNotNull())
     frame = F.when(filename(F.col("name")).rlike(r"^[0-9]+\.jpg\z"), F.regexp_extract(filename(F.col("name")), "^[0-9]+", 0).try_cast("int"))
-    found = found.select("archive", F.concat(prefix, F.lit("/")).alias("prefix"), filename(F.col("name")).alias("filename"), frame.alias("frame_index"), "name", "size", "offset", "stored", "method", "error")
-    return kept(found, table or f"{shared_folder(archives.sparkSession)}/corvane-{uuid.uuid4().hex}")
+    ranges = [x.split(" ")[0] for x in RANGE.split(", ")]
+    return found.select("archive", F.concat(prefix, F.lit("/")).alias("prefix"), filename(F.col("name")).alias("filename"), frame.alias("frame_index"), "name", "size", "offset", "stored", "method", "error", *ranges)
 
 
 def of_folder(spark: SparkSession, folder_: str, suffix: str = ".tar", speakers: list[str] | None = None, **options) -> DataFrame:
     """index() of the archives in a folder, or of some speakers' there, with speaker_id: the archive's name without its suffix."""
     paths = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder_).select(F.col("path").alias("archive"))
-    name = F.regexp_extract("archive", r"([^/]+)\z", 1)
+    name = F.substring_index("archive", "/", -1)  # a pattern would try every place of a long path, for every member
     speaker = F.substring(name, F.lit(1), F.length(name) - len(suffix))
     paths = paths if speakers is None else paths.where(speaker.isin(speakers))
     return index(paths, **options).select(speaker.alias("speaker_id"), "*")

@@ -124,3 +124,20 @@ def test_queries_over_shards_leave_none_and_equal_sql(spark, tmp_path, monkeypat
     want = con.execute(entry.oracle_sql()[name])
     columns = [x[0] for x in want.description]
     assert sorted(map(repr, (tuple(r) for r in got.select(*columns).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+def test_records_made_together_are_those_made_alone():
+    names = [f"s{i % 7}/{'u' * (i % 60)}/{i}.jpg" for i in range(2000)] + ["", "a" * 100, "a" * 101, "é/x/1"]
+    contents = [bytes([i % 256]) * (0, 1, 511, 512, 513, 3000)[i % 6] for i in range(len(names))]
+    contents[77] = b"x" * (shards.TOGETHER + 1)
+    alone = [shards.head(n, len(c)) + c + bytes(-len(c) % 512) for n, c in zip(names, contents)]
+    assert b"".join(shards.records(names, contents)) == b"".join(alone)
+    plain = list(shards.records(names[:70], contents[:70]))
+    assert plain == [b"".join(alone[:70])] and list(shards.records([], [])) == []
+
+
+def test_shards_are_assembled_by_several_tasks(spark, tmp_path):
+    """Their parts are few rows, which a session's defaults would put into one task."""
+    df = spark.createDataFrame([(f"s{i % 9}", "u", f"{i}.jpg", b"x") for i in range(90)], SCHEMA)
+    got = shards.package(df, str(tmp_path))
+    assert sum(1 for p in got.rdd.glom().collect() if p) > 1 and got.count() == 9
