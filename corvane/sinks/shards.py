@@ -234,9 +234,9 @@ def assembled(spark: SparkSession, listed: list[dict], folder: str) -> DataFrame
         fs.move(attempt, path)
         return pd.DataFrame([(speaker, path, size, sha.hexdigest(), int(mine["members"].sum()))], columns=["speaker_id", "path", "size", "sha256", "members"])
 
-    # not left to the session, which puts so few rows into one task, and all shards after one another
+    # not left to the session, which puts so few rows into one task, and all shards after one another; by ranges, as hashes of few speakers meet
     n = len({r["speaker_id"] for r in listed})
-    return parts.repartition(max(1, min(4 * n, 20_000)), "speaker_id").groupBy("speaker_id").applyInPandas(run, "speaker_id string, path string, size bigint, sha256 string, members bigint")
+    return parts.repartitionByRange(max(1, min(4 * n, 20_000)), "speaker_id").groupBy("speaker_id").applyInPandas(run, "speaker_id string, path string, size bigint, sha256 string, members bigint")
 
 
 def waves(members: DataFrame, held: int) -> list[list]:
